@@ -23,6 +23,19 @@ def mean_abs_difference(aligned: DataFrame, keys: Sequence[str]) -> DataFrame:
     return aligned.groupBy(*keys).agg(F.avg(difference).alias("mad"))
 
 
+def offset_differences(around: DataFrame, cell_series: DataFrame, target: DataFrame, keys: Sequence[str], labels: Sequence[str] = ()) -> DataFrame:
+    """Mean absolute difference between a target series and the series of each neighbour cell.
+
+    ``around`` has ``(keys, di, dj, south_north, west_east)``, ``cell_series``
+    ``(south_north, west_east, time, value)`` and ``target`` ``(labels, keys, time, value)``.
+    A cell that several clamped offsets share is compared once, so those offsets tie exactly.
+    """
+    cell = ["south_north", "west_east"]
+    pairs = around.select(*keys, *cell).distinct().join(cell_series, cell)
+    mads = mean_abs_difference(align(pairs, target, [*keys, "time"]), [*labels, *keys, *cell])
+    return around.join(mads, [*keys, *cell])
+
+
 def best_offset(differences: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The offset with the smallest difference (rounded to 2 decimals); among equals the first in (di, dj) order."""
     rank = F.struct(F.col("mad").isNull(), "mad", "di", "dj")

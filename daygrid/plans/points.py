@@ -55,21 +55,23 @@ def projected(points: DataFrame, plane=ALASKA_ALBERS, lat: str = "lat", lon: str
 def extract_points(
     fields: DataFrame, points: DataFrame, grid: Grid, *, tolerance: float | None = 5000.0, on_miss: str = "error"
 ) -> DataFrame:
-    """The daily values of the cells nearest to the points: ``(name, variable, level, time, value)``.
+    """The daily values of the cells nearest to the points, with the points' own columns.
 
-    ``points`` has ``name, x, y`` in the plane of the product.  Few points are
-    broadcast, and the grid rows they lie in become a scan filter, which skips
-    most row groups of files sorted by cell.  Many points are joined by cell.
+    ``points`` has ``x, y`` in the plane of the product and any columns that
+    name a point.  Few points are broadcast, and the grid rows they lie in
+    become a scan filter, which skips most row groups of files sorted by cell.
+    Many points are joined by cell.
     """
     rows = row_bound(points)
-    located = nearest_on_grid(points.select("name", "x", "y"), grid, tolerance=tolerance, on_miss=on_miss)
-    cells = located.select("name", "y_idx", "x_idx").dropna()
+    names = [c for c in points.columns if c not in ("x", "y", "lat", "lon")]
+    located = nearest_on_grid(points, grid, tolerance=tolerance, on_miss=on_miss)
+    cells = located.select(*names, "y_idx", "x_idx").dropna(subset=["y_idx", "x_idx"])
     if rows is not None and rows <= PUSHED_ROWS:
         # At most PUSHED_ROWS rows come back.
         bands = sorted({r.y_idx for r in cells.select("y_idx").distinct().collect()})
         fields = fields.where(F.col("y_idx").isin(bands) if bands else F.lit(False))
     keep = [c for c in ("variable", "level", "time", "value") if c in fields.columns]
-    return fields.join(broadcast_within(cells, rows), ["y_idx", "x_idx"]).select("name", *keep)
+    return fields.join(broadcast_within(cells, rows), ["y_idx", "x_idx"]).select(*names, *keep)
 
 
 def annual_point_series(

@@ -12,13 +12,17 @@ from daygrid.functions.aggregates import present
 from daygrid.functions.projections import planar_km, sphere_km
 from daygrid.functions.units import celsius_shift
 from daygrid.grids import Grid
-from daygrid.operators.compare import align, best_offset, mean_abs_difference
+from daygrid.operators.compare import best_offset, offset_differences
 from daygrid.operators.daily import CELL, day_of
 from daygrid.operators.nearest import nearest_cells, neighbourhood
 from daygrid.plans.points import extract_points, projected
 from daygrid.sizing import broadcast_within, row_bound, stored
 
 
+# At which coordinates the product is read: those of the place's source cell, and the place's own.
+KINDS = ("exact", "community")
+
+
 def assemble(tables: Sequence[DataFrame], on: str = "name") -> DataFrame:
     """Tables of the same places side by side; a place that one table lacks is missing there."""
     return reduce(lambda a, b: a.join(b, on, "full_outer"), tables)
@@ -39,22 +43,19 @@ def coordinate_report(points: DataFrame, src_grid: DataFrame) -> DataFrame:
     )
 
 
-def neighbour_series(hourly: DataFrame, cells: DataFrame, rows: int, columns: int, variable: str, units: str | None = None, few: int | None = None) -> DataFrame:
-    """Daily mean in Celsius of each place's cell and its eight neighbours: ``(name, di, dj, time, value)``.
+def cell_series(
+    hourly: DataFrame, cells: DataFrame, variable: str, units: str | None = None, rows: int | None = None
+) -> DataFrame:
+    """Daily mean in Celsius of the given cells: ``(south_north, west_east, time, value)``.
 
-    One scan of the source serves all places and offsets.  Each distinct cell
-    is reduced once.  ``few`` is a proven bound of the rows of ``cells``.
+    One scan of the source serves all cells.  ``rows`` is a proven bound of the rows of ``cells``.
     """
-    around = neighbourhood(cells.select("name", *CELL), rows, columns)
-    bound = None if few is None else 9 * few
-    wanted = around.select(*CELL).distinct()
-    daily = (
+    return (
         hourly.select("time", *CELL, F.col(variable).alias("value"))
-        .join(broadcast_within(wanted, bound), list(CELL), "left_semi")
+        .join(broadcast_within(cells.select(*CELL).distinct(), rows), list(CELL), "left_semi")
         .groupBy(day_of("time").alias("time"), *CELL)
         .agg((F.avg(present(F.col("value"))) + celsius_shift(F.lit(units).cast("string"), "kelvin")).alias("value"))
     )
-    return daily.join(broadcast_within(around, bound), list(CELL)).select("name", "di", "dj", "time", "value")
 
 
 def source_versus_product(
@@ -72,21 +73,22 @@ def source_versus_product(
     """For each place, the neighbour offset at which source and product agree best.
 
     The product is read at the place's own coordinates (``community``) and at
-    those of its source cell (``exact``).
+    those of its source cell (``exact``).  Source and product are scanned once each.
     """
-    few = row_bound(points)
+    rows = row_bound(points)
     report = stored(coordinate_report(points, src_grid))
-    series = neighbour_series(hourly, report, source.y.n, source.x.n, variable, source_units, few)
-    own = report.select("name", F.col("community_x").alias("x"), F.col("community_y").alias("y"))
-    cell = report.select("name", F.col("exact_x").alias("x"), F.col("exact_y").alias("y"))
-    shift = celsius_shift(F.lit(product_units).cast("string"), "unchanged")
+    around = neighbourhood(report.select("name", *CELL), source.y.n, source.x.n)
+    series = cell_series(hourly, around, variable, source_units, None if rows is None else 9 * rows)
 
-    def best(places: DataFrame, label: str) -> DataFrame:
-        product = extract_points(fields, places, target, tolerance=None).select(
-            "name", "time", (F.col("value") + shift).alias("value")
-        )
-        pairs = align(series, product, ["name", "time"])
-        found = best_offset(mean_abs_difference(pairs, ["name", "di", "dj"]), ["name"])
-        return found.withColumnsRenamed({"di": f"{label}_di", "dj": f"{label}_dj", "mad": f"{label}_mad"})
-
-    return assemble([best(cell, "exact"), best(own, "community")])
+    kinds = F.inline(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col(f"{k}_x").alias("x"), F.col(f"{k}_y").alias("y")) for k in KINDS
+    ]))
+    shift = celsius_shift(F.lit(product_units).cast("string"), "unchanged")
+    product = extract_points(fields, report.select("name", kinds), target, tolerance=None).select(
+        "kind", "name", "time", (F.col("value") + shift).alias("value")
+    )
+    best = best_offset(offset_differences(around, series, product, ["name"], ["kind"]), ["name", "kind"])
+    columns = [
+        F.max(F.when(F.col("kind") == k, F.col(c))).alias(f"{k}_{c}") for k in KINDS for c in ("di", "dj", "mad")
+    ]
+    return report.select("name").join(best.groupBy("name").agg(*columns), "name", "left")

@@ -21,25 +21,28 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*.parquet") -> Dat
     )
 
 
-def _open_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.fs
-    import pyarrow.parquet
-
-    def header(path: str):
-        try:
-            uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and "://" not in path else path
-            fs, name = pyarrow.fs.FileSystem.from_uri(uri)
-            with fs.open_input_file(name) as f:
-                footer = pyarrow.parquet.ParquetFile(f)
-                return path, True, None, footer.metadata.num_rows, list(footer.schema_arrow.names)
-        except Exception as e:  # the point of the check: any failure to open is a finding
-            return path, False, f"{type(e).__name__}: {e}", None, None
-
-    for batch in batches:
-        yield pd.DataFrame([header(p) for p in batch["path"]], columns=["path", "opened", "error", "rows", "variables"])
-
-
 def read_headers(files: DataFrame, tasks: int | None = None) -> DataFrame:
     """Open the footer of every file, spread over tasks; a file that does not open is a row with its error."""
+
+    # Defined here so that it travels to the workers by value.
+    def open_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.fs
+        import pyarrow.parquet
+
+        def header(path: str):
+            try:
+                local = path.startswith("file:/") and "://" not in path
+                fs, name = pyarrow.fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if local else path)
+                with fs.open_input_file(name) as f:
+                    footer = pyarrow.parquet.ParquetFile(f)
+                    return path, True, None, footer.metadata.num_rows, footer.schema_arrow.names
+            except Exception as e:  # any failure to open is a finding
+                return path, False, f"{type(e).__name__}: {e}", None, None
+
+        for batch in batches:
+            yield pd.DataFrame(
+                [header(p) for p in batch["path"]], columns=["path", "opened", "error", "rows", "variables"]
+            )
+
     n = tasks or files.sparkSession.sparkContext.defaultParallelism
-    return files.select("path").repartition(n).mapInPandas(_open_headers, HEADERS)
+    return files.select("path").repartition(n).mapInPandas(open_headers, HEADERS)
