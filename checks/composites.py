@@ -42,8 +42,8 @@ def _unit_rows(product):
 @check("k1_produce_unit", with_views(f"""
 select {_UNIT}, round(value, 6) as value from daily_out join event_map using (south_north, west_east)
 union all
-select variable, cast(year(time) as integer), cast(time as varchar), y_idx, x_idx, null
-from (select distinct variable, time from daily_out) s, event_map where south_north is null""",
+select 'rainnc_sum', cast(year(time) as integer), cast(time as varchar), y_idx, x_idx, null
+from event_calendar, event_map where south_north is null or gap""",
     {"daily_out": _outputs(["rainnc_sum"], "hourly", "daily_out")}))
 def _(spark, sf_dir):
     """One variable and year, written as a full cube and read back."""

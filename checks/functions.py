@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 
 from pyspark.sql import functions as F
 
@@ -11,7 +13,6 @@ from checks.scans import LOG_VIEW, PAGE_NAME, page_logs
 from checks.views import sql_albers, sql_albers_inverse, sql_stereo, with_views
 from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE, planar_km, sphere_km
 from daygrid.grids import grid_cells
-from daygrid.operators.nearest import nearest_cells
 from daygrid.plans.points import projected
 from daygrid.plans.verify import coordinate_report
 from daygrid.sources.logs import units_of
@@ -57,15 +58,14 @@ def _(spark, sf_dir):
     return plane.select("id", F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
 
 
-@check("f4_planar_distance", with_views(
-    "select a.name, b.name as other, round_even(sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y)) / 1000, 3) as km from points_xy a join region on true join points_xy b on b.name = concat('NATION_', r_regionkey)"))
+_DX, _DY = sql_albers(num(-152.0), num(64.0))
+
+
+@check("f4_planar_distance", with_views(f"select id, round_even(sqrt(({_CX} - {_DX}) * ({_CX} - {_DX}) + ({_CY} - {_DY}) * ({_CY} - {_DY})) / 1000, 3) as km from customers", {"customers": _CUSTOMERS}))
 def _(spark, sf_dir):
-    """Distance of every place to five others."""
-    p = projected(v.points(spark, sf_dir)).select("name", "x", "y")
-    regions = v.table(spark, sf_dir, "region").select(F.concat(F.lit("NATION_"), F.col("r_regionkey")).alias("name"))
-    five = p.join(regions, "name", "left_semi").select(F.array_agg(F.struct("name", "x", "y"))).scalar()
-    pairs = p.select("*", F.explode(five).alias("b"))
-    return pairs.select("name", F.col("b.name").alias("other"), planar_km(F.col("x"), F.col("y"), F.col("b.x"), F.col("b.y")).alias("km"))
+    """Distance of every place to the centre of the domain, in the plane."""
+    cx, cy = (F.lit(c) for c in ALASKA_ALBERS.forward(-152.0, 64.0, math))
+    return projected(customers(spark, sf_dir)).select("id", planar_km(cx, cy, F.col("x"), F.col("y")).alias("km"))
 
 
 def _sql_sphere(lat1, lon1, lat2, lon2):
@@ -76,10 +76,11 @@ def _sql_sphere(lat1, lon1, lat2, lon2):
     return f"round_even(2 * 6370e0 * asin(least(1, sqrt({h}))), 3)"
 
 
-@check("f5_sphere_distance", with_views(f"select name, {_sql_sphere('lat', 'lon', 'exact_lat', 'exact_lon')} as km from found"))
+@check("f5_sphere_distance", with_views(f"select id, {_sql_sphere(num(64.0), num(-152.0), 'lat', 'lon')} as km from customers", {"customers": _CUSTOMERS}))
 def _(spark, sf_dir):
-    f = nearest_cells(v.cells(spark, sf_dir), v.points(spark, sf_dir))
-    return f.select("name", sphere_km(*[F.col(c) for c in ("lat", "lon", "exact_lat", "exact_lon")]).alias("km"))
+    """Distance of every place to the centre of the domain, on the sphere."""
+    km = sphere_km(F.lit(64.0), F.lit(-152.0), F.col("lat"), F.col("lon"))
+    return customers(spark, sf_dir).select("id", km.alias("km"))
 
 
 _EAST, _NORTH = sql_stereo(num(-152.0), num(64.0))

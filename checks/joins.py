@@ -12,9 +12,9 @@ from daygrid import catalog as cat
 from daygrid.grids import Axis, Grid
 from daygrid.operators import audit
 from daygrid.operators.compare import align
-from daygrid.operators.daily import daily_wide
+from daygrid.operators.daily import daily_wide, time_axis
 from daygrid.operators.nearest import nearest_cells, nearest_on_grid, neighbourhood
-from daygrid.operators.regrid import regrid, stored_regrid_map
+from daygrid.operators.regrid import missing_cells, regrid, stored_regrid_map
 from daygrid.plans.points import projected
 from daygrid.plans.verify import assemble
 from daygrid.sources import logs
@@ -118,14 +118,16 @@ from (select cast(time as date) as time, south_north, west_east, avg(T2) - 273.1
 join grid_map m on d.south_north = m.south_north and d.west_east = m.west_east
 union all
 select cast(s.time as varchar), m.y_idx, m.x_idx, round(m.y, 2), round(m.x, 2), null
-from (select distinct cast(time as date) as time from years_hourly) s, grid_map m where m.south_north is null"""))
+from calendar s, grid_map m where m.south_north is null or s.gap"""))
 def _(spark, sf_dir):
     rows = v.grid_rows(spark, sf_dir)
     target = v.target_grid(rows)
     h = v.years_hourly(spark, sf_dir)
     cells = stored_regrid_map(spark, v.model_grid(rows), target)
-    out = regrid(daily_wide(h, ["t2_mean"]), cells, target.cells, slices=h.select(F.to_date("time").alias("time")))
-    return out.select(
+    axis = time_axis(h)
+    inside = regrid(daily_wide(h, ["t2_mean"]), cells, target.cells)
+    empty = missing_cells(cells, axis.spans, axis.gaps).drop("level")
+    return inside.unionByName(empty, allowMissingColumns=True).select(
         F.col("time").cast("string").alias("day"), "y_idx", "x_idx",
         F.round("y", 2).alias("y"), F.round("x", 2).alias("x"), F.round("t2_mean", 6).alias("t2_mean"),
     )

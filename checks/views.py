@@ -264,6 +264,15 @@ VIEWS: dict[str, str] = {
   {num(2.2)} + {num(0.9)} * floor(s_suppkey / 10) as ty from supplier)""",
     "domain": "domain as (select cast(floor(max(s_suppkey) / 10) as integer) + 1 as ny from supplier)",
     "event_domain": "event_domain as (select cast(floor(max(user_id) / 10) as integer) + 1 as ny from events)",
+    # Every day between the first and the last of each year, and whether it has data.
+    "calendar": """calendar as (select c.time, h.time is null as gap from (
+    select cast(unnest(generate_series(min(time), max(time), interval 1 day)) as date) as time
+    from (select cast(cast(time as date) as timestamp) as time from years_hourly) y group by year(time)) c
+  left join (select distinct cast(time as date) as time from years_hourly) h using (time))""",
+    "event_calendar": """event_calendar as (select c.time, h.time is null as gap from (
+    select cast(unnest(generate_series(min(time), max(time), interval 1 day)) as date) as time
+    from (select cast(cast(time as date) as timestamp) as time from obs) y group by year(time)) c
+  left join (select distinct cast(time as date) as time from obs) h using (time))""",
     **_sql_map("grid", "domain"),
     **_sql_map("event", "event_domain"),
     # Points with the nearest cell of the product grid, per axis: half way between two, the larger coordinate.

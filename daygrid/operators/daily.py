@@ -8,6 +8,7 @@ partial row per task, day and cell, however unevenly rows are spread.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -127,13 +128,35 @@ def complete_days(
     )
 
 
-def missing_days(days: Iterable[date]) -> list[date]:
-    """Calendar days without data between the first and the last of ``days``, year by year."""
-    gaps = []
-    have = set(days)
-    for year in {d.year for d in have}:
-        mine = [d for d in have if d.year == year]
-        first, last = min(mine), max(mine)
-        span = (first + timedelta(days=i) for i in range((last - first).days + 1))
-        gaps += [d for d in span if d not in have]
-    return sorted(gaps)
+@dataclass(frozen=True)
+class TimeAxis:
+    """The calendar of a table: its days, and its levels (None for rows without a level)."""
+
+    days: tuple[date, ...]
+    levels: tuple[int | None, ...]
+
+    @property
+    def spans(self) -> list[tuple[date, date]]:
+        """First and last day of each year."""
+        years = sorted({d.year for d in self.days})
+        return [(min(d for d in self.days if d.year == y), max(d for d in self.days if d.year == y)) for y in years]
+
+    @property
+    def gaps(self) -> list[date]:
+        """Days without data within the spans."""
+        have = set(self.days)
+        span_days = (a + timedelta(days=i) for a, b in self.spans for i in range((b - a).days + 1))
+        return [d for d in span_days if d not in have]
+
+
+def time_axis(hourly: DataFrame, time: str = "time") -> TimeAxis:
+    """The calendar of a table, from its time and level columns only.
+
+    The sets are as long as the calendar and the list of levels, whatever the number of rows.
+    """
+    level = F.col("level") if "level" in hourly.columns else F.lit(None).cast("int")
+    row = hourly.agg(
+        F.collect_set(day_of(time)).alias("days"), F.collect_set(level).alias("levels"),
+        F.bool_or(level.isNull()).alias("flat"),
+    ).first()
+    return TimeAxis(tuple(sorted(row.days)), ((None,) if row.flat else ()) + tuple(sorted(row.levels)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable
 
@@ -16,6 +17,8 @@ LEAF_CELLS = 64
 LEAF_LIMIT = 4096
 MAX_DEPTH = 8
 
+EXTENT = ("lat_min", "lat_max", "lon_min", "lon_max")
+
 
 def nearest_on_grid(
     points: DataFrame, grid: Grid, *, x: str = "x", y: str = "y", tolerance: float | None = 5000.0, on_miss: str = "error"
@@ -59,17 +62,6 @@ def _farthest(lat: Column, lon: Column, box: Callable[[str], Column]) -> Column:
     return d_lat * d_lat + d_lon * d_lon
 
 
-def _tree_depth(cells: DataFrame, box) -> int:
-    """Levels of the search tree: by the number of cells, and deeper where they crowd together."""
-    depth = max(1, math.ceil(math.log(box["n"] / LEAF_CELLS, 64)))
-    while depth < MAX_DEPTH:
-        crowded = _boxed(cells, box, depth).groupBy("row_box", "col_box").count().agg(F.max("count")).first()[0]
-        if crowded <= LEAF_LIMIT:
-            break
-        depth += 1
-    return depth
-
-
 def _boxed(cells: DataFrame, box, depth: int) -> DataFrame:
     """Cells with the leaf box they lie in: each level halves a side three times."""
 
@@ -81,6 +73,22 @@ def _boxed(cells: DataFrame, box, depth: int) -> DataFrame:
     return cells.withColumns({"row_box": number("lat"), "col_box": number("lon")})
 
 
+def _box_levels(leaves: DataFrame, depth: int) -> dict[int, DataFrame]:
+    """The boxes of each level with the extent of their cells and the largest number of cells in one leaf."""
+
+    def extent(lat_min: str, lat_max: str, lon_min: str, lon_max: str, crowd: Column) -> list[Column]:
+        return [
+            F.min(lat_min).alias("lat_min"), F.max(lat_max).alias("lat_max"),
+            F.min(lon_min).alias("lon_min"), F.max(lon_max).alias("lon_max"), crowd.alias("crowd"),
+        ]
+
+    boxes = {depth: leaves.groupBy("row_box", "col_box").agg(*extent("lat", "lat", "lon", "lon", F.count(F.lit(1))))}
+    for k in range(depth - 1, 0, -1):
+        parent = [F.shiftright(c, 3).alias(c) for c in ("row_box", "col_box")]
+        boxes[k] = boxes[k + 1].groupBy(*parent).agg(*extent(*EXTENT, F.max("crowd")))
+    return boxes
+
+
 def nearest_cells(grid: DataFrame, points: DataFrame) -> DataFrame:
     """For each point the cell of a curvilinear grid with the smallest squared distance in degrees.
 
@@ -109,33 +117,33 @@ def nearest_cells(grid: DataFrame, points: DataFrame) -> DataFrame:
     ).first()
     if not box["n"]:
         raise ValueError("the grid has no cell with coordinates")
-    depth = _tree_depth(cells, box)
-    leaves = _boxed(cells, box, depth)
-    extent = [F.min("lat").alias("lat_min"), F.max("lat").alias("lat_max"), F.min("lon").alias("lon_min"), F.max("lon").alias("lon_max")]
-
-    boxes = {depth: leaves.groupBy("row_box", "col_box").agg(*extent)}
-    for k in range(depth - 1, 0, -1):
-        boxes[k] = boxes[k + 1].groupBy(
-            F.shiftright("row_box", 3).alias("row_box"), F.shiftright("col_box", 3).alias("col_box")
-        ).agg(F.min("lat_min").alias("lat_min"), F.max("lat_max").alias("lat_max"),
-              F.min("lon_min").alias("lon_min"), F.max("lon_max").alias("lon_max"))
+    depth = max(1, math.ceil(math.log(box["n"] / LEAF_CELLS, 64)))
+    while True:
+        leaves = _boxed(cells, box, depth)
+        boxes = _box_levels(leaves, depth)
+        top = boxes[1].collect()  # at most 64 rows
+        if depth == MAX_DEPTH or max(r.crowd for r in top) <= LEAF_LIMIT:
+            break
+        depth += 1
 
     p_lat, p_lon = F.col("p_lat"), F.col("p_lon")
     probes = points.select(F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon")).distinct()
 
-    # The first level has at most 64 boxes: they are literals, and a point keeps its candidates in one array.
-    top = F.array(*[
-        F.struct(*[F.lit(v).alias(c) for c, v in r.asDict().items()]) for r in boxes[1].orderBy("row_box", "col_box").collect()
-    ])
-    reach = F.array_min(F.transform(top, lambda b: _farthest(p_lat, p_lon, b.getField)))
-    kept = F.filter(top, lambda b: _nearest(p_lat, p_lon, b.getField) <= F.col("bound"))
+    # The boxes of the first level are a literal, and a point keeps its candidates in one array.
+    fields = ["row_box", "col_box", *EXTENT]
+    text = json.dumps([{c: r[c] for c in fields} for r in sorted(top)])
+    top_boxes = F.from_json(
+        F.lit(text), "array<struct<row_box:int,col_box:int," + ",".join(f"{c}:double" for c in EXTENT) + ">>"
+    )
+    reach = F.array_min(F.transform(top_boxes, lambda b: _farthest(p_lat, p_lon, b.getField)))
+    kept = F.filter(top_boxes, lambda b: _nearest(p_lat, p_lon, b.getField) <= F.col("bound"))
     frontier = probes.withColumn("bound", reach).select("p_lat", "p_lon", F.inline(kept)).select(
         "p_lat", "p_lon", "row_box", "col_box"
     )
 
     per_point = Window.partitionBy("p_lat", "p_lon")
     for k in range(2, depth + 1):
-        children = boxes[k].withColumns({"up_row": F.shiftright("row_box", 3), "up_col": F.shiftright("col_box", 3)})
+        children = boxes[k].drop("crowd").withColumns({"up_row": F.shiftright("row_box", 3), "up_col": F.shiftright("col_box", 3)})
         parents = frontier.withColumnsRenamed({"row_box": "up_row", "col_box": "up_col"})
         frontier = (
             parents.join(children, ["up_row", "up_col"])

@@ -7,6 +7,9 @@ and joined to the daily fields by source cell.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +17,6 @@ from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE
 from daygrid.grids import Grid, grid_cells
 from daygrid.sizing import BROADCAST_ROWS, broadcast_within, stored
 
-# Pseudo cells (row -1) that carry the missing values of target cells outside the source domain.
-OUTSIDE_CELLS = 64
-
 
 def regrid_map(
     spark: SparkSession, source: Grid, target: Grid, source_plane=SOURCE_PLANE, target_plane=ALASKA_ALBERS
@@ -53,37 +53,19 @@ def regrid(
     grid_map: DataFrame,
     target_cells: int,
     *,
-    slices: DataFrame | None = None,
     day_salts: int = 8,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Daily fields on the target grid; every other column is carried along.
+    """Daily fields on the target cells that lie in the source domain; every other column is carried along.
 
     ``target_cells`` is the size of ``grid_map``, known from the target grid.
     A map within the broadcast bound is sent to the daily rows, which then need
     no shuffle.  A bigger one is joined by source cell and a day-based salt, so
     that the rows of one cell, or the many target cells that one source cell
     may feed, are spread over ``day_salts`` partitions.
-
-    Target cells outside the source domain appear only if ``slices`` is given: the
-    distinct ``(time[, level][, variable])`` for which they get a missing value.
     """
-    cells = grid_map
-    if slices is None:
-        cells = cells.where(F.col("south_north").isNotNull())
-    else:
-        pseudo = -1 - F.pmod(F.xxhash64("y_idx", "x_idx"), F.lit(OUTSIDE_CELLS)).cast("int")
-        cells = cells.withColumns({
-            "west_east": F.when(F.col("south_north").isNull(), pseudo).otherwise(F.col("west_east")),
-            "south_north": F.coalesce("south_north", F.lit(-1)),
-        })
-        missing = slices.distinct().withColumns({
-            "south_north": F.lit(-1),
-            "west_east": F.explode(F.sequence(F.lit(-OUTSIDE_CELLS), F.lit(-1))),
-        })
-        daily = daily.unionByName(missing, allowMissingColumns=True)
-
     keys = ["south_north", "west_east"]
+    cells = grid_map.where(F.col("south_north").isNotNull())
     if target_cells <= broadcast_rows:
         joined = daily.join(broadcast_within(cells, target_cells, broadcast_rows), keys)
     else:
@@ -91,3 +73,23 @@ def regrid(
         salted_cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(day_salts - 1))))
         joined = daily.withColumn("salt", salt).join(salted_cells, [*keys, "salt"]).drop("salt")
     return joined.drop(*keys)
+
+
+def missing_cells(
+    grid_map: DataFrame, spans: Sequence[tuple[date, date]], gaps: Sequence[date] = (), levels: Sequence[int | None] = (None,)
+) -> DataFrame:
+    """The part of a full cube that has no data: ``(y_idx, x_idx, y, x, time, level)``.
+
+    That is every target cell outside the source domain on every day of the
+    ``spans``, and every target cell inside it on the days in ``gaps``.  The
+    rows are generated from the map; nothing is joined or shuffled.
+    """
+    # One span per year, and hardly any gap.
+    all_days = F.flatten(F.array(*[F.sequence(F.lit(a), F.lit(b)) for a, b in spans]))
+    gap_days = F.array(*[F.lit(d) for d in gaps]).cast("array<date>")
+    every_level = F.array(*[F.lit(n).cast("int") for n in levels])
+    return (
+        grid_map.withColumn("time", F.explode(F.when(F.col("south_north").isNull(), all_days).otherwise(gap_days)))
+        .withColumn("level", F.explode(every_level))
+        .drop("south_north", "west_east")
+    )

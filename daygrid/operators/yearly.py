@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daygrid.functions.aggregates import annual_tag, annual_value, kind_aggregate, present
@@ -40,25 +40,35 @@ def pivot_years(series: DataFrame, column: str, names: Sequence[str], keys: Sequ
     return series.groupBy(*keys, "year").pivot(column, list(names)).agg(F.first("value"))
 
 
-def trend(series: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Least-squares line through the annual values: needs two years with a value, else missing."""
+def _line() -> dict[str, Column]:
+    """The least-squares line through annual values as aggregates: needs two years with a value, else missing."""
     y, x = present(F.col("value")), F.col("year").cast("double")
-    enough = F.regr_count(y, x) >= 2
-    slope = F.when(enough, F.regr_slope(y, x))
-    return series.groupBy(*keys).agg(
-        F.regr_count(y, x).cast("int").alias("years"),
-        slope.alias("slope"),
-        (slope * 10).alias("per_decade"),
-        F.when(enough, F.regr_intercept(y, x)).alias("intercept"),
-        F.avg(y).alias("mean"),
-    )
+    return {"years": F.regr_count(y, x), "slope": F.regr_slope(y, x), "intercept": F.regr_intercept(y, x), "mean": F.avg(y)}
+
+
+def _guarded(lines: DataFrame) -> DataFrame:
+    slope = F.when(F.col("years") >= 2, F.col("slope"))
+    return lines.withColumns({
+        "years": F.col("years").cast("int"),
+        "slope": slope,
+        "per_decade": slope * 10,
+        "intercept": F.when(F.col("years") >= 2, F.col("intercept")),
+    })
+
+
+def trend(series: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The trend of each annual series, per year and per decade, and its long-term mean."""
+    return _guarded(series.groupBy(*keys).agg(*[c.alias(n) for n, c in _line().items()]))
 
 
 def with_fit(series: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Every year of a series with the value of its trend line and the series' trend and mean."""
-    return series.join(trend(series, keys), list(keys)).withColumn(
-        "fitted", F.col("intercept") + F.col("slope") * F.col("year")
-    )
+    """Every year of a series with the value of its trend line and the series' trend and mean.
+
+    A group of the window holds one row per year.
+    """
+    group = Window.partitionBy(*keys)
+    lines = series.withColumns({n: c.over(group) for n, c in _line().items()})
+    return _guarded(lines).withColumn("fitted", F.col("intercept") + F.col("slope") * F.col("year"))
 
 
 def normals(daily: DataFrame, keys: Sequence[str], period: Period) -> DataFrame:

@@ -38,8 +38,8 @@ CHECK_PLACES: dict[str, tuple[float, float]] = {
     "WRF": (64.0, -152.0),
 }
 
-# Up to this many different grid rows are handed to the scan as a filter.
-PUSHED_ROWS = 500
+# Up to this many points are located ahead of the query, and their grid rows become a filter of its scan.
+FEW_POINTS = 500
 
 
 def places_frame(spark: SparkSession, places: Mapping[str, tuple[float, float]]) -> DataFrame:
@@ -58,20 +58,21 @@ def extract_points(
     """The daily values of the cells nearest to the points, with the points' own columns.
 
     ``points`` has ``x, y`` in the plane of the product and any columns that
-    name a point.  Few points are broadcast, and the grid rows they lie in
-    become a scan filter, which skips most row groups of files sorted by cell.
-    Many points are joined by cell.
+    name a point.  Few points are located first and broadcast, and the grid
+    rows they lie in become a scan filter, which skips most row groups of files
+    sorted by cell.  Many points are joined by cell.
     """
-    rows = row_bound(points)
     names = [c for c in points.columns if c not in ("x", "y", "lat", "lon")]
-    located = nearest_on_grid(points, grid, tolerance=tolerance, on_miss=on_miss)
-    cells = located.select(*names, "y_idx", "x_idx").dropna(subset=["y_idx", "x_idx"])
-    if rows is not None and rows <= PUSHED_ROWS:
-        # At most PUSHED_ROWS rows come back.
-        bands = sorted({r.y_idx for r in cells.select("y_idx").distinct().collect()})
-        fields = fields.where(F.col("y_idx").isin(bands) if bands else F.lit(False))
+    located = nearest_on_grid(points, grid, tolerance=tolerance, on_miss=on_miss).select(*names, "y_idx", "x_idx")
+    few = located.limit(FEW_POINTS + 1).collect()
+    if len(few) <= FEW_POINTS:
+        hits = [r for r in few if r.y_idx is not None]
+        cells = F.broadcast(points.sparkSession.createDataFrame(hits, located.schema))
+        fields = fields.where(F.col("y_idx").isin(sorted({r.y_idx for r in hits})) if hits else F.lit(False))
+    else:
+        cells = broadcast_within(located.dropna(subset=["y_idx", "x_idx"]), row_bound(points))
     keep = [c for c in ("variable", "level", "time", "value") if c in fields.columns]
-    return fields.join(broadcast_within(cells, rows), ["y_idx", "x_idx"]).select(*names, *keep)
+    return fields.join(cells, ["y_idx", "x_idx"]).select(*names, *keep)
 
 
 def annual_point_series(

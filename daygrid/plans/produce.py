@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,15 +10,15 @@ from pyspark.sql import functions as F
 from daygrid.catalog import DailyVariable, resolve
 from daygrid.functions.aggregates import AggregateBuilder
 from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE
-from daygrid.grids import Grid, grid_cells
-from daygrid.operators.daily import daily_wide, day_of, missing_days, to_long
-from daygrid.operators.regrid import regrid, stored_regrid_map
+from daygrid.grids import Grid
+from daygrid.operators.daily import daily_wide, time_axis, to_long
+from daygrid.operators.regrid import missing_cells, regrid, stored_regrid_map
 from daygrid.sizing import BROADCAST_ROWS
 from daygrid.sources.hourly import for_outputs, require_years
-from daygrid.sources.product import attributes_frame, check_free, read_product, write_attributes, write_fields
+from daygrid.sources.product import attributes_frame, check_free, read_product, write_attributes, write_wide
 
 
-def product_fields(
+def product_wide(
     hourly: DataFrame,
     names: Iterable[str | DailyVariable],
     source: Grid,
@@ -31,43 +30,32 @@ def product_fields(
     source_plane=SOURCE_PLANE,
     target_plane=ALASKA_ALBERS,
 ) -> DataFrame:
-    """The product rows of the requested outputs for all days of ``hourly``.
+    """The requested outputs as columns, one row per day, level and target cell.
 
     Hours are reduced first and reprojected after, all outputs of a cell and
     day in one row, so the join sees one row where the source had 24 per
-    variable.  With ``fill_missing`` the result is a full cube: target cells outside the
-    source domain, and days without any hour between the first and the last of a
-    year, have missing values.
+    variable.  With ``fill_missing`` the result is a full cube: target cells
+    outside the source domain, and days without any hour between the first and
+    the last of a year, have missing values.
     """
-    entries = resolve(names)
-    spark = hourly.sparkSession
-    daily = daily_wide(hourly, entries, kinds=kinds)
-    cells = stored_regrid_map(spark, source, target, source_plane, target_plane)
-    keys = ["time", *(["level"] if "level" in hourly.columns else [])]
-    slices = gaps = None
+    cells = stored_regrid_map(hourly.sparkSession, source, target, source_plane, target_plane)
+    daily = daily_wide(hourly, names, kinds=kinds)
+    if "level" not in daily.columns:
+        daily = daily.withColumn("level", F.lit(None).cast("int"))
+    wide = regrid(daily, cells, target.cells, broadcast_rows=broadcast_rows)
     if fill_missing:
-        # Reads the time and level columns only.
-        slices = hourly.select(day_of("time").alias("time"), *keys[1:]).distinct()
-        # One row per calendar day.
-        gaps = missing_days(r.time for r in slices.select("time").distinct().collect())
-    wide = regrid(daily, cells, target.cells, slices=slices, broadcast_rows=broadcast_rows)
-    if gaps:
-        wide = wide.unionByName(_empty_days(grid_cells(spark, target), slices, gaps), allowMissingColumns=True)
-    long = to_long(wide, entries)
-    if "level" not in long.columns:
-        long = long.withColumn("level", F.lit(None).cast("int"))
-    return long.withColumn("year", F.year("time"))
+        axis = time_axis(hourly)
+        if axis.days:
+            wide = wide.unionByName(
+                missing_cells(cells, axis.spans, axis.gaps, axis.levels), allowMissingColumns=True
+            )
+    return wide.withColumn("year", F.year("time"))
 
 
-def _empty_days(cells: DataFrame, slices: DataFrame, gaps: list[date]) -> DataFrame:
-    """Target cells on days without data, on every level that the data has."""
-    days = F.explode(F.array(*[F.lit(d) for d in gaps]))
-    empty = cells.withColumn("time", days)
-    if "level" not in slices.columns:
-        return empty
-    # One row per level.
-    levels = [r.level for r in slices.select("level").distinct().collect()]
-    return empty.withColumn("level", F.explode(F.array(*[F.lit(v).cast("int") for v in levels])))
+def product_fields(hourly: DataFrame, names: Iterable[str | DailyVariable], source: Grid, target: Grid, **options) -> DataFrame:
+    """The product rows of the requested outputs, one row per value; options as for :func:`product_wide`."""
+    entries = resolve(names)
+    return to_long(product_wide(hourly, entries, source, target, **options), entries)
 
 
 def produce(
@@ -87,7 +75,7 @@ def produce(
 
     ``hourly`` has a ``year`` column.  Existing output is an error unless
     ``overwrite`` is set, which replaces the units of the request and no others.
-    ``options`` are those of :func:`product_fields`.
+    ``options`` are those of :func:`product_wide`.
     """
     names = list(names)
     entries = resolve(names)
@@ -95,7 +83,7 @@ def produce(
     if not overwrite:
         check_free(spark, root, names, first_year, last_year)
     rows = for_outputs(require_years(hourly, first_year, last_year), names)
-    write_fields(product_fields(rows, entries, source, target, **options), root)
+    write_wide(product_wide(rows, entries, source, target, **options), entries, root)
     years = range(first_year, last_year + 1)
     write_attributes(attributes_frame(spark, names, years, target, attributes), root)
     return read_product(spark, root, names, (first_year, last_year))

@@ -1,27 +1,30 @@
 """The daily product: one table partitioned by ``variable`` and ``year``, with its attributes beside it.
 
-A unit is one (variable, year).  Rows are spread over files by bands of grid
-rows and sorted by cell inside each file, so that reading a few points skips
-nearly all row groups.
+A unit is one (variable, year).  Rows are spread over files by level and tile
+of cells and sorted by cell inside each file, so that reading a few points
+skips nearly all row groups.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrid.catalog import DailyVariable, resolve
 from daygrid.grids import Grid
 from daygrid.operators.audit import UNIT
+from daygrid.operators.daily import to_long
 from daygrid.sources.hourly import read_table
 
 PRODUCT_COLUMNS = ["time", "level", "y_idx", "x_idx", "y", "x", "value", "variable", "year"]
 
-# Grid rows per band: a file holds whole bands.
-BAND_ROWS = 64
+# A task of a write holds about this many values of one year and level.
+VALUES_PER_TILE = 256_000_000
+DAYS_PER_YEAR = 366
 
 
 def fields_path(root: str) -> str:
@@ -63,13 +66,33 @@ def check_free(spark: SparkSession, root: str, variables: Iterable[str], first_y
         raise FileExistsError(f"output exists and overwrite is off: {units}")
 
 
+def tile_keys(outputs: int) -> list[Column]:
+    """Grouping of cells into square tiles, the smaller the more outputs a row has."""
+    side = max(1, math.isqrt(VALUES_PER_TILE // (DAYS_PER_YEAR * outputs)))
+    return [F.floor(F.col(c) / side).alias(f"{c}_tile") for c in ("y_idx", "x_idx")]
+
+
+def write_wide(wide: DataFrame, names: Iterable[str | DailyVariable], root: str) -> None:
+    """Write units from rows that hold all outputs of a cell and day.
+
+    Rows are shuffled by year, level and tile while all outputs still share
+    one row, and only then become one row per output.
+    """
+    entries = resolve(names)
+    placed = wide.repartition("year", "level", *tile_keys(len(entries)))
+    _write_sorted(to_long(placed, entries), root)
+
+
 def write_fields(fields: DataFrame, root: str) -> None:
-    """Write units; a unit that exists is replaced, all others stay as they are."""
-    band = F.floor(F.col("y_idx") / BAND_ROWS)
+    """Write units from rows that hold one value each."""
+    _write_sorted(fields.repartition("variable", "year", "level", *tile_keys(1)), root)
+
+
+def _write_sorted(fields: DataFrame, root: str) -> None:
+    """Write rows placed by tile; a unit that exists is replaced, all others stay as they are."""
     (
         fields.select(PRODUCT_COLUMNS)
-        .repartition("variable", "year", band)
-        .sortWithinPartitions("variable", "year", "y_idx", "x_idx", "level", "time")
+        .sortWithinPartitions("variable", "year", "level", "y_idx", "x_idx", "time")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")

@@ -1,0 +1,206 @@
+"""Projections, grids, the regrid map and nearest joins."""
+
+import math
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE, AlbersEqualArea, planar_km, sphere_km
+from daygrid.grids import Axis, Grid, clamp, covering_grid, grid_axes, grid_cells, source_grid
+from daygrid.operators.nearest import nearest_cells, nearest_on_grid, neighbourhood
+from daygrid.operators.regrid import missing_cells, regrid, regrid_map, stored_regrid_map
+from daygrid.plans.points import TOWNS, places_frame, projected
+from tests.conftest import rows
+
+
+def test_albers_anchors():
+    assert ALASKA_ALBERS.forward(-154.0, 50.0, math) == pytest.approx((0.0, 0.0), abs=1e-6)
+    assert ALASKA_ALBERS.forward(-149.9003, 61.2181, math) == pytest.approx((219349.579, 1255301.540), abs=1e-3)
+    worked_example = AlbersEqualArea("clarke", 6378206.4, 0.00676866, 29.5, 45.5, 23.0, -96.0)
+    assert worked_example.forward(-75.0, 35.0, math) == pytest.approx((1885472.7, 1535925.0), abs=0.06)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.floats(-210.0, -95.0), st.floats(45.0, 80.0))
+def test_round_trips(lon, lat):
+    back = ALASKA_ALBERS.inverse(*ALASKA_ALBERS.forward(lon, lat, math), math)
+    assert (back[0] - lon + 180) % 360 - 180 == pytest.approx(0, abs=1e-8)
+    assert back[1] == pytest.approx(lat, abs=1e-8)
+    back = SOURCE_PLANE.inverse(*SOURCE_PLANE.forward(lon, lat, math), math)
+    assert (back[0] - lon + 180) % 360 - 180 == pytest.approx(0, abs=1e-9)
+    assert back[1] == pytest.approx(lat, abs=1e-9)
+
+
+def test_dateline(spark):
+    p = projected(places_frame(spark, {"east": (52.0, 179.5), "west": (52.0, -180.5)}))
+    east, west = p.orderBy("name").collect()
+    assert (east.x, east.y) == pytest.approx((west.x, west.y), abs=1e-6)
+
+
+def test_columns_agree_with_numbers(spark):
+    for plane in (ALASKA_ALBERS, SOURCE_PLANE):
+        for r in projected(places_frame(spark, TOWNS), plane).collect():
+            assert (r.x, r.y) == pytest.approx(plane.forward(r.lon, r.lat, math), abs=1e-6)
+
+
+def test_distances(spark):
+    d = spark.range(1).select(
+        planar_km(F.lit(0.0), F.lit(0.0), F.lit(3000.0), F.lit(4000.0)).alias("plane"),
+        sphere_km(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(90.0)).alias("quarter"),
+        sphere_km(F.lit(60.0), F.lit(10.0), F.lit(60.0), F.lit(10.0)).alias("none"),
+        F.bround(F.lit(0.125), 2).alias("even"),
+    ).first()
+    assert (d.plane, d.quarter, d.none, d.even) == (5.0, round(math.pi / 2 * 6370, 3), 0.0, 0.12)
+
+
+def test_source_grid(spark):
+    g = source_grid(-152.0, 64.0, 4000.0, 5000.0, 5, 4)
+    east, north = SOURCE_PLANE.forward(-152.0, 64.0, math)
+    axes = {(r["axis"], r["index"]): r["coordinate"] for r in grid_axes(spark, g).collect()}
+    assert len(axes) == 9
+    assert sum(axes["x", i] for i in range(5)) / 5 == pytest.approx(east)
+    assert sum(axes["y", i] for i in range(4)) / 4 == pytest.approx(north)
+    assert axes["y", 1] - axes["y", 0] == pytest.approx(5000.0)
+    assert grid_cells(spark, g).distinct().count() == 20
+    assert Grid.from_attributes(g.attributes()) == g
+
+
+def test_regrid_map_holds_every_cell_of_a_covered_domain(spark):
+    source = source_grid(-152.0, 64.0, 100000.0, 100000.0, 12, 14)
+    target = covering_grid(source)
+    cells = regrid_map(spark, source, target)
+    assert cells.count() == target.cells
+    assert target.y.step < 0 < target.x.step
+    used = stored_regrid_map(spark, source, target).dropna().select("south_north", "west_east").distinct().count()
+    assert used > 0.9 * source.cells
+    # Each inside cell's centre, taken back to the source plane, lies in the source cell that it was given.
+    for r in cells.dropna().limit(50).collect():
+        x, y = SOURCE_PLANE.forward(*ALASKA_ALBERS.inverse(r.x, r.y, math), math)
+        assert abs(x - (source.x.origin + r.west_east * source.x.step)) <= 50000.0 + 1e-6
+        assert abs(y - (source.y.origin + r.south_north * source.y.step)) <= 50000.0 + 1e-6
+
+
+@pytest.fixture(scope="module")
+def daily(spark):
+    return spark.range(12 * 14 * 20).select(
+        F.expr("date_add(date'2020-01-01', cast(id div 168 as int))").alias("time"),
+        F.expr("cast((id % 168) div 12 as int)").alias("south_north"), F.expr("cast(id % 12 as int)").alias("west_east"),
+        (F.col("id") * 1.5).alias("t2_mean"),
+    )
+
+
+def test_broadcast_and_salted_regrid_agree(spark, daily):
+    source = source_grid(-152.0, 64.0, 100000.0, 100000.0, 12, 14)
+    target = covering_grid(source)
+    cells = stored_regrid_map(spark, source, target)
+    small = regrid(daily, cells, target.cells)
+    big = regrid(daily, cells, target.cells, broadcast_rows=0, day_salts=3)
+    assert rows(small, *sorted(small.columns)) == rows(big, *sorted(big.columns))
+    inside = cells.dropna().count()
+    assert small.count() == 20 * inside
+    values = small.select("t2_mean").distinct()
+    assert values.join(daily.select("t2_mean"), "t2_mean", "left_anti").count() == 0
+
+
+def test_regrid_and_aggregation_commute(spark, daily):
+    source = source_grid(-152.0, 64.0, 100000.0, 100000.0, 12, 14)
+    target = covering_grid(source)
+    cells = stored_regrid_map(spark, source, target)
+    after = regrid(daily, cells, target.cells).groupBy("y_idx", "x_idx").agg(F.max("t2_mean").alias("m"))
+    before = regrid(
+        daily.groupBy("south_north", "west_east").agg(F.max("t2_mean").alias("m")).withColumn("time", F.lit(None).cast("date")),
+        cells, target.cells,
+    )
+    assert rows(after, "y_idx", "x_idx", "m") == rows(before, "y_idx", "x_idx", "m")
+
+
+def test_missing_cells(spark):
+    from datetime import date
+
+    source = source_grid(-152.0, 64.0, 100000.0, 100000.0, 12, 14)
+    target = covering_grid(source)
+    cells = stored_regrid_map(spark, source, target)
+    inside = cells.dropna().count()
+    out = missing_cells(cells, [(date(2020, 1, 1), date(2020, 1, 3))], [date(2020, 1, 2)], (None, 1))
+    assert out.count() == 2 * (3 * (target.cells - inside) + inside)
+    assert out.distinct().count() == out.count()
+
+
+def test_nearest_per_axis(spark):
+    grid = Grid(Axis(0.0, 4000.0, 3), Axis(8000.0, -4000.0, 3), "test")
+    points = spark.createDataFrame(
+        [("a", 1900.0, 1900.0), ("tie", 2000.0, 2000.0), ("edge", -4000.0, 12000.0), ("miss", 13500.0, 0.0)],
+        "name string, x double, y double",
+    )
+    found = {r.name: (r.y_idx, r.x_idx) for r in nearest_on_grid(points, grid, on_miss="null").collect()}
+    # The axis of y descends; half way between two centres the larger coordinate wins on both axes.
+    assert found == {"a": (2, 0), "tie": (1, 1), "edge": (0, 0), "miss": (None, None)}
+    anywhere = {r.name: (r.y_idx, r.x_idx) for r in nearest_on_grid(points, grid, tolerance=None).collect()}
+    assert anywhere["miss"] == (2, 2)
+    with pytest.raises(PySparkException, match="no grid cell within 5000"):
+        nearest_on_grid(points, grid).collect()
+
+
+def test_points_without_coordinates(spark):
+    grid = Grid(Axis(0.0, 1.0, 3), Axis(0.0, 1.0, 3), "test")
+    points = spark.createDataFrame([(None, 1.0), (float("nan"), 1.0)], "x double, y double")
+    assert [r.x_idx for r in nearest_on_grid(points, grid, tolerance=None).collect()] == [None, None]
+    assert spark.range(1).select(clamp(F.lit(None).cast("int"), 3).alias("i")).first().i is None
+
+
+def brute_force(cells, points):
+    best = {}
+    for name, lat, lon in points:
+        best[name] = min(((c[2] - lat) ** 2 + (c[3] - lon) ** 2, c[0], c[1]) for c in cells)[1:]
+    return best
+
+
+def searched(spark, cells, points):
+    c = spark.createDataFrame(cells, "south_north int, west_east int, lat double, lon double")
+    p = spark.createDataFrame(points, "name string, lat double, lon double")
+    return {r.name: (r.south_north, r.west_east) for r in nearest_cells(c, p).collect()}
+
+
+def test_nearest_cells_on_a_curved_grid(spark):
+    cells = [
+        (j, i, 55 + 0.1 * j + 0.02 * math.sin(i), -170 + 0.3 * i + 0.05 * math.cos(j)) for j in range(120) for i in range(100)
+    ]
+    points = [(f"p{k}", 50 + (k * 7.3) % 25, -178 + (k * 11.7) % 50) for k in range(200)]
+    assert searched(spark, cells, points) == brute_force(cells, points)
+
+
+def test_nearest_cells_of_a_crowded_grid(spark):
+    """Nearly all cells in one spot, a third of them the same place, and a few far away."""
+    cells = [(0, i, 60 + 1e-5 * (i % 97), -150 + 1e-5 * (i // 97)) for i in range(6000)]
+    cells += [(1, i, 60.0, -150.0) for i in range(3000)] + [(2, 0, 70.0, -120.0), (2, 1, 20.0, -179.0)]
+    points = [("in", 60.0004, -149.9999), ("copy", 60.0, -150.0), ("far", 68.0, -118.0), ("south", -10.0, 100.0), ("again", 60.0, -150.0)]
+    assert searched(spark, cells, points) == brute_force(cells, points)
+
+
+def test_nearest_cell_ties_and_small_grids(spark):
+    cells = [(1, 0, 0.0, 0.0), (0, 1, 0.0, 2.0), (0, 0, 2.0, 0.0)]
+    points = [("tie", 1.0, 1.0), ("tie2", 0.0, 1.0)]
+    assert searched(spark, cells, points) == {"tie": (0, 0), "tie2": (0, 1)}
+    assert searched(spark, cells[:1], points) == {"tie": (1, 0), "tie2": (1, 0)}
+    with pytest.raises(ValueError, match="no cell"):
+        searched(spark, [], points)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(0, 40)), min_size=1, max_size=300), st.integers(0, 1000))
+def test_nearest_cells_on_any_grid(spark, spots, shift):
+    cells = [(k // 10, k % 10, a * 0.5, b * 0.25) for k, (a, b) in enumerate(spots)]
+    points = [(f"p{k}", (k * 3.1 + shift) % 25 - 2, (k * 1.7 + shift) % 14 - 2) for k in range(20)]
+    assert searched(spark, cells, points) == brute_force(cells, points)
+
+
+def test_neighbourhood_is_clamped(spark):
+    corner = spark.createDataFrame([("a", 0, 0)], "name string, south_north int, west_east int")
+    around = neighbourhood(corner, 3, 3)
+    assert around.count() == 9
+    assert around.select("south_north", "west_east").distinct().count() == 4
+    cell = around.where("di = -1 and dj = 1").first()
+    assert (cell.south_north, cell.west_east) == (1, 0)
