@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.checkpoint.dir", str(scratch / "shared"))
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
         .getOrCreate()
