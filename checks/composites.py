@@ -87,12 +87,11 @@ def _series(spark, sf_dir, variables):
         v.fields(spark, sf_dir), v.points(spark, sf_dir), grid, variables, tolerance=TOLERANCE, on_miss="null"
     )
     return series.withColumns({
-        **{c: F.round(c, 6) for c in ["value", "slope", "per_decade", "mean"]},
-        **{c: F.round(c, 4) for c in ["intercept", "fitted"]},
+        c: F.round(c, 6) for c in ["value", "slope", "per_decade", "mean", "intercept", "fitted"]
     })
 
 
-_SERIES = """select variable, name, p.year, round(value, 6) as value, tag, t.years, t.slope, t.per_decade, t.intercept, t.mean, round(a + b * p.year, 4) as fitted
+_SERIES = """select variable, name, p.year, round(value, 6) as value, tag, t.years, t.slope, t.per_decade, t.intercept, t.mean, round(a + b * p.year, 6) as fitted
 from point_years p join point_trends t using (variable, name)"""
 
 

@@ -30,13 +30,14 @@ def cell_days(spark, sf_dir):
 
 
 @check("j1_inner_alignment", with_views("""
-select a.south_north, cast(a.time as varchar) as day, round(a.value, 6) as left_value, round(b.value, 6) as right_value
-from cell_days a join cell_days b on a.south_north = b.south_north and a.time = b.time and a.west_east = 0 and b.west_east = 1""", _CELL_DAY))
+select a.south_north, a.west_east, cast(a.time as varchar) as day, round(a.value, 6) as left_value, round(b.value, 6) as right_value
+from cell_days a join cell_days b on a.south_north = b.south_north and a.time = b.time and a.west_east = b.west_east - 1""", _CELL_DAY))
 def _(spark, sf_dir):
+    """Each cell's series next to that of its eastern neighbour."""
     d = cell_days(spark, sf_dir)
-    first, second = (d.where(F.col("west_east") == i).drop("west_east") for i in (0, 1))
-    return align(first, second, ["south_north", "time"]).select(
-        "south_north", F.col("time").cast("string").alias("day"),
+    east = d.withColumn("west_east", F.col("west_east") - 1)
+    return align(d, east, ["south_north", "west_east", "time"]).select(
+        "south_north", "west_east", F.col("time").cast("string").alias("day"),
         F.round("left_value", 6).alias("left_value"), F.round("right_value", 6).alias("right_value"),
     )
 
@@ -237,12 +238,12 @@ def _(spark, sf_dir):
 
 
 @check("g6_common_times", with_views("""
-select a.time as day, a.n as n_first, b.n as n_second from
-(select cast(time as varchar) as time, count(*) as n from days where west_east = 0 group by all) a
-join (select cast(time as varchar) as time, count(*) as n from days where west_east = 1 group by all) b using (time)"""))
-def _(spark, sf_dir):
-    d = v.days(spark, sf_dir)
-    first, second = (
-        d.where(F.col("west_east") == i).groupBy(F.col("time").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("value")) for i in (0, 1)
-    )
-    return align(first, second, ["day"]).withColumnsRenamed({"left_value": "n_first", "right_value": "n_second"})
+select a.time as day, a.n as n_shipped, b.n as n_ordered
+from (select cast(time as varchar) as time, count(*) as n from days group by all) a
+join (select cast(cast(o_orderdate as date) as varchar) as time, count(*) as n from orders group by all) b using (time)"""))
+def _(spark, sf_dir):
+    """Days on which goods were shipped and ordered."""
+    shipped = v.days(spark, sf_dir).groupBy(F.col("time").cast("string").alias("day"))
+    ordered = v.table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").cast("string").alias("day"))
+    both = align(shipped.agg(F.count(F.lit(1)).alias("value")), ordered.agg(F.count(F.lit(1)).alias("value")), ["day"])
+    return both.withColumnsRenamed({"left_value": "n_shipped", "right_value": "n_ordered"})

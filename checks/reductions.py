@@ -145,9 +145,8 @@ _ANNUAL = {
   case when {_RULE} then 'Total Annual' when contains(variable, 'min') then 'Mean Annual Daily Minimum'
     when contains(variable, 'max') then 'Mean Annual Daily Maximum' else 'Mean Annual' end as tag from fields group by variable, y_idx, x_idx, year)""",
 }
-_LINE = """count(value)::integer as years, round(regr_slope(value, year), 6) as slope, round(10 * regr_slope(value, year), 6) as per_decade,
-  round(regr_intercept(value, year), 4) as intercept, round(avg(value), 6) as mean"""
-_LINE = _LINE.replace("count(value)::integer", "cast(count(value) as integer)")
+_LINE = """cast(count(value) as integer) as years, round(regr_slope(value, year), 6) as slope, round(10 * regr_slope(value, year), 6) as per_decade,
+  round(regr_intercept(value, year), 6) as intercept, round(avg(value), 6) as mean"""
 
 
 def annuals(spark, sf_dir):
@@ -159,23 +158,21 @@ def _(spark, sf_dir):
     return annuals(spark, sf_dir).withColumn("value", F.round("value", 6))
 
 
-@check("a10_pivot", with_views("select year, variable, " + ", ".join(
+@check("a10_pivot", with_views("select year, variable, y_idx, " + ", ".join(
     f"round(max(value) filter (where x_idx = {i}), 6) as p{i}" for i in range(10)
-) + " from annuals where y_idx = 0 group by year, variable", _ANNUAL))
+) + " from annuals group by year, variable, y_idx", _ANNUAL))
 def _(spark, sf_dir):
-    first_row = annuals(spark, sf_dir).where(F.col("y_idx") == 0)
-    named = first_row.withColumn("point", F.concat(F.lit("p"), F.col("x_idx")))
+    """Years as rows, the ten cells of a grid row as columns."""
+    named = annuals(spark, sf_dir).withColumn("point", F.concat(F.lit("p"), F.col("x_idx")))
     names = [f"p{i}" for i in range(10)]
-    wide = yearly.pivot_years(named, "point", names, ["variable"])
+    wide = yearly.pivot_years(named, "point", names, ["variable", "y_idx"])
     return wide.withColumns({n: F.round(n, 6) for n in names})
 
 
 @check("a11_trend", with_views(f"select variable, y_idx, x_idx, {_LINE} from annuals group by variable, y_idx, x_idx", _ANNUAL))
 def _(spark, sf_dir):
     t = yearly.trend(annuals(spark, sf_dir), ["variable", "y_idx", "x_idx"])
-    return t.withColumns({
-        **{c: F.round(c, 6) for c in ["slope", "per_decade", "mean"]}, "intercept": F.round("intercept", 4)
-    })
+    return t.withColumns({c: F.round(c, 6) for c in ["slope", "per_decade", "mean", "intercept"]})
 
 
 @check("a12_long_term_mean", with_views("select variable, y_idx, x_idx, round(avg(value), 6) as mean from annuals group by variable, y_idx, x_idx", _ANNUAL))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE
 from daygrid.grids import Grid, grid_cells
-from daygrid.sizing import BROADCAST_ROWS, broadcast_within, stored
+from daygrid.operators.cell_join import join_cells
+from daygrid.sizing import stored
 
 
 def regrid_map(
@@ -48,31 +49,15 @@ def stored_regrid_map(
     return stored(regrid_map(spark, source, target, source_plane, target_plane))
 
 
-def regrid(
-    daily: DataFrame,
-    grid_map: DataFrame,
-    target_cells: int,
-    *,
-    day_salts: int = 8,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def regrid(daily: DataFrame, grid_map: DataFrame, target_cells: int, **join) -> DataFrame:
     """Daily fields on the target cells that lie in the source domain; every other column is carried along.
 
-    ``target_cells`` is the size of ``grid_map``, known from the target grid.
-    A map within the broadcast bound is sent to the daily rows, which then need
-    no shuffle.  A bigger one is joined by source cell and a day-based salt, so
-    that the rows of one cell, or the many target cells that one source cell
-    may feed, are spread over ``day_salts`` partitions.
+    ``target_cells`` is the size of ``grid_map``, known from the target grid;
+    ``join`` are the options of :func:`~daygrid.operators.cell_join.join_cells`.
     """
     keys = ["south_north", "west_east"]
     cells = grid_map.where(F.col("south_north").isNotNull())
-    if target_cells <= broadcast_rows:
-        joined = daily.join(broadcast_within(cells, target_cells, broadcast_rows), keys)
-    else:
-        salt = F.pmod(F.unix_date("time"), F.lit(day_salts))
-        salted_cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(day_salts - 1))))
-        joined = daily.withColumn("salt", salt).join(salted_cells, [*keys, "salt"]).drop("salt")
-    return joined.drop(*keys)
+    return join_cells(daily, cells, keys, target_cells, **join).drop(*keys)
 
 
 def missing_cells(

@@ -7,9 +7,13 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrid.functions.projections import ALASKA_ALBERS
+from daygrid.catalog import DailyVariable, resolve
+from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE
 from daygrid.grids import Grid
+from daygrid.operators.cell_join import join_cells
+from daygrid.operators.daily import daily_wide, to_long
 from daygrid.operators.nearest import nearest_on_grid
+from daygrid.operators.regrid import stored_regrid_map
 from daygrid.operators.yearly import NORMAL_PERIODS, Period, annual_by_rule, normals_two_periods, with_fit
 from daygrid.sizing import broadcast_within, row_bound
 
@@ -62,17 +66,60 @@ def extract_points(
     rows they lie in become a scan filter, which skips most row groups of files
     sorted by cell.  Many points are joined by cell.
     """
+    names, cells, rows = _locate(points, grid, tolerance, on_miss)
+    fields = _near(fields, "y_idx", cells, rows)
+    keep = [c for c in ("variable", "level", "time", "value") if c in fields.columns]
+    return join_cells(fields, cells, ["y_idx", "x_idx"], rows).select(*names, *keep)
+
+
+def _locate(points: DataFrame, grid: Grid, tolerance: float | None, on_miss: str) -> tuple[list[str], DataFrame, int | None]:
+    """The points' own columns, the cells they lie in, and a bound of their number if there is one."""
     names = [c for c in points.columns if c not in ("x", "y", "lat", "lon")]
     located = nearest_on_grid(points, grid, tolerance=tolerance, on_miss=on_miss).select(*names, "y_idx", "x_idx")
     few = located.limit(FEW_POINTS + 1).collect()
-    if len(few) <= FEW_POINTS:
-        hits = [r for r in few if r.y_idx is not None]
-        cells = F.broadcast(points.sparkSession.createDataFrame(hits, located.schema))
-        fields = fields.where(F.col("y_idx").isin(sorted({r.y_idx for r in hits})) if hits else F.lit(False))
-    else:
-        cells = broadcast_within(located.dropna(subset=["y_idx", "x_idx"]), row_bound(points))
-    keep = [c for c in ("variable", "level", "time", "value") if c in fields.columns]
-    return fields.join(cells, ["y_idx", "x_idx"]).select(*names, *keep)
+    if len(few) > FEW_POINTS:
+        return names, located.dropna(subset=["y_idx", "x_idx"]), row_bound(points)
+    hits = [r for r in few if r.y_idx is not None]
+    return names, points.sparkSession.createDataFrame(hits, located.schema), len(hits)
+
+
+def _near(rows: DataFrame, index: str, cells: DataFrame, bound: int | None) -> DataFrame:
+    """``rows`` without the grid rows that hold none of the cells, if there are few cells."""
+    if bound is None or bound > FEW_POINTS:
+        return rows
+    wanted = sorted({r[0] for r in cells.select(index).collect()})
+    return rows.where(F.col(index).isin(wanted) if wanted else F.lit(False))
+
+
+def extract_points_from_hours(
+    hourly: DataFrame,
+    variables: Iterable[str | DailyVariable],
+    points: DataFrame,
+    source: Grid,
+    target: Grid,
+    *,
+    tolerance: float | None = 5000.0,
+    on_miss: str = "error",
+    source_plane=SOURCE_PLANE,
+    target_plane=ALASKA_ALBERS,
+) -> DataFrame:
+    """What :func:`extract_points` would give on the product of ``hourly``, without making the product.
+
+    Reprojection picks whole source cells, so only the hours of the cells that
+    the points end up in are read and reduced.
+    """
+    entries = resolve(variables)
+    names, cells, rows = _locate(points, target, tolerance, on_miss)
+    grid_map = stored_regrid_map(hourly.sparkSession, source, target, source_plane, target_plane)
+    keys = ["south_north", "west_east"]
+    wanted = (
+        grid_map.where(F.col("south_north").isNotNull())
+        .join(broadcast_within(cells, rows), ["y_idx", "x_idx"])
+        .select(*names, *keys)
+    )
+    only = broadcast_within(wanted.select(*keys).distinct(), rows)
+    daily = daily_wide(_near(hourly, "south_north", wanted, rows).join(only, keys, "left_semi"), entries)
+    return to_long(join_cells(daily, wanted, keys, rows).drop(*keys), entries)
 
 
 def annual_point_series(

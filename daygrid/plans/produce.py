@@ -83,7 +83,7 @@ def produce(
     if not overwrite:
         check_free(spark, root, names, first_year, last_year)
     rows = for_outputs(require_years(hourly, first_year, last_year), names)
-    write_wide(product_wide(rows, entries, source, target, **options), entries, root)
+    write_wide(product_wide(rows, entries, source, target, **options), entries, target, root)
     years = range(first_year, last_year + 1)
     write_attributes(attributes_frame(spark, names, years, target, attributes), root)
     return read_product(spark, root, names, (first_year, last_year))

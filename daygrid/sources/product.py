@@ -25,6 +25,8 @@ PRODUCT_COLUMNS = ["time", "level", "y_idx", "x_idx", "y", "x", "value", "variab
 # A task of a write holds about this many values of one year and level.
 VALUES_PER_TILE = 256_000_000
 DAYS_PER_YEAR = 366
+# A year of a level is spread over at least this many tiles along the longer side of the grid.
+TILES_PER_SIDE = 4
 
 
 def fields_path(root: str) -> str:
@@ -66,20 +68,22 @@ def check_free(spark: SparkSession, root: str, variables: Iterable[str], first_y
         raise FileExistsError(f"output exists and overwrite is off: {units}")
 
 
-def tile_keys(outputs: int) -> list[Column]:
-    """Grouping of cells into square tiles, the smaller the more outputs a row has."""
+def tile_keys(outputs: int, grid: Grid | None = None) -> list[Column]:
+    """Grouping of cells into square tiles: smaller when a row has more outputs, and several to a grid."""
     side = max(1, math.isqrt(VALUES_PER_TILE // (DAYS_PER_YEAR * outputs)))
+    if grid is not None:
+        side = min(side, math.ceil(max(grid.x.n, grid.y.n) / TILES_PER_SIDE))
     return [F.floor(F.col(c) / side).alias(f"{c}_tile") for c in ("y_idx", "x_idx")]
 
 
-def write_wide(wide: DataFrame, names: Iterable[str | DailyVariable], root: str) -> None:
+def write_wide(wide: DataFrame, names: Iterable[str | DailyVariable], grid: Grid, root: str) -> None:
     """Write units from rows that hold all outputs of a cell and day.
 
     Rows are shuffled by year, level and tile while all outputs still share
     one row, and only then become one row per output.
     """
     entries = resolve(names)
-    placed = wide.repartition("year", "level", *tile_keys(len(entries)))
+    placed = wide.repartition("year", "level", *tile_keys(len(entries), grid))
     _write_sorted(to_long(placed, entries), root)
 
 

@@ -10,7 +10,7 @@ from daygrid.functions.projections import SOURCE_PLANE
 from daygrid.grids import Grid, covering_grid, grid_cells, source_grid
 from daygrid.operators.regrid import stored_regrid_map
 from daygrid.plans.health import completeness
-from daygrid.plans.points import TOWNS, annual_point_series, extract_points, places_frame, point_normals, projected
+from daygrid.plans.points import TOWNS, annual_point_series, extract_points, extract_points_from_hours, places_frame, point_normals, projected
 from daygrid.plans.produce import produce, product_fields
 from daygrid.plans.verify import coordinate_report, source_versus_product
 from daygrid.sources import hourly as src
@@ -173,10 +173,23 @@ def test_many_points_give_the_same_values(spark, made, monkeypatch):
     few = extract_points(fields, projected(towns(spark)), TARGET, tolerance=None)
     monkeypatch.setattr("daygrid.plans.points.FEW_POINTS", 2)
     monkeypatch.setattr("daygrid.plans.points.row_bound", lambda df: None)
+    assert "salt" in plan(extract_points(fields, projected(towns(spark)), TARGET, tolerance=None))
     many = extract_points(fields, projected(towns(spark)), TARGET, tolerance=None)
     assert rows(few) == rows(many)
 
 
+def test_points_from_hours_equal_points_from_the_product(spark, archive, made):
+    hourly = src.read_years(spark, archive, 2001, 2003)
+    names = ["t2_mean", "rainnc_sum"]
+    points = projected(towns(spark))
+    direct = extract_points_from_hours(hourly, names, points, SOURCE, TARGET, tolerance=None)
+    by_product = extract_points(product.read_product(spark, made, names), points, TARGET, tolerance=None)
+    order = ["name", "variable", "time", "value"]
+    assert rows(direct, *order) == rows(by_product, *order)
+    text = plan(direct)
+    assert "In(south_north" in text and text.index("Exchange") < text.index("LeftSemi")
+
+
 def test_series_and_normals(spark, made):
     fields = product.read_product(spark, made)
     series = annual_point_series(fields, towns(spark), TARGET, ["t2_mean", "rainnc_sum"], tolerance=None)
