@@ -127,7 +127,7 @@ def _(spark, sf_dir):
     cells = stored_regrid_map(spark, v.model_grid(rows), target)
     axis = time_axis(h)
     inside = regrid(daily_wide(h, ["t2_mean"]), cells, target.cells)
-    empty = missing_cells(cells, axis.spans, axis.gaps).drop("level")
+    empty = missing_cells(cells, target.cells, axis.spans, axis.gaps).drop("level")
     return inside.unionByName(empty, allowMissingColumns=True).select(
         F.col("time").cast("string").alias("day"), "y_idx", "x_idx",
         F.round("y", 2).alias("y"), F.round("x", 2).alias("x"), F.round("t2_mean", 6).alias("t2_mean"),

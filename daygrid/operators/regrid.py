@@ -7,6 +7,7 @@ and joined to the daily fields by source cell.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import date
 
@@ -18,6 +19,9 @@ from daygrid.grids import Grid, grid_cells
 from daygrid.operators.cell_join import join_cells
 from daygrid.sizing import stored
 
+# A task generates at most about this many rows of missing values.
+ROWS_PER_TASK = 10_000_000
+
 
 def regrid_map(
     spark: SparkSession, source: Grid, target: Grid, source_plane=SOURCE_PLANE, target_plane=ALASKA_ALBERS
@@ -61,20 +65,28 @@ def regrid(daily: DataFrame, grid_map: DataFrame, target_cells: int, **join) ->
 
 
 def missing_cells(
-    grid_map: DataFrame, spans: Sequence[tuple[date, date]], gaps: Sequence[date] = (), levels: Sequence[int | None] = (None,)
+    grid_map: DataFrame,
+    target_cells: int,
+    spans: Sequence[tuple[date, date]],
+    gaps: Sequence[date] = (),
+    levels: Sequence[int | None] = (None,),
 ) -> DataFrame:
     """The part of a full cube that has no data: ``(y_idx, x_idx, y, x, time, level)``.
 
     That is every target cell outside the source domain on every day of the
-    ``spans``, and every target cell inside it on the days in ``gaps``.  The
-    rows are generated from the map; nothing is joined or shuffled.
+    ``spans``, and every target cell inside it on the days in ``gaps``.  The rows
+    are generated from the map, which is first spread over as many tasks as
+    their number calls for.
     """
     # One span per year, and hardly any gap.
     all_days = F.flatten(F.array(*[F.sequence(F.lit(a), F.lit(b)) for a, b in spans]))
     gap_days = F.array(*[F.lit(d) for d in gaps]).cast("array<date>")
     every_level = F.array(*[F.lit(n).cast("int") for n in levels])
+    days = sum((b - a).days + 1 for a, b in spans)
+    tasks = math.ceil(target_cells * days * len(levels) / ROWS_PER_TASK)
+    cells = grid_map.repartition(tasks, "y_idx", "x_idx") if tasks > 1 else grid_map
     return (
-        grid_map.withColumn("time", F.explode(F.when(F.col("south_north").isNull(), all_days).otherwise(gap_days)))
+        cells.withColumn("time", F.explode(F.when(F.col("south_north").isNull(), all_days).otherwise(gap_days)))
         .withColumn("level", F.explode(every_level))
         .drop("south_north", "west_east")
     )

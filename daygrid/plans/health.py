@@ -14,9 +14,12 @@ from daygrid.sources.logs import read_logs, retry_list, timed_out
 from daygrid.sources.product import fields_path, valid_units
 
 
-def readability(spark: SparkSession, folder: str) -> DataFrame:
-    """Every Parquet file under a folder with whether it opens, and the error if not."""
-    return read_headers(list_files(spark, folder)).select("path", "opened", "error")
+def readability(spark: SparkSession, folder: str, variables: Sequence[str] | None = None) -> DataFrame:
+    """Every Parquet file under a folder, or only those of some variables of a product, with whether it opens."""
+    files = list_files(spark, folder)
+    if variables is not None:
+        files = files.where(F.regexp_extract("path", "/variable=([^/]+)/", 1).isin(list(variables)))
+    return read_headers(files).select("path", "opened", "error")
 
 
 def header_sets(headers: DataFrame, coordinates: Sequence[str] = ()) -> DataFrame:

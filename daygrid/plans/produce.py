@@ -47,7 +47,7 @@ def product_wide(
         axis = time_axis(hourly)
         if axis.days:
             wide = wide.unionByName(
-                missing_cells(cells, axis.spans, axis.gaps, axis.levels), allowMissingColumns=True
+                missing_cells(cells, target.cells, axis.spans, axis.gaps, axis.levels), allowMissingColumns=True
             )
     return wide.withColumn("year", F.year("time"))
 
@@ -75,7 +75,8 @@ def produce(
 
     ``hourly`` has a ``year`` column.  Existing output is an error unless
     ``overwrite`` is set, which replaces the units of the request and no others.
-    ``options`` are those of :func:`product_wide`.
+    Attributes that the source columns carry as metadata are kept with the
+    product; ``attributes`` adds or replaces some.  ``options`` are those of :func:`product_wide`.
     """
     names = list(names)
     entries = resolve(names)
@@ -85,5 +86,6 @@ def produce(
     rows = for_outputs(require_years(hourly, first_year, last_year), names)
     write_wide(product_wide(rows, entries, source, target, **options), entries, target, root)
     years = range(first_year, last_year + 1)
-    write_attributes(attributes_frame(spark, names, years, target, attributes), root)
+    inherited = {e.name: hourly.schema[e.var_id].metadata for e in entries}
+    write_attributes(attributes_frame(spark, names, years, target, attributes, inherited=inherited), root)
     return read_product(spark, root, names, (first_year, last_year))

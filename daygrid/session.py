@@ -13,6 +13,8 @@ SETTINGS = {
     # All outputs of the catalogue in one aggregation have more than 100 buffer columns.
     "spark.sql.codegen.maxFields": "400",
     "spark.sql.parquet.compression.codec": "zstd",
+    # A task that writes a product keeps a file open for each of up to so many outputs instead of sorting by output.
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
 }
 
 

@@ -22,8 +22,11 @@ from daygrid.sources.hourly import read_table
 
 PRODUCT_COLUMNS = ["time", "level", "y_idx", "x_idx", "y", "x", "value", "variable", "year"]
 
+# Order of the rows inside a file.
+CELL_ORDER = ("level", "y_idx", "x_idx", "time")
+
 # A task of a write holds about this many values of one year and level.
-VALUES_PER_TILE = 256_000_000
+VALUES_PER_TILE = 128_000_000
 DAYS_PER_YEAR = 366
 # A year of a level is spread over at least this many tiles along the longer side of the grid.
 TILES_PER_SIDE = 4
@@ -79,24 +82,30 @@ def tile_keys(outputs: int, grid: Grid | None = None) -> list[Column]:
 def write_wide(wide: DataFrame, names: Iterable[str | DailyVariable], grid: Grid, root: str) -> None:
     """Write units from rows that hold all outputs of a cell and day.
 
-    Rows are shuffled by year, level and tile while all outputs still share
-    one row, and only then become one row per output.
+    Rows are shuffled by year, level and tile while all outputs still share one
+    row, and only then become one row per output.  Where the session lets a
+    task keep one file open per output (``spark.sql.maxConcurrentOutputFileWriters``),
+    they are sorted before that too, and never as single values.
     """
     entries = resolve(names)
     placed = wide.repartition("year", "level", *tile_keys(len(entries), grid))
-    _write_sorted(to_long(placed, entries), root)
+    open_files = int(wide.sparkSession.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0"))
+    if len(entries) <= open_files:
+        _write(to_long(placed.sortWithinPartitions("year", *CELL_ORDER), entries), root)
+    else:
+        _write(to_long(placed, entries).sortWithinPartitions(*UNIT, *CELL_ORDER), root)
 
 
 def write_fields(fields: DataFrame, root: str) -> None:
     """Write units from rows that hold one value each."""
-    _write_sorted(fields.repartition("variable", "year", "level", *tile_keys(1)), root)
+    placed = fields.repartition("variable", "year", "level", *tile_keys(1))
+    _write(placed.sortWithinPartitions(*UNIT, *CELL_ORDER), root)
 
 
-def _write_sorted(fields: DataFrame, root: str) -> None:
-    """Write rows placed by tile; a unit that exists is replaced, all others stay as they are."""
+def _write(fields: DataFrame, root: str) -> None:
+    """Write rows in their order; a unit that exists is replaced, all others stay as they are."""
     (
         fields.select(PRODUCT_COLUMNS)
-        .sortWithinPartitions("variable", "year", "level", "y_idx", "x_idx", "time")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
@@ -151,15 +160,21 @@ def with_attributes(fields: DataFrame, attrs: Mapping[str, str]) -> DataFrame:
 
 
 def attributes_frame(
-    spark: SparkSession, names: Iterable[str], years: Iterable[int], grid: Grid,
-    extra: Mapping[str, str] | None = None, created: datetime | None = None,
+    spark: SparkSession,
+    names: Iterable[str],
+    years: Iterable[int],
+    grid: Grid,
+    extra: Mapping[str, str] | None = None,
+    created: datetime | None = None,
+    inherited: Mapping[str, Mapping] | None = None,
 ) -> DataFrame:
     """One row per unit with all its attributes as a map; as many rows as units."""
-    rows = [
-        (e.name, y, {**variable_attributes(e), **dataset_attributes(e, grid, created, extra)})
-        for e in resolve(names)
-        for y in years
-    ]
+
+    def attributes(e: DailyVariable) -> dict[str, str]:
+        own = {k: str(v) for k, v in (inherited or {}).get(e.name, {}).items()}
+        return {**merge_attributes(own, e), **dataset_attributes(e, grid, created, extra)}
+
+    rows = [(e.name, y, attributes(e)) for e in resolve(names) for y in years]
     return spark.createDataFrame(rows, "variable string, year int, attrs map<string,string>")
 
 

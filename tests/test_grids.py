@@ -117,14 +117,16 @@ def test_regrid_and_aggregation_commute(spark, daily):
     assert rows(after, "y_idx", "x_idx", "m") == rows(before, "y_idx", "x_idx", "m")
 
 
-def test_missing_cells(spark):
+@pytest.mark.parametrize("rows_per_task", [10_000_000, 100])
+def test_missing_cells(spark, monkeypatch, rows_per_task):
     from datetime import date
 
+    monkeypatch.setattr("daygrid.operators.regrid.ROWS_PER_TASK", rows_per_task)
     source = source_grid(-152.0, 64.0, 100000.0, 100000.0, 12, 14)
     target = covering_grid(source)
     cells = stored_regrid_map(spark, source, target)
     inside = cells.dropna().count()
-    out = missing_cells(cells, [(date(2020, 1, 1), date(2020, 1, 3))], [date(2020, 1, 2)], (None, 1))
+    out = missing_cells(cells, target.cells, [(date(2020, 1, 1), date(2020, 1, 3))], [date(2020, 1, 2)], (None, 1))
     assert out.count() == 2 * (3 * (target.cells - inside) + inside)
     assert out.distinct().count() == out.count()
 

@@ -9,9 +9,9 @@ from daygrid.catalog import CATALOG
 from daygrid.functions.projections import SOURCE_PLANE
 from daygrid.grids import Grid, covering_grid, grid_cells, source_grid
 from daygrid.operators.regrid import stored_regrid_map
-from daygrid.plans.health import completeness
+from daygrid.plans.health import completeness, readability
 from daygrid.plans.points import TOWNS, annual_point_series, extract_points, extract_points_from_hours, places_frame, point_normals, projected
-from daygrid.plans.produce import produce, product_fields
+from daygrid.plans.produce import produce, product_fields, product_wide
 from daygrid.plans.verify import coordinate_report, source_versus_product
 from daygrid.sources import hourly as src
 from daygrid.sources import product
@@ -127,11 +127,40 @@ def test_write_guard_and_overwrite_of_one_unit(spark, archive, tmp_path):
     assert product.read_attributes(spark, root).count() == 4
 
 
+@pytest.mark.parametrize("open_files", ["0", "32"])
+def test_files_are_sorted_by_cell(spark, tmp_path, open_files):
+    """However rows reach the writer, each file holds one unit in cell order, so that row groups can be skipped."""
+    root = str(tmp_path / "daily")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    try:
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", open_files)
+        wide = product_wide(model(spark, DAYS), ["t2_mean", "t2_max", "rainnc_sum"], SOURCE, TARGET)
+        product.write_wide(wide, ["t2_mean", "t2_max", "rainnc_sum"], TARGET, root)
+    finally:
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", before)
+    assert product.read_product(spark, root).count() == 3 * 9 * TARGET.cells
+    import pyarrow.parquet as pq
+
+    files = list((tmp_path / "daily" / "fields").rglob("*.parquet"))
+    assert len(files) >= 9
+    for f in files:
+        part = pq.ParquetFile(f).read(columns=["y_idx", "x_idx", "time"]).to_pylist()
+        order = [(r["y_idx"], r["x_idx"], r["time"]) for r in part]
+        assert order == sorted(order)
+
+
 def test_unknown_request(spark, archive, tmp_path):
     with pytest.raises(ValueError, match="unknown variable 't3_mean'"):
         produce(src.read_years(spark, archive, 2001), ["t3_mean"], 2001, 2001, SOURCE, TARGET, str(tmp_path / "x"))
 
 
+def test_source_attributes_are_inherited(spark, tmp_path):
+    hourly = model(spark, DAYS[:1]).withMetadata("T2", {"stagger": "M", "description": "TEMP", "units": "K"})
+    produce(hourly, ["t2_mean"], 2001, 2001, SOURCE, TARGET, str(tmp_path / "daily"))
+    attrs = product.read_attributes(spark, str(tmp_path / "daily")).first().attrs
+    assert attrs["stagger"] == "M" and attrs["units"] == "degree_C" and "description" not in attrs
+
+
 def test_attributes(spark, made):
     table = {(r.variable, r.year): r.attrs for r in product.read_attributes(spark, made).collect()}
     assert len(table) == 9
@@ -156,6 +185,11 @@ def test_completeness(spark, made):
     assert rows(numbers) == [(0, 0, 0, None)] and missing.isEmpty()
 
 
+def test_files_of_a_variable_open(spark, made):
+    found = readability(spark, made, ["t2_mean"]).collect()
+    assert found and all(r.opened and "variable=t2_mean" in r.path for r in found)
+
+
 def towns(spark):
     return places_frame(spark, TOWNS)
 
