@@ -62,15 +62,16 @@ def _farthest(lat: Column, lon: Column, box: Callable[[str], Column]) -> Column:
     return d_lat * d_lat + d_lon * d_lon
 
 
-def _boxed(cells: DataFrame, box, depth: int) -> DataFrame:
-    """Cells with the leaf box they lie in: each level halves a side three times."""
+def _boxed(rows: DataFrame, box, depth: int, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """Rows with the leaf box they lie in, or the one at the edge next to them: each level halves a side three times."""
 
-    def number(c: str) -> Column:
-        span = box[f"{c}_max"] - box[f"{c}_min"]
-        share = (F.col(c) - F.lit(box[f"{c}_min"])) / F.lit(span) if span > 0 else F.lit(0.0)
-        return F.least(F.floor(share * 8**depth), F.lit(8**depth - 1)).cast("int")
+    def number(c: str, low: float, high: float) -> Column:
+        share = (F.col(c) - F.lit(low)) / F.lit(high - low) if high > low else F.col(c) * 0.0
+        return clamp(F.floor(share * 8**depth), 8**depth).cast("int")
 
-    return cells.withColumns({"row_box": number("lat"), "col_box": number("lon")})
+    return rows.withColumns({
+        "row_box": number(lat, box["lat_min"], box["lat_max"]), "col_box": number(lon, box["lon_min"], box["lon_max"])
+    })
 
 
 def _box_levels(leaves: DataFrame, depth: int) -> dict[int, DataFrame]:
@@ -97,26 +98,25 @@ def nearest_cells(grid: DataFrame, points: DataFrame) -> DataFrame:
     exact_lon``.  Among equally near cells the first in row order wins.
 
     The search is exact and avoids comparing every point with every cell.
-    Cells are grouped into a tree of boxes with 64 boxes per parent.  From the
-    root down, a point keeps the boxes whose nearest edge is not farther than
-    the farthest corner of its best box; only cells of the leaf boxes that
+    Cells are grouped into a tree of boxes with 64 boxes per parent.  A point
+    starts with the farthest corner of the leaf box it lies in, if that holds a
+    cell, as the bound of its distance.  From the root down, it keeps the boxes whose
+    nearest edge is within the bound, and lowers the bound to the
+    farthest corner of the best of them; only cells of the leaf boxes that
     remain are compared.
     """
-    # Copies of a coordinate, and of a point, take part once.  ``cell`` orders cells by row and column.
-    cell = F.shiftleft(F.col("south_north").cast("bigint"), 32) + F.col("west_east")
-    cells = (
-        grid.withColumns({"lat": present(F.col("lat")), "lon": present(F.col("lon"))})
-        .dropna(subset=["lat", "lon"])
-        .groupBy("lat", "lon")
-        .agg(F.min(cell).alias("cell"))
-    )
-    box = cells.agg(
-        F.count("*").alias("n"),
+    grid = grid.withColumns({"lat": present(F.col("lat")), "lon": present(F.col("lon"))}).dropna(subset=["lat", "lon"])
+    box = grid.agg(
+        F.count(F.lit(1)).alias("n"),
         F.min("lat").alias("lat_min"), F.max("lat").alias("lat_max"),
         F.min("lon").alias("lon_min"), F.max("lon").alias("lon_max"),
     ).first()
     if not box["n"]:
         raise ValueError("the grid has no cell with coordinates")
+
+    # Copies of a coordinate, and of a point, take part once.  ``cell`` orders cells by row and column.
+    cell = F.shiftleft(F.col("south_north").cast("bigint"), 32) + F.col("west_east")
+    cells = grid.groupBy("lat", "lon").agg(F.min(cell).alias("cell"))
     depth = max(1, math.ceil(math.log(box["n"] / LEAF_CELLS, 64)))
     while True:
         leaves = _boxed(cells, box, depth)
@@ -126,8 +126,16 @@ def nearest_cells(grid: DataFrame, points: DataFrame) -> DataFrame:
             break
         depth += 1
 
+    point = ["p_lat", "p_lon"]
     p_lat, p_lon = F.col("p_lat"), F.col("p_lon")
-    probes = points.select(F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon")).distinct()
+    probes = points.select(present(F.col("lat")).alias("p_lat"), present(F.col("lon")).alias("p_lon")).dropna().distinct()
+    own = boxes[depth].withColumnsRenamed({"row_box": "own_row", "col_box": "own_col"}).drop("crowd")
+    probes = (
+        _boxed(probes, box, depth, "p_lat", "p_lon")
+        .withColumnsRenamed({"row_box": "own_row", "col_box": "own_col"})
+        .join(own, ["own_row", "own_col"], "left")
+        .select(*point, F.coalesce(_farthest(p_lat, p_lon, F.col), F.lit(float("inf"))).alias("bound"))
+    )
 
     # The boxes of the first level are a literal, and a point keeps its candidates in one array.
     fields = ["row_box", "col_box", *EXTENT]
@@ -137,25 +145,29 @@ def nearest_cells(grid: DataFrame, points: DataFrame) -> DataFrame:
     )
     reach = F.array_min(F.transform(top_boxes, lambda b: _farthest(p_lat, p_lon, b.getField)))
     kept = F.filter(top_boxes, lambda b: _nearest(p_lat, p_lon, b.getField) <= F.col("bound"))
-    frontier = probes.withColumn("bound", reach).select("p_lat", "p_lon", F.inline(kept)).select(
-        "p_lat", "p_lon", "row_box", "col_box"
+    frontier = (
+        probes.withColumn("bound", F.least("bound", reach))
+        .select(*point, "bound", F.inline(kept))
+        .select(*point, "bound", "row_box", "col_box")
     )
 
-    per_point = Window.partitionBy("p_lat", "p_lon")
+    per_point = Window.partitionBy(*point)
     for k in range(2, depth + 1):
         children = boxes[k].drop("crowd").withColumns({"up_row": F.shiftright("row_box", 3), "up_col": F.shiftright("col_box", 3)})
         parents = frontier.withColumnsRenamed({"row_box": "up_row", "col_box": "up_col"})
         frontier = (
             parents.join(children, ["up_row", "up_col"])
-            .withColumns({"nearest": _nearest(p_lat, p_lon, F.col), "farthest": _farthest(p_lat, p_lon, F.col)})
-            .withColumn("bound", F.min("farthest").over(per_point))
+            .withColumn("nearest", _nearest(p_lat, p_lon, F.col))
+            .where(F.col("nearest") <= F.col("bound"))
+            .withColumn("farthest", _farthest(p_lat, p_lon, F.col))
+            .withColumn("bound", F.least("bound", F.min("farthest").over(per_point)))
             .where(F.col("nearest") <= F.col("bound"))
-            .select("p_lat", "p_lon", "row_box", "col_box")
+            .select(*point, "bound", "row_box", "col_box")
         )
     distance = _squared(F.col("lat"), p_lat) + _squared(F.col("lon"), p_lon)
     found = (
         frontier.join(leaves, ["row_box", "col_box"])
-        .groupBy("p_lat", "p_lon")
+        .groupBy(*point)
         .agg(F.min_by(F.struct("cell", "lat", "lon"), F.struct(distance.alias("d"), F.col("cell"))).alias("best"))
         .select(
             F.col("p_lat").alias("lat"), F.col("p_lon").alias("lon"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +42,7 @@ CHECK_PLACES: dict[str, tuple[float, float]] = {
     "WRF": (64.0, -152.0),
 }
 
-# Up to this many points are located ahead of the query, and their grid rows become a filter of its scan.
+# Up to this many points are located ahead of the query, and their indices become a filter of its scan.
 FEW_POINTS = 500
 
 
@@ -63,13 +63,13 @@ def extract_points(
 
     ``points`` has ``x, y`` in the plane of the product and any columns that
     name a point.  Few points are located first and broadcast, and the grid
-    rows they lie in become a scan filter, which skips most row groups of files
-    sorted by cell.  Many points are joined by cell.
+    rows and columns they lie in become a scan filter, which skips most pages of
+    files sorted by cell.  Many points are joined by cell.
     """
     names, cells, rows = _locate(points, grid, tolerance, on_miss)
-    fields = _near(fields, "y_idx", cells, rows)
+    keys = ["y_idx", "x_idx"]
     keep = [c for c in ("variable", "level", "time", "value") if c in fields.columns]
-    return join_cells(fields, cells, ["y_idx", "x_idx"], rows).select(*names, *keep)
+    return join_cells(_near(fields, keys, cells, rows), cells, keys, rows).select(*names, *keep)
 
 
 def _locate(points: DataFrame, grid: Grid, tolerance: float | None, on_miss: str) -> tuple[list[str], DataFrame, int | None]:
@@ -83,12 +83,15 @@ def _locate(points: DataFrame, grid: Grid, tolerance: float | None, on_miss: str
     return names, points.sparkSession.createDataFrame(hits, located.schema), len(hits)
 
 
-def _near(rows: DataFrame, index: str, cells: DataFrame, bound: int | None) -> DataFrame:
-    """``rows`` without the grid rows that hold none of the cells, if there are few cells."""
+def _near(rows: DataFrame, keys: Sequence[str], cells: DataFrame, bound: int | None) -> DataFrame:
+    """``rows`` without the grid rows and columns that hold none of the cells, if there are few cells."""
     if bound is None or bound > FEW_POINTS:
         return rows
-    wanted = sorted({r[0] for r in cells.select(index).collect()})
-    return rows.where(F.col(index).isin(wanted) if wanted else F.lit(False))
+    found = cells.select(*keys).distinct().collect()
+    for k in keys:
+        wanted = sorted({r[k] for r in found})
+        rows = rows.where(F.col(k).isin(wanted) if wanted else F.lit(False))
+    return rows
 
 
 def extract_points_from_hours(
@@ -118,7 +121,7 @@ def extract_points_from_hours(
         .select(*names, *keys)
     )
     only = broadcast_within(wanted.select(*keys).distinct(), rows)
-    daily = daily_wide(_near(hourly, "south_north", wanted, rows).join(only, keys, "left_semi"), entries)
+    daily = daily_wide(_near(hourly, keys, wanted, rows).join(only, keys, "left_semi"), entries)
     return to_long(join_cells(daily, wanted, keys, rows).drop(*keys), entries)
 
 

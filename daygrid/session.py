@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # All outputs of the catalogue in one aggregation have more than 100 buffer columns.
     "spark.sql.codegen.maxFields": "400",
+    # A split that holds whole days lets the hours of a cell combine before the shuffle.
+    "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.parquet.compression.codec": "zstd",
     # A task that writes a product keeps a file open for each of up to so many outputs instead of sorting by output.
     "spark.sql.maxConcurrentOutputFileWriters": "32",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,17 +28,22 @@ def broadcast_within(df: DataFrame, rows: int | None, limit: int = BROADCAST_ROW
     return F.broadcast(df) if rows is not None and rows <= limit else df
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder for intermediate tables that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``.  Only a local session, whose
-    executors share the driver's disk, may go without that setting.
+    It lies under ``spark.checkpoint.dir``, or the context's checkpoint folder.
+    Only a local session, whose executors share the driver's disk, may go without.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        root = tempfile.mkdtemp(prefix="run-")
+        root = _local_folder()
     return f"{root.rstrip('/')}/daygrid-{uuid.uuid4().hex}"
 
 

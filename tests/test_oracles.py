@@ -49,3 +49,9 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLES)
+
+
+def test_entry(spark):
+    out = __spark_entry__.entry(spark)
+    assert out.columns == ["day", "south_north", "west_east", "variable", "value"]
+    assert out.count() > 0

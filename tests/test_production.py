@@ -198,7 +198,7 @@ def test_points_read_only_their_rows(spark, made):
     fields = product.read_product(spark, made, ["t2_mean"], (2002, 2002))
     values = extract_points(fields, projected(towns(spark)), TARGET, tolerance=100000.0)
     text = plan(values)
-    assert "BroadcastHashJoin" in text and "In(y_idx" in text and "year" in text.split("PartitionFilters")[1][:200]
+    assert "BroadcastHashJoin" in text and "In(y_idx" in text and "In(x_idx" in text and "year" in text.split("PartitionFilters")[1][:200]
     assert values.count() == 9 * 3
 
 
