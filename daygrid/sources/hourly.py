@@ -8,26 +8,33 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daygrid.catalog import source_variables
 from daygrid.operators.audit import duplicate_keys
 from daygrid.operators.daily import CELL
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """A Parquet table, or None where nothing has been written yet."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
-def read_years(spark: SparkSession, root: str, first_year: int, last_year: int | None = None) -> DataFrame:
-    """The hourly rows of one year or a run of years; a missing folder or year is an error."""
+def read_years(
+    spark: SparkSession, root: str, first_year: int, last_year: int | None = None, schema: StructType | None = None
+) -> DataFrame:
+    """The hourly rows of one year or a run of years; a missing folder or year is an error.
+
+    Without a schema (see :mod:`daygrid.schema`) that of one file is taken.
+    """
     last_year = first_year if last_year is None else last_year
-    table = read_table(spark, root)
+    table = read_table(spark, root, schema)
     if table is None:
         raise FileNotFoundError(f"no hourly data at {root}")
     return require_years(table, first_year, last_year)

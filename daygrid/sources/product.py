@@ -18,10 +18,9 @@ from daygrid.catalog import DailyVariable, resolve
 from daygrid.grids import Grid
 from daygrid.operators.audit import UNIT
 from daygrid.operators.daily import to_long
+from daygrid.schema import ATTRIBUTES, PRODUCT
 from daygrid.sources.hourly import read_table
 
-PRODUCT_COLUMNS = ["time", "level", "y_idx", "x_idx", "y", "x", "value", "variable", "year"]
-
 # Order of the rows inside a file.
 CELL_ORDER = ("level", "y_idx", "x_idx", "time")
 
@@ -44,14 +43,14 @@ def read_product(
     spark: SparkSession, root: str, variables: Iterable[str] | None = None, years: tuple[int, int] | None = None
 ) -> DataFrame:
     """Daily fields; variables and years are chosen by partition, so no other file is opened."""
-    table = read_table(spark, fields_path(root))
+    table = read_table(spark, fields_path(root), PRODUCT)
     if table is None:
         raise FileNotFoundError(f"no product at {root}")
     if variables is not None:
         table = table.where(F.col("variable").isin(list(variables)))
     if years is not None:
         table = table.where(F.col("year").between(*years))
-    return table.select(PRODUCT_COLUMNS)
+    return table
 
 
 def valid_units(fields: DataFrame) -> DataFrame:
@@ -61,7 +60,7 @@ def valid_units(fields: DataFrame) -> DataFrame:
 
 def check_free(spark: SparkSession, root: str, variables: Iterable[str], first_year: int, last_year: int) -> None:
     """Fail if any unit of a request has output already."""
-    table = read_table(spark, fields_path(root))
+    table = read_table(spark, fields_path(root), PRODUCT)
     if table is None:
         return
     asked = F.col("variable").isin(list(variables)) & F.col("year").between(first_year, last_year)
@@ -105,7 +104,7 @@ def write_fields(fields: DataFrame, root: str) -> None:
 def _write(fields: DataFrame, root: str) -> None:
     """Write rows in their order; a unit that exists is replaced, all others stay as they are."""
     (
-        fields.select(PRODUCT_COLUMNS)
+        fields.select(PRODUCT.names)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
@@ -189,4 +188,4 @@ def write_attributes(attributes: DataFrame, root: str) -> None:
 
 
 def read_attributes(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(attributes_path(root))
+    return spark.read.schema(ATTRIBUTES).parquet(attributes_path(root))

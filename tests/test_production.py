@@ -13,6 +13,7 @@ from daygrid.plans.health import completeness, readability
 from daygrid.plans.points import TOWNS, annual_point_series, extract_points, extract_points_from_hours, places_frame, point_normals, projected
 from daygrid.plans.produce import produce, product_fields, product_wide
 from daygrid.plans.verify import coordinate_report, source_versus_product
+from daygrid.schema import hourly_schema
 from daygrid.sources import hourly as src
 from daygrid.sources import product
 from tests.conftest import plan, rows
@@ -69,6 +70,15 @@ def test_scan_reads_needed_columns_only(spark, archive):
     assert "ReadSchema: struct<south_north:int,west_east:int,time:timestamp_ntz,T2:double>" in plan(pruned) or "rainnc" not in plan(pruned)
 
 
+def test_declared_schema(spark, archive):
+    """Declared source variables that the files lack are missing; the rest reads as without a declaration."""
+    declared = src.read_years(spark, archive, 2001, 2003, hourly_schema(["t2_mean", "slp_mean"]))
+    assert declared.columns == ["time", "level", "south_north", "west_east", "T2", "slp", "year"]
+    assert declared.where("slp is not null or level is not null or T2 is null").isEmpty()
+    assert declared.count() == src.read_years(spark, archive, 2001, 2003).count()
+    assert len(hourly_schema()) == 43 + 5
+
+
 def test_append_and_overlap(spark):
     whole = model(spark, DAYS[:3])
     first, rest = whole.where(F.to_date("time") == DAYS[0]), whole.where(F.to_date("time") > DAYS[0]).drop("SST")
