@@ -29,6 +29,7 @@ def product_wide(
     broadcast_rows: int = BROADCAST_ROWS,
     source_plane=SOURCE_PLANE,
     target_plane=ALASKA_ALBERS,
+    cells: DataFrame | None = None,
 ) -> DataFrame:
     """The requested outputs as columns, one row per day, level and target cell.
 
@@ -36,9 +37,11 @@ def product_wide(
     day in one row, so the join sees one row where the source had 24 per
     variable.  With ``fill_missing`` the result is a full cube: target cells
     outside the source domain, and days without any hour between the first and
-    the last of a year, have missing values.
+    the last of a year, have missing values.  ``cells`` is the regrid map of
+    the two grids, if it has been made already.
     """
-    cells = stored_regrid_map(hourly.sparkSession, source, target, source_plane, target_plane)
+    if cells is None:
+        cells = stored_regrid_map(hourly.sparkSession, source, target, source_plane, target_plane)
     daily = daily_wide(hourly, names, kinds=kinds)
     if "level" not in daily.columns:
         daily = daily.withColumn("level", F.lit(None).cast("int"))
@@ -69,12 +72,17 @@ def produce(
     *,
     overwrite: bool = False,
     attributes: Mapping[str, str] | None = None,
+    years_per_job: int | None = None,
+    source_plane=SOURCE_PLANE,
+    target_plane=ALASKA_ALBERS,
     **options,
 ) -> DataFrame:
     """Write the units (variable, year) of a request and return them as read back.
 
     ``hourly`` has a ``year`` column.  Existing output is an error unless
     ``overwrite`` is set, which replaces the units of the request and no others.
+    With ``years_per_job`` the years are written in several jobs, each of which
+    leaves complete units behind if a later one fails.
     Attributes that the source columns carry as metadata are kept with the
     product; ``attributes`` adds or replaces some.  ``options`` are those of :func:`product_wide`.
     """
@@ -84,8 +92,12 @@ def produce(
     if not overwrite:
         check_free(spark, root, names, first_year, last_year)
     rows = for_outputs(require_years(hourly, first_year, last_year), names)
-    write_wide(product_wide(rows, entries, source, target, **options), entries, target, root)
-    years = range(first_year, last_year + 1)
     inherited = {e.name: hourly.schema[e.var_id].metadata for e in entries}
-    write_attributes(attributes_frame(spark, names, years, target, attributes, inherited=inherited), root)
+    cells = stored_regrid_map(spark, source, target, source_plane, target_plane)
+    step = years_per_job or last_year - first_year + 1
+    for start in range(first_year, last_year + 1, step):
+        years = range(start, min(start + step, last_year + 1))
+        part = rows.where(F.col("year").between(years[0], years[-1]))
+        write_wide(product_wide(part, entries, source, target, cells=cells, **options), entries, target, root)
+        write_attributes(attributes_frame(spark, names, years, target, attributes, inherited=inherited), root)
     return read_product(spark, root, names, (first_year, last_year))

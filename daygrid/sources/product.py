@@ -189,3 +189,11 @@ def write_attributes(attributes: DataFrame, root: str) -> None:
 
 def read_attributes(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(ATTRIBUTES).parquet(attributes_path(root))
+
+
+def read_grid(spark: SparkSession, root: str) -> Grid:
+    """The grid of a product, from the attributes of one of its units."""
+    unit = read_attributes(spark, root).first()
+    if unit is None:
+        raise FileNotFoundError(f"no product attributes at {root}")
+    return Grid.from_attributes(unit.attrs)

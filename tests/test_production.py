@@ -159,6 +159,16 @@ def test_files_are_sorted_by_cell(spark, tmp_path, open_files):
         assert order == sorted(order)
 
 
+def test_years_in_several_jobs(spark, archive, made, tmp_path):
+    root = str(tmp_path / "daily")
+    hourly = src.read_years(spark, archive, 2001, 2003)
+    fields = produce(hourly, ["t2_mean", "rainnc_sum"], 2001, 2003, SOURCE, TARGET, root, years_per_job=2)
+    order = ["variable", "year", "time", "y_idx", "x_idx", "value"]
+    assert rows(fields, *order) == rows(product.read_product(spark, made, ["t2_mean", "rainnc_sum"]), *order)
+    assert product.read_attributes(spark, root).count() == 6
+    assert product.read_grid(spark, root) == TARGET
+
+
 def test_unknown_request(spark, archive, tmp_path):
     with pytest.raises(ValueError, match="unknown variable 't3_mean'"):
         produce(src.read_years(spark, archive, 2001), ["t3_mean"], 2001, 2001, SOURCE, TARGET, str(tmp_path / "x"))
