@@ -86,7 +86,7 @@ def _series(spark, sf_dir, variables):
     series = annual_point_series(
         v.fields(spark, sf_dir), v.points(spark, sf_dir), grid, variables, tolerance=TOLERANCE, on_miss="null"
     )
-    return series.withColumns({
+    return series.drop("level").withColumns({
         c: F.round(c, 6) for c in ["value", "slope", "per_decade", "mean", "intercept", "fitted"]
     })
 
@@ -116,7 +116,7 @@ def _(spark, sf_dir):
         v.fields(spark, sf_dir), v.points(spark, sf_dir), grid, ["t2_mean", "wdir10_mean"], PERIODS,
         tolerance=TOLERANCE, on_miss="null",
     )
-    return normals.withColumns({c: F.round(c, 6) for c in ["normal_1", "normal_2"]})
+    return normals.drop("level").withColumns({c: F.round(c, 6) for c in ["normal_1", "normal_2"]})
 
 
 _EX, _EY = sql_albers("exact_lon", "exact_lat")

@@ -128,12 +128,12 @@ def extract_points_from_hours(
 def annual_point_series(
     fields: DataFrame, points: DataFrame, grid: Grid, variables: Iterable[str] | None = None, **extract
 ) -> DataFrame:
-    """Annual series of each place and variable with trend, fitted line and long-term mean."""
+    """Annual series of each place, level and variable with trend, fitted line and long-term mean."""
     if variables is not None:
         fields = fields.where(F.col("variable").isin(list(variables)))
     daily = extract_points(fields, projected(points), grid, **extract)
-    series = annual_by_rule(daily, ["name"])
-    return with_fit(series, ["variable", "name"])
+    series = annual_by_rule(daily, _place(daily))
+    return with_fit(series, ["variable", *_place(daily)])
 
 
 def point_normals(
@@ -144,11 +144,16 @@ def point_normals(
     periods: tuple[Period, Period] = NORMAL_PERIODS,
     **extract,
 ) -> DataFrame:
-    """Day-of-year normals of two periods for each place and variable."""
+    """Day-of-year normals of two periods for each place, level and variable."""
     if variables is not None:
         fields = fields.where(F.col("variable").isin(list(variables)))
     if "year" in fields.columns:
         first, second = (F.col("year").between(*p) for p in periods)
         fields = fields.where(first | second)
     daily = extract_points(fields, projected(points), grid, **extract)
-    return normals_two_periods(daily, ["variable", "name"], periods)
+    return normals_two_periods(daily, ["variable", *_place(daily)], periods)
+
+
+def _place(daily: DataFrame) -> list[str]:
+    """What tells the series of a variable apart: the place, and the level where the table has one."""
+    return [c for c in ("name", "level") if c in daily.columns]

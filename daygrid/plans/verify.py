@@ -67,6 +67,7 @@ def source_versus_product(
     target: Grid,
     *,
     variable: str = "T2",
+    product_variable: str = "t2_mean",
     source_units: str | None = None,
     product_units: str | None = None,
 ) -> DataFrame:
@@ -84,6 +85,7 @@ def source_versus_product(
         F.struct(F.lit(k).alias("kind"), F.col(f"{k}_x").alias("x"), F.col(f"{k}_y").alias("y")) for k in KINDS
     ]))
     shift = celsius_shift(F.lit(product_units).cast("string"), "unchanged")
+    fields = fields.where(F.col("variable") == product_variable)
     product = extract_points(fields, report.select("name", kinds), target, tolerance=None).select(
         "kind", "name", "time", (F.col("value") + shift).alias("value")
     )

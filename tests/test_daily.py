@@ -117,6 +117,13 @@ def test_user_aggregates(spark):
         daily_wide(h, [kind("spread")])
 
 
+def test_single_precision_is_reduced_in_double(spark):
+    h = hours(spark, {0: [16777216.0, 1.0, 1.0]}).withColumn("T2", F.col("T2").cast("float"))
+    out = daily_wide(h, [kind(k) for k in ("sum", "mean", "max")])
+    assert {t for n, t in out.dtypes if n in ("sum", "mean", "max")} == {"double"}
+    assert out.first()["sum"] == 16777218.0
+
+
 def test_missing_source_column(spark):
     with pytest.raises(ValueError, match="rainnc"):
         daily_wide(hours(spark, {0: [1.0]}), ["t2_mean", "rainnc_sum"])

@@ -251,6 +251,9 @@ def test_series_and_normals(spark, made):
     t2 = series.where("variable = 't2_mean'")
     assert t2.where("abs(per_decade - 10) > 1e-6 or abs(fitted - value) > 1e-6").isEmpty()
     assert {r.tag for r in series.select("tag").distinct().collect()} == {"Total Annual", "Mean Annual"}
+    with_levels = fields.where("variable = 't2_mean'").withColumn("level", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("value", F.col("value") * F.col("level"))
+    apart = annual_point_series(with_levels, towns(spark), TARGET, tolerance=None)
+    assert apart.count() == 2 * 9 * 3 and apart.where("abs(per_decade - 10 * level) > 1e-6").isEmpty()
     normals = point_normals(fields, towns(spark), TARGET, ["t2_mean"], ((2001, 2001), (2002, 2003)), tolerance=None)
     assert normals.count() == 9 * 3
     assert normals.where("abs(normal_2 - normal_1 - 1.5) > 1e-9").isEmpty()
@@ -261,7 +264,7 @@ def test_source_and_product_agree_at_the_cell(spark, archive, made):
     hourly = src.read_years(spark, archive, 2001, 2003)
     lon, lat = SOURCE_PLANE.inverse(F.col("x"), F.col("y"))
     grid = grid_cells(spark, SOURCE).withColumns({"lon": lon, "lat": lat}).withColumnsRenamed({"y_idx": "south_north", "x_idx": "west_east"})
-    fields = product.read_product(spark, made, ["t2_mean"])
+    fields = product.read_product(spark, made)
     best = source_versus_product(hourly, grid, fields, towns(spark), SOURCE, TARGET, product_units="degree_C")
     found = {r.name: r for r in best.collect()}
     assert len(found) == 9
