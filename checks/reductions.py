@@ -14,7 +14,7 @@ from daygrid.catalog import CATALOG, DailyVariable, source_variables
 from daygrid.functions.aggregates import present
 from daygrid.operators import audit, yearly
 from daygrid.operators.compare import best_offset, offset_differences
-from daygrid.operators.daily import complete_days, daily_long, daily_wide, to_long
+from daygrid.operators.daily import complete_days, daily_long, daily_outputs
 from daygrid.operators.nearest import neighbourhood
 
 _DAY = "cast(cast(time as date) as varchar) as day, south_north, west_east"
@@ -85,8 +85,7 @@ _SQL_KIND = {"mean": "avg({})", "min": "min({})", "max": "max({})", "sum": "coal
     for n in _SIX
 )))
 def _(spark, sf_dir):
-    h = v.hourly(spark, sf_dir)
-    return daily_rows(to_long(daily_wide(h, _SIX), _SIX), "variable")
+    return daily_rows(daily_outputs(v.hourly(spark, sf_dir), _SIX), "variable")
 
 
 def _catalog_sql(entry):
@@ -102,9 +101,8 @@ def _catalog_sql(entry):
 
 @check("e_full_catalogue", with_views("\nunion all ".join(_catalog_sql(e) for e in CATALOG.values())))
 def _(spark, sf_dir):
-    """All 68 daily outputs of all 43 source variables, with levels, from one pass."""
-    wide = daily_wide(v.hourly_all(spark, sf_dir), CATALOG)
-    return daily_rows(to_long(wide, CATALOG), F.coalesce("level", F.lit(-1)).alias("level"), "variable")
+    """All 68 daily outputs of all 43 source variables, with levels."""
+    return daily_rows(daily_outputs(v.hourly_all(spark, sf_dir), CATALOG), F.coalesce("level", F.lit(-1)).alias("level"), "variable")
 
 
 @check("u1_pluggable_aggregate", with_views(f"""

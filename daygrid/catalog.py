@@ -29,10 +29,13 @@ class DailyVariable:
     units: str
     description: str
     cell_methods: str | None = None
+    levelled: bool | None = None
 
     @property
     def dims(self) -> int:
-        return 3 if self.var_id in LEVELLED_SOURCES else 2
+        """3 with a level dimension, else 2; decided by the source variable unless ``levelled`` says so."""
+        levelled = self.var_id in LEVELLED_SOURCES if self.levelled is None else self.levelled
+        return 3 if levelled else 2
 
 
 # Source variables that carry a vertical or soil level.

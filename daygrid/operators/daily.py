@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,9 +36,11 @@ def daily_wide(
 ) -> DataFrame:
     """Daily outputs as columns, from a table with one column per source variable.
 
-    A source column is read once however many outputs it feeds.
+    A source column is read once however many outputs it feeds.  If all outputs
+    have a level dimension, or none has, rows of the other sort are not read.
     """
     entries = resolve(names)
+    hourly = relevant_rows(hourly, entries)
     missing = sorted({e.var_id for e in entries} - set(hourly.columns))
     if missing:
         raise ValueError(f"hourly data lacks the source variables {missing}")
@@ -47,6 +50,32 @@ def daily_wide(
     )
 
 
+def relevant_rows(hourly: DataFrame, entries: Sequence[DailyVariable]) -> DataFrame:
+    """The rows that can hold values of the outputs: with a level, without, or all."""
+    dims = {e.dims for e in entries}
+    if "level" not in hourly.columns or len(dims) > 1:
+        return hourly
+    return hourly.where(F.col("level").isNull() if dims == {2} else F.col("level").isNotNull())
+
+
+def output_groups(hourly: DataFrame, names: Iterable[str | DailyVariable]) -> list[list[DailyVariable]]:
+    """The outputs to be made together: those with and those without a level live on different rows."""
+    entries = resolve(names)
+    if "level" not in hourly.columns:
+        return [entries]
+    return [group for d in (2, 3) if (group := [e for e in entries if e.dims == d])]
+
+
+def daily_outputs(hourly: DataFrame, names: Iterable[str | DailyVariable], **options) -> DataFrame:
+    """Daily outputs as rows ``(variable, value)``, from a table with one column per source variable.
+
+    One aggregation makes all outputs that live on the same rows; the two
+    sorts share no source column, so nothing but the keys is read twice.
+    """
+    parts = [to_long(daily_wide(hourly, group, **options), group) for group in output_groups(hourly, names)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def to_long(wide: DataFrame, names: Iterable[str | DailyVariable]) -> DataFrame:
     """Output columns as rows ``(variable, value)``.
 

@@ -11,7 +11,7 @@ from daygrid.catalog import DailyVariable, resolve
 from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE
 from daygrid.grids import Grid
 from daygrid.operators.cell_join import join_cells
-from daygrid.operators.daily import daily_wide, to_long
+from daygrid.operators.daily import daily_outputs
 from daygrid.operators.nearest import nearest_on_grid
 from daygrid.operators.regrid import stored_regrid_map
 from daygrid.operators.yearly import NORMAL_PERIODS, Period, annual_by_rule, normals_two_periods, with_fit
@@ -121,8 +121,8 @@ def extract_points_from_hours(
         .select(*names, *keys)
     )
     only = broadcast_within(wanted.select(*keys).distinct(), rows)
-    daily = daily_wide(_near(hourly, keys, wanted, rows).join(only, keys, "left_semi"), entries)
-    return to_long(join_cells(daily, wanted, keys, rows).drop(*keys), entries)
+    hours = _near(hourly, keys, wanted, rows).join(only, keys, "left_semi")
+    return join_cells(daily_outputs(hours, entries), wanted, keys, rows).drop(*keys)
 
 
 def annual_point_series(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from daygrid.catalog import DailyVariable, resolve
 from daygrid.functions.aggregates import AggregateBuilder
 from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE
 from daygrid.grids import Grid
-from daygrid.operators.daily import daily_wide, time_axis, to_long
+from daygrid.operators.daily import daily_wide, output_groups, relevant_rows, time_axis, to_long
 from daygrid.operators.regrid import missing_cells, regrid, stored_regrid_map
 from daygrid.sizing import BROADCAST_ROWS
 from daygrid.sources.hourly import for_outputs, require_years
@@ -40,9 +41,11 @@ def product_wide(
     the last of a year, have missing values.  ``cells`` is the regrid map of
     the two grids, if it has been made already.
     """
+    entries = resolve(names)
+    hourly = relevant_rows(hourly, entries)
     if cells is None:
         cells = stored_regrid_map(hourly.sparkSession, source, target, source_plane, target_plane)
-    daily = daily_wide(hourly, names, kinds=kinds)
+    daily = daily_wide(hourly, entries, kinds=kinds)
     if "level" not in daily.columns:
         daily = daily.withColumn("level", F.lit(None).cast("int"))
     wide = regrid(daily, cells, target.cells, broadcast_rows=broadcast_rows)
@@ -55,10 +58,23 @@ def product_wide(
     return wide.withColumn("year", F.year("time"))
 
 
-def product_fields(hourly: DataFrame, names: Iterable[str | DailyVariable], source: Grid, target: Grid, **options) -> DataFrame:
+def product_fields(
+    hourly: DataFrame,
+    names: Iterable[str | DailyVariable],
+    source: Grid,
+    target: Grid,
+    *,
+    source_plane=SOURCE_PLANE,
+    target_plane=ALASKA_ALBERS,
+    **options,
+) -> DataFrame:
     """The product rows of the requested outputs, one row per value; options as for :func:`product_wide`."""
-    entries = resolve(names)
-    return to_long(product_wide(hourly, entries, source, target, **options), entries)
+    cells = stored_regrid_map(hourly.sparkSession, source, target, source_plane, target_plane)
+    parts = [
+        to_long(product_wide(hourly, group, source, target, cells=cells, **options), group)
+        for group in output_groups(hourly, names)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def produce(
@@ -98,6 +114,7 @@ def produce(
     for start in range(first_year, last_year + 1, step):
         years = range(start, min(start + step, last_year + 1))
         part = rows.where(F.col("year").between(years[0], years[-1]))
-        write_wide(product_wide(part, entries, source, target, cells=cells, **options), entries, target, root)
+        for group in output_groups(part, entries):
+            write_wide(product_wide(part, group, source, target, cells=cells, **options), group, target, root)
         write_attributes(attributes_frame(spark, names, years, target, attributes, inherited=inherited), root)
     return read_product(spark, root, names, (first_year, last_year))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from daygrid.catalog import CATALOG, DailyVariable
 from daygrid.functions.aggregates import KINDS, present
-from daygrid.operators.daily import complete_days, daily_long, daily_wide, time_axis, to_long
+from daygrid.operators.daily import complete_days, daily_long, daily_outputs, daily_wide, time_axis, to_long
 from tests.conftest import rows
 
 NAN = float("nan")
@@ -76,11 +76,17 @@ def test_levels_are_grouped_apart(spark):
     ]
     h = spark.createDataFrame(data, "time timestamp_ntz, level int, south_north int, west_east int, T2 double, temp double")
     names = ["t2_max", "temp_mean", "temp_max"]
-    out = to_long(daily_wide(h, names), names)
+    mixed = to_long(daily_wide(h, names), names)
+    out = daily_outputs(h, names)
+    assert rows(mixed, "variable", "level", "value") == rows(out, "variable", "level", "value")
     assert [(v, n, round(x, 6)) for v, n, x in rows(out, "variable", "level", "value")] == [
         ("t2_max", None, 8.85), ("temp_max", 1, 12.0), ("temp_max", 2, 22.0), ("temp_mean", 1, 11.0), ("temp_mean", 2, 21.0),
     ]
     assert time_axis(h).levels == (None, 1, 2)
+    assert rows(daily_wide(h, ["t2_max"]), "level") == [(None,)]
+    assert rows(daily_wide(h, ["temp_max"]), "level") == [(1,), (2,)]
+    own = DailyVariable("own_max", "T2", "max", 0.0, "", "", "", "", levelled=True)
+    assert rows(daily_outputs(h, [own]), "level", "value") == [(1, None), (2, None)]
 
 
 def test_long_and_wide_agree(spark):

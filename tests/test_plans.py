@@ -26,10 +26,19 @@ def test_no_cross_join_and_no_python(spark, sf_dir, name):
         assert not re.search(r"MapInPandas|MapInArrow|ArrowEvalPython|BatchEvalPython|FlatMapGroups|AggregateInPandas", text)
 
 
-def test_one_shuffle_for_all_outputs(spark, sf_dir):
+def test_one_shuffle_for_all_outputs_on_the_same_rows(spark, sf_dir):
+    text = plan(QUERIES["a7_fused_outputs"](spark, sf_dir))
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("FileScan parquet") == 1
     text = plan(QUERIES["e_full_catalogue"](spark, sf_dir))
-    assert text.count("Exchange hashpartitioning") == 1
-    assert text.count("FileScan parquet") == 1
+    assert text.count("Exchange hashpartitioning") == 2 and text.count("FileScan parquet") == 2
+
+
+def test_levels_are_skipped_by_the_scan(spark, tmp_path):
+    views.hourly_all(spark, "/root/testdata/sf0.001").write.parquet(str(tmp_path / "h"))
+    hourly = spark.read.parquet(str(tmp_path / "h"))
+    flat, high = plan(daily_wide(hourly, ["t2_mean"])), plan(daily_wide(hourly, ["temp_mean"]))
+    assert "PushedFilters: [IsNull(level)]" in flat and "temp" not in flat
+    assert "PushedFilters: [IsNotNull(level)]" in high and "T2" not in high
 
 
 def test_period_reaches_the_scan(spark, sf_dir):
