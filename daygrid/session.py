@@ -10,8 +10,6 @@ SETTINGS = {
     # Run-time partition coalescing and skew splitting.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # All outputs of the catalogue together come close to the default of 100 columns, keys and buffers counted.
-    "spark.sql.codegen.maxFields": "400",
     # A split that holds whole days lets the hours of a cell combine before the shuffle.
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.parquet.compression.codec": "zstd",
