@@ -18,9 +18,11 @@ from __future__ import annotations
 import array
 import re
 import zlib
-from bisect import bisect_left, insort
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -34,13 +36,13 @@ CAPACITY = 4096
 END_ID = 1
 # Pieces per group on average.
 GROUP_SIZE = 4000
-# Words whose ids a Python worker remembers.
-CACHE_WORDS = 1_000_000
+# Words, and chunks of them, whose ids a Python worker remembers.
+CACHE_WORDS = 500_000
 # Branches that the search may try per group before it settles for the incumbent.
-MAX_NODES = 2000
-# Fillings that are looked at for one sequence.
-MAX_FILLINGS = 200
-MAX_TRIES = 2000
+MAX_NODES = 500
+# Fillings that are kept, and looked at, for one sequence.
+MAX_FILLINGS = 20
+MAX_TRIES = 200
 
 # The words that the tokenizer's own pattern finds, over the letters,
 # numbers and spaces of Latin-1 in lower case.
@@ -50,35 +52,52 @@ _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPA
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
 
 
-class _Words(dict):
-    """Ids (as bytes) by word; what it lacks is tokenized and, while there is room, kept."""
+# What a byte-level model writes for each byte: itself where it is printable, else a letter from 256 on.
+_PRINTABLE = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+_BYTES = {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
 
+class _Ids(dict):
+    """Ids, as bytes, by word; what it lacks is computed and, while there is room, kept."""
+
+    def __init__(self, compute: Callable[[str], bytes]):
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
+        self.compute = compute
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.whole(word)
+        ids = self.compute(word)
         if len(self) < CACHE_WORDS and len(word) <= 64:
             self[word] = ids
         return ids
 
+
+class _Words:
+    """The ids of texts, with a memory for words and for what stands between two spaces."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        model = self.tokenizer.model
+        # A word alone needs the model only, without the steps around it.
+        words = _Ids(lambda word: np.array([t.id for t in model.tokenize(word.encode().decode("latin-1").translate(_BYTES))], "<u4").tobytes())
+        self.chunks = _Ids(lambda chunk: b"".join(map(words.__getitem__, _WORDS.findall(chunk))))
+
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
         """The ids of a text, as the tokenizer gives them for the whole of it.
 
-        A Latin-1 text is split into the tokenizer's own words first, and repeated
-        words come from memory. Such a text has no combining marks, so lowering it
+        A Latin-1 text is split at spaces and then into the tokenizer's own words, and what repeats
+        comes from memory. Such a text has no combining marks, so lowering it
         first changes nothing; one that may hold a special token is left whole.
         """
-        if "<|" in text or not _latin(text):
-            return self.whole(text)
-        low = text.lower()
-        return b"".join(map(self.__getitem__, _WORDS.findall(low))) if _latin(low) else self.whole(text)
+        if "<|" not in text and _latin(text):
+            low = text.lower()
+            if _latin(low):
+                return b"".join(map(self.chunks.__getitem__, low.replace("\n", " ").split(" ")))
+        return self.whole(text)
 
 
 def _latin(text: str) -> bool:
@@ -159,13 +178,20 @@ def _fillings(lengths: list[int], left: list[int], room: int) -> list[tuple[int,
     seen: set[tuple[int, ...]] = set()
     tried = 0
 
+    stock = Counter(lengths[i] for i in left)
+    kinds = sorted(stock)
+
     def dominated(chosen: list[int], free: int) -> bool:
-        sums = {0}
+        sums, used = {0}, Counter(lengths[i] for i in chosen)
         for i in chosen:
             sums |= {s + lengths[i] for s in sums}
-        inside = set(chosen)
-        outside = {lengths[i] for i in left if i not in inside}
-        return any(s < x <= s + free for x in outside for s in sums)
+        for s in sums:
+            for x in islice(kinds, bisect_right(kinds, s), None):
+                if x > s + free:
+                    break
+                if stock[x] > used[x]:
+                    return True
+        return False
 
     def go(at: int, free: int, chosen: list[int]) -> None:
         nonlocal tried
