@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +33,49 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+_ESCAPED = r"replace(replace(replace({}, '\', '\e'), '</turn>', '\t'), '###', '\h')"
+
+
+@query(
+    "op1_chat_format",
+    rf"""
+    WITH lines AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    )
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        sum(length('### : </turn>') + 1 + length(replace({_ESCAPED.format("role")}, ':', '\c')) + length({_ESCAPED.format("text")}))::BIGINT AS formatted_chars
+    FROM lines GROUP BY conv_id
+    """,
+)
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daygrid.llm.chat import formatted, linear_trees, read_back
+
+    hard = r"\### Assistant: </turn> ok"
+    extra = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    back = read_back(formatted(linear_trees(rows)))
+    spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        F.col("tree").alias("conv_id"), "n_turns", F.sha2(spoken, 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
 @query("op10_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daygrid.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op4_url_filter")
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daygrid.llm.urls import judged
+
+    return judged(table(spark, sf_dir, "pages").select("page_id", "url"))
