@@ -70,7 +70,7 @@ def best_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(score.desc(), "node"))
     spans = leaves.withColumn("rank", rank).where(F.col("rank") <= keep).select("tree", F.col("node").alias("path"), score.alias("score"), "node", F.col("depth").alias("position"), F.col("depth").alias("length"))
     for k in reversed(range(len(jumps))):
-        half = 2**k
+        half, spans = 2**k, stored(spans)  # it is read twice
         upper = spans.where(F.col("length") > half).alias("s").join(jumps[k].alias("j"), _same("s", "j", "node"))
         spans = spans.withColumn("length", F.least("length", F.lit(half))).unionByName(
             upper.select("s.tree", "s.path", "s.score", F.col("j.jump").alias("node"), (F.col("s.position") - half).alias("position"), (F.col("s.length") - half).alias("length"))
