@@ -18,6 +18,8 @@ count 0; ties between leaves go to the smaller node; an empty table gives no row
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,11 +53,15 @@ def pointers(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     known = nodes.alias("n").join(nodes.alias("p"), _same("n", "p", "parent"), "left")
     state = stored(known.select("n.tree", "n.node", F.col("p.node").alias("jump"), F.lit(1).alias("depth"), F.coalesce("n.score", F.lit(0.0)).alias("total")))
     n, jumps = state.count(), []
-    while 2 ** len(jumps) <= n and not state.where("jump IS NOT NULL").isEmpty():
-        jumps.append(state.where("jump IS NOT NULL").select("tree", "node", "jump"))
-        joined = state.alias("n").join(state.alias("p"), _same("n", "p", "jump"), "left")
-        state = stored(joined.select("n.tree", "n.node", "p.jump", (F.col("n.depth") + F.coalesce("p.depth", F.lit(0))).alias("depth"), (F.col("n.total") + F.coalesce("p.total", F.lit(0.0))).alias("total")))
-    return state.where("jump IS NULL").drop("jump"), jumps
+    # Nodes whose pointer has passed the root are done; only the others take part in the next join.
+    done, active = [state.where("jump IS NULL")], state.where("jump IS NOT NULL")
+    while 2 ** len(jumps) <= n and not active.isEmpty():
+        jumps.append(active.select("tree", "node", "jump"))
+        joined = active.alias("n").join(reduce(DataFrame.union, [*done, active]).alias("p"), _same("n", "p", "jump"))
+        state = stored(joined.select("n.tree", "n.node", "p.jump", (F.col("n.depth") + F.col("p.depth")).alias("depth"), (F.col("n.total") + F.col("p.total")).alias("total")))
+        done.append(state.where("jump IS NULL"))
+        active = state.where("jump IS NOT NULL")
+    return reduce(DataFrame.union, done).drop("jump"), jumps
 
 
 def best_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
