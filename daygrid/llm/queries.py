@@ -79,3 +79,47 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daygrid.llm.urls import judged
 
     return judged(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+@query(
+    "op8_benchmark_decontamination",
+    r"""
+    WITH d AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents
+    ), b AS (
+        SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark
+    ), i AS (
+        SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[p : p + 12], ' ') AS win
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 11, 2))) AS p FROM b WHERE len(w) > 0)
+    ), places AS (
+        SELECT doc_id, n, p, array_to_string(w[p : p + n - 1], ' ') AS win
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM i) AS ns)
+    ), found AS (
+        SELECT DISTINCT doc_id, p, places.n, item_id FROM places JOIN i ON places.win = i.win AND places.n = i.n
+    ), covered AS (
+        SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM found) GROUP BY doc_id
+    ), items AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+)
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daygrid.llm.decontaminate import hits
+
+    found = hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+@query("op7_bag_minhash_dedup")
+def bag_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daygrid.llm.neardup import groups, stays
+
+    found = groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", stays().alias("kept"))
