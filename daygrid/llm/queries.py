@@ -123,3 +123,10 @@ def bag_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "class_id", stays().alias("kept"))
+
+
+@query("op3_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daygrid.llm.toxicity import judged
+
+    return judged(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
