@@ -130,3 +130,11 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daygrid.llm.toxicity import judged
 
     return judged(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
+@query("op9_pii")
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daygrid.llm.pii import fitted, found
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return found(docs, fitted(docs))
