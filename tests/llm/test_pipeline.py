@@ -1,0 +1,90 @@
+import re
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from daygrid.llm import pii, toxicity
+from daygrid.llm.queries import tokenizer_path
+from daygrid.sizing import stored
+from tests.llm.test_neardup import classes
+
+
+@pytest.fixture(scope="module")
+def steps(spark, sf_dir):
+    """What goes into each stage, and what the last returns, as lists of rows."""
+    docs, out = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+    for _, stage in corpus_pipeline.STAGES:
+        out.append(docs)
+        docs = stored(stage(spark, docs, sf_dir))
+    return [*out, docs]
+
+
+def by_id(frame):
+    return {r.doc_id: r for r in frame.collect()}
+
+
+def test_stages_keep_columns(steps):
+    assert [len(s.columns) for s in steps[:-1]] == [5] * 5
+    assert all(s.dtypes == steps[0].dtypes for s in steps[:-1])
+
+
+def test_toxicity(spark, sf_dir, steps):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fitted(steps[0], labels)
+    known = toxicity._Entries(model.entries)
+    kept = {i for i, r in by_id(steps[0]).items() if toxicity.features(r.text, known, len(model.entries)) @ model.weights + model.intercept < 0}
+    assert {r: v for r, v in by_id(steps[1]).items()} == {i: r for i, r in by_id(steps[0]).items() if i in kept}
+    assert 0 < len(kept) < steps[0].count()
+
+
+def test_near_duplicates(steps):
+    rows = [(r.doc_id, r.text) for r in steps[1].collect()]
+    assert sorted(by_id(steps[2])) == sorted(min(rows[i][0] for i in group) for group in classes(rows))
+
+
+def test_decontamination(spark, sf_dir, steps):
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    lower = lambda text: re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    windows = set()
+    for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect():
+        own = word.findall(lower(r.text))
+        windows |= {tuple(own[i : i + 13]) for i in range(max(1, len(own) - 12))} if own else set()
+    kept = set()
+    for i, r in by_id(steps[2]).items():
+        own = word.findall(lower(r.text))
+        hit = {q for n in {len(w) for w in windows} for p in range(len(own) - n + 1) if tuple(own[p : p + n]) in windows for q in range(p, p + n)}
+        if not hit or 20 * len(hit) < len(own):
+            kept.add(i)
+    assert set(by_id(steps[3])) == kept
+
+
+def test_personal_data(steps):
+    models = pii.fitted(steps[3].select("doc_id", "text"))
+    before, after = by_id(steps[3]), by_id(steps[4])
+    assert before.keys() == after.keys()
+    for i, r in after.items():
+        assert r.text == pii.redacted_text(before[i].text, models) and r.n_chars == len(r.text)
+    assert any(r.text != before[i].text for i, r in after.items())
+
+
+def test_packing(spark, sf_dir, steps):
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    places, loads = {}, {}
+    for r in steps[5].collect():
+        places[r.doc_id, r.piece] = (r.start, r.length, r.ids_crc32)
+        loads.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    expected = {}
+    for i, r in by_id(steps[4]).items():
+        ids = np.array([*tokenizer.encode(r.text, add_special_tokens=False).ids, 1], "<u4")
+        for k in range(-(-len(ids) // 4096)):
+            part = ids[4096 * k : 4096 * (k + 1)]
+            expected[i, k] = (4096 * k, len(part), zlib.crc32(part.tobytes()))
+    assert places == expected
+    for own in loads.values():
+        ends = np.cumsum([n for _, n in sorted(own)])
+        assert [at for at, _ in sorted(own)] == [0, *ends[:-1]] and ends[-1] <= 4096
+    assert len(loads) <= -(-sum(n for _, n, _ in places.values()) // 4096) + 1
+    assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).drop("sequence_id", "offset").collect())) == sorted(map(tuple, steps[5].drop("sequence_id", "offset").collect()))
