@@ -138,3 +138,34 @@ def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return found(docs, fitted(docs))
+
+
+@query(
+    "op6_quality_rules",
+    r"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), windows AS (
+        SELECT doc_id, n, p, count(*) OVER (PARTITION BY doc_id, n, md5(array_to_string(w[p : p + n - 1], ' '))) > 1 AS twice
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (VALUES (3), (10), (101)) AS ns(n))
+    ), covered AS (
+        SELECT doc_id, n, count(DISTINCT q) AS places FROM (SELECT doc_id, n, unnest(range(p, p + n)) AS q FROM windows WHERE twice) GROUP BY doc_id, n
+    ), numbers AS (
+        SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+            length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+            list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines,
+            coalesce((SELECT places FROM covered c WHERE c.doc_id = d.doc_id AND n = 3), 0)::BIGINT AS n_repeat_words,
+            coalesce((SELECT places FROM covered c WHERE c.doc_id = d.doc_id AND n = 10), 0)::BIGINT AS covered_words,
+            coalesce((SELECT places FROM covered c WHERE c.doc_id = d.doc_id AND n = 101), 0)::BIGINT AS too_long
+        FROM d
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_repeat_words,
+        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 10 * covered_words <= 3 * n_words AND too_long = 0 AS kept
+    FROM numbers
+    """,
+)
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daygrid.llm.repetition import judged
+
+    return judged(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("covered_words", "longest_repeat")
