@@ -10,9 +10,9 @@ import xxhash
 # Five words make a shingle; a text of fewer, but not none, is one shingle.
 SHINGLE = 5
 # Characters of text that are worked on at a time (a longer text alone).
-BLOCK = 6_000_000
+BLOCK = 3_000_000
 # Words whose hash a Python worker remembers.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -79,23 +79,30 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         hashes[at : at + len(found)] = np.fromiter(map(HASHES.__getitem__, found), np.uint64, len(found))
         at += len(found)
     doc = np.repeat(np.arange(len(own)), counts)
-    ends = np.cumsum(counts)[doc]  # one past the last word of the text
-    code = np.zeros(len(hashes), np.uint64)
-    place = np.arange(len(hashes))
-    for k in range(SHINGLE):  # words beyond the end of a short text count as nothing
-        inside = place + k < ends
-        code[inside] = code[inside] * _ODD + mix(hashes[place[inside] + k]) + np.uint64(k + 1)
-    whole = (place + SHINGLE <= ends) | (place == ends - counts[doc])
-    code, doc = mix(code[whole]), doc[whole]
+    word = mix(hashes)
+    code = word[: max(0, len(word) - SHINGLE + 1)].copy()
+    for k in range(1, SHINGLE):
+        code = code * _ODD + word[k : len(code) + k]
+    ends = np.cumsum(counts)
+    whole = np.flatnonzero(np.arange(len(code)) + SHINGLE <= ends[doc[: len(code)]])
+    code, doc = [mix(code[whole])], [doc[whole]]
+    for i in np.flatnonzero((counts > 0) & (counts < SHINGLE)):
+        short = word[ends[i] - counts[i] : ends[i]]
+        code.append(mix(np.array([np.bitwise_xor.reduce(short * (_ODD ** np.arange(1, len(short) + 1, dtype=np.uint64))) + np.uint64(len(short))])))
+        doc.append(np.array([i]))
+    code, doc = np.concatenate(code), np.concatenate(doc)
     key = mix(code + mix(doc.astype(np.uint64) + np.uint64(1)))  # one number for text and shingle
-    _, first, n = np.unique(key, return_index=True, return_counts=True)
-    order = np.argsort(doc[first], kind="stable")
-    return code[first][order], n[order], doc[first][order]
+    order = np.argsort(key)
+    first = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])) if len(key) else np.zeros(0, np.int64)
+    n = np.diff(np.append(first, len(key)))
+    return code[order[first]], n, doc[order[first]]
 
 
 def bags(texts: list[str]) -> list[np.ndarray]:
     """Each text's multiset of shingles as a set: the j-th copy of a shingle is a member of its own."""
     code, n, doc = shingles(texts)
+    order = np.argsort(doc, kind="stable")
+    code, n, doc = code[order], n[order], doc[order]
     copy = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     members = mix(np.repeat(code, n) + copy.astype(np.uint64) * _ODD)
     sizes = np.bincount(doc, weights=n, minlength=len(texts)).astype(np.int64)
