@@ -169,3 +169,10 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daygrid.llm.repetition import judged
 
     return judged(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("covered_words", "longest_repeat")
+
+
+@query("op5_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daygrid.llm.pages import extracted
+
+    return extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html")).withColumn("n_chars", F.char_length("text").cast("bigint"))
