@@ -176,3 +176,45 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daygrid.llm.pages import extracted
 
     return extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html")).withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+def _license_sql() -> str:
+    from daygrid.llm.licenses import NOTICES
+
+    rows = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(NOTICES))
+    words = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+    return f"""
+    WITH RECURSIVE sizes AS (
+        SELECT 5 AS size UNION ALL SELECT size + greatest(2, size // 4) FROM sizes WHERE size < 1000
+    ), n AS (
+        SELECT notice, license_id, w, (SELECT min(size) FROM sizes WHERE size >= len(w)) AS size FROM (SELECT notice, license_id, {words} AS w FROM (VALUES {rows}) AS v(notice, license_id, text))
+    ), s AS (
+        SELECT DISTINCT notice, license_id, size, greatest(1, (size - 4) // 4) AS step, array_to_string(w[p : p + 4], ' ') AS shingle FROM (SELECT *, unnest(range(1, len(w) - 3)) AS p FROM n)
+    ), totals AS (
+        SELECT notice, count(*) AS total FROM s GROUP BY notice
+    ), d AS (
+        SELECT doc_id, {words} AS w FROM documents
+    ), places AS (
+        SELECT doc_id, p - 1 AS p, array_to_string(w[p : p + 4], ' ') AS shingle FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM d)
+    ), cells AS (
+        SELECT doc_id, notice, license_id, s.shingle, unnest(range(greatest(0, ceil((p + 5 - size - step) / step))::BIGINT, (p // step) + 1)) AS cell FROM places JOIN s USING (shingle)
+    ), shares AS (
+        SELECT doc_id, license_id, max(share) AS share FROM (
+            SELECT doc_id, license_id, count(DISTINCT shingle) / any_value(total) AS share FROM cells JOIN totals USING (notice) GROUP BY doc_id, notice, license_id, cell
+        ) WHERE share >= 0.8 GROUP BY doc_id, license_id
+    ), own AS (
+        SELECT doc_id, count(*) AS n_licenses, string_agg(license_id, ',' ORDER BY license_id) AS licenses, round(max(share), 6) AS best FROM shares GROUP BY doc_id
+    )
+    SELECT doc_id, coalesce(n_licenses, 0)::BIGINT AS n_licenses, coalesce(licenses, '') AS licenses, coalesce(best, cast('0' as double)) AS best_containment FROM documents LEFT JOIN own USING (doc_id)
+    """
+
+
+@query("op2_license_scan", _license_sql())
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daygrid.llm.licenses import notices, scanned
+
+    found = scanned(table(spark, sf_dir, "documents").select("doc_id", "text"), notices(spark))
+    return found.select(
+        "doc_id", F.size("licenses").cast("bigint").alias("n_licenses"), F.array_join("licenses.license_id", ",").alias("licenses"),
+        F.round(F.coalesce(F.array_max("licenses.containment"), F.lit(0.0)), 6).alias("best_containment"),
+    )

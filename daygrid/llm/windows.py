@@ -36,6 +36,10 @@ def word_count(words: Column) -> Column:
     return (n - F.when(F.get(words, F.lit(0)) == "", 1).otherwise(0) - F.when((n > 1) & (F.get(words, n - 1) == ""), 1).otherwise(0)).cast("bigint")
 
 
+def _before_first(words: Column) -> Column:
+    return F.when(F.get(words, F.lit(0)) == "", 1).otherwise(0)
+
+
 def lowered(text: Column) -> Column:
     """A-Z in lower case, all else as it is."""
     return F.translate(text, UPPER, LOWER)
@@ -70,11 +74,10 @@ def index(docs: DataFrame, windows: DataFrame) -> DataFrame:
     return ranked.select("window", first["token"].alias("token"), first["offset"].alias("offset"), second["token"].alias("second"), second["offset"].alias("second_offset"), F.size("order").alias("length"))
 
 
-def occurrences(docs: DataFrame, windows: DataFrame, extra: Column | None = None) -> DataFrame:
+def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """``key, start, length, window`` for each place of a window in ``docs`` (``key, text``).
 
-    ``start`` counts raw words from 0. Repeated rows give repeated places. ``extra``
-    is one more column, named ``extra``, from ``words`` (the raw words) and ``start``.
+    ``start`` counts the document's words from 0. Repeated rows give repeated places.
     """
     indexed = stored(index(docs, windows))
     passes = max(1, -(-indexed.count() // PART))
@@ -88,8 +91,7 @@ def occurrences(docs: DataFrame, windows: DataFrame, extra: Column | None = None
         same = lowered(F.array_join(F.slice("words", start + 1, F.col("length")), " ")) == F.col("window")
         within = F.when(fits, F.when(second, same).otherwise(False)).otherwise(False)
         joined = placed.join(F.broadcast(part), (F.col("place_token") == F.col("token")) & within)
-        more = [] if extra is None else [extra.alias("extra")]
-        return joined.withColumn("start", start).select("key", "start", "length", "window", *more)
+        return joined.select("key", (start - _before_first(F.col("words"))).alias("start"), "length", "window")
 
     parts = [indexed.where(F.pmod(F.xxhash64("window"), F.lit(passes)) == i) for i in range(passes)]
     return reduce(DataFrame.unionByName, map(one, parts))
