@@ -58,7 +58,7 @@ def pointers(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     while 2 ** len(jumps) <= n and not active.isEmpty():
         jumps.append(active.select("tree", "node", "jump"))
         joined = active.alias("n").join(reduce(DataFrame.union, [*done, active]).alias("p"), _same("n", "p", "jump"))
-        state = stored(joined.select("n.tree", "n.node", "p.jump", (F.col("n.depth") + F.col("p.depth")).alias("depth"), (F.col("n.total") + F.col("p.total")).alias("total")))
+        state = stored(joined.select("n.tree", "n.node", "p.jump", (F.col("n.depth") + F.col("p.depth")).alias("depth"), (F.col("n.total") + F.col("p.total")).alias("total")), small=True)
         done.append(state.where("jump IS NULL"))
         active = state.where("jump IS NOT NULL")
     return reduce(DataFrame.union, done).drop("jump"), jumps
@@ -76,7 +76,7 @@ def best_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(score.desc(), "node"))
     spans = leaves.withColumn("rank", rank).where(F.col("rank") <= keep).select("tree", F.col("node").alias("path"), score.alias("score"), "node", F.col("depth").alias("position"), F.col("depth").alias("length"))
     for k in reversed(range(len(jumps))):
-        half, spans = 2**k, stored(spans)  # it is read twice
+        half, spans = 2**k, stored(spans, small=True)  # it is read twice
         upper = spans.where(F.col("length") > half).alias("s").join(jumps[k].alias("j"), _same("s", "j", "node"))
         spans = spans.withColumn("length", F.least("length", F.lit(half))).unionByName(
             upper.select("s.tree", "s.path", "s.score", F.col("j.jump").alias("node"), (F.col("s.position") - half).alias("position"), (F.col("s.length") - half).alias("length"))

@@ -27,10 +27,10 @@ SHARE = 20
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` (``doc_id, text``) as ``doc_id, n_words, n_hit, item_ids, contaminated``."""
     own = benchmark.select("item_id", F.explode(spread(words(F.col("text")), window)).alias("window"))
-    own = stored(own.distinct())
+    own = stored(own.distinct(), small=True)
     text = F.coalesce("text", F.lit(""))
     places = occurrences(docs.select(F.md5(text).alias("key"), "text"), own.select("window").distinct())
-    places = stored(places.distinct())
+    places = stored(places.distinct(), small=True)
     # Spans in order of start; each adds the words past the furthest end so far.
     step = lambda done, span: F.struct(
         F.greatest(done["end"], span["start"] + span["length"]).alias("end"),

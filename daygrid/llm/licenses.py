@@ -72,20 +72,20 @@ def _bands(shingles: Column) -> Column:
 
 def found(docs: DataFrame, given: DataFrame, contained: float = CONTAINED) -> DataFrame:
     """``key, license_id, containment``: the largest share of a notice of the licence in one window of the document ``key, text``."""
-    given = stored(given)
-    parts = stored(given.select("size", "step", F.explode("shingles").alias("window")).distinct())
+    given = stored(given, small=True)
+    parts = stored(given.select("size", "step", F.explode("shingles").alias("window")).distinct(), small=True)
     places = occurrences(docs, parts.select("window").distinct()).select("key", "start", "window").distinct()
     first = F.greatest(F.lit(0), F.ceil((F.col("start") + SHINGLE - F.col("size") - F.col("step")) / F.col("step"))).cast("int")
     last = F.floor(F.col("start") / F.col("step")).cast("int")
     cells = places.join(F.broadcast(parts), "window").select("key", "size", "step", F.explode(F.sequence(first, last)).alias("cell")).distinct()
-    cells = stored(cells.groupBy("key").agg(F.collect_set(F.struct("size", "step", "cell")).alias("cells")))
+    cells = stored(cells.groupBy("key").agg(F.collect_set(F.struct("size", "step", "cell")).alias("cells")), small=True)
     # Only documents with such a place are read as words again.
     known = docs.join(broadcast_within(cells, row_bound(cells, 100_000)), "key").groupBy("key").agg(F.first("cells").alias("cells"), F.first("text").alias("text"))
     split = known.select("key", F.explode("cells").alias("cell"), F.filter(F.split("text", SEPARATORS, -1), lambda w: w != "").alias("words"))
     text = lowered(F.array_join(F.slice("words", F.col("cell.cell") * F.col("cell.step") + 1, F.col("cell.size") + F.col("cell.step")), " "))
     windows = split.select("key", F.col("cell.size").alias("size"), F.col("cell.cell").alias("cell"), F.split(text, " ").alias("words"))
     own = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("words") - SHINGLE + 1), lambda i: F.array_join(F.slice("words", i, F.lit(SHINGLE)), " ")))
-    windows = stored(windows.where(F.size("words") >= SHINGLE).select("key", "size", "cell", own.alias("own")))
+    windows = stored(windows.where(F.size("words") >= SHINGLE).select("key", "size", "cell", own.alias("own")), small=True)
     left = windows.select("key", "size", "cell", "own", F.posexplode(_bands(F.col("own"))).alias("band", "hash"))
     right = given.select("notice", "size", F.posexplode(_bands(F.col("shingles"))).alias("band", "hash"))
     retrieved = left.join(F.broadcast(right), ["size", "band", "hash"]).groupBy("key", "size", "cell", "notice").agg(F.first("own").alias("own"))

@@ -133,14 +133,14 @@ def bagged(docs: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for the nodes of ``a, b`` pairs; a component is its least node."""
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).select("node", F.least("node", "component").alias("component")))
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), small=True)
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).select("node", F.least("node", "component").alias("component")), small=True)
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         lower = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("new"))
         # Then each label gives way to its own label, which halves long chains.
         after = lower.join(labels.select(F.col("node").alias("new"), F.col("component").alias("far")), "new", "left")
-        found = stored(after.select("node", "old", F.least("new", F.coalesce("far", "new")).alias("component")))
+        found = stored(after.select("node", "old", F.least("new", F.coalesce("far", "new")).alias("component")), small=True)
         changed = not found.where("old <> component").isEmpty()
         labels = found.select("node", "component")
         if not changed:
@@ -166,22 +166,22 @@ def links(docs: DataFrame, classes: DataFrame, similarity: float = SIMILARITY, r
     """
     keys = classes.select("node", F.posexplode("bands").alias("band", "key"))
     full = keys.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    members = stored(keys.join(full, ["band", "key"]).select("node", F.xxhash64("band", "key").alias("bucket")))
-    nodes = stored(members.select("node").distinct())
+    members = stored(keys.join(full, ["band", "key"]).select("node", F.xxhash64("band", "key").alias("bucket")), small=True)
+    nodes = stored(members.select("node").distinct(), small=True)
     bound = row_bound(nodes)
     if bound == 0:
         return None
-    wanted = stored(classes.join(broadcast_within(nodes, bound), "node").select("node", "digest"))
+    wanted = stored(classes.join(broadcast_within(nodes, bound), "node").select("node", "digest"), small=True)
     # Of equal texts any is as good, so one row of each is enough.
     texts = docs.select(_digest(F.col("text")).alias("digest"), "text").join(broadcast_within(wanted, bound), "digest")
     bag = stored(bagged(texts.groupBy("node").agg(F.first("text").alias("text"))))
     # The most typical member of a bucket is the one that shares buckets with most others.
     shared = members.join(members.groupBy("bucket").agg(F.count("*").alias("n")), "bucket")
-    known = stored(shared.groupBy("node").agg(F.sum("n").alias("shared")))
+    known = stored(shared.groupBy("node").agg(F.sum("n").alias("shared")), small=True)
     edges, labels = None, known.select("node", F.col("node").alias("component"))
     for k in range(rounds + 1):
         placed = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-        placed = stored(placed.join(known, "node"))
+        placed = stored(placed.join(known, "node"), small=True)
         # The first centre is the most typical member, the others are drawn among those outside the largest component.
         weight = F.col("shared") if k == 0 else F.xxhash64("node", F.lit(k))
         parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.max(F.struct(weight.alias("weight"), (-F.col("node")).alias("minus"))).alias("best"))
@@ -192,11 +192,11 @@ def links(docs: DataFrame, classes: DataFrame, similarity: float = SIMILARITY, r
             pairs = placed.join(mixed, "bucket").where("component <> centre.component").select(node.alias("a"), F.col("node").alias("b"))
         else:
             pairs = _apart(placed.join(mixed.select("bucket", "main"), "bucket"), bag, similarity)
-        pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), small=True)
         if pairs.isEmpty() and mixed.isEmpty():
             break
         found = verified(pairs, bag, similarity)
-        edges = stored(found if edges is None else edges.union(found))
+        edges = stored(found if edges is None else edges.union(found), small=True)
         labels = components(edges)
     return edges
 
@@ -209,13 +209,13 @@ def _apart(placed: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
     ones they share and the common ones of the one that has fewer. So a pair either shares
     a rare shingle, and is found by a join on these, or both have common ones enough; the others need no look.
     """
-    placed = stored(placed)
+    placed = stored(placed, small=True)
     nodes = placed.select("node", "component").distinct()
-    members = stored(bag.join(nodes, "node").select("node", "component", F.size("bag").alias("n"), F.explode("bag").alias("member")))
+    members = stored(bag.join(nodes, "node").select("node", "component", F.size("bag").alias("n"), F.explode("bag").alias("member")), small=True)
     often = members.groupBy("member").agg(F.count("*").alias("holders")).where("holders > 1")
-    held = stored(members.join(often, "member"))
+    held = stored(members.join(often, "member"), small=True)
     common = held.where(F.col("holders") > RARE).groupBy("node").agg(F.count("*").alias("common"))
-    sizes = stored(members.select("node", "component", "n").distinct().join(common, "node", "left").fillna(0, ["common"]))
+    sizes = stored(members.select("node", "component", "n").distinct().join(common, "node", "left").fillna(0, ["common"]), small=True)
     share = similarity / (1 + similarity)
     left, right = (sizes.select(*(F.col(c).alias(f"{c}_{side}") for c in sizes.columns)) for side in "ab")
     needed = share * (F.col("n_a") + F.col("n_b")) - F.least("common_a", "common_b")
@@ -259,13 +259,13 @@ def stays() -> Column:
 
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row of ``docs`` for each group; all columns stay. Rows that repeat with id and text leave one, with the least other columns."""
-    found = stored(groups(docs.select("doc_id", "text"), similarity).where("digest IS NOT NULL"))
+    found = stored(groups(docs.select("doc_id", "text"), similarity).where("digest IS NOT NULL"), small=True)
     counted = found.groupBy("doc_id", "digest").agg(F.count("*").alias("n"), F.max(stays()).alias("kept"))
     gone = counted.where("NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone"))
-    gone = stored(gone)
+    gone = stored(gone, small=True)
     match = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (_digest(F.col("text")) == F.col("gone"))
     left = docs.join(broadcast_within(gone, row_bound(gone)), match, "left_anti")
-    twice = stored(counted.where("kept AND n > 1").select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone")))
+    twice = stored(counted.where("kept AND n > 1").select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone")), small=True)
     if twice.isEmpty():
         return left
     repeated = left.join(twice, match, "left_semi")

@@ -207,7 +207,7 @@ def extracted(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES)
     """``page_id, url, text`` of every row of ``pages`` (``page_id, url, html``)."""
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), host_and_path(F.col("url"))[0].alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     # At most 1 / share subtrees side by side can be on that share of the pages, each with those inside it.
-    known = stored(templates(rows, share, least).groupBy("host").agg(F.sort_array(F.collect_list("digest")).alias("template")))
+    known = stored(templates(rows, share, least).groupBy("host").agg(F.sort_array(F.collect_list("digest")).alias("template")), small=True)
     joined = rows.join(broadcast_within(known, row_bound(known, 10_000)), "host", "left").select("page_id", "url", "html", "template")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -148,7 +148,7 @@ def mined(rows: DataFrame) -> list[str]:
         names = list(total[0].keys() | total[1].keys())
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([total[c][e] for e in names], pa.int64()) for c in (1, 0))], names=["entry", "t", "c"])
 
-    summed = stored(rows.mapInArrow(presence, "entry string, t bigint, c bigint").groupBy("entry").agg(F.sum("t").alias("t"), F.sum("c").alias("c")))
+    summed = stored(rows.mapInArrow(presence, "entry string, t bigint, c bigint").groupBy("entry").agg(F.sum("t").alias("t"), F.sum("c").alias("c")), small=True)
     texts = summed.where("entry = ''").first()
     if texts is None or not texts["t"] or not texts["c"]:
         return []

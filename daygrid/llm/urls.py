@@ -79,7 +79,7 @@ def model(texts: DataFrame, order: int = ORDER) -> DataFrame:
     ``texts``: ``text, allow, block`` with the numbers of accepted and rejected URLs that read so.
     """
     grams = texts.select(F.explode(_grams(F.col("text"), order)).alias("gram"), "allow", "block")
-    grams = stored(grams.groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")))
+    grams = stored(grams.groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")), small=True)
     below = None
     for k in range(order + 1):
         # Sums over all longer grams with this ending; at most ALPHABET of them share a context.
@@ -94,7 +94,7 @@ def model(texts: DataFrame, order: int = ORDER) -> DataFrame:
         mixed = {c: F.when(F.col(f"n_{c}") > 0, (F.col(c) + F.col(f"t_{c}") * F.col(f"p_{c}")) / (F.col(f"n_{c}") + F.col(f"t_{c}"))).otherwise(F.col(f"p_{c}")) for c in ("allow", "block")}
         below = level.select(F.col("gram").alias("end"), *(p.alias(f"p_{c}") for c, p in mixed.items()))
         if k % 2:
-            below = stored(below)
+            below = stored(below, small=True)
     return below.select(F.col("end").alias("gram"), (F.log("p_allow") - F.log("p_block")).alias("ratio"))
 
 

@@ -66,7 +66,7 @@ def _frequencies(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
 def index(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """``windows`` (distinct ``window`` strings) under their rarest word, with the second rarest."""
     entries = windows.select("window", F.posexplode(F.split("window", " ")).alias("offset", "word")).withColumn("token", F.lower("word"))
-    frequencies = _frequencies(docs, stored(entries.select("token").distinct()))
+    frequencies = _frequencies(docs, stored(entries.select("token").distinct(), small=True))
     ranked = entries.join(frequencies, "token", "left").groupBy("window").agg(
         F.sort_array(F.collect_list(F.struct(F.coalesce("frequency", F.lit(0).cast("bigint")).alias("frequency"), "token", "offset"))).alias("order")
     )
@@ -79,7 +79,7 @@ def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
 
     ``start`` counts the document's words from 0. Repeated rows give repeated places.
     """
-    indexed = stored(index(docs, windows))
+    indexed = stored(index(docs, windows), small=True)
     passes = max(1, -(-indexed.count() // PART))
     split = docs.select("key", raw_words(F.col("text")).alias("words"))
     placed = split.select("key", "words", F.posexplode("words").alias("place", "word")).withColumn("place_token", F.lower("word"))
