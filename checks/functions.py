@@ -87,22 +87,19 @@ _EAST, _NORTH = sql_stereo(num(-152.0), num(64.0))
 
 
 @check("f6_grid_origin", with_views(f"""
-select ny, round({_EAST} - 4.5e0 * {num(200000.0)}, 2) as x_origin, round({_NORTH} - (ny - 1) / 2.0e0 * ({num(2000000.0)} / ny), 2) as y_origin,
+select round({_EAST} - 4.5e0 * {num(200000.0)}, 2) as x_origin, round({_NORTH} - (ny - 1) / 2.0e0 * ({num(2000000.0)} / ny), 2) as y_origin,
+  round({_EAST} + 4.5e0 * {num(200000.0)}, 2) as x_end, round({_NORTH} + (ny - 1) / 2.0e0 * ({num(2000000.0)} / ny), 2) as y_end,
   count(*) as cells from domain, cells group by ny"""))
 def _(spark, sf_dir):
-    rows = v.grid_rows(spark, sf_dir)
-    grid = v.model_grid(rows)
-    return v.cells(spark, sf_dir).groupBy(F.lit(rows).alias("ny")).agg(F.count(F.lit(1)).alias("cells")).select(
-        "ny", F.lit(round(grid.x.origin, 2)).alias("x_origin"), F.lit(round(grid.y.origin, 2)).alias("y_origin"), "cells"
+    """Where the grid of a table's cells begins and ends, from the centres of its cells."""
+    grid = v.model_grid(v.grid_rows(spark, sf_dir))
+    x, y = grid.x.centre(F.col("west_east")), grid.y.centre(F.col("south_north"))
+    return v.cells(spark, sf_dir).agg(
+        F.round(F.min(x), 2).alias("x_origin"), F.round(F.min(y), 2).alias("y_origin"),
+        F.round(F.max(x), 2).alias("x_end"), F.round(F.max(y), 2).alias("y_end"), F.count(F.lit(1)).alias("cells"),
     )
 
 
-@check("f7_cell_centres", with_views("select y_idx, x_idx, round(y, 2) as y, round(x, 2) as x from grid_cells"))
-def _(spark, sf_dir):
-    cells = grid_cells(spark, v.target_grid(v.grid_rows(spark, sf_dir)))
-    return cells.withColumns({"y": F.round("y", 2), "x": F.round("x", 2)})
-
-
 @check("f8_angles", with_views("""
 select event_id, round(sin(radians(value)), 9) as s, round(cos(radians(value)), 9) as c,
   round((degrees(atan2(sin(radians(value)), cos(radians(value)))) + 360) % 360, 6) as turned from events"""))

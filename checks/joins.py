@@ -14,9 +14,10 @@ from daygrid.operators import audit
 from daygrid.operators.compare import align
 from daygrid.operators.daily import daily_wide, time_axis
 from daygrid.operators.nearest import nearest_cells, nearest_on_grid, neighbourhood
-from daygrid.operators.regrid import missing_cells, regrid, stored_regrid_map
+from daygrid.operators.regrid import full_cube, stored_regrid_map
 from daygrid.plans.points import projected
 from daygrid.plans.verify import assemble
+from daygrid.sizing import stored
 from daygrid.sources import logs
 from daygrid.sources.hourly import append_in_time
 
@@ -114,21 +115,17 @@ def _(spark, sf_dir):
 
 
 @check("j8_regrid", with_views("""
-select cast(d.time as varchar) as day, m.y_idx, m.x_idx, round(m.y, 2) as y, round(m.x, 2) as x, round(d.t2_mean, 6) as t2_mean
-from (select cast(time as date) as time, south_north, west_east, avg(T2) - 273.15e0 as t2_mean from years_hourly group by all) d
-join grid_map m on d.south_north = m.south_north and d.west_east = m.west_east
-union all
-select cast(s.time as varchar), m.y_idx, m.x_idx, round(m.y, 2), round(m.x, 2), null
-from calendar s, grid_map m where m.south_north is null or s.gap"""))
+select cast(d0.time as varchar) as day, m.y_idx, m.x_idx, round(m.y, 2) as y, round(m.x, 2) as x, round(d.t2_mean, 6) as t2_mean
+from calendar d0 cross join grid_map m
+left join (select cast(time as date) as time, south_north, west_east, avg(T2) - 273.15e0 as t2_mean from years_hourly group by all) d
+  on d.time = d0.time and d.south_north = m.south_north and d.west_east = m.west_east"""))
 def _(spark, sf_dir):
     rows = v.grid_rows(spark, sf_dir)
     target = v.target_grid(rows)
     h = v.years_hourly(spark, sf_dir)
     cells = stored_regrid_map(spark, v.model_grid(rows), target)
-    axis = time_axis(h)
-    inside = regrid(daily_wide(h, ["t2_mean"]), cells, target.cells)
-    empty = missing_cells(cells, target.cells, axis.spans, axis.gaps).drop("level")
-    return inside.unionByName(empty, allowMissingColumns=True).select(
+    daily = stored(daily_wide(h, ["t2_mean"]).withColumn("level", F.lit(None).cast("int")))
+    return full_cube(daily, cells, target.cells, time_axis(daily)).select(
         F.col("time").cast("string").alias("day"), "y_idx", "x_idx",
         F.round("y", 2).alias("y"), F.round("x", 2).alias("x"), F.round("t2_mean", 6).alias("t2_mean"),
     )
@@ -186,9 +183,9 @@ def _(spark, sf_dir):
 
 @check("j12_did_you_mean", with_views("""
 select r.name, c.name is not null as is_valid,
-  case when c.name is not null then concat('Variable ''', r.name, ''' found')
-    when s.names is not null then concat('Variable ''', r.name, ''' not found. Did you mean one of: ', s.names, '?')
-    else concat('Variable ''', r.name, ''' not found in available variables.') end as message
+  case when c.name is not null then concat('''', r.name, ''' is in the catalogue')
+    when s.names is not null then concat('''', r.name, ''' is unknown; similar names: ', s.names)
+    else concat('''', r.name, ''' is unknown') end as message
 from (select distinct name from requests) r left join catalog c using (name)
 left join (select q.name, string_agg(c.name, ', ' order by c.pos) as names from (select distinct name from requests) q, catalog c
   where contains(lower(c.name), lower(q.name)) or contains(lower(q.name), lower(c.name)) group by q.name) s on s.name = r.name""", _REQUESTS))
@@ -200,11 +197,12 @@ _BOTH = " and ".join(f"contains(content, '{p}')" for p in PAGE_PHRASES)
 
 
 @check("j13_retry_list", with_views(f"""
-select distinct variable, year from page_logs where {_BOTH} and variable in (select lang from documents) and year between 0 and 500""", LOG_VIEW))
+select distinct variable, year from page_logs where {_BOTH} and variable in (select lang from documents)""", LOG_VIEW))
 def _(spark, sf_dir):
     variables = v.table(spark, sf_dir, "documents").select(F.col("lang").alias("variable")).distinct()
     found = logs.timed_out(page_logs(spark, sf_dir), PAGE_NAME, PAGE_PHRASES)
-    return logs.retry_list(found, audit.work_list(variables, 0, 500))
+    first, last = logs.units_of(page_logs(spark, sf_dir), PAGE_NAME).agg(F.min("year"), F.max("year")).first()
+    return logs.retry_list(found, audit.work_list(variables, first, last))
 
 
 @check("g1_sorted_names", with_views("select path, variables from sets", FILE_VIEW))
@@ -222,8 +220,7 @@ def _(spark, sf_dir):
 select path, variables = (select variables from sets order by path limit 1) as same from sets""", FILE_VIEW))
 def _(spark, sf_dir):
     sets = audit.variable_sets(file_vars(spark, sf_dir))
-    baseline = sets.agg(F.min_by("variables", "path")).scalar()
-    return sets.select("path", (F.col("variables") == baseline).alias("same"))
+    return audit.compared_sets(sets).select("path", F.col("is_baseline").alias("same"))
 
 
 @check("g5_concatenation", with_views("""

@@ -16,6 +16,8 @@ from daygrid.operators import audit, yearly
 from daygrid.operators.compare import best_offset, offset_differences
 from daygrid.operators.daily import complete_days, daily_long, daily_outputs
 from daygrid.operators.nearest import neighbourhood
+from daygrid.plans.produce import produce
+from daygrid.sizing import shared_folder
 
 _DAY = "cast(cast(time as date) as varchar) as day, south_north, west_east"
 
@@ -106,24 +108,28 @@ def _(spark, sf_dir):
 
 
 @check("u1_pluggable_aggregate", with_views(f"""
-select {_DAY}, 'spread' as variable, round(max(value) - min(value), 6) as value from obs where var_id = 'T2' group by cast(time as date), south_north, west_east
-union all
-select {_DAY}, 'rainnc_sum', round(coalesce(sum(value), 0), 6) from obs where var_id = 'rainnc' group by cast(time as date), south_north, west_east"""))
+select variable, cast(year(c.time) as integer) as year, cast(c.time as varchar) as day, y_idx, x_idx, round(value, 6) as value
+from (select unnest({[f"{x}_spread" for x in v.EVENT_VARIABLES.values()] + ["rainnc_sum"]}) as variable) n cross join event_calendar c cross join event_map m
+left join made d using (variable, time, south_north, west_east)""",
+    {"made": f"""made as (select concat(var_id, '_spread') as variable, cast(time as date) as time, south_north, west_east, max(value) - min(value) as value from obs group by all
+  union all select 'rainnc_sum', cast(time as date), south_north, west_east, coalesce(sum(value) filter (var_id = 'rainnc'), 0) from obs group by all)"""}))
 def _(spark, sf_dir):
-    """An aggregate of the user's own next to one of the catalogue."""
-    spread = DailyVariable("spread", "T2", "spread", 0.0, "", "", "", "")
+    """Aggregates of the user's own for all variables, next to one of the catalogue, written as a product and read back."""
+    spread = [DailyVariable(f"{x}_spread", x, "spread", 0.0, "", "", "", "") for x in v.EVENT_VARIABLES.values()]
     kinds = {"spread": lambda c: F.max(present(c)) - F.min(present(c))}
-    return daily_rows(daily_long(v.obs(spark, sf_dir), [spread, "rainnc_sum"], kinds=kinds), "variable")
+    rows = v.grid_rows(spark, sf_dir, "events", "user_id")
+    made = produce(v.hourly(spark, sf_dir), [*spread, "rainnc_sum"], 2024, 2024, v.model_grid(rows), v.target_grid(rows), shared_folder(spark), kinds=kinds)
+    return made.select("variable", "year", F.col("time").cast("string").alias("day"), "y_idx", "x_idx", F.round("value", 6).alias("value"))
 
 
 @check("n3_complete_days", with_views("""
-select cast(cast(f.time as date) as varchar) as day, f.south_north, f.west_east, round(d.value, 6) as value
-from (select c.south_north, c.west_east, t.range as time from (select distinct south_north, west_east from rain) c,
-  range((select min(time) from rain), (select max(time) from rain) + interval 1 day, interval 1 day) t) f
-left join rain d on d.south_north = f.south_north and d.west_east = f.west_east and d.time = cast(f.time as date)""",
-    {"rain": "rain as (select cast(time as date) as time, south_north, west_east, coalesce(sum(value), 0) as value from obs where var_id = 'rainnc' group by all)"}))
+select cast(cast(f.time as date) as varchar) as day, f.south_north, f.west_east, f.variable, round(d.value, 6) as value
+from (select c.south_north, c.west_east, c.variable, t.range as time from (select distinct south_north, west_east, variable from sums) c,
+  range((select min(time) from sums), (select max(time) from sums) + interval 1 day, interval 1 day) t) f
+left join sums d on d.south_north = f.south_north and d.west_east = f.west_east and d.variable = f.variable and d.time = cast(f.time as date)""",
+    {"sums": "sums as (select cast(time as date) as time, south_north, west_east, concat(var_id, '_sum') as variable, coalesce(sum(value), 0) as value from obs group by all)"}))
 def _(spark, sf_dir):
-    return daily_rows(complete_days(daily_long(v.obs(spark, sf_dir), ["rainnc_sum"]).drop("variable")))
+    return daily_rows(complete_days(daily_long(v.obs(spark, sf_dir), _of("sum", "sum"))), "variable")
 
 
 # --- years ---------------------------------------------------------------

@@ -19,7 +19,11 @@ from daygrid.sizing import shared_folder
 from daygrid.sources import hourly as src
 from daygrid.sources import logs, product
 
-SHORT = ["t2_mean", "rainnc_sum"]
+# One output of each observed variable.
+SHORT = ["t2_mean", "seaice_max", "rainnc_sum", "rh2_mean", "wspd10_max"]
+# A time of day as text, in Spark and in SQL.
+HOUR = "yyyy-MM-dd HH:mm:ss"
+_HOUR = "strftime(time, '%Y-%m-%d %H:%M:%S') as time"
 
 # Catalogue rows as a SQL relation.
 _VALUES = ",\n".join(
@@ -37,21 +41,24 @@ CATALOG_VIEW = {
 select cast(time as varchar) as hour, south_north, west_east, T2, rainnc from (
   select cast(time as date) as time, south_north, west_east, T2, rainnc, year from years_hourly) y where year = 1996"""))
 def _(spark, sf_dir):
-    rows = src.require_years(v.years_hourly(spark, sf_dir).where(within_years("time", 1996, 1996)), 1996, 1996)
+    """One year of a table that is partitioned by year."""
+    root = shared_folder(spark)
+    v.years_hourly(spark, sf_dir).write.partitionBy("year").parquet(root)
+    rows = src.read_years(spark, root, 1996)
     return rows.select(F.to_date("time").cast("string").alias("hour"), "south_north", "west_east", "T2", "rainnc")
 
 
-@check("s2_column_pruned_read", with_views("select south_north, west_east, year, T2 from years_hourly"))
+@check("s2_column_pruned_read", with_views(f"select {_HOUR}, south_north, west_east, year, T2 from years_hourly"))
 def _(spark, sf_dir):
-    return src.for_outputs(v.years_hourly(spark, sf_dir), ["t2_mean", "t2_max"]).drop("time")
+    return src.for_outputs(v.years_hourly(spark, sf_dir), ["t2_mean", "t2_max"]).withColumn("time", F.date_format("time", HOUR))
 
 
-@check("s3_batched_append", with_views("select south_north, west_east, var_id, value from obs"))
+@check("s3_batched_append", with_views(f"select {_HOUR}, south_north, west_east, var_id, value from obs"))
 def _(spark, sf_dir):
     o = v.obs(spark, sf_dir)
     middle = F.lit("2024-01-16").cast("timestamp_ntz")
     both = src.append_in_time([o.where(F.col("time") < middle), o.where(F.col("time") >= middle)])
-    return both.drop("time")
+    return both.withColumn("time", F.date_format("time", HOUR))
 
 
 @check("s4_combine_by_coords", with_views("""
@@ -62,32 +69,30 @@ def _(spark, sf_dir):
     return src.overlapping_hours(by_day).select(F.col("time").cast("string").alias("day"), "south_north", "west_east", "var_id", "copies")
 
 
+def _written_fields(spark, sf_dir):
+    """The folder of a product with the fields of the tables."""
+    root = shared_folder(spark)
+    placed = v.fields(spark, sf_dir).withColumns({"y": F.col("y_idx").cast("double"), "x": F.col("x_idx").cast("double")})
+    product.write_fields(placed, root)
+    return root
+
+
 @check("s5_variable_all_years", with_views("select year, y_idx, x_idx, value from fields where variable = 'rainnc_sum'"))
 def _(spark, sf_dir):
-    return v.fields(spark, sf_dir).where(F.col("variable") == "rainnc_sum").select("year", "y_idx", "x_idx", "value")
+    fields = product.read_product(spark, _written_fields(spark, sf_dir), ["rainnc_sum"])
+    return fields.select("year", "y_idx", "x_idx", "value")
 
 
 @check("s12_unit_open", with_views("""
 select cast(time as varchar) as day, y_idx, x_idx, value from fields where variable = 't2_mean' and year = 1997"""))
 def _(spark, sf_dir):
-    unit = v.fields(spark, sf_dir).where(within_years("time", 1997, 1997) & (F.col("variable") == "t2_mean"))
+    unit = product.read_product(spark, _written_fields(spark, sf_dir), ["t2_mean"], (1997, 1997))
     return unit.select(F.col("time").cast("string").alias("day"), "y_idx", "x_idx", "value")
 
 
 _EAST, _NORTH = v.sql_stereo(num(-152.0), num(64.0))
 
 
-@check("s7_grid_axes", with_views(f"""
-select 'x' as axis, cast(r.range as integer) as index, round({_EAST} - {num(900000.0)} + r.range * {num(200000.0)}, 2) as coordinate
-from range(10) r
-union all
-select 'y', cast(r.range as integer), round({_NORTH} - (ny - 1) / 2.0e0 * ({num(2000000.0)} / ny) + r.range * ({num(2000000.0)} / ny), 2)
-from domain, range(domain.ny) r"""))
-def _(spark, sf_dir):
-    axes = grid_axes(spark, v.model_grid(v.grid_rows(spark, sf_dir)))
-    return axes.withColumn("coordinate", F.round("coordinate", 2))
-
-
 @check("s8_catalogue", with_views("""
 select name, var_id, short_name, standard_name, units, agg_kind, description, cell_methods, shift, dims, n
 from (select var_id, count(*) as n from obs group by var_id) o join catalog using (var_id)""", CATALOG_VIEW))
@@ -97,7 +102,7 @@ def _(spark, sf_dir):
 
 
 def _small_product(spark, sf_dir):
-    """Daily values of two variables as product rows on the source cells."""
+    """Daily values of all variables as product rows on the source cells."""
     long = daily_long(v.obs(spark, sf_dir), SHORT)
     return long.select(
         "time", F.lit(None).cast("int").alias("level"),
@@ -107,11 +112,12 @@ def _small_product(spark, sf_dir):
     )
 
 
-_SMALL = """small as (
-  select 't2_mean' as variable, cast(time as date) as day, south_north, west_east, avg(value) + cast('-273.15' as double) as value
-  from obs where var_id = 'T2' group by all
-  union all
-  select 'rainnc_sum', cast(time as date), south_north, west_east, coalesce(sum(value), 0) from obs where var_id = 'rainnc' group by all)"""
+_SQL_KIND = {"mean": "avg(value)", "max": "max(value)", "sum": "coalesce(sum(value), 0)"}
+_SMALL = "small as (" + " union all ".join(
+    f"select '{n}' as variable, cast(time as date) as day, south_north, west_east, {_SQL_KIND[cat.CATALOG[n].agg_kind]} + {num(cat.CATALOG[n].offset)} as value "
+    f"from obs where var_id = '{cat.CATALOG[n].var_id}' group by cast(time as date), south_north, west_east"
+    for n in SHORT
+) + ")"
 _PRODUCT_ROW = "variable, cast(year(day) as integer) as year, cast(day as varchar) as day, south_north as y_idx, west_east as x_idx"
 
 
@@ -129,7 +135,7 @@ def _(spark, sf_dir):
 @check("s10_write_guard", with_views(f"""
 select {_PRODUCT_ROW}, round(case when variable = 'rainnc_sum' then 2 * value else value end, 6) as value from small""", {"small": _SMALL}))
 def _(spark, sf_dir):
-    """Write two units, be refused one of them, then replace that one: the other stays."""
+    """Write units, be refused one of them, then replace that one: the others stay."""
     root = shared_folder(spark)
     rows = _small_product(spark, sf_dir)
     product.write_fields(rows, root)
@@ -143,7 +149,7 @@ def _(spark, sf_dir):
     return _product_rows(product.read_product(spark, root))
 
 
-PAGE_NAME = r"example\.\w+/(\w\w)/(\d{1,4})"
+PAGE_NAME = r"example\.\w+/(\w\w)/(\d+)"
 PAGE_PHRASES = ('lang="en"', " was ")
 
 
@@ -153,8 +159,8 @@ def page_logs(spark, sf_dir):
 
 
 LOG_VIEW = {
-    "page_logs": r"""page_logs as (select url as path, html as content, regexp_extract(url, 'example\.\w+/(\w\w)/(\d{1,4})', 1) as variable,
-  try_cast(regexp_extract(url, 'example\.\w+/(\w\w)/(\d{1,4})', 2) as integer) as year from pages)"""
+    "page_logs": r"""page_logs as (select url as path, html as content, regexp_extract(url, 'example\.\w+/(\w\w)/(\d+)', 1) as variable,
+  try_cast(regexp_extract(url, 'example\.\w+/(\w\w)/(\d+)', 2) as bigint) as year from pages)"""
 }
 
 
@@ -295,28 +301,30 @@ def _(spark, sf_dir):
     )
 
 
-def _attribute_rows(seen):
-    """Variables of a table with the attributes that their daily outputs carry."""
-    return cat.with_catalog(seen).select(
-        "name", F.col("description").alias("long_name"), "units", "standard_name",
-        F.coalesce("cell_methods", F.lit("unknown")).alias("cell_methods"),
-    )
+# What the source says of itself: the description and the projection do not hold for a daily product.
+_INHERITED = {"stagger": "none", "projection": "source", "description": "hourly", "units": "source units"}
 
 
 @check("p15_attributes", with_views("""
-select name, description as long_name, units, standard_name, coalesce(cell_methods, 'unknown') as cell_methods
-from (select distinct var_id from hourly_names) o join catalog using (var_id)""",
+select name, description as long_name, units, standard_name, coalesce(cell_methods, 'unknown') as cell_methods, 'none' as stagger, 4 + 1 as n_attributes, n
+from (select var_id, count(*) as n from hourly_names group by var_id) o join catalog using (var_id)""",
     {**CATALOG_VIEW, "hourly_names": f"hourly_names as (select {v.sql_case('event_type', _DIMS)} as var_id from events)"}))
 def _(spark, sf_dir):
+    """Attributes of the daily outputs of all variables of a table: the source's own under the catalogue's."""
     var_id = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(u)) for k, u in _DIMS.items()])
-    return _attribute_rows(v.table(spark, sf_dir, "events").select(var_id.alias("var_id")).distinct())
+    seen = cat.with_catalog(v.table(spark, sf_dir, "events").groupBy(var_id.alias("var_id")).agg(F.count(F.lit(1)).alias("n")))
+    merged = [(e.name, product.merge_attributes(_INHERITED, e)) for e in cat.CATALOG.values()]
+    attributes = spark.createDataFrame(merged, "name string, attrs map<string,string>")
+    a = F.col("attrs")
+    return seen.select("name", "n").join(F.broadcast(attributes), "name").select(
+        "name", *[a[k].alias(k) for k in ("long_name", "units", "standard_name", "cell_methods", "stagger")], F.size(a).alias("n_attributes"), "n"
+    )
 
 
 @check("p16_dataset_attributes", with_views("""
 select variable, year, 'CF-1.8' as conventions, concat('Daily aggregated ', variable, ' on EPSG:3338') as title,
   '2024-02-01 00:00:00 UTC: Created with Spark' as history, 'example archive' as institution, 'T' as time_axis, n
-from (select 't2_mean' as variable, cast(year(time) as integer) as year, count(*) as n from obs where var_id = 'T2' group by all
-  union all select 'rainnc_sum', cast(year(time) as integer), count(*) from obs where var_id = 'rainnc' group by all) u"""))
+from (""" + " union all ".join(f"select '{n}' as variable, cast(year(time) as integer) as year, count(*) as n from obs where var_id = '{cat.CATALOG[n].var_id}' group by year(time)" for n in SHORT) + ") u"))
 def _(spark, sf_dir):
     """Attributes of the units that the observations give, next to their number of hours."""
     o = v.obs(spark, sf_dir)
@@ -333,19 +341,17 @@ def _(spark, sf_dir):
     )
 
 
-@check("p20_crs_tag", with_views(f"""
-select variable, 'EPSG:3338' as crs, 'x' as x_dim, 'y' as y_dim, cast(12 as integer) as x_count, ny + 2 as y_count, n
-from domain, (select 't2_mean' as variable, count(*) as n from obs where var_id = 'T2') u"""))
+@check("p20_crs_tag", with_views("""
+select variable, 'EPSG:3338' as crs, 'x' as x_dim, 'y' as y_dim, '12' as x_count, cast(ny + 2 as varchar) as y_count, n
+from domain, (""" + " union all ".join(f"select '{n}' as variable, count(*) as n from obs where var_id = '{cat.CATALOG[n].var_id}'" for n in SHORT) + ") u"))
 def _(spark, sf_dir):
-    """A field tagged with its grid: the tag travels in the column's metadata."""
+    """The grid of each unit, as read back from the attributes that were written with it, next to its number of hours."""
+    root = shared_folder(spark)
     grid = v.target_grid(v.grid_rows(spark, sf_dir))
-    field = v.obs(spark, sf_dir).where(F.col("var_id") == "T2").select("value")
-    tagged = product.with_attributes(field, grid.attributes())
-    tag = tagged.schema["value"].metadata
-    return tagged.groupBy().agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("t2_mean").alias("variable"), F.lit(tag["crs"]).alias("crs"), F.lit(tag["x_dim"]).alias("x_dim"),
-        F.lit(tag["y_dim"]).alias("y_dim"), F.lit(int(tag["x_count"])).alias("x_count"), F.lit(int(tag["y_count"])).alias("y_count"), "n",
-    )
+    product.write_attributes(product.attributes_frame(spark, SHORT, [2024], grid), root)
+    seen = cat.with_catalog(v.obs(spark, sf_dir).groupBy("var_id").agg(F.count(F.lit(1)).alias("n")))
+    units = seen.select(F.col("name").alias("variable"), "n").join(product.read_attributes(spark, root), "variable")
+    return units.select("variable", *[F.col("attrs")[k].alias(k) for k in ("crs", "x_dim", "y_dim", "x_count", "y_count")], "n")
 
 
 _BOTH = " and ".join(f"contains(content, '{p}')" for p in PAGE_PHRASES)

@@ -144,9 +144,9 @@ def resolve(names: Iterable[str | DailyVariable]) -> list[DailyVariable]:
     return [n if isinstance(n, DailyVariable) else lookup(n) for n in names]
 
 
-def source_variables(names: Iterable[str]) -> list[str]:
+def source_variables(names: Iterable[str | DailyVariable]) -> list[str]:
     """Distinct source variables that a request needs; unknown names are ignored."""
-    return list(dict.fromkeys(CATALOG[n].var_id for n in names if n in CATALOG))
+    return list(dict.fromkeys(e.var_id for e in resolve(n for n in names if isinstance(n, DailyVariable) or n in CATALOG)))
 
 
 def catalog_frame(spark: SparkSession, names: Iterable[str | DailyVariable] | None = None) -> DataFrame:
@@ -186,14 +186,14 @@ def suggestions(requested: Column) -> Column:
 def request_report(df: DataFrame, column: str) -> DataFrame:
     """One row per distinct request: whether it is known, and the message a user should see."""
     c = F.col(column)
-    quoted = F.concat(F.lit("Variable '"), c)
+    quoted = F.concat(F.lit("'"), c, F.lit("' "))
     similar = F.array_join(suggestions(c), ", ")
     found = c.isin(list(CATALOG))
     message = (
-        F.when(c.isNull() | (c == ""), F.lit("No variable name provided"))
-        .when(found, F.concat(quoted, F.lit("' found")))
-        .when(similar != "", F.concat(quoted, F.lit("' not found. Did you mean one of: "), similar, F.lit("?")))
-        .otherwise(F.concat(quoted, F.lit("' not found in available variables.")))
+        F.when(c.isNull() | (c == ""), F.lit("empty request"))
+        .when(found, F.concat(quoted, F.lit("is in the catalogue")))
+        .when(similar != "", F.concat(quoted, F.lit("is unknown; similar names: "), similar))
+        .otherwise(F.concat(quoted, F.lit("is unknown")))
     )
     return df.select(column).distinct().select(
         column, F.coalesce(found, F.lit(False)).alias("is_valid"), message.alias("message")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daygrid.sizing import stored
+
 UNIT = ("variable", "year")
 
 
@@ -59,14 +61,25 @@ def set_groups(sets: DataFrame) -> DataFrame:
     The baseline is the set of the first file by path; ``is_baseline`` marks it.
     """
     groups = sets.groupBy("variables").agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("example"))
-    first_path = groups.agg(F.min("example")).scalar()
-    return groups.withColumn("is_baseline", F.col("example") == first_path)
+    # One row per different set is left; the whole list of them is carried once to find the first.
+    every = groups.groupBy().agg(F.min("example").alias("first"), F.collect_list(F.struct("variables", "files", "example")).alias("groups"))
+    return every.select("first", F.inline("groups")).select("variables", "files", "example", (F.col("example") == F.col("first")).alias("is_baseline"))
+
+
+def compared_sets(sets: DataFrame) -> DataFrame:
+    """Each file with whether its variable set is that of the first file by path.
+
+    The sets are stored: they are read once to find the first and once to compare, and made once.
+    """
+    sets = stored(sets)
+    baseline = sets.agg(F.min_by("variables", "path")).first()[0]
+    same = F.lit(None).cast("boolean") if baseline is None else F.col("variables") == F.array(*map(F.lit, baseline)).cast("array<string>")
+    return sets.withColumn("is_baseline", same)
 
 
 def deviating_files(sets: DataFrame) -> DataFrame:
     """Files whose variable set is not that of the first file by path."""
-    baseline = sets.agg(F.min_by("variables", "path")).scalar()
-    return sets.where(F.col("variables") != baseline)
+    return compared_sets(sets).where(~F.col("is_baseline")).drop("is_baseline")
 
 
 def consistency(sets: DataFrame) -> DataFrame:

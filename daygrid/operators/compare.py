@@ -29,10 +29,13 @@ def offset_differences(around: DataFrame, cell_series: DataFrame, target: DataFr
     ``around`` has ``(keys, di, dj, south_north, west_east)``, ``cell_series``
     ``(south_north, west_east, time, value)`` and ``target`` ``(labels, keys, time, value)``.
     A cell that several clamped offsets share is compared once, so those offsets tie exactly.
+    Series are joined by cell, key and time: all days of a crowded cell are spread over the tasks.
     """
     cell = ["south_north", "west_east"]
-    pairs = around.select(*keys, *cell).distinct().join(cell_series, cell)
-    mads = mean_abs_difference(align(pairs, target, [*keys, "time"]), [*labels, *keys, *cell])
+    # The days are joined with their own key, so no task gets all days of one cell.
+    dated = target.join(around.select(*keys, *cell).distinct(), list(keys)).withColumnRenamed("value", "right_value")
+    pairs = dated.join(cell_series.withColumnRenamed("value", "left_value"), [*cell, "time"])
+    mads = mean_abs_difference(pairs, [*labels, *keys, *cell])
     return around.join(mads, [*keys, *cell])
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -109,10 +109,12 @@ def daily_long(
     keys = [*cell, *(["level"] if "level" in observations.columns else [])]
     wanted = sorted({e.agg_kind for e in entries})
     value = F.col("value")
+    # A kind sees the rows of those variables only that want it; the others cost it nothing.
+    of_kind = {k: sorted({e.var_id for e in entries if e.agg_kind == k}) for k in wanted}
     stats = (
         observations.where(F.col("var_id").isin(sorted({e.var_id for e in entries})))
         .groupBy("var_id", day_of(time).alias("time"), *keys)
-        .agg(*[kind_aggregate(k, value, kinds).alias(f"stat_{k}") for k in wanted])
+        .agg(*[kind_aggregate(k, F.when(F.col("var_id").isin(of_kind[k]), value), kinds).alias(f"stat_{k}") for k in wanted])
     )
 
     def outputs_of(var_id: str) -> Column:
@@ -170,21 +172,14 @@ class TimeAxis:
         years = sorted({d.year for d in self.days})
         return [(min(d for d in self.days if d.year == y), max(d for d in self.days if d.year == y)) for y in years]
 
-    @property
-    def gaps(self) -> list[date]:
-        """Days without data within the spans."""
-        have = set(self.days)
-        span_days = (a + timedelta(days=i) for a, b in self.spans for i in range((b - a).days + 1))
-        return [d for d in span_days if d not in have]
-
 
-def time_axis(hourly: DataFrame, time: str = "time") -> TimeAxis:
-    """The calendar of a table, from its time and level columns only.
+def time_axis(daily: DataFrame, time: str = "time") -> TimeAxis:
+    """The calendar of a table, from its time and level columns only; best read from daily rows, which are fewest.
 
     The sets are as long as the calendar and the list of levels, whatever the number of rows.
     """
-    level = F.col("level") if "level" in hourly.columns else F.lit(None).cast("int")
-    row = hourly.agg(
+    level = F.col("level") if "level" in daily.columns else F.lit(None).cast("int")
+    row = daily.agg(
         F.collect_set(day_of(time)).alias("days"), F.collect_set(level).alias("levels"),
         F.bool_or(level.isNull()).alias("flat"),
     ).first()

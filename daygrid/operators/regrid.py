@@ -8,15 +8,13 @@ and joined to the daily fields by source cell.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE
 from daygrid.grids import Grid, grid_cells
 from daygrid.operators.cell_join import join_cells
+from daygrid.operators.daily import TimeAxis
 from daygrid.sizing import stored
 
 # A task generates at most about this many rows of missing values.
@@ -64,29 +62,28 @@ def regrid(daily: DataFrame, grid_map: DataFrame, target_cells: int, **join) ->
     return join_cells(daily, cells, keys, target_cells, **join).drop(*keys)
 
 
-def missing_cells(
-    grid_map: DataFrame,
-    target_cells: int,
-    spans: Sequence[tuple[date, date]],
-    gaps: Sequence[date] = (),
-    levels: Sequence[int | None] = (None,),
-) -> DataFrame:
-    """The part of a full cube that has no data: ``(y_idx, x_idx, y, x, time, level)``.
+def full_cube(daily: DataFrame, grid_map: DataFrame, target_cells: int, axis: TimeAxis) -> DataFrame:
+    """Every target cell on every day of ``axis`` and at every level, with the daily fields of its source cell.
 
-    That is every target cell outside the source domain on every day of the
-    ``spans``, and every target cell inside it on the days in ``gaps``.  The rows
-    are generated from the map, which is first spread over as many tasks as
-    their number calls for.
+    Columns: ``y_idx, x_idx, y, x, time, level`` and the values of ``daily``, which are missing
+    outside the source domain, on days without data, and wherever the source has no
+    row for the cell.  The frame is generated from the map, spread over as many tasks as its
+    rows call for; cells inside the domain are joined to the daily rows by source cell,
+    day and level, so a source cell that feeds many target cells is split by day.  Cells outside need no join.
     """
-    # One span per year, and hardly any gap.
-    all_days = F.flatten(F.array(*[F.sequence(F.lit(a), F.lit(b)) for a, b in spans]))
-    gap_days = F.array(*[F.lit(d) for d in gaps]).cast("array<date>")
-    every_level = F.array(*[F.lit(n).cast("int") for n in levels])
-    days = sum((b - a).days + 1 for a, b in spans)
-    tasks = math.ceil(target_cells * days * len(levels) / ROWS_PER_TASK)
+    days = F.flatten(F.array(*[F.sequence(F.lit(a), F.lit(b)) for a, b in axis.spans]))  # one span per year
+    levels = F.array(*[F.lit(n).cast("int") for n in axis.levels])
+    rows = target_cells * sum((b - a).days + 1 for a, b in axis.spans) * len(axis.levels)
+    tasks = math.ceil(rows / ROWS_PER_TASK)
     cells = grid_map.repartition(tasks, "y_idx", "x_idx") if tasks > 1 else grid_map
-    return (
-        cells.withColumn("time", F.explode(F.when(F.col("south_north").isNull(), all_days).otherwise(gap_days)))
-        .withColumn("level", F.explode(every_level))
-        .drop("south_north", "west_east")
-    )
+    frame = cells.withColumn("time", F.explode(days)).withColumn("level", F.explode(levels))
+    outside = frame.where(F.col("south_north").isNull())
+    inside = frame.where(F.col("south_north").isNotNull()).alias("frame")
+    data = daily.alias("data")
+    same = F.col("frame.level").eqNullSafe(F.col("data.level"))
+    for key in ("south_north", "west_east", "time"):
+        same = same & (F.col(f"frame.{key}") == F.col(f"data.{key}"))
+    values = [c for c in daily.columns if c not in ("south_north", "west_east", "time", "level")]
+    place = ["y_idx", "x_idx", "y", "x", "time", "level"]
+    joined = inside.join(data, same, "left").select(*[f"frame.{c}" for c in place], *[f"data.{c}" for c in values])
+    return joined.unionByName(outside.select(*place), allowMissingColumns=True)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from daygrid.operators.audit import completion, consistency, missing_units, set_groups, variables_frame, work_list
 from daygrid.schema import PRODUCT
-from daygrid.sources.files import list_files, read_headers
+from daygrid.sizing import stored
+from daygrid.sources.files import read_headers, readable
 from daygrid.sources.hourly import read_table
 from daygrid.sources.logs import read_logs, retry_list, timed_out
 from daygrid.sources.product import fields_path, valid_units
@@ -17,10 +18,10 @@ from daygrid.sources.product import fields_path, valid_units
 
 def readability(spark: SparkSession, folder: str, variables: Sequence[str] | None = None) -> DataFrame:
     """Every Parquet file under a folder, or only those of some variables of a product, with whether it opens."""
-    files = list_files(spark, folder)
+    files = readable(spark, folder)
     if variables is not None:
         files = files.where(F.regexp_extract("path", "/variable=([^/]+)/", 1).isin(list(variables)))
-    return read_headers(files).select("path", "opened", "error")
+    return files
 
 
 def header_sets(headers: DataFrame, coordinates: Sequence[str] = ()) -> DataFrame:
@@ -31,7 +32,7 @@ def header_sets(headers: DataFrame, coordinates: Sequence[str] = ()) -> DataFram
 
 def schema_consistency(spark: SparkSession, folder: str, coordinates: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Summary and groups of the variable sets of all files; files that do not open are counted, not grouped."""
-    headers = read_headers(list_files(spark, folder))
+    headers = stored(read_headers(spark, folder))
     sets = header_sets(headers, coordinates)
     failed = headers.agg(F.count_if(~F.col("opened")))
     summary = consistency(sets).withColumn("files_failed", failed.scalar())

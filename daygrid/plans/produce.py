@@ -13,9 +13,9 @@ from daygrid.functions.aggregates import AggregateBuilder
 from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE
 from daygrid.grids import Grid
 from daygrid.operators.daily import daily_wide, output_groups, relevant_rows, time_axis, to_long
-from daygrid.operators.regrid import missing_cells, regrid, stored_regrid_map
-from daygrid.sizing import BROADCAST_ROWS
-from daygrid.sources.hourly import for_outputs, require_years
+from daygrid.operators.regrid import full_cube, regrid, stored_regrid_map
+from daygrid.sizing import BROADCAST_ROWS, stored
+from daygrid.sources.hourly import for_outputs, require_columns, require_years
 from daygrid.sources.product import attributes_frame, check_free, read_product, write_attributes, write_wide
 
 
@@ -36,9 +36,10 @@ def product_wide(
 
     Hours are reduced first and reprojected after, all outputs of a cell and
     day in one row, so the join sees one row where the source had 24 per
-    variable.  With ``fill_missing`` the result is a full cube: target cells
-    outside the source domain, and days without any hour between the first and
-    the last of a year, have missing values.  ``cells`` is the regrid map of
+    variable.  With ``fill_missing`` the result is a full cube: every target cell
+    on every day between the first and the last of a year and at every level, with missing values where
+    the source has no row.  The daily rows are stored, so that days and levels are
+    read from them and the hours are scanned once.  ``cells`` is the regrid map of
     the two grids, if it has been made already.
     """
     entries = resolve(names)
@@ -48,13 +49,12 @@ def product_wide(
     daily = daily_wide(hourly, entries, kinds=kinds)
     if "level" not in daily.columns:
         daily = daily.withColumn("level", F.lit(None).cast("int"))
-    wide = regrid(daily, cells, target.cells, broadcast_rows=broadcast_rows)
     if fill_missing:
-        axis = time_axis(hourly)
+        daily = stored(daily)
+        axis = time_axis(daily)
         if axis.days:
-            wide = wide.unionByName(
-                missing_cells(cells, target.cells, axis.spans, axis.gaps, axis.levels), allowMissingColumns=True
-            )
+            return full_cube(daily, cells, target.cells, axis).withColumn("year", F.year("time"))
+    wide = regrid(daily, cells, target.cells, broadcast_rows=broadcast_rows)
     return wide.withColumn("year", F.year("time"))
 
 
@@ -79,7 +79,7 @@ def product_fields(
 
 def produce(
     hourly: DataFrame,
-    names: Iterable[str],
+    names: Iterable[str | DailyVariable],
     first_year: int,
     last_year: int,
     source: Grid,
@@ -95,19 +95,21 @@ def produce(
 ) -> DataFrame:
     """Write the units (variable, year) of a request and return them as read back.
 
-    ``hourly`` has a ``year`` column.  Existing output is an error unless
+    ``hourly`` has a ``year`` column; ``names`` may hold entries of the user's own, with their aggregate in
+    ``kinds``.  A source column that the files of some year lack is an error.  Existing output is an error unless
     ``overwrite`` is set, which replaces the units of the request and no others.
     With ``years_per_job`` the years are written in several jobs, each of which
     leaves complete units behind if a later one fails.
     Attributes that the source columns carry as metadata are kept with the
     product; ``attributes`` adds or replaces some.  ``options`` are those of :func:`product_wide`.
     """
-    names = list(names)
     entries = resolve(names)
+    outputs = [e.name for e in entries]
     spark = hourly.sparkSession
     if not overwrite:
-        check_free(spark, root, names, first_year, last_year)
-    rows = for_outputs(require_years(hourly, first_year, last_year), names)
+        check_free(spark, root, outputs, first_year, last_year)
+    rows = for_outputs(require_years(hourly, first_year, last_year), entries)
+    require_columns(hourly, [e.var_id for e in entries], first_year, last_year)
     inherited = {e.name: hourly.schema[e.var_id].metadata for e in entries}
     cells = stored_regrid_map(spark, source, target, source_plane, target_plane)
     step = years_per_job or last_year - first_year + 1
@@ -116,5 +118,5 @@ def produce(
         part = rows.where(F.col("year").between(years[0], years[-1]))
         for group in output_groups(part, entries):
             write_wide(product_wide(part, group, source, target, cells=cells, **options), group, target, root)
-        write_attributes(attributes_frame(spark, names, years, target, attributes, inherited=inherited), root)
-    return read_product(spark, root, names, (first_year, last_year))
+        write_attributes(attributes_frame(spark, entries, years, target, attributes, inherited=inherited), root)
+    return read_product(spark, root, outputs, (first_year, last_year))

@@ -12,10 +12,11 @@ from daygrid.functions.aggregates import present
 from daygrid.functions.projections import planar_km, sphere_km
 from daygrid.functions.units import celsius_shift
 from daygrid.grids import Grid
-from daygrid.operators.compare import best_offset, offset_differences
+from daygrid.operators.cell_join import join_cells
+from daygrid.operators.compare import best_offset, mean_abs_difference
 from daygrid.operators.daily import CELL, day_of
-from daygrid.operators.nearest import nearest_cells, neighbourhood
-from daygrid.plans.points import extract_points, projected
+from daygrid.operators.nearest import nearest_cells, nearest_on_grid, neighbourhood
+from daygrid.plans.points import projected
 from daygrid.sizing import broadcast_within, row_bound, stored
 
 
@@ -46,14 +47,15 @@ def coordinate_report(points: DataFrame, src_grid: DataFrame) -> DataFrame:
 def cell_series(
     hourly: DataFrame, cells: DataFrame, variable: str, units: str | None = None, rows: int | None = None
 ) -> DataFrame:
-    """Daily mean in Celsius of the given cells: ``(south_north, west_east, time, value)``.
+    """Daily mean in Celsius of the given cells: ``(south_north, west_east, [level,] time, value)``.
 
     One scan of the source serves all cells.  ``rows`` is a proven bound of the rows of ``cells``.
     """
+    level = ["level"] if "level" in hourly.columns else []
     return (
-        hourly.select("time", *CELL, F.col(variable).alias("value"))
+        hourly.select("time", *CELL, *level, F.col(variable).alias("value"))
         .join(broadcast_within(cells.select(*CELL).distinct(), rows), list(CELL), "left_semi")
-        .groupBy(day_of("time").alias("time"), *CELL)
+        .groupBy(day_of("time").alias("time"), *CELL, *level)
         .agg((F.avg(present(F.col("value"))) + celsius_shift(F.lit(units).cast("string"), "kelvin")).alias("value"))
     )
 
@@ -71,26 +73,38 @@ def source_versus_product(
     source_units: str | None = None,
     product_units: str | None = None,
 ) -> DataFrame:
-    """For each place, the neighbour offset at which source and product agree best.
+    """For each place and level, the neighbour offset at which source and product agree best.
 
     The product is read at the place's own coordinates (``community``) and at
-    those of its source cell (``exact``).  Source and product are scanned once each.
+    those of its source cell (``exact``).  Source and product are scanned once each, and
+    each pair of a source and a product cell is compared once, however many places share it.
+    A table without a level has one row per place and a missing level.
     """
     rows = row_bound(points)
     report = stored(coordinate_report(points, src_grid))
     around = neighbourhood(report.select("name", *CELL), source.y.n, source.x.n)
-    series = cell_series(hourly, around, variable, source_units, None if rows is None else 9 * rows)
+    level = F.col("level") if "level" in hourly.columns else F.lit(None).cast("int")
+    series = cell_series(hourly, around, variable, source_units, None if rows is None else 9 * rows).withColumn("level", level)
 
     kinds = F.inline(F.array(*[
         F.struct(F.lit(k).alias("kind"), F.col(f"{k}_x").alias("x"), F.col(f"{k}_y").alias("y")) for k in KINDS
     ]))
     shift = celsius_shift(F.lit(product_units).cast("string"), "unchanged")
+    places = nearest_on_grid(report.select("name", kinds), target, tolerance=None).select("kind", "name", "y_idx", "x_idx")
+    pairs = stored(around.join(places, "name").select("kind", "name", "di", "dj", *CELL, "y_idx", "x_idx"))
+    product_cells = pairs.select("y_idx", "x_idx").distinct()
     fields = fields.where(F.col("variable") == product_variable)
-    product = extract_points(fields, report.select("name", kinds), target, tolerance=None).select(
-        "kind", "name", "time", (F.col("value") + shift).alias("value")
-    )
-    best = best_offset(offset_differences(around, series, product, ["name"], ["kind"]), ["name", "kind"])
+    days = join_cells(fields, product_cells, ["y_idx", "x_idx"], None if rows is None else len(KINDS) * rows)
+    days = days.select("y_idx", "x_idx", "time", "level", (F.col("value") + shift).alias("right_value"))
+
+    # Days of the source cells, then of the product cells: both joins have the day in their key.
+    cells = pairs.select(*CELL, "y_idx", "x_idx").distinct()
+    left = join_cells(series.withColumnRenamed("value", "left_value"), cells, list(CELL), None if rows is None else 9 * len(KINDS) * rows)
+    same = (F.col("l.level").eqNullSafe(F.col("r.level"))) & (F.col("l.time") == F.col("r.time")) & (F.col("l.y_idx") == F.col("r.y_idx")) & (F.col("l.x_idx") == F.col("r.x_idx"))
+    both = left.alias("l").join(days.alias("r"), same).select("l.*", "r.right_value")
+    mads = mean_abs_difference(both, [*CELL, "y_idx", "x_idx", "level"])
+    best = best_offset(pairs.join(mads, [*CELL, "y_idx", "x_idx"]), ["name", "kind", "level"])
     columns = [
         F.max(F.when(F.col("kind") == k, F.col(c))).alias(f"{k}_{c}") for k in KINDS for c in ("di", "dj", "mad")
     ]
-    return report.select("name").join(best.groupBy("name").agg(*columns), "name", "left")
+    return report.select("name").join(best.groupBy("name", "level").agg(*columns), "name", "left")

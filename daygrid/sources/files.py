@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
-
-HEADERS = "path string, opened boolean, error string, rows bigint, variables array<string>"
+HEADERS = "path string, opened boolean, error string, variables array<string>"
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
@@ -21,28 +21,44 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*.parquet") -> Dat
     )
 
 
-def read_headers(files: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Open the footer of every file, spread over tasks; a file that does not open is a row with its error."""
+def readable(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
+    """``path, opened, rows`` of every file under a folder; a file without rows counts as not opened.
+
+    Spark's own reader opens the footers, spread over tasks, so any path and store that it
+    knows will do; files that it cannot open it leaves out.
+    """
+    listed = list_files(spark, folder, glob).select("path")
+    # Which columns there are does not matter, none is read.
+    files = (
+        spark.read.schema("_none int").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+        .option("ignoreCorruptFiles", True).parquet(folder)
+    )
+    place = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), "[+]", "%2B"))
+    seen = files.groupBy(_plain(place).alias("place")).agg(F.count(F.lit(1)).alias("rows"))
+    joined = listed.withColumn("place", _plain(F.col("path"))).join(seen, "place", "left")
+    return joined.select("path", F.col("rows").isNotNull().alias("opened"), "rows")
+
+
+def _plain(path: Column) -> Column:
+    """One spelling of a path: a local one is written with one slash or three."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
 
-    # Defined here so that it travels to the workers by value.
-    def open_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pyarrow.fs
-        import pyarrow.parquet
+def read_headers(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
+    """The columns of every file under a folder; a file that does not open is a row with its error.
 
-        def header(path: str):
-            try:
-                local = path.startswith("file:/") and "://" not in path
-                fs, name = pyarrow.fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if local else path)
-                with fs.open_input_file(name) as f:
-                    footer = pyarrow.parquet.ParquetFile(f)
-                    return path, True, None, footer.metadata.num_rows, footer.schema_arrow.names
-            except Exception as e:  # any failure to open is a finding
-                return path, False, f"{type(e).__name__}: {e}", None, None
+    The driver asks Spark's reader for the schema of one file after another, so this
+    is a report on the files of a product, whose number is bounded by its units and tiles.
+    """
+    rows = []
+    for r in list_files(spark, folder, glob).select("path").toLocalIterator():
+        try:
+            rows.append((r["path"], True, None, spark.read.parquet(_literal(r["path"])).columns))
+        except (PySparkException, Py4JJavaError) as e:
+            rows.append((r["path"], False, str(e).splitlines()[0], None))
+    return spark.createDataFrame(rows, HEADERS)
 
-        for batch in batches:
-            yield pd.DataFrame(
-                [header(p) for p in batch["path"]], columns=["path", "opened", "error", "rows", "variables"]
-            )
 
-    n = tasks or files.sparkSession.sparkContext.defaultParallelism
-    return files.select("path").repartition(n).mapInPandas(open_headers, HEADERS)
+def _literal(path: str) -> str:
+    """A path for the reader, which takes some characters for patterns."""
+    return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in path)

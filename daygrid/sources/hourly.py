@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from daygrid.catalog import source_variables
+from daygrid.catalog import DailyVariable, source_variables
 from daygrid.operators.audit import duplicate_keys
 from daygrid.operators.daily import CELL
 
@@ -40,18 +41,40 @@ def read_years(
     return require_years(table, first_year, last_year)
 
 
+def _files_by_year(table: DataFrame) -> dict[int, str]:
+    """One file of each year, from the list of the table's files; empty where folders do not tell the year."""
+    return {int(m[1]): f for f in table.inputFiles() if (m := re.search(r"/year=(\d+)/", f))}
+
+
 def require_years(table: DataFrame, first_year: int, last_year: int) -> DataFrame:
-    """The rows of years first..last; a year without rows is an error."""
+    """The rows of years first..last; a year without rows is an error.
+
+    Where the table is partitioned by year, the list of its files tells; no file is opened.
+    """
     rows = table.where(F.col("year").between(first_year, last_year))
-    # At most one row per year comes back, and only the partition column is read.
-    found = {r.year for r in rows.select("year").distinct().collect()}
+    found = set(_files_by_year(table)) or {r.year for r in rows.select("year").distinct().collect()}
     absent = [y for y in range(first_year, last_year + 1) if y not in found]
     if absent:
         raise FileNotFoundError(f"no hourly data for the years {absent}")
     return rows
 
 
-def for_outputs(hourly: DataFrame, names: Iterable[str], cell: Sequence[str] = CELL) -> DataFrame:
+def require_columns(table: DataFrame, columns: Sequence[str], first_year: int, last_year: int) -> None:
+    """Fail if the files of a year lack a source variable, which would otherwise read as missing and sum to 0.
+
+    All files of a year are taken to have the columns of one: one footer per year is opened.
+    """
+    absent = sorted(set(columns) - set(table.columns))
+    if absent:
+        raise ValueError(f"hourly data lacks the source variables {absent}")
+    for year, file in sorted(_files_by_year(table).items()):
+        if first_year <= year <= last_year:
+            absent = sorted(set(columns) - set(table.sparkSession.read.parquet(file).columns))
+            if absent:
+                raise ValueError(f"hourly data of {year} lacks the source variables {absent}")
+
+
+def for_outputs(hourly: DataFrame, names: Iterable[str | DailyVariable], cell: Sequence[str] = CELL) -> DataFrame:
     """Only the columns that the requested outputs need, so that the scan reads no others."""
     keys = [c for c in ("time", "level", *cell, "year") if c in hourly.columns]
     return hourly.select(*keys, *source_variables(names))

@@ -31,7 +31,7 @@ def units_of(logs: DataFrame, pattern: str = LOG_NAME) -> DataFrame:
     """Attach ``variable`` and ``year`` parsed from the path; rows whose path does not match are dropped."""
     return logs.withColumns({
         "variable": F.regexp_extract("path", pattern, 1),
-        "year": F.regexp_extract("path", pattern, 2).try_cast("int"),
+        "year": F.regexp_extract("path", pattern, 2).try_cast("bigint"),
     }).where((F.col("variable") != "") & F.col("year").isNotNull())
 
 

@@ -40,14 +40,20 @@ def test_files_that_do_not_open(spark, tmp_path):
     good = next((tmp_path / "a").glob("*.parquet")).read_bytes()
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "cut.parquet").write_bytes(good[: len(good) // 2])
-    found = {r.path.rsplit("/", 2)[-2]: (r.opened, r.error) for r in readability(spark, str(tmp_path)).collect()}
-    assert {k: v[0] for k, v in found.items()} == {"a": True, "b": True, "c": True, "d": False}
-    assert found["a"][1] is None and found["d"][1]
+    found = {r.path.rsplit("/", 2)[-2]: (r.opened, r.rows) for r in readability(spark, str(tmp_path)).collect()}
+    assert found == {"a": (True, 3), "b": (True, 3), "c": (True, 3), "d": (False, None)}
     summary, groups = schema_consistency(spark, str(tmp_path), ["time"])
     assert rows(summary, "files", "variable_sets", "consistent", "files_failed") == [(3, 2, False, 1)]
     assert [(r.variables, r.files, r.is_baseline) for r in groups.orderBy("files").collect()] == [(["T2", "rh2"], 1, False), (["T2"], 2, True)]
 
 
+def test_unusual_paths(spark, tmp_path):
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "variable=a%3Ab c+d" / "x"))
+    assert [(r.opened, r.rows) for r in readability(spark, str(tmp_path)).collect()] == [(True, 3)]
+    summary, _ = schema_consistency(spark, str(tmp_path))
+    assert rows(summary, "files", "files_failed") == [(1, 0)]
+
+
 def file_vars(spark, sets):
     return spark.createDataFrame([(p, v) for p, vs in sets.items() for v in vs], "path string, variable string")
 

@@ -49,11 +49,11 @@ def test_requests(spark):
     names = ["t2_mean", "T2", "RH2_MEANS", "zzz", "", None]
     asked = spark.createDataFrame([(n,) for n in names + names], "name string")
     report = {r.name: (r.is_valid, r.message) for r in request_report(asked, "name").collect()}
-    assert report["t2_mean"] == (True, "Variable 't2_mean' found")
-    assert report["T2"][1].endswith("Did you mean one of: t2_mean, t2_min, t2_max?")
-    assert report["RH2_MEANS"][1].endswith("Did you mean one of: rh2_mean?")
-    assert report["zzz"] == (False, "Variable 'zzz' not found in available variables.")
-    assert report[""] == report[None] == (False, "No variable name provided")
+    assert report["t2_mean"] == (True, "'t2_mean' is in the catalogue")
+    assert report["T2"][1].endswith("similar names: t2_mean, t2_min, t2_max")
+    assert report["RH2_MEANS"][1].endswith("similar names: rh2_mean")
+    assert report["zzz"] == (False, "'zzz' is unknown")
+    assert report[""] == report[None] == (False, "empty request")
     assert unknown_names(asked, "name").distinct().count() == 5
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE, AlbersEqualArea, planar_km, sphere_km
 from daygrid.grids import Axis, Grid, clamp, covering_grid, grid_axes, grid_cells, source_grid
 from daygrid.operators.nearest import nearest_cells, nearest_on_grid, neighbourhood
-from daygrid.operators.regrid import missing_cells, regrid, regrid_map, stored_regrid_map
+from daygrid.operators.regrid import full_cube, regrid, regrid_map, stored_regrid_map
 from daygrid.plans.points import TOWNS, places_frame, projected
 from tests.conftest import rows
 
@@ -118,17 +118,29 @@ def test_regrid_and_aggregation_commute(spark, daily):
 
 
 @pytest.mark.parametrize("rows_per_task", [10_000_000, 100])
-def test_missing_cells(spark, monkeypatch, rows_per_task):
+def test_full_cube(spark, monkeypatch, rows_per_task):
     from datetime import date
 
+    from daygrid.operators.daily import time_axis
+
     monkeypatch.setattr("daygrid.operators.regrid.ROWS_PER_TASK", rows_per_task)
     source = source_grid(-152.0, 64.0, 100000.0, 100000.0, 12, 14)
     target = covering_grid(source)
     cells = stored_regrid_map(spark, source, target)
     inside = cells.dropna().count()
-    out = missing_cells(cells, target.cells, [(date(2020, 1, 1), date(2020, 1, 3))], [date(2020, 1, 2)], (None, 1))
-    assert out.count() == 2 * (3 * (target.cells - inside) + inside)
-    assert out.distinct().count() == out.count()
+    days = [date(2020, 1, 1), date(2020, 1, 3), date(2021, 5, 5)]
+    daily = (
+        spark.createDataFrame([(d, n) for d in days for n in (None, 1)], "time date, level int")
+        .join(spark.range(source.cells).selectExpr("cast(id div 12 as int) as south_north", "cast(id % 12 as int) as west_east"))
+        .withColumn("v", F.col("south_north") * 100.0 + F.col("west_east"))
+        .where("NOT (south_north = 5 AND west_east = 6 AND level IS NULL AND year(time) = 2021)")
+    )
+    out = full_cube(daily, cells, target.cells, time_axis(daily))
+    assert out.count() == out.select("y_idx", "x_idx", "time", "level").distinct().count() == target.cells * 4 * 2
+    of_cell = cells.where("south_north = 5 AND west_east = 6").count()
+    assert out.where("v IS NOT NULL").count() == inside * 3 * 2 - of_cell
+    wrong = out.join(cells.drop("y", "x"), ["y_idx", "x_idx"]).where("v <> south_north * 100 + west_east")
+    assert wrong.isEmpty() and out.where("time = '2020-01-02' AND v IS NOT NULL").isEmpty()
 
 
 def test_nearest_per_axis(spark):

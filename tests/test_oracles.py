@@ -6,11 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from checks.base import ORACLES, QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
 SPARK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 

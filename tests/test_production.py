@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from daygrid.catalog import CATALOG
+from daygrid.catalog import CATALOG, DailyVariable
 from daygrid.functions.projections import SOURCE_PLANE
 from daygrid.grids import Grid, covering_grid, grid_cells, source_grid
 from daygrid.operators.regrid import stored_regrid_map
@@ -112,6 +112,70 @@ def test_gap_days_are_missing_everywhere(spark):
     assert rows(sparse, "time", "y_idx", "x_idx", "value") == rows(fields.where("value is not null"), "time", "y_idx", "x_idx", "value")
 
 
+def test_a_cell_without_rows_stays_in_the_cube(spark):
+    days = [date(2001, 1, 1), date(2001, 1, 2)]
+    holed = model(spark, days).where("NOT (south_north = 3 AND west_east = 4 AND time >= '2001-01-02')")
+    fields = product_fields(holed, ["rainnc_sum"], SOURCE, TARGET)
+    assert fields.count() == 2 * TARGET.cells
+    fed = stored_regrid_map(spark, SOURCE, TARGET).where("south_north = 3 AND west_east = 4").select("y_idx", "x_idx")
+    assert fields.join(fed, ["y_idx", "x_idx"]).where("value IS NULL").count() == fed.count()
+
+
+def test_a_year_that_lacks_a_column(spark, tmp_path):
+    root = str(tmp_path / "hourly")
+    model(spark, DAYS[:3]).drop("SST").write.partitionBy("year").parquet(root)
+    model(spark, DAYS[3:6]).drop("rainnc", "SST").write.mode("append").partitionBy("year").parquet(root)
+    hourly = src.read_years(spark, root, 2001, 2002, hourly_schema(["rainnc_sum", "t2_mean"]))
+    with pytest.raises(ValueError, match=r"2002 lacks the source variables \['rainnc'\]"):
+        produce(hourly, ["rainnc_sum"], 2001, 2002, SOURCE, TARGET, str(tmp_path / "daily"))
+    assert produce(hourly, ["t2_mean"], 2001, 2002, SOURCE, TARGET, str(tmp_path / "daily")).where("value IS NOT NULL").count() > 0
+
+
+def test_missing_values_still_sum_to_zero(spark):
+    empty = model(spark, DAYS[:1]).withColumn("rainnc", F.lit(float("nan")))
+    fields = product_fields(empty, ["rainnc_sum"], SOURCE, TARGET)
+    assert {r.value for r in fields.select("value").distinct().collect()} == {0.0, None}
+
+
+def test_hours_are_read_once(spark, archive, tmp_path):
+    """The stored daily rows tell the calendar; only the aggregation reads the hours."""
+    hourly = src.read_years(spark, archive, 2001, 2003)
+    wide = product_wide(hourly, ["t2_mean", "rainnc_sum"], SOURCE, TARGET)
+    assert "hourly" not in plan(wide) and plan(wide).count("Exchange hashpartitioning(south_north") <= 1
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    watched = hourly.mapInArrow(count, hourly.schema)
+    product_wide(watched, ["t2_mean", "rainnc_sum"], SOURCE, TARGET).count()
+    assert seen.value == hourly.count()
+
+
+def test_levels_in_the_source_check(spark):
+    base = model(spark, DAYS[:2])
+    high = base.withColumn("level", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("temp", F.col("T2") + 10 * F.col("level"))
+    fields = product_fields(high, ["temp_mean"], SOURCE, TARGET)
+    lon, lat = SOURCE_PLANE.inverse(F.col("x"), F.col("y"))
+    grid = grid_cells(spark, SOURCE).withColumns({"lon": lon, "lat": lat}).withColumnsRenamed({"y_idx": "south_north", "x_idx": "west_east"})
+    best = source_versus_product(high, grid, fields, towns(spark), SOURCE, TARGET, variable="temp", product_variable="temp_mean", product_units="K")
+    found = {(r.name, r.level): r.exact_mad for r in best.collect()}
+    assert len(found) == 18 and set(found.values()) == {0.0}
+
+
+def test_own_aggregates_are_produced(spark, archive, tmp_path):
+    spread = DailyVariable("t2_spread", "T2", "spread", 0.0, "", "", "", "")
+    hourly = src.read_years(spark, archive, 2001, 2003)
+    kinds = {"spread": lambda c: F.max(c) - F.min(c)}
+    made_here = produce(hourly, [spread, "t2_max"], 2001, 2003, SOURCE, TARGET, str(tmp_path / "own"), kinds=kinds)
+    values = made_here.where("variable = 't2_spread' AND value IS NOT NULL").agg(F.min("value"), F.max("value")).first()
+    assert all(abs(x - 0.18) < 1e-9 for x in values)
+    with pytest.raises(FileExistsError, match="t2_spread"):
+        produce(hourly, [spread], 2001, 2003, SOURCE, TARGET, str(tmp_path / "own"), kinds=kinds)
+
+
 def test_levels_in_the_product(spark):
     base = model(spark, DAYS[:2])
     flat = base.withColumn("level", F.lit(None).cast("int")).withColumn("temp", F.lit(None).cast("double"))
