@@ -150,12 +150,8 @@ def components(edges: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
     """The pairs ``a, b`` whose multisets of shingles are similar enough."""
     left, right = bag.select(F.col("node").alias("a"), F.col("bag").alias("bag_a")), bag.select(F.col("node").alias("b"), F.col("bag").alias("bag_b"))
-    # A pair of very different sizes cannot be similar; sizes alone are joined first.
-    sizes = bag.select("node", F.size("bag").alias("n"))
-    fit = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a").join(sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
-    fit = fit.where(F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")).select("a", "b")
     both = F.size(F.array_intersect("bag_a", "bag_b"))
-    joined = fit.join(left, "a").join(right, "b").withColumn("both", both)
+    joined = pairs.join(left, "a").join(right, "b").withColumn("both", both)
     return joined.where(F.col("both") >= similarity * (F.size("bag_a") + F.size("bag_b") - F.col("both"))).select("a", "b")
 
 
@@ -177,19 +173,23 @@ def links(docs: DataFrame, classes: DataFrame, similarity: float = SIMILARITY, r
     bag = stored(bagged(texts.groupBy("node").agg(F.first("text").alias("text"))))
     # The most typical member of a bucket is the one that shares buckets with most others.
     shared = members.join(members.groupBy("bucket").agg(F.count("*").alias("n")), "bucket")
-    known = stored(shared.groupBy("node").agg(F.sum("n").alias("shared")), small=True)
+    sizes = bag.select("node", F.size("bag").alias("size"))
+    known = stored(shared.groupBy("node").agg(F.sum("n").alias("shared")).join(sizes, "node"), small=True)
     edges, labels = None, known.select("node", F.col("node").alias("component"))
     for k in range(rounds + 1):
         placed = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
         placed = stored(placed.join(known, "node"), small=True)
         # The first centre is the most typical member, the others are drawn among those outside the largest component.
         weight = F.col("shared") if k == 0 else F.xxhash64("node", F.lit(k))
-        parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.max(F.struct(weight.alias("weight"), (-F.col("node")).alias("minus"))).alias("best"))
+        parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.max(F.struct(weight.alias("weight"), (-F.col("node")).alias("minus"), "size")).alias("best"))
         mixed = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("main"), F.max(F.struct("best", "component")).alias("any"), F.min(F.struct("n", F.struct("best", "component").alias("own"))).alias("least"))
         mixed = mixed.where("parts > 1").select("bucket", F.col("main.component").alias("main"), (F.col("any") if k == 0 else F.col("least.own")).alias("centre"))
         if k < rounds:
             node = -F.col("centre.best.minus")
-            pairs = placed.join(mixed, "bucket").where("component <> centre.component").select(node.alias("a"), F.col("node").alias("b"))
+            # Sets of very different sizes cannot be similar.
+            sizes = (F.col("size"), F.col("centre.best.size"))
+            alike = F.least(*sizes) >= similarity * F.greatest(*sizes)
+            pairs = placed.join(mixed, "bucket").where(F.expr("component <> centre.component") & alike).select(node.alias("a"), F.col("node").alias("b"))
         else:
             pairs = _apart(placed.join(mixed.select("bucket", "main"), "bucket"), bag, similarity)
         pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), small=True)
