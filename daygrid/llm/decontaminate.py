@@ -52,4 +52,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     """The rows of ``docs`` that are not contaminated; all columns stay."""
     judged = hits(docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("doc_id"), "text"), benchmark, window)
     bad = judged.where("contaminated").select(F.col("doc_id").alias("bad")).distinct()
-    return docs.join(bad, F.md5(F.coalesce("text", F.lit(""))) == F.col("bad"), "left_anti")
+    return docs.alias("own").join(bad.alias("other"), F.md5(F.coalesce("own.text", F.lit(""))) == F.col("other.bad"), "left_anti")

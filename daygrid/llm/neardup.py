@@ -263,12 +263,12 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     counted = found.groupBy("doc_id", "digest").agg(F.count("*").alias("n"), F.max(stays()).alias("kept"))
     gone = counted.where("NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone"))
     gone = stored(gone, small=True)
-    match = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (_digest(F.col("text")) == F.col("gone"))
-    left = docs.join(broadcast_within(gone, row_bound(gone)), match, "left_anti")
+    match = F.col("own.doc_id").eqNullSafe(F.col("other.gone_id")) & (_digest(F.col("own.text")) == F.col("other.gone"))
+    left = docs.alias("own").join(broadcast_within(gone, row_bound(gone)).alias("other"), match, "left_anti")
     twice = stored(counted.where("kept AND n > 1").select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone")), small=True)
     if twice.isEmpty():
         return left
-    repeated = left.join(twice, match, "left_semi")
+    repeated = left.alias("own").join(twice.alias("other"), match, "left_semi")
     names = [c for c in docs.columns if c not in ("doc_id", "text")]
     once = repeated.groupBy("doc_id", "text").agg(F.min(F.struct(*names)).alias("rest")).select("doc_id", "text", "rest.*") if names else repeated.distinct()
-    return left.join(twice, match, "left_anti").unionByName(once.select(*docs.columns))
+    return left.alias("own").join(twice.alias("other"), match, "left_anti").unionByName(once.select(*docs.columns))

@@ -88,3 +88,22 @@ def test_packing(spark, sf_dir, steps):
         assert [at for at, _ in sorted(own)] == [0, *ends[:-1]] and ends[-1] <= 4096
     assert len(loads) <= -(-sum(n for _, n, _ in places.values()) // 4096) + 1
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).drop("sequence_id", "offset").collect())) == sorted(map(tuple, steps[5].drop("sequence_id", "offset").collect()))
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_stages_take_any_rows(spark, sf_dir, k):
+    """Nulls in any column, empty and long texts, repeated rows, columns of other names and an empty table."""
+    long = "word " * 30_000
+    rows = [(1, "a text of its own", "en", "s", 17), (1, "a text of its own", "en", "s", 17), (2, None, None, None, None), (None, "no id", None, "s", 5), (3, "", "de", "s", 0), (4, long, "en", "s", len(long))]
+    names = ["class_id", "n", "digest", "gone", "gone_id", "spans", "group", "bad", "own", "other", "key"]
+    frame = spark.createDataFrame([(*r, *range(len(names))) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{c} int" for c in names))
+    stage = corpus_pipeline.STAGES[k][1]
+    out = stage(spark, frame, sf_dir)
+    kept = out.collect()
+    if k < 4:
+        assert out.columns == frame.columns
+        assert {r.doc_id for r in kept} == {1, 2, 3, 4, None} and len(kept) == (5 if k == 1 else 6)
+        assert all((r.bad, r.key) == (7, 10) and r.lang in ("en", "de", None) for r in kept)
+    else:
+        assert len({(r.doc_id, r.start) for r in kept if r.doc_id == 4}) == -(-30_001 // 4096) and sum(r.doc_id == 1 for r in kept) == 2
+    assert stage(spark, frame.limit(0), sf_dir).count() == 0
