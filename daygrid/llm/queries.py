@@ -74,11 +74,54 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-@query("op4_url_filter")
+def _url_sql(order: int = 4) -> str:
+    from daygrid.llm.urls import ALPHABET, RULES, STEP
+
+    longest = sorted(RULES, key=lambda r: len(r.host + r.path), reverse=True)
+    fits = [(f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')", r) for r in longest]
+    case = lambda value: "CASE " + " ".join(f"WHEN {own} THEN '{value(r)}'" for own, r in fits) + " END"
+    levels = []
+    for k in range(order + 1):
+        below = f"JOIN p{k - 1} q ON q.g = substr(l.g, 2)" if k else f"CROSS JOIN (SELECT cast('{1 / ALPHABET!r}' as double) AS pa, cast('{1 / ALPHABET!r}' as double) AS pb) q"
+        levels.append(f"""
+    l{k} AS (SELECT substr(g, {order - k + 1}) AS g, sum(a)::DOUBLE AS a, sum(b)::DOUBLE AS b FROM grams GROUP BY 1),
+    t{k} AS (SELECT substr(g, 1, {k}) AS h, sum(a) AS na, sum(b) AS nb, (count(*) FILTER (a > 0))::DOUBLE AS ta, (count(*) FILTER (b > 0))::DOUBLE AS tb FROM l{k} GROUP BY 1),
+    p{k} AS (SELECT l.g, CASE WHEN na > 0 THEN (a + ta * pa) / (na + ta) ELSE pa END AS pa, CASE WHEN nb > 0 THEN (b + tb * pb) / (nb + tb) ELSE pb END AS pb
+        FROM l{k} l JOIN t{k} t ON substr(l.g, 1, {k}) = t.h {below})""")
+    return rf"""
+    WITH u AS (
+        SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+    ), hosts AS (
+        SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+    ), known AS (
+        SELECT *, regexp_replace(host || path, '[^\x21-\x7e]', chr(1), 'g') AS text, {case(lambda r: r.host + r.path)} AS rule, {case(lambda r: r.verdict)} AS verdict FROM hosts
+    ), texts AS (
+        SELECT text, count(*) FILTER (verdict = 'allow') AS a, count(*) FILTER (verdict = 'block') AS b FROM known GROUP BY text
+    ), spread AS (
+        SELECT text, a, b, substr('{" " * order}' || text || chr(2), i, {order + 1}) AS g FROM (SELECT *, unnest(range(1, length(text) + 2)) AS i FROM texts)
+    ), grams AS (
+        SELECT g, sum(a) AS a, sum(b) AS b FROM spread GROUP BY g
+    ), {", ".join(levels)}, scores AS (
+        SELECT text, any_value(s.a) AS a, any_value(s.b) AS b, CASE WHEN (SELECT sum(a) > 0 AND sum(b) > 0 FROM texts) THEN avg(round(ln(pa) - ln(pb), 9)) ELSE 0 END AS score
+        FROM spread s JOIN p{order} p USING (g) GROUP BY text
+    ), bins AS (
+        SELECT greatest(cast('-20' as double), least(cast('20' as double), floor(score / cast('{STEP}' as double)) * cast('{STEP}' as double))) AS cut, sum(a)::DOUBLE AS a, sum(b)::DOUBLE AS b FROM scores WHERE a + b > 0 GROUP BY 1
+    ), ranked AS (
+        SELECT cut, (total_a - (sum(a) OVER up - a)) / total_a + (sum(b) OVER up - b) / total_b AS right_share
+        FROM bins, (SELECT sum(a) AS total_a, sum(b) AS total_b FROM bins) WHERE total_a > 0 AND total_b > 0 WINDOW up AS (ORDER BY cut)
+    ), chosen AS (
+        SELECT coalesce((SELECT cut FROM ranked ORDER BY right_share DESC, abs(cut), cut LIMIT 1), 0) AS cut
+    )
+    SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN score >= cut THEN 'allow' ELSE 'block' END) AS verdict, CASE WHEN rule IS NULL THEN round(score, 6) END AS score
+    FROM known JOIN scores USING (text), chosen
+    """
+
+
+@query("op4_url_filter", _url_sql())
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daygrid.llm.urls import judged
 
-    return judged(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged(table(spark, sf_dir, "pages").select("page_id", "url")).withColumn("score", F.round("score", 6))
 
 
 @query(
