@@ -167,24 +167,28 @@ def _most_specific(texts: dict[str, int]) -> list[str]:
     return [e for e in texts if e[0] == "=" or not any(o != e and whole[o].startswith(e) and texts[o] >= SAME * texts[e] for o in texts)]
 
 
-def label_model(cast: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
-    """Posterior probability of the toxic class for each row of votes, and each voter's weight (its share of a voice)."""
+def label_model(cast: np.ndarray, n: np.ndarray | None = None, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior probability of the toxic class for each row of votes, and each voter's weight (its share of a voice).
+
+    ``n``: how often each row occurs (once).
+    """
     # Near copies of one voter would pass for the class itself: they share a voice from the start.
-    weight = 1 / _voices(cast, np.ones(len(cast)), 0.9)
+    n = np.ones(len(cast)) if n is None else n.astype(float)
+    weight = 1 / _voices(cast, n, np.ones(len(cast)), 0.9)
     start = np.clip(0.5 + 0.4 * np.sign((cast > 0) @ weight - (cast < 0) @ weight), 0.05, 0.95)
-    posterior = _fit(cast, weight, start, rounds)
-    weight = 1 / _voices(cast, posterior, ALIKE)
-    return _fit(cast, weight, start, rounds), weight
+    posterior = _fit(cast, n, weight, start, rounds)
+    weight = 1 / _voices(cast, n, posterior, ALIKE)
+    return _fit(cast, n, weight, start, rounds), weight
 
 
-def _fit(cast: np.ndarray, weight: np.ndarray, posterior: np.ndarray, rounds: int) -> np.ndarray:
+def _fit(cast: np.ndarray, n: np.ndarray, weight: np.ndarray, posterior: np.ndarray, rounds: int) -> np.ndarray:
     is_vote = [(cast == v).astype(float) for v in (1, -1, 0)]
     for _ in range(rounds):
-        prior = np.clip(posterior.mean(), 1e-3, 0.5)
+        prior = np.clip(np.average(posterior, weights=n), 1e-3, 0.5)
         logit = np.full(len(cast), math.log(prior / (1 - prior)))
         for own in is_vote:
-            given_toxic = (posterior @ own + 0.1) / (posterior.sum() + 0.3)
-            given_clean = ((1 - posterior) @ own + 0.1) / ((1 - posterior).sum() + 0.3)
+            given_toxic = ((n * posterior) @ own + 0.1) / (n @ posterior + 0.3)
+            given_clean = ((n * (1 - posterior)) @ own + 0.1) / (n @ (1 - posterior) + 0.3)
             logit += own @ (weight * np.log(given_toxic / given_clean))
         after = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         if np.abs(after - posterior).max() < 1e-6:
@@ -193,11 +197,11 @@ def _fit(cast: np.ndarray, weight: np.ndarray, posterior: np.ndarray, rounds: in
     return posterior
 
 
-def _voices(cast: np.ndarray, posterior: np.ndarray, alike_from: float) -> np.ndarray:
+def _voices(cast: np.ndarray, n: np.ndarray, posterior: np.ndarray, alike_from: float) -> np.ndarray:
     """Among how many voters each one's voice is shared: the sum of its correlations given the class."""
     toxic = (cast > 0).astype(float)
     shared = np.zeros((cast.shape[1],) * 2)
-    for p in (posterior, 1 - posterior):
+    for p in (n * posterior, n * (1 - posterior)):
         mean = p @ toxic / max(p.sum(), 1e-9)
         shared += ((toxic - mean) * p[:, None]).T @ (toxic - mean)
     spread = np.sqrt(np.maximum(np.diag(shared), 1e-9))
@@ -206,14 +210,14 @@ def _voices(cast: np.ndarray, posterior: np.ndarray, alike_from: float) -> np.nd
     return np.where(correlation > alike_from, np.minimum(correlation, 1.0), 0.0).sum(axis=1)
 
 
-def logistic(x: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
-    """Weights, the intercept last, by Newton steps; targets are probabilities. The intercept is not shrunk."""
+def logistic(x: np.ndarray, target: np.ndarray, n: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
+    """Weights, the intercept last, by Newton steps; targets are probabilities, ``n`` the number of each row. The intercept is not shrunk."""
     x = np.column_stack([x, np.ones(len(x))])
     w, shrink = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
     shrink[-1] = 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(shrink), x.T @ (p - target) + shrink * w)
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + np.diag(shrink), x.T @ (n * (p - target)) + shrink * w)
         w = w - step / max(1.0, np.abs(step).max() / 4)
         if np.abs(step).max() < 1e-6:
             break
@@ -231,20 +235,22 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             out_x, out_v = [], []
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 row = features(text, known, n)
-                out_x.append(row.tolist())
-                out_v.append(votes(row, text, int(toxic > 0)).tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(out_x, pa.list_(pa.float64())), pa.array(out_v, pa.list_(pa.int8()))], names=["x", "votes"])
-
-    # Bounded by the sample and the number of entries.
-    measured = rows.mapInArrow(measure, "x array<double>, votes array<tinyint>").toPandas()
-    cast = np.array(measured["votes"].tolist(), dtype=int)
-    if not len(measured) or len(set(cast[:, -1])) < 2:
+                out_x.append(row.tobytes())
+                out_v.append(votes(row, text, int(toxic > 0)).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(out_x, pa.binary()), pa.array(out_v, pa.binary())], names=["x", "votes"])
+
+    # Bounded by the sample and the number of entries; texts without any entry are mostly equal, and sent once.
+    equal = rows.mapInArrow(measure, "x binary, votes binary").groupBy("x", "votes").agg(F.count("*").alias("n"))
+    measured = equal.toPandas().sort_values(["x", "votes"])  # the same sums on every run
+    x = np.frombuffer(b"".join(map(bytes, measured["x"]))).reshape(len(measured), n + 3)
+    cast = np.frombuffer(b"".join(map(bytes, measured["votes"])), np.int8).reshape(len(measured), n + 5)
+    times = measured["n"].to_numpy(float)
+    if len(set(cast[:, -1])) < 2:
         plain = np.zeros(n + 3)
         plain[n] = 8.0  # the share of given words alone, even at RATE
         return Model(entries, plain.tolist(), -8.0)
-    order = np.lexsort(np.column_stack([cast, np.array(measured["x"].tolist())]).T)  # the same sums on every run
-    posterior, _ = label_model(cast[order])
-    w = logistic(np.array(measured["x"].tolist())[order], posterior)
+    posterior, _ = label_model(cast, times)
+    w = logistic(x, posterior, times)
     return Model(entries, np.round(w[:-1], 9).tolist(), round(float(w[-1]), 9))
 
 
