@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from daygrid.functions.aggregates import present
 from daygrid.grids import Grid, clamp
+from daygrid.sizing import stored
 
 # A leaf box of the search tree holds about this many cells, and at most LEAF_LIMIT where the depth allows.
 LEAF_CELLS = 64
 LEAF_LIMIT = 4096
 MAX_DEPTH = 8
+POINT_SALTS = 8
 
 EXTENT = ("lat_min", "lat_max", "lon_min", "lon_max")
 
@@ -125,6 +127,9 @@ def nearest_cells(grid: DataFrame, points: DataFrame) -> DataFrame:
         if depth == MAX_DEPTH or max(r.crowd for r in top) <= LEAF_LIMIT:
             break
         depth += 1
+    # The tree is read by every level below: the leaves are stored, and larger boxes are made from them.
+    leaves = stored(leaves, small=True)
+    boxes = _box_levels(leaves, depth)
 
     point = ["p_lat", "p_lon"]
     p_lat, p_lon = F.col("p_lat"), F.col("p_lon")
@@ -152,11 +157,14 @@ def nearest_cells(grid: DataFrame, points: DataFrame) -> DataFrame:
     )
 
     per_point = Window.partitionBy(*point)
+    # The points of a crowded box are spread over so many copies of it.
+    salt = F.pmod(F.xxhash64(*point), F.lit(POINT_SALTS)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(POINT_SALTS - 1)))
     for k in range(2, depth + 1):
         children = boxes[k].drop("crowd").withColumns({"up_row": F.shiftright("row_box", 3), "up_col": F.shiftright("col_box", 3)})
         parents = frontier.withColumnsRenamed({"row_box": "up_row", "col_box": "up_col"})
         frontier = (
-            parents.join(children, ["up_row", "up_col"])
+            parents.withColumn("salt", salt).join(children.withColumn("salt", salts), ["up_row", "up_col", "salt"])
             .withColumn("nearest", _nearest(p_lat, p_lon, F.col))
             .where(F.col("nearest") <= F.col("bound"))
             .withColumn("farthest", _farthest(p_lat, p_lon, F.col))
@@ -166,7 +174,7 @@ def nearest_cells(grid: DataFrame, points: DataFrame) -> DataFrame:
         )
     distance = _squared(F.col("lat"), p_lat) + _squared(F.col("lon"), p_lon)
     found = (
-        frontier.join(leaves, ["row_box", "col_box"])
+        frontier.withColumn("salt", salt).join(leaves.withColumn("salt", salts), ["row_box", "col_box", "salt"])
         .groupBy(*point)
         .agg(F.min_by(F.struct("cell", "lat", "lon"), F.struct(distance.alias("d"), F.col("cell"))).alias("best"))
         .select(

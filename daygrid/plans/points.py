@@ -15,7 +15,7 @@ from daygrid.operators.daily import daily_outputs
 from daygrid.operators.nearest import nearest_on_grid
 from daygrid.operators.regrid import stored_regrid_map
 from daygrid.operators.yearly import NORMAL_PERIODS, Period, annual_by_rule, normals_two_periods, with_fit
-from daygrid.sizing import broadcast_within, row_bound
+from daygrid.sizing import BROADCAST_ROWS, broadcast_within, row_bound
 
 # Places as (latitude, longitude).
 TOWNS: dict[str, tuple[float, float]] = {
@@ -42,7 +42,8 @@ CHECK_PLACES: dict[str, tuple[float, float]] = {
     "WRF": (64.0, -152.0),
 }
 
-# Up to this many points are located ahead of the query, and their indices become a filter of its scan.
+# Up to this many points are located ahead of the query, and their indices become a filter of its scan. More
+# points give the same rows from a scan without that filter.
 FEW_POINTS = 500
 
 
@@ -57,35 +58,38 @@ def projected(points: DataFrame, plane=ALASKA_ALBERS, lat: str = "lat", lon: str
 
 
 def extract_points(
-    fields: DataFrame, points: DataFrame, grid: Grid, *, tolerance: float | None = 5000.0, on_miss: str = "error"
+    fields: DataFrame, points: DataFrame, grid: Grid, *, tolerance: float | None = 5000.0, on_miss: str = "error",
+    few_points: int | None = None, broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """The daily values of the cells nearest to the points, with the points' own columns.
 
     ``points`` has ``x, y`` in the plane of the product and any columns that
     name a point.  Few points are located first and broadcast, and the grid
     rows and columns they lie in become a scan filter, which skips most pages of
-    files sorted by cell.  Many points are joined by cell.
+    files sorted by cell.  Many points are joined by cell.  ``few_points`` (else ``FEW_POINTS``) and
+    ``broadcast_rows`` say what is few; they change the plan and not the rows.
     """
-    names, cells, rows = _locate(points, grid, tolerance, on_miss)
+    few_points = FEW_POINTS if few_points is None else few_points
+    names, cells, rows = _locate(points, grid, tolerance, on_miss, few_points)
     keys = ["y_idx", "x_idx"]
     keep = [c for c in ("variable", "level", "time", "value") if c in fields.columns]
-    return join_cells(_near(fields, keys, cells, rows), cells, keys, rows).select(*names, *keep)
+    return join_cells(_near(fields, keys, cells, rows, few_points), cells, keys, rows, broadcast_rows=broadcast_rows).select(*names, *keep)
 
 
-def _locate(points: DataFrame, grid: Grid, tolerance: float | None, on_miss: str) -> tuple[list[str], DataFrame, int | None]:
+def _locate(points: DataFrame, grid: Grid, tolerance: float | None, on_miss: str, few_points: int) -> tuple[list[str], DataFrame, int | None]:
     """The points' own columns, the cells they lie in, and a bound of their number if there is one."""
     names = [c for c in points.columns if c not in ("x", "y", "lat", "lon")]
     located = nearest_on_grid(points, grid, tolerance=tolerance, on_miss=on_miss).select(*names, "y_idx", "x_idx")
-    few = located.limit(FEW_POINTS + 1).collect()
-    if len(few) > FEW_POINTS:
+    few = located.limit(few_points + 1).collect()
+    if len(few) > few_points:
         return names, located.dropna(subset=["y_idx", "x_idx"]), row_bound(points)
     hits = [r for r in few if r.y_idx is not None]
     return names, points.sparkSession.createDataFrame(hits, located.schema), len(hits)
 
 
-def _near(rows: DataFrame, keys: Sequence[str], cells: DataFrame, bound: int | None) -> DataFrame:
+def _near(rows: DataFrame, keys: Sequence[str], cells: DataFrame, bound: int | None, few_points: int) -> DataFrame:
     """``rows`` without the grid rows and columns that hold none of the cells, if there are few cells."""
-    if bound is None or bound > FEW_POINTS:
+    if bound is None or bound > few_points:
         return rows
     found = cells.select(*keys).distinct().collect()
     for k in keys:
@@ -106,13 +110,14 @@ def extract_points_from_hours(
     source_plane=SOURCE_PLANE,
     target_plane=ALASKA_ALBERS,
 ) -> DataFrame:
-    """What :func:`extract_points` would give on the product of ``hourly``, without making the product.
+    """The values that :func:`extract_points` would give on the product of ``hourly``, without making the product.
 
     Reprojection picks whole source cells, so only the hours of the cells that
-    the points end up in are read and reduced.
+    the points end up in are read and reduced.  The rows that the full cube has without a value, for
+    points outside the source domain and for days on which a cell has no hours, are left out: they would take the whole calendar to know.
     """
     entries = resolve(variables)
-    names, cells, rows = _locate(points, target, tolerance, on_miss)
+    names, cells, rows = _locate(points, target, tolerance, on_miss, FEW_POINTS)
     grid_map = stored_regrid_map(hourly.sparkSession, source, target, source_plane, target_plane)
     keys = ["south_north", "west_east"]
     wanted = (
@@ -121,7 +126,7 @@ def extract_points_from_hours(
         .select(*names, *keys)
     )
     only = broadcast_within(wanted.select(*keys).distinct(), rows)
-    hours = _near(hourly, keys, wanted, rows).join(only, keys, "left_semi")
+    hours = _near(hourly, keys, wanted, rows, FEW_POINTS).join(only, keys, "left_semi")
     return join_cells(daily_outputs(hours, entries), wanted, keys, rows).drop(*keys)
 
 

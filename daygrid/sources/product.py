@@ -179,7 +179,7 @@ def attributes_frame(
 
 def write_attributes(attributes: DataFrame, root: str) -> None:
     (
-        attributes.coalesce(1)
+        attributes.repartition("variable")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*UNIT)

@@ -60,3 +60,19 @@ def test_requests(spark):
 def test_lookup_join(spark):
     asked = spark.createDataFrame([("t2_mean",), ("zzz",)], "name string")
     assert rows(with_catalog(asked, "name", "left").select("name", "var_id")) == [("t2_mean", "T2"), ("zzz", None)]
+
+
+# Some of the catalogue's rows as they must read.
+EXPECTED = {
+    "t2_mean": ("T2", "mean", KELVIN_SHIFT, "degree_C", 2),
+    "rainnc_sum": ("rainnc", "sum", 0.0, "mm", 2),
+    "wdir10_mean": ("wdir10", "circular_mean", 0.0, "degree", 2),
+    "twb_max": ("twb", "max", 0.0, "K", 3),
+    "smois_mean": ("SMOIS", "mean", 0.0, "m3 m-3", 3),
+    "height_mean": ("height", "mean", 0.0, "m", 3),
+}
+
+
+def test_rows_read_as_expected():
+    found = {n: (e.var_id, e.agg_kind, e.offset, e.units, e.dims) for n, e in CATALOG.items() if n in EXPECTED}
+    assert found == EXPECTED
