@@ -10,7 +10,7 @@ of the document are almost surely set; the few documents for which that is too e
 
 Search. Equal texts are one class from the start. Signatures are cut into bands; a bucket is the
 classes that share a band. In each round all members of a bucket are compared with one of them, its centre
-(another in each round, and only with what is not connected yet). What is then still apart within a bucket is
+(in the next round with a few more, and only with what is not connected yet). What is then still apart within a bucket is
 joined on the shingles that few of these texts have, with bounds on the overlap that leave out no
 similar pair. So a bucket of thousands of near copies costs thousands of comparisons, and no
 link that would connect two components is lost. Comparisons are exact: multiset overlap
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daygrid.llm.shingles import bags, blocks, mix, shingles, uniform
@@ -41,6 +41,8 @@ from daygrid.sizing import broadcast_within, row_bound, stored
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 CENTRE_ROUNDS = 2
+# Centres of a bucket in each round after the first.
+CENTRES = 6
 # A shingle that more of the compared texts have is common.
 RARE = 32
 
@@ -179,19 +181,20 @@ def links(docs: DataFrame, classes: DataFrame, similarity: float = SIMILARITY, r
     for k in range(rounds + 1):
         placed = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
         placed = stored(placed.join(known, "node"), small=True)
-        # The first centre is the most typical member, the others are drawn among those outside the largest component.
-        weight = F.col("shared") if k == 0 else F.xxhash64("node", F.lit(k))
-        parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.max(F.struct(weight.alias("weight"), (-F.col("node")).alias("minus"), "size")).alias("best"))
-        mixed = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("main"), F.max(F.struct("best", "component")).alias("any"), F.min(F.struct("n", F.struct("best", "component").alias("own"))).alias("least"))
-        mixed = mixed.where("parts > 1").select("bucket", F.col("main.component").alias("main"), (F.col("any") if k == 0 else F.col("least.own")).alias("centre"))
+        parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        mixed = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("n", "component"))["component"].alias("main")).where("parts > 1")
+        mixed = stored(mixed.select("bucket", "main"), small=True)
         if k < rounds:
-            node = -F.col("centre.best.minus")
+            # First the most typical member of each bucket is the centre, then the next ones are.
+            rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.col("shared").desc(), "node"))
+            open_ = placed.join(mixed, "bucket")
+            centres = open_.withColumn("rank", rank).where(F.col("rank") <= (CENTRES if k else 1))
+            centres = centres.select("bucket", *(F.col(c).alias(f"{c}_c") for c in ("node", "component", "size")))
             # Sets of very different sizes cannot be similar.
-            sizes = (F.col("size"), F.col("centre.best.size"))
-            alike = F.least(*sizes) >= similarity * F.greatest(*sizes)
-            pairs = placed.join(mixed, "bucket").where(F.expr("component <> centre.component") & alike).select(node.alias("a"), F.col("node").alias("b"))
+            alike = F.least("size", "size_c") >= similarity * F.greatest("size", "size_c")
+            pairs = open_.join(centres, "bucket").where((F.col("component") != F.col("component_c")) & alike).select(F.col("node_c").alias("a"), F.col("node").alias("b"))
         else:
-            pairs = _apart(placed.join(mixed.select("bucket", "main"), "bucket"), bag, similarity)
+            pairs = _apart(placed.join(mixed, "bucket"), bag, similarity)
         pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), small=True)
         if pairs.isEmpty() and mixed.isEmpty():
             break
