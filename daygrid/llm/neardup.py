@@ -228,9 +228,13 @@ def _apart(placed: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
     first = sharing.join(left, "node_a").join(right, "node_b").where(F.col("both") >= needed)
     # Of two components one is not the largest.
     able = placed.join(sizes.select("node", "n", "common"), "node").where(F.col("common") >= share * (1 + similarity) * F.col("n"))
-    one = able.where("component <> main").select("bucket", *(F.col(c).alias(f"{c}_a") for c in sizes.columns))
-    two = able.select("bucket", *(F.col(c).alias(f"{c}_b") for c in sizes.columns))
-    second = one.join(two, "bucket").where((F.col("component_a") != F.col("component_b")) & (needed <= 0))
+    able = able.join(placed.groupBy("node").agg(F.collect_set("bucket").alias("buckets")), "node")  # one for each band at most
+    columns = [*sizes.columns, "buckets"]
+    one = able.where("component <> main").select("bucket", *(F.col(c).alias(f"{c}_a") for c in columns))
+    two = able.select("bucket", *(F.col(c).alias(f"{c}_b") for c in columns))
+    # A pair that shares several buckets is looked at in one of them.
+    here = F.array_min(F.array_intersect("buckets_a", "buckets_b")) == F.col("bucket")
+    second = one.join(two, "bucket").where((F.col("component_a") != F.col("component_b")) & (needed <= 0) & here)
     return first.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).union(second.select("node_a", "node_b"))
 
 
