@@ -37,7 +37,7 @@ END_ID = 1
 # Pieces per group on average.
 GROUP_SIZE = 4000
 # Words, and chunks of them, whose ids a Python worker remembers.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 # Branches that the search may try per group before it settles for the incumbent.
 MAX_NODES = 500
 # Fillings that are kept, and looked at, for one sequence.

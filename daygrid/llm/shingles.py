@@ -12,7 +12,7 @@ SHINGLE = 5
 # Characters of text that are worked on at a time (a longer text alone).
 BLOCK = 3_000_000
 # Words whose hash a Python worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
