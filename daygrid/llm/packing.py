@@ -4,7 +4,8 @@ Pieces are dealt at random into groups of a few thousand, and every group is pac
 in one task from the lengths alone; the number of groups grows with the data. Each
 group wastes less than a sequence or two, so the whole is within a small
 fraction of a percent of the least possible number. Inside a group, best-fit decreasing gives the
-incumbent; where that is above the lower bound, branch and bound goes on: it takes the
+incumbent; where that is above the lower bound, branch and bound packs the sequences that waste
+most anew, first a few, at last the whole group, with more nodes than sequences: it takes the
 largest piece left, enumerates the undominated ways to fill the rest of
 its sequence, and gives up a branch as soon as its waste rules out a better solution.
 
@@ -38,7 +39,9 @@ END_ID = 1
 GROUP_SIZE = 4000
 # Words, and chunks of them, whose ids a Python worker remembers.
 CACHE_WORDS = 300_000
-# Branches that the search may try per group before it settles for the incumbent.
+# Sequences that the first search of a group packs anew.
+FIRST_PART = 16
+# Branches that a search may try, beside two for each of its sequences, before it settles for the incumbent.
 MAX_NODES = 500
 # Fillings that are kept, and looked at, for one sequence.
 MAX_FILLINGS = 20
@@ -168,9 +171,11 @@ def lower_bound(lengths: list[int], capacity: int) -> int:
     return best
 
 
-def _fillings(lengths: list[int], left: list[int], room: int) -> list[tuple[int, list[int]]]:
+def _fillings(lengths: list[int], left: list[int], room: int, most: int) -> list[tuple[int, list[int]]]:
     """Undominated ways to fill ``room`` from the positions ``left`` (longest first), as (waste, positions), least waste first.
 
+    Fillings that waste more than ``most`` are left out; the search would give them up.
+
     A filling is dominated if a piece left out could take the place of some of its pieces and fit: whatever
     is then possible with the smaller ones was possible before.
     """
@@ -180,8 +185,11 @@ def _fillings(lengths: list[int], left: list[int], room: int) -> list[tuple[int,
 
     stock = Counter(lengths[i] for i in left)
     kinds = sorted(stock)
+    descending = [-lengths[i] for i in left]
 
     def dominated(chosen: list[int], free: int) -> bool:
+        if not free:
+            return False
         sums, used = {0}, Counter(lengths[i] for i in chosen)
         for i in chosen:
             sums |= {s + lengths[i] for s in sums}
@@ -198,7 +206,7 @@ def _fillings(lengths: list[int], left: list[int], room: int) -> list[tuple[int,
         tried += 1
         last = None
         # Positions are in descending order of length: skip to the first that fits.
-        for k in range(max(at, bisect_left(left, -free, key=lambda i: -lengths[i])), len(left)):
+        for k in range(max(at, bisect_left(descending, -free)), len(left)):
             if len(found) >= MAX_FILLINGS or tried >= MAX_TRIES:
                 return
             length = lengths[left[k]]
@@ -206,7 +214,7 @@ def _fillings(lengths: list[int], left: list[int], room: int) -> list[tuple[int,
                 last = length
                 go(k + 1, free - length, [*chosen, left[k]])
         key = tuple(lengths[i] for i in chosen)
-        if last is None and key not in seen and not dominated(chosen, free):
+        if last is None and free <= most and key not in seen and not dominated(chosen, free):
             seen.add(key)
             found.append((free, chosen))
 
@@ -217,15 +225,35 @@ def _fillings(lengths: list[int], left: list[int], room: int) -> list[tuple[int,
 
 
 def complete(lengths: list[int], capacity: int, max_nodes: int = MAX_NODES) -> list[list[int]]:
-    """Pack descending ``lengths`` into as few bins as the search finds; positions by bin."""
+    """Pack descending ``lengths`` into as few bins as the search finds; positions by bin.
+
+    The bins that waste most are packed anew, more of them each time that this saves none, up to all.
+    """
     best = best_fit(lengths, capacity)
     least = lower_bound(lengths, capacity)
-    if len(best) == least:
-        return best
+    size = FIRST_PART
+    while len(best) > least:
+        best.sort(key=lambda own: sum(lengths[i] for i in own))
+        places = sorted(i for own in best[:size] for i in own)
+        rank = {i: k for k, i in enumerate(places)}
+        part = [[rank[i] for i in own] for own in best[:size]]
+        found = _searched([lengths[i] for i in places], capacity, part, max_nodes + 2 * len(part))
+        if len(found) < len(part):
+            best[:size] = [[places[k] for k in own] for own in found]
+        elif size >= len(best):
+            break
+        else:
+            size *= 2
+    return best
+
+
+def _searched(lengths: list[int], capacity: int, best: list[list[int]], max_nodes: int) -> list[list[int]]:
+    """Branch and bound from the incumbent ``best``; a descent takes one node a bin, so ``max_nodes`` should be above their number."""
+    least = lower_bound(lengths, capacity)
     spare, nodes = len(best) * capacity - sum(lengths), 0  # waste of the incumbent
     # Depth first with an own stack; only the branch that is being followed is held.
     bins: list[list[int]] = []
-    stack = [(0, _branches(lengths, list(range(len(lengths))), capacity))]
+    stack = [(0, _branches(lengths, list(range(len(lengths))), capacity, spare - capacity))]
     while stack and nodes < max_nodes and len(best) > least:
         waste, branches = stack[-1]
         free, filled, rest = next(branches, (0, [], None))
@@ -239,13 +267,13 @@ def complete(lengths: list[int], capacity: int, max_nodes: int = MAX_NODES) -> l
         else:
             nodes += 1
             bins.append(filled)
-            stack.append((waste + free, _branches(lengths, rest, capacity)))
+            stack.append((waste + free, _branches(lengths, rest, capacity, spare - capacity - waste - free)))
     return best
 
 
-def _branches(lengths: list[int], left: list[int], capacity: int) -> Iterator[tuple[int, list[int], list[int]]]:
+def _branches(lengths: list[int], left: list[int], capacity: int, most: int) -> Iterator[tuple[int, list[int], list[int]]]:
     """For each filling around the largest piece left: its waste, its positions, the positions that remain."""
-    for free, chosen in _fillings(lengths, left[1:], capacity - lengths[left[0]]):
+    for free, chosen in _fillings(lengths, left[1:], capacity - lengths[left[0]], most):
         inside = {left[0], *chosen}
         yield free, [left[0], *chosen], [i for i in left if i not in inside]
 

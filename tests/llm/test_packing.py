@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from daygrid.llm.packing import _Words, best_fit, complete, lower_bound, pack, pack_documents, sequences, tokenize
+from daygrid.llm.packing import CAPACITY, GROUP_SIZE, _Words, best_fit, complete, lower_bound, pack, pack_documents, sequences, tokenize
 from daygrid.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -63,6 +63,16 @@ def test_search_beats_best_fit():
     assert better
 
 
+@pytest.mark.parametrize("shortest, longest, seed", [(300, 1800, 1), (400, 1400, 7)])
+def test_search_finishes_on_a_production_group(shortest, longest, seed):
+    draw = random.Random(seed)
+    lengths = sorted((draw.randrange(shortest, longest) for _ in range(GROUP_SIZE)), reverse=True)
+    found = complete(lengths, CAPACITY)
+    assert sorted(i for b in found for i in b) == list(range(GROUP_SIZE))
+    assert max(sum(lengths[i] for i in b) for b in found) <= CAPACITY
+    assert len(best_fit(lengths, CAPACITY)) > lower_bound(lengths, CAPACITY) + 4 and len(found) <= lower_bound(lengths, CAPACITY) + 1
+
+
 def check_places(found, docs, plain, capacity):
     expected = {}
     for doc_id, text in docs:
