@@ -6,8 +6,8 @@ deleted. What belongs to no article by its element or role (menus, headers, foot
 scripts, adverts, comments and the like) is deleted by name, and of the rest the article is kept: the elements named as the
 main content, or without any the whole body.
 
-Only subtrees with text are counted. Hash and host, not their text, are shuffled, after the counts of each batch
-are summed; a repeated page counts as often as it occurs.
+Only subtrees with text are counted, on different pages: rows of a host whose main text is the same are one page, however
+often and under however many URLs it occurs. Hashes and hosts, not text, are shuffled.
 
 Text: character references are decoded, white space in a block becomes one space, blocks are joined by one space in
 page order. Defined cases: NULL html is empty; markup that never ends is closed at the end of the page; a NULL
@@ -189,17 +189,17 @@ def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES)
 
     def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counted: dict[tuple[str, int], int] = {}
-            for host, html in zip(batch.column(0).to_pylist(), map(pa.StringScalar.as_py, batch.column(1)), strict=True):
-                for digest in set(hashes(parsed(html)).values()):
-                    counted[host, digest] = counted.get((host, digest), 0) + 1
-            keys = list(counted)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([h for h, _ in keys], pa.string()), pa.array([d for _, d in keys], pa.int64()), pa.array([counted[k] for k in keys], pa.int64())], names=["host", "digest", "n"]
-            )
-
-    totals = pages.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least)
-    counts = pages.select("host", "html").mapInArrow(subtrees, "host string, digest bigint, n bigint").groupBy("host", "digest").agg(F.sum("n").alias("n"))
+            mains, own = [], []
+            for html in map(pa.StringScalar.as_py, batch.column(1)):
+                root = parsed(html)
+                mains.append(hashlib.blake2b(main_text(root, set(), {}).encode("utf-8", "surrogatepass"), digest_size=16).digest())
+                own.append(sorted(set(hashes(root).values())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(mains, pa.binary()), pa.array(own, pa.list_(pa.int64()))], names=["host", "main", "digests"])
+
+    # What lies around equal main texts may differ; one of them stands for all.
+    different = stored(pages.select("host", "html").mapInArrow(subtrees, "host string, main binary, digests array<bigint>").groupBy("host", "main").agg(F.min("digests").alias("digests")), small=True)
+    totals = different.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least)
+    counts = different.select("host", F.explode("digests").alias("digest")).groupBy("host", "digest").agg(F.count("*").alias("n"))
     return counts.where("n > 1").join(totals, "host").where(F.col("n") >= share * F.col("pages")).select("host", "digest")
 
 

@@ -48,6 +48,18 @@ def test_templates_by_host(spark):
     assert found[21] == "Read b.example.com daily Title 21 Text number 21 Shared by two All rights of b.example.com"  # too few pages to tell
 
 
+def test_copies_are_one_page(spark):
+    story = "<html><body><div>Side %d</div><%s><h1>A story</h1><p>Told under many addresses</p></%s></body></html>"
+    rows = [(100 + k, f"http://a.example.com/copy/{k}", story % (k, "article", "article")) for k in range(12)]  # half of the host and more
+    rows += [(200 + k, f"http://b.example.com/copy/{k}", story % (0, "div", "div")) for k in range(12)]  # without an article, and with a second group
+    rows += [(300 + k, f"http://b.example.com/other/{k}", "<p>Another text</p>") for k in range(12)]
+    rows += [page(k) for k in range(10)] + [page(20, "b.example.com")]
+    found = {r.page_id: r.text for r in extracted(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert {found[100 + k] for k in range(12)} == {"A story Told under many addresses"}
+    assert {found[200 + k] for k in range(12)} == {"Side 0 A story Told under many addresses"} and {found[300 + k] for k in range(12)} == {"Another text"}
+    assert found[3] == "Title 3 Text number 3"  # the template of the host is still found
+
+
 def test_edges(spark):
     rows = [(1, None, None), (1, None, None), (2, "no host", "<p>a"), (None, "http://h/", "<p>b"), (3, "http://h/", "")]
     frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
