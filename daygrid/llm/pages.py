@@ -31,6 +31,12 @@ from daygrid.sizing import broadcast_within, row_bound, stored
 # A subtree on this share of a host's pages is its template, if the host has so many pages.
 SHARE = 0.5
 LEAST_PAGES = 5
+# So is one on the square root of them, if that is at least LEAST_PAGES and this share, which bounds a host's list of templates.
+LEAST_SHARE = 0.01
+# Text blocks and inline elements with fewer words may be anybody's: they need SHARE.
+FEW_WORDS = 8
+# A page keeps what is on less than SHARE of the pages if that has more than so many times the words of the rest.
+MOST_TIMES = 9
 
 # Elements of HTML by what they are for.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -43,6 +49,7 @@ NO_TEXT = set(
     "head title script style noscript template nav header footer aside form button select option input textarea iframe object embed svg canvas "
     "audio video dialog menu map".split()
 )
+TEXT_BLOCKS = set("h1 h2 h3 h4 h5 h6 p pre blockquote li dt dd td th caption figcaption legend summary".split())
 # A start tag that ends an open element of these, as long as no element of the second set lies between.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
@@ -140,20 +147,26 @@ def _walk(root: Node) -> Iterator[tuple[Node | str, bool]]:
 
 
 def hashes(root: Node) -> dict[int, int]:
-    """For each element with text (by ``id``) a hash of its subtree: names, classes and words."""
+    """For each element with text (by ``id``) a hash of its subtree: names, classes and words; odd if it is a text of few words."""
     inner: list[list[bytes]] = [[]]
+    counts = [0]  # words in each open element
     found: dict[int, int] = {}
     for node, ended in _walk(root):
         if isinstance(node, str):
             if words := node.split():
                 inner[-1].append(" ".join(words).encode("utf-8", "surrogatepass"))
+                counts[-1] += len(words)
         elif not ended:
             inner.append([])
+            counts.append(0)
         else:
             parts = inner.pop()
+            n_words = counts.pop()
+            counts[-1] += n_words
             if parts:
                 digest = hashlib.blake2b(b"\0".join([node.name.encode("utf-8", "surrogatepass"), node.attributes.get("class", "").encode("utf-8", "surrogatepass"), *parts]), digest_size=8).digest()
-                found[id(node)] = int.from_bytes(digest, "big", signed=True)
+                few = n_words < FEW_WORDS and (node.name in TEXT_BLOCKS or node.name not in BLOCKS)
+                found[id(node)] = int.from_bytes(digest, "big", signed=True) & ~1 | few
                 inner[-1].append(digest)
     return found
 
@@ -185,7 +198,7 @@ def main_text(root: Node, template: set[int], digests: dict[int, int]) -> str:
 
 
 def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
-    """``host, digest`` of the subtrees on a large share of a host's pages (``host, html``)."""
+    """``host, digest, most`` of the subtrees on many of a host's pages (``host, html``), and whether these are ``share`` of them."""
 
     def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,22 +213,34 @@ def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES)
     different = stored(pages.select("host", "html").mapInArrow(subtrees, "host string, main binary, digests array<bigint>").groupBy("host", "main").agg(F.min("digests").alias("digests")), small=True)
     totals = different.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least)
     counts = different.select("host", F.explode("digests").alias("digest")).groupBy("host", "digest").agg(F.count("*").alias("n"))
-    return counts.where("n > 1").join(totals, "host").where(F.col("n") >= share * F.col("pages")).select("host", "digest")
+    most = F.col("n") >= share * F.col("pages")
+    many = F.col("n") >= F.greatest(F.lit(least), F.sqrt("pages"), LEAST_SHARE * F.col("pages"))
+    found = counts.where("n > 1").join(totals, "host").where(most | many & (F.col("digest").bitwiseAND(F.lit(1)) == 0))
+    return found.select("host", "digest", most.alias("most"))
 
 
 def extracted(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
     """``page_id, url, text`` of every row of ``pages`` (``page_id, url, html``)."""
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), host_and_path(F.col("url"))[0].alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    # At most 1 / share subtrees side by side can be on that share of the pages, each with those inside it.
-    known = stored(templates(rows, share, least).groupBy("host").agg(F.sort_array(F.collect_list("digest")).alias("template")), small=True)
-    joined = rows.join(broadcast_within(known, row_bound(known, 10_000)), "host", "left").select("page_id", "url", "html", "template")
+    # At most 1 / LEAST_SHARE subtrees side by side can be on that share of the pages, each with those inside it.
+    lists = [F.sort_array(F.collect_list(F.when(own, F.col("digest")))).alias(name) for name, own in (("most", F.col("most")), ("some", ~F.col("most")))]
+    known = stored(templates(rows, share, least).groupBy("host").agg(*lists), small=True)
+    joined = rows.join(broadcast_within(known, row_bound(known, 10_000)), "host", "left").select("page_id", "url", "html", "most", "some")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for html, template in zip(map(pa.StringScalar.as_py, batch.column(2)), batch.column(3), strict=True):
+            for html, most, some in zip(map(pa.StringScalar.as_py, batch.column(2)), batch.column(3), batch.column(4), strict=True):
                 root = parsed(html)
-                texts.append(main_text(root, set(template.as_py() or ()), hashes(root) if template.is_valid else {}))
+                digests = hashes(root) if most.is_valid else {}
+                template, weak = set(most.as_py() or ()), set(some.as_py() or ()).intersection(digests.values())
+                text = main_text(root, template, digests)
+                if weak:
+                    own = main_text(root, template | weak, digests)
+                    n_own = len(own.split())
+                    if len(text.split()) - n_own <= MOST_TIMES * n_own:
+                        text = own
+                texts.append(text)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()

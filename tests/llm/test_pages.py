@@ -60,6 +60,22 @@ def test_copies_are_one_page(spark):
     assert found[3] == "Title 3 Text number 3"  # the template of the host is still found
 
 
+def test_section_templates_of_a_large_host(spark):
+    rows = []
+    for k in range(80):
+        section = f"<div class=bar><a>Part {k % 4}</a> <a>News of part {k % 4}</a></div>"
+        advert = "<p>Write to our office today and get the best of the daily news by mail</p>" if k % 5 < 2 else ""
+        head = "<h2>Introduction</h2>" if k % 5 == 3 else ""
+        rows.append((k, f"http://a.example.com/{k}", f"<body>{section}<article><h1>Title {k}</h1>{head}<p>Text number {k}</p>{advert}</article><div><h3>Own {k}</h3></div></body>"))
+        rows.append((100 + k, f"http://b.example.com/{k}", f"<body>{section}<div><h1>Title {k}</h1>{head}<p>Text number {k}</p></div>{advert}</body>"))
+    story = " ".join(f"<p>This is what paragraph {i} of the long story tells of it</p>" for i in range(6))
+    rows += [(200 + k, f"http://b.example.com/story/{k}", f"<body><div>{story}<p>Version {k}</p></div></body>") for k in range(12)]
+    found = {r.page_id: r.text for r in extracted(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    for k in range(80):
+        assert found[k] == found[100 + k] == f"Title {k} {'Introduction ' if k % 5 == 3 else ''}Text number {k}"
+    assert all(found[200 + k].startswith("This is what paragraph 0") and found[200 + k].endswith(f"of it Version {k}") for k in range(12))
+
+
 def test_edges(spark):
     rows = [(1, None, None), (1, None, None), (2, "no host", "<p>a"), (None, "http://h/", "<p>b"), (3, "http://h/", "")]
     frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
