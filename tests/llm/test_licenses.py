@@ -41,6 +41,17 @@ def test_bands_retrieve_what_is_contained():
         assert n <= size and least >= 0.44 and (1 - least) ** BANDS < 1e-5
 
 
+def test_common_licenses_and_versions():
+    head = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    for family, version, name in [("", "2", "GPL-2.0"), ("", "3", "GPL-3.0"), ("Lesser ", "2.1", "LGPL-2.1"), ("Lesser ", "3", "LGPL-3.0"), ("Affero ", "3", "AGPL-3.0")]:
+        assert [x for x, _ in plain(head.format(family, version))] == [name]
+    assert [x for x, _ in plain("You should have received a copy of the GNU General Public License along with this program")] == ["GPL"]
+    for name, notice in NOTICES:
+        if name not in ("GPL", "GPL-3.0"):
+            assert [x for x, _ in plain(notice)] == [name]
+    assert {"ISC", "CC0-1.0", "Unlicense"} <= {name for name, _ in NOTICES}
+
+
 def test_scan_equals_brute_force(spark):
     draw = random.Random(1)
     vocabulary = [f"w{i}" for i in range(50)] + "the this is of License work under".split()
