@@ -61,9 +61,8 @@ def set_groups(sets: DataFrame) -> DataFrame:
     The baseline is the set of the first file by path; ``is_baseline`` marks it.
     """
     groups = sets.groupBy("variables").agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("example"))
-    # One row per different set is left; the whole list of them is carried once to find the first.
-    every = groups.groupBy().agg(F.min("example").alias("first"), F.collect_list(F.struct("variables", "files", "example")).alias("groups"))
-    return every.select("first", F.inline("groups")).select("variables", "files", "example", (F.col("example") == F.col("first")).alias("is_baseline"))
+    first = sets.agg(F.min("path").alias("first"))  # one row
+    return groups.crossJoin(F.broadcast(first)).select("variables", "files", "example", (F.col("example") == F.col("first")).alias("is_baseline"))
 
 
 def compared_sets(sets: DataFrame) -> DataFrame:
@@ -84,7 +83,7 @@ def deviating_files(sets: DataFrame) -> DataFrame:
 
 def consistency(sets: DataFrame) -> DataFrame:
     """Number of files and of different sets; consistent means exactly one set."""
-    return set_groups(sets).agg(
+    return sets.groupBy("variables").agg(F.count(F.lit(1)).alias("files")).agg(
         F.coalesce(F.sum("files"), F.lit(0)).alias("files"), F.count(F.lit(1)).alias("variable_sets")
     ).withColumn("consistent", F.col("variable_sets") == 1)
 

@@ -93,3 +93,9 @@ def test_units(spark, default, unknown):
     assert out == shifts
     with pytest.raises(ValueError):
         to_celsius(F.lit(0.0), F.lit("K"), "fahrenheit")
+
+
+def test_sets_are_not_collected_into_one_row(spark):
+    sets = spark.createDataFrame([("f1", ["a"]), ("f2", ["a", "b"])], "path string, variables array<string>")
+    for frame in (audit.set_groups(sets), audit.consistency(sets)):
+        assert "collect_list" not in frame._jdf.queryExecution().optimizedPlan().toString()
