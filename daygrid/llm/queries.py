@@ -261,3 +261,83 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("licenses").cast("bigint").alias("n_licenses"), F.array_join("licenses.license_id", ",").alias("licenses"),
         F.round(F.coalesce(F.array_max("licenses.containment"), F.lit(0.0)), 6).alias("best_containment"),
     )
+
+
+def _secret_sql() -> str:
+    from daygrid.llm.secrets import BASE, RULES
+
+    quoted = lambda pattern: "'" + pattern.replace("'", "''") + "'"
+    families = list(dict.fromkeys(r.family for r in RULES))
+    columns, lists, spans = [], [], []
+    for f, family in enumerate(families):
+        own = [(k, r) for k, r in enumerate(RULES) if r.family == family]
+        # A bounded rule takes the mark before it along, which is cut off again; between two matches there is always one.
+        pattern = quoted("|".join(f"(?:(?:^|[^A-Za-z0-9_-])(?:{r.pattern}))" if r.bounded else f"(?:{r.pattern})" for _, r in own))
+        columns.append(f"regexp_extract_all(text, {pattern}) AS hits{f}, list_transform(regexp_split_to_array(text, {pattern}), lambda x: length(x)) AS gaps{f}")
+        extra = "if(regexp_matches(h, '^[^A-Za-z0-9_-]'), 1, 0)" if any(r.bounded for _, r in own) else "0"
+        lists.append(f"""list_transform(hits{f}, lambda h, i: {{'s': list_sum(gaps{f}[1:i]) + coalesce(list_sum(list_transform(hits{f}[1 : i - 1], lambda x: length(x))), 0) + {extra}, 'h': h[{extra} + 1 :]}}) AS found{f}""")
+        rule = " ".join(f"WHEN regexp_full_match(m.h, {quoted(r.pattern)}) THEN if(regexp_full_match(m.h, {quoted(r.kept)}), {k}, -1)" for k, r in own)
+        spans.append(f"list_transform(found{f}, lambda m: {{'s': m.s::BIGINT, 'k': CASE {rule} ELSE -1 END, 'e': (m.s + length(m.h))::BIGINT}})")
+    names = ", ".join(f"'{r.kind}'" for r in RULES)
+    written = "array_to_string(list_transform({}, lambda m: ([{}])[m.k + 1] || ':' || m.s || ':' || m.e), ',')"
+    counts = ", ".join(f"len(list_filter(spans, lambda m: m.k = {k}))::BIGINT AS n_{RULES[k].kind}" for k in range(BASE))
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    h AS (SELECT doc_id, {", ".join(columns)} FROM d),
+    f AS (SELECT doc_id, {", ".join(lists)} FROM h),
+    s AS (SELECT doc_id, list_sort(list_filter(flatten([{", ".join(spans)}]), lambda m: m.k >= 0)) AS spans FROM f)
+    SELECT doc_id, {counts}, sha256({written.format(f"list_filter(spans, lambda m: m.k < {BASE})", names)}) AS base_sha256, {written.format("spans", names)} AS spans FROM s
+    """
+
+
+@query("op12_secret_scan", _secret_sql())
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daygrid.llm.secrets import BASE, RULES, found
+
+    kinds = [r.kind for r in RULES[:BASE]]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    counts = [F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in kinds]
+    return found(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
+@query(
+    "op13_spelling_variants",
+    r"""
+    WITH RECURSIVE crc AS (
+        SELECT list_transform(range(256), lambda k: list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+    ), runs AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]{5,}')) AS run FROM documents
+    ), counted AS (
+        SELECT run, hex(coalesce(doc_id::VARCHAR, '') || ':' || run) AS bytes, count(*) AS n FROM runs GROUP BY ALL
+    ), hashed AS (
+        SELECT run, n, xor(4294967295, list_reduce(
+            [4294967295] || list_transform(range(1, length(bytes), 2), lambda i: ('0x' || substr(bytes, i, 2))::BIGINT),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h FROM counted, crc
+    ), kept AS (
+        SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+    ), words AS (
+        SELECT word, sum(n)::BIGINT AS n FROM kept WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+    ), gaps AS (
+        SELECT word, i, left(word, i) || '*' || substr(word, i + 2) AS pattern, left(word, i) || substr(word, i + 2) AS less
+        FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+    ), near AS (
+        SELECT a.word, b.word AS other FROM gaps a JOIN gaps b USING (pattern) WHERE a.word <> b.word
+        UNION SELECT word, less FROM gaps WHERE less IN (SELECT word FROM words)
+        UNION SELECT less, word FROM gaps WHERE less IN (SELECT word FROM words)
+    ), best AS (
+        SELECT near.word, count(*)::BIGINT AS n_near, arg_min(other, (-o.n, other)) AS near, max(o.n) AS near_n FROM near JOIN words o ON o.word = other GROUP BY near.word
+    ), forms AS (
+        SELECT words.word, words.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 2 * words.n THEN near END AS form, CASE WHEN near_n >= 2 * words.n THEN near_n END AS form_n
+        FROM words LEFT JOIN best USING (word)
+    ), chain AS (
+        SELECT word, word AS at FROM forms UNION ALL SELECT chain.word, form FROM chain JOIN forms ON chain.at = forms.word WHERE form IS NOT NULL
+    )
+    SELECT f.word, f.form, chain.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN chain USING (word) JOIN forms last ON last.word = chain.at AND last.form IS NULL
+    """,
+)
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daygrid.llm.spelling import variants
+
+    return variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
