@@ -341,3 +341,16 @@ def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daygrid.llm.spelling import variants
 
     return variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def two_tokenizers() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op11_token_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daygrid.llm.alignment import alignment
+
+    return alignment(table(spark, sf_dir, "documents").select("doc_id", "text"), *two_tokenizers())
