@@ -13,7 +13,7 @@ from daygrid.grids import Axis, Grid
 from daygrid.operators import audit
 from daygrid.operators.compare import align
 from daygrid.operators.daily import daily_wide, time_axis
-from daygrid.operators.nearest import nearest_cells, nearest_on_grid, neighbourhood
+from daygrid.operators.nearest import nearest_cells, nearest_on_axis, nearest_on_grid, neighbourhood
 from daygrid.operators.regrid import full_cube, stored_regrid_map
 from daygrid.plans.points import projected
 from daygrid.plans.verify import assemble
@@ -64,6 +64,31 @@ def _(spark, sf_dir):
     return hits.join(values, ["y_idx", "x_idx"]).withColumn("value", F.round("value", 6))
 
 
+_UNEVEN = """select k.c_custkey as id, a.money, a.idx from customer k join (
+  select money, arg_min(idx, (abs(coordinate - money), -coordinate)) as idx, min(abs(coordinate - money)) as far
+  from (select distinct round(c_acctbal * 100) as money from customer) p,
+    (select round(s_acctbal * 100) as coordinate, min(s_suppkey) as idx from supplier group by 1) x group by money) a
+on a.money = round(k.c_acctbal * 100) where far <= 5000.0e0"""
+
+
+def _uneven(spark, sf_dir, **options):
+    """Customers' balances on the uneven axis of the suppliers' balances, in cents."""
+    axis = v.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("idx"), F.round(F.col("s_acctbal") * 100).alias("coordinate"))
+    points = v.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.round(F.col("c_acctbal") * 100).alias("money"))
+    return nearest_on_axis(points, axis, "money", tolerance=5000.0, on_miss="null", **options).dropna(subset=["idx"])
+
+
+@check("j2_uneven_axis", _UNEVEN)
+def _(spark, sf_dir):
+    return _uneven(spark, sf_dir)
+
+
+@check("j2_long_axis", _UNEVEN)
+def _(spark, sf_dir):
+    """The same by the way that is meant for axes too long for an array."""
+    return _uneven(spark, sf_dir, longest=0)
+
+
 @check("j3_nearest", with_views("select name, y_idx, x_idx from located"))
 def _(spark, sf_dir):
     grid = v.product_grid(v.grid_rows(spark, sf_dir))

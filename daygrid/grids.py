@@ -40,6 +40,71 @@ class Axis:
         return clamp(i, self.n).cast("int")
 
 
+@dataclass(frozen=True)
+class UnevenAxis:
+    """Cell centres at any distances, all different, ascending or descending; a driver-side list.
+
+    It can stand for either axis of a :class:`Grid`. Look-ups are binary searches over a literal array of the midpoints,
+    so an axis should have at most some 100,000 centres; for longer ones there is
+    :func:`daygrid.operators.nearest.nearest_on_long_axis`.
+    """
+
+    coordinates: tuple[float, ...]
+
+    def __post_init__(self):
+        steps = [b - a for a, b in zip(self.coordinates, self.coordinates[1:])]
+        if not self.coordinates or not all(math.isfinite(c) for c in self.coordinates):
+            raise ValueError("an axis needs finite coordinates")
+        if not (all(s > 0 for s in steps) or all(s < 0 for s in steps)):
+            raise ValueError("coordinates must rise or fall all along an axis")
+
+    @property
+    def n(self) -> int:
+        return len(self.coordinates)
+
+    @property
+    def _rising(self) -> bool:
+        return self.n < 2 or self.coordinates[1] > self.coordinates[0]
+
+    def _index(self, rank: Column) -> Column:
+        """The index of a rank in ascending order."""
+        return (rank if self._rising else F.lit(self.n - 1) - rank).cast("int")
+
+    def centre(self, index: Column) -> Column:
+        return F.element_at(_doubles(self.coordinates), index + 1)
+
+    def _midpoints(self) -> list[float]:
+        c = sorted(self.coordinates)
+        return [a + (b - a) / 2 for a, b in zip(c, c[1:])]
+
+    def nearest(self, coordinate: Column) -> Column:
+        """Index of the nearest centre; half way between two, the larger coordinate."""
+        x = present(coordinate)
+        return F.when(x.isNotNull(), self._index(count_below(x, self._midpoints())))
+
+    def containing(self, coordinate: Column) -> Column:
+        """Index of the cell that holds a coordinate, NULL outside the axis; the outer cells are as wide outwards as inwards."""
+        x, middle, c = present(coordinate), self._midpoints(), sorted(self.coordinates)
+        low = c[0] - (middle[0] - c[0]) if middle else -math.inf
+        high = c[-1] + (c[-1] - middle[-1]) if middle else math.inf
+        return F.when((x >= F.lit(low)) & (x < F.lit(high)), self._index(count_below(x, middle)))
+
+
+def _doubles(values) -> Column:
+    """A literal array; as one text, which the optimizer folds, however long it is."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>") if values else F.array().cast("array<double>")
+
+
+def count_below(x: Column, bounds) -> Column:
+    """How many of the ascending ``bounds`` are not above ``x``: a binary search in powers of two."""
+    if not bounds:
+        return F.lit(0)
+    steps = F.array(*[F.lit(1 << k) for k in range(len(bounds).bit_length() - 1, -1, -1)])
+    table = _doubles(bounds)
+    further = lambda i, s: (i + s <= F.lit(len(bounds))) & (F.get(table, i + s - 1) <= x)
+    return F.aggregate(steps, F.lit(0), lambda i, s: F.when(further(i, s), i + s).otherwise(i))
+
+
 def clamp(index: Column, n: int | Column) -> Column:
     """An index brought into [0, n); a missing index stays missing."""
     last = n - 1 if isinstance(n, Column) else F.lit(n - 1)
@@ -50,8 +115,8 @@ def clamp(index: Column, n: int | Column) -> Column:
 class Grid:
     """A regular grid in a projected plane."""
 
-    x: Axis
-    y: Axis
+    x: Axis | UnevenAxis
+    y: Axis | UnevenAxis
     crs: str
 
     @property
@@ -60,15 +125,19 @@ class Grid:
 
     def attributes(self) -> dict[str, str]:
         """The grid as text attributes, to be kept with a product."""
-        return {
-            "crs": self.crs, "x_dim": "x", "y_dim": "y",
-            "x_origin": repr(self.x.origin), "x_step": repr(self.x.step), "x_count": str(self.x.n),
-            "y_origin": repr(self.y.origin), "y_step": repr(self.y.step), "y_count": str(self.y.n),
-        }
+        attrs = {"crs": self.crs, "x_dim": "x", "y_dim": "y"}
+        for d, axis in (("x", self.x), ("y", self.y)):
+            if isinstance(axis, UnevenAxis):
+                attrs[f"{d}_coordinates"] = " ".join(map(repr, axis.coordinates))
+            else:
+                attrs |= {f"{d}_origin": repr(axis.origin), f"{d}_step": repr(axis.step), f"{d}_count": str(axis.n)}
+        return attrs
 
     @staticmethod
     def from_attributes(attrs: dict[str, str]) -> Grid:
-        def axis(d: str) -> Axis:
+        def axis(d: str) -> Axis | UnevenAxis:
+            if f"{d}_coordinates" in attrs:
+                return UnevenAxis(tuple(map(float, attrs[f"{d}_coordinates"].split())))
             return Axis(float(attrs[f"{d}_origin"]), float(attrs[f"{d}_step"]), int(attrs[f"{d}_count"]))
 
         return Grid(axis("x"), axis("y"), attrs["crs"])

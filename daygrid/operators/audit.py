@@ -58,11 +58,11 @@ def variable_sets(file_variables: DataFrame) -> DataFrame:
 def set_groups(sets: DataFrame) -> DataFrame:
     """Each different variable set with its file count and an example file.
 
-    The baseline is the set of the first file by path; ``is_baseline`` marks it.
+    The baseline is the set of the first file by path; ``is_baseline`` marks it. The groups are stored, so the sets are read once.
     """
-    groups = sets.groupBy("variables").agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("example"))
-    first = sets.agg(F.min("path").alias("first"))  # one row
-    return groups.crossJoin(F.broadcast(first)).select("variables", "files", "example", (F.col("example") == F.col("first")).alias("is_baseline"))
+    groups = stored(sets.groupBy("variables").agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("example")), small=True)
+    first = groups.agg(F.min("example")).first()[0]  # the first file is the first of its own group
+    return groups.withColumn("is_baseline", F.col("example") == F.lit(first))
 
 
 def compared_sets(sets: DataFrame) -> DataFrame:

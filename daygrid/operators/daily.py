@@ -166,6 +166,11 @@ class TimeAxis:
     days: tuple[date, ...]
     levels: tuple[int | None, ...]
 
+    @property
+    def every_day(self) -> list[date]:
+        """All days between the first and the last of each year."""
+        return [date.fromordinal(k) for a, b in self.spans for k in range(a.toordinal(), b.toordinal() + 1)]
+
     @property
     def spans(self) -> list[tuple[date, date]]:
         """First and last day of each year."""

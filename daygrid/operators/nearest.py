@@ -8,9 +8,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from daygrid.functions.aggregates import present
-from daygrid.grids import Grid, clamp
+from daygrid.grids import Grid, UnevenAxis, clamp, count_below
 from daygrid.sizing import stored
 
 # A leaf box of the search tree holds about this many cells, and at most LEAF_LIMIT where the depth allows.
@@ -18,6 +19,9 @@ LEAF_CELLS = 64
 LEAF_LIMIT = 4096
 MAX_DEPTH = 8
 POINT_SALTS = 8
+# Coordinates of an uneven axis that are searched in one array; a longer one is cut into so many stretches.
+AXIS_LITERAL = 100_000
+AXIS_PARTS = 256
 
 EXTENT = ("lat_min", "lat_max", "lon_min", "lon_max")
 
@@ -46,6 +50,80 @@ def nearest_on_grid(
     return points.withColumns({"y_idx": found_y, "x_idx": found_x})
 
 
+def nearest_on_axis(
+    points: DataFrame, axis: DataFrame, coordinate: str, *, index: str = "idx", tolerance: float | None = None, on_miss: str = "error", longest: int = AXIS_LITERAL
+) -> DataFrame:
+    """Attach ``index`` of the nearest row of an uneven axis, given as a table of ``idx`` and ``coordinate``, in any order.
+
+    Half way between two, the larger coordinate; of rows with one coordinate, the least ``idx``. With a tolerance, a farther point is a
+    miss as for :func:`nearest_on_grid`. Up to ``longest`` coordinates become one array that every point is searched in; a longer axis takes
+    :func:`nearest_on_long_axis`. A missing point has no index, and an axis without coordinates none for any point.
+    """
+    if on_miss not in ("error", "null"):
+        raise ValueError(f"on_miss must be 'error' or 'null', not {on_miss!r}")
+    axis = axis.select("idx", present(F.col("coordinate")).alias("coordinate")).dropna().groupBy("coordinate").agg(F.min("idx").alias("idx"))
+    few = axis.limit(longest + 1).collect()
+    kind = axis.schema["idx"].dataType
+    x = present(F.col(coordinate))
+    if not few:
+        located = points.withColumns({index: F.lit(None).cast(kind), "_centre": F.lit(None).cast("double")})
+    elif len(few) <= longest:
+        order = sorted(few, key=lambda r: r.coordinate)
+        line = UnevenAxis(tuple(r.coordinate for r in order))
+        numbers = F.split(F.lit(",".join(str(r.idx) for r in order)), ",").cast(ArrayType(kind))
+        located = points.withColumn("_rank", line.nearest(x))
+        located = located.withColumns({index: F.get(numbers, F.col("_rank")), "_centre": line.centre(F.col("_rank"))}).drop("_rank")
+    else:
+        found = nearest_on_long_axis(points.select(x.alias("_x")), axis)
+        found = found.select("_x", F.col("idx").alias(index), F.col("centre").alias("_centre"))
+        located = points.withColumn("_x", x).join(found, "_x", "left").drop("_x")
+    if tolerance is not None:
+        miss = F.lit(None).cast(kind)
+        if on_miss == "error":
+            miss = F.raise_error(F.format_string("no axis value within %s of %s", F.lit(tolerance), x)).cast(kind)
+        far = x.isNotNull() & (F.col("_centre").isNull() | (F.abs(F.col("_centre") - x) > tolerance))
+        located = located.withColumn(index, F.when(far, miss).otherwise(F.col(index)))
+    return located.drop("_centre")
+
+
+def nearest_on_long_axis(points: DataFrame, axis: DataFrame, parts: int = AXIS_PARTS) -> DataFrame:
+    """``_x, idx, centre`` for each different ``_x`` of ``points``: an as-of join of two sorted runs, without pairs.
+
+    ``axis`` has different coordinates. The line is cut into ``parts`` stretches with about as many points and coordinates in each (by
+    approximate percentiles of both); in a stretch a window finds the last coordinate up to each point and the first from it.
+    The outermost coordinates of all stretches, ``2 * parts`` numbers, stand in where a stretch has none on one side.
+    """
+    own = points.dropna().distinct().select(F.col("_x").alias("at"), F.lit(None).cast(axis.schema["idx"].dataType).alias("idx"), F.lit(False).alias("is_axis"))
+    both = own.unionByName(axis.select(F.col("coordinate").alias("at"), "idx", F.lit(True).alias("is_axis")))
+    both = stored(both)
+    cuts = both.agg(F.percentile_approx("at", [k / parts for k in range(1, parts)], 10 * parts).alias("cuts")).first().cuts or []
+    both = both.withColumn("part", count_below(F.col("at"), sorted(set(cuts))))
+    value = F.when(F.col("is_axis"), F.struct(F.col("at").alias("centre"), "idx"))
+    ends = both.where("is_axis").groupBy("part").agg(F.min(F.struct(F.col("at").alias("centre"), "idx")).alias("first"), F.max(F.struct(F.col("at").alias("centre"), "idx")).alias("last"))
+    ends = sorted(ends.collect())  # one row per stretch
+    before, after, carried = {}, {}, None
+    for k in range(parts + 1):
+        before[k] = carried
+        carried = next((r.last for r in ends if r.part == k), carried)
+    carried = None
+    for k in range(parts, -1, -1):
+        after[k] = carried
+        carried = next((r.first for r in ends if r.part == k), carried)
+    kind = f"part int, before struct<centre: double, idx: {axis.schema['idx'].dataType.simpleString()}>, after struct<centre: double, idx: {axis.schema['idx'].dataType.simpleString()}>"
+    around = F.broadcast(points.sparkSession.createDataFrame([(k, before[k], after[k]) for k in before], kind))
+    # Of a point and a coordinate at the same place the coordinate comes first on the way up, and counts on the way down.
+    up = Window.partitionBy("part").orderBy("at", F.col("is_axis").desc())
+    left = F.last(value, ignorenulls=True).over(up)
+    right = F.first(value, ignorenulls=True).over(up.rowsBetween(0, Window.unboundedFollowing))
+    sided = both.withColumns({"left": left, "right": right}).where("NOT is_axis").join(around, "part")
+    sided = sided.select(F.col("at").alias("_x"), F.coalesce("left", "before").alias("left"), F.coalesce("right", "after").alias("right"))
+    # Compared with the midpoint, as on a short axis.
+    middle = F.col("left.centre") + (F.col("right.centre") - F.col("left.centre")) / 2
+    chosen = F.when(F.col("left").isNull(), F.col("right")).when(F.col("right").isNull() | (F.col("_x") < middle), F.col("left")).otherwise(F.col("right"))
+    at = F.when(F.col("left.centre") == F.col("_x"), F.col("left")).otherwise(chosen)
+    return sided.select("_x", at.alias("best")).select("_x", "best.idx", "best.centre")
+
+
 def _squared(a: Column, b: Column) -> Column:
     return (a - b) * (a - b)
 

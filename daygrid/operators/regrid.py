@@ -8,14 +8,20 @@ and joined to the daily fields by source cell.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from datetime import date
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE
 from daygrid.grids import Grid, grid_cells
 from daygrid.operators.cell_join import join_cells
-from daygrid.operators.daily import TimeAxis
-from daygrid.sizing import stored
+from daygrid.operators.daily import CELL, TimeAxis
+from daygrid.sizing import BROADCAST_ROWS, stored
+
+EPOCH = date(1970, 1, 1).toordinal()
 
 # A task generates at most about this many rows of missing values.
 ROWS_PER_TASK = 10_000_000
@@ -62,28 +68,61 @@ def regrid(daily: DataFrame, grid_map: DataFrame, target_cells: int, **join) ->
     return join_cells(daily, cells, keys, target_cells, **join).drop(*keys)
 
 
-def full_cube(daily: DataFrame, grid_map: DataFrame, target_cells: int, axis: TimeAxis) -> DataFrame:
+def full_cube(
+    daily: DataFrame, grid_map: DataFrame, target_cells: int, axis: TimeAxis, *, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Every target cell on every day of ``axis`` and at every level, with the daily fields of its source cell.
 
     Columns: ``y_idx, x_idx, y, x, time, level`` and the values of ``daily``, which are missing
     outside the source domain, on days without data, and wherever the source has no
-    row for the cell.  The frame is generated from the map, spread over as many tasks as its
-    rows call for; cells inside the domain are joined to the daily rows by source cell,
-    day and level, so a source cell that feeds many target cells is split by day.  Cells outside need no join.
+    row for the cell.  Only what is absent is generated.  The rows of each day are counted first, in cells that feed a
+    target cell; a day that has all of them at all levels goes through the map as it is.  A
+    day without any gets a row for each of these source cells, and of the other days those that they lack, found by an
+    anti-join of these days alone.  Cells outside the domain are generated and need no join.
+    ``daily`` is read three times, so it should be stored; with a map that may be broadcast, dense data are not shuffled.
     """
-    days = F.flatten(F.array(*[F.sequence(F.lit(a), F.lit(b)) for a, b in axis.spans]))  # one span per year
-    levels = F.array(*[F.lit(n).cast("int") for n in axis.levels])
-    rows = target_cells * sum((b - a).days + 1 for a, b in axis.spans) * len(axis.levels)
-    tasks = math.ceil(rows / ROWS_PER_TASK)
-    cells = grid_map.repartition(tasks, "y_idx", "x_idx") if tasks > 1 else grid_map
-    frame = cells.withColumn("time", F.explode(days)).withColumn("level", F.explode(levels))
-    outside = frame.where(F.col("south_north").isNull())
-    inside = frame.where(F.col("south_north").isNotNull()).alias("frame")
-    data = daily.alias("data")
-    same = F.col("frame.level").eqNullSafe(F.col("data.level"))
-    for key in ("south_north", "west_east", "time"):
-        same = same & (F.col(f"frame.{key}") == F.col(f"data.{key}"))
-    values = [c for c in daily.columns if c not in ("south_north", "west_east", "time", "level")]
+    feeding = grid_map.where(F.col("south_north").isNotNull()).select(*CELL).distinct()
+    feeding = stored(feeding, small=True)
+    used = feeding.count()
+    have = covered_days(daily, feeding, used, broadcast_rows)
+    days = axis.every_day
+    # Days of data that the axis leaves out have no place in the cube.
+    inside = daily if set(have) <= set(days) else daily.where(F.col("time").isin(days))
+    whole = used * len(axis.levels)
+    empty = [d for d in days if whole and not have.get(d)]
+    partial = [d for d in days if 0 < have.get(d, 0) < whole]
+    parts = [inside]
+    if empty:
+        parts.append(_frame(feeding, used, empty, axis.levels))
+    if partial:
+        frame = _frame(feeding, used, partial, axis.levels).alias("frame")
+        present = inside.where(F.col("time").isin(partial)) if len(partial) < len(days) else inside
+        present = present.select("time", "level", *CELL).alias("present")
+        same = F.col("frame.level").eqNullSafe(F.col("present.level"))
+        for key in (*CELL, "time"):
+            same = same & (F.col(f"frame.{key}") == F.col(f"present.{key}"))
+        parts.append(frame.join(present, same, "left_anti"))
+    complete = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    values = [c for c in daily.columns if c not in (*CELL, "time", "level")]
     place = ["y_idx", "x_idx", "y", "x", "time", "level"]
-    joined = inside.join(data, same, "left").select(*[f"frame.{c}" for c in place], *[f"data.{c}" for c in values])
-    return joined.unionByName(outside.select(*place), allowMissingColumns=True)
+    cube = regrid(complete, grid_map, target_cells, broadcast_rows=broadcast_rows).select(*place, *values)
+    outside = grid_map.where(F.col("south_north").isNull())
+    return cube.unionByName(_frame(outside, target_cells, days, axis.levels).select(*place), allowMissingColumns=True)
+
+
+def covered_days(daily: DataFrame, cells: DataFrame, rows: int, broadcast_rows: int = BROADCAST_ROWS) -> dict[date, int]:
+    """For each day of ``daily`` how many of its rows lie in ``cells`` (of ``rows`` rows); as many entries as days."""
+    inside = join_cells(daily.select("time", *CELL), cells, CELL, rows, broadcast_rows=broadcast_rows)
+    counts = inside.groupBy("time").agg(F.count(F.lit(1)).alias("n"))
+    every = daily.groupBy("time").agg(F.lit(0).cast("bigint").alias("n"))
+    return {r.time: r.n for r in counts.unionByName(every).groupBy("time").agg(F.sum("n").alias("n")).collect()}
+
+
+def _frame(cells: DataFrame, rows: int, days: Sequence[date], levels: Sequence[int | None]) -> DataFrame:
+    """``cells`` on every one of ``days`` and ``levels``, spread over as many tasks as the rows call for."""
+    tasks = math.ceil(rows * len(days) * len(levels) / ROWS_PER_TASK)
+    if tasks > 1:
+        cells = cells.repartition(tasks, *[c for c in ("y_idx", "x_idx", *CELL) if c in cells.columns][:2])
+    numbers = F.split(F.lit(",".join(str(d.toordinal() - EPOCH) for d in days)), ",").cast("array<int>")
+    dated = cells.withColumn("time", F.explode(numbers)).withColumn("time", F.date_from_unix_date("time"))
+    return dated.withColumn("level", F.explode(F.array(*[F.lit(n).cast("int") for n in levels])))

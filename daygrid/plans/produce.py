@@ -53,7 +53,7 @@ def product_wide(
         daily = stored(daily)
         axis = time_axis(daily)
         if axis.days:
-            return full_cube(daily, cells, target.cells, axis).withColumn("year", F.year("time"))
+            return full_cube(daily, cells, target.cells, axis, broadcast_rows=broadcast_rows).withColumn("year", F.year("time"))
     wide = regrid(daily, cells, target.cells, broadcast_rows=broadcast_rows)
     return wide.withColumn("year", F.year("time"))
 

@@ -1,6 +1,7 @@
 """Projections, grids, the regrid map and nearest joins."""
 
 import math
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -9,8 +10,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE, AlbersEqualArea, planar_km, sphere_km
-from daygrid.grids import Axis, Grid, clamp, covering_grid, grid_axes, grid_cells, source_grid
-from daygrid.operators.nearest import nearest_cells, nearest_on_grid, neighbourhood
+from daygrid.grids import Axis, Grid, UnevenAxis, clamp, covering_grid, grid_axes, grid_cells, source_grid
+from daygrid.operators.nearest import nearest_cells, nearest_on_axis, nearest_on_grid, neighbourhood
 from daygrid.operators.regrid import full_cube, regrid, regrid_map, stored_regrid_map
 from daygrid.plans.points import TOWNS, places_frame, projected
 from tests.conftest import rows
@@ -218,3 +219,54 @@ def test_neighbourhood_is_clamped(spark):
     assert around.select("south_north", "west_east").distinct().count() == 4
     cell = around.where("di = -1 and dj = 1").first()
     assert (cell.south_north, cell.west_east) == (1, 0)
+
+
+UNEVEN = [(-3.5,), (0.0, 1.0), (5.0, 2.0, 1.5, -7.0), (-1e6, 0.0, 0.25, 1.0, 8.0, 9.0, 1e9)]
+
+
+def plain_nearest(x, line):
+    """The nearest of some coordinates; half way between two, the larger."""
+    return None if x is None or math.isnan(x) else min(range(len(line)), key=lambda i: (abs(line[i] - x), -line[i]))
+
+
+@pytest.mark.parametrize("line", UNEVEN)
+@pytest.mark.parametrize("longest", [100, 0])
+def test_nearest_on_an_uneven_axis(spark, line, longest):
+    draw = random.Random(1)
+    xs = [None, math.nan, *line, *(draw.uniform(-10, 10) for _ in range(60)), -1e12, 1e12, *((a + b) / 2 for a, b in zip(line, line[1:]))]
+    points = spark.createDataFrame([(i, x, "other") for i, x in enumerate([*xs, *xs])], "id int, x double, coordinate string")
+    axis = spark.createDataFrame([*enumerate(line), (99, line[0]), (100, None)], "idx int, coordinate double")
+    found = dict(rows(nearest_on_axis(points, axis, "x", longest=longest), "id", "idx"))
+    assert found == {i: plain_nearest(x, line) for i, x in enumerate([*xs, *xs])}
+    near = dict(rows(nearest_on_axis(points, axis, "x", longest=longest, tolerance=0.5, on_miss="null"), "id", "idx"))
+    assert near == {i: k if k is not None and abs(line[k] - x) <= 0.5 else None for (i, k), x in zip(sorted(found.items()), [*xs, *xs])}
+    with pytest.raises(Exception, match="no axis value within"):
+        nearest_on_axis(points, axis, "x", longest=longest, tolerance=0.5).collect()
+
+
+def test_long_axis_in_many_stretches(spark):
+    draw = random.Random(2)
+    line = sorted({round(draw.choice([draw.uniform(0, 1), draw.gauss(500, 0.01), 10 ** draw.uniform(0, 6)]), 4) for _ in range(3000)})
+    xs = [*(draw.choice(line) for _ in range(300)), *(draw.uniform(-5, 1100000) for _ in range(300)), *([500.0] * 2000)]
+    points = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "id int, x double")
+    axis = spark.createDataFrame([(-i, c) for i, c in enumerate(line)], "idx int, coordinate double")
+    found = dict(rows(nearest_on_axis(points, axis, "x", longest=10), "id", "idx"))
+    assert found == {i: -plain_nearest(x, line) for i, x in enumerate(xs)}
+
+
+def test_empty_axis_and_refused_ones(spark):
+    points, axis = spark.createDataFrame([(1, 2.0)], "id int, x double"), spark.createDataFrame([], "idx int, coordinate double")
+    assert rows(nearest_on_axis(points, axis, "x"), "id", "idx") == [(1, None)]
+    for bad in ((), (1.0, 1.0), (1.0, 2.0, 1.5), (math.nan,)):
+        with pytest.raises(ValueError):
+            UnevenAxis(bad)
+
+
+def test_uneven_axes_of_a_grid(spark):
+    grid = Grid(UnevenAxis((0.0, 1.0, 10.0)), UnevenAxis((8.0, 4.0, -4.0)), "own")
+    points = spark.createDataFrame([(1, 5.5, 0.0), (2, 5.4, 6.0), (3, -1.0, 100.0)], "id int, x double, y double")
+    assert rows(nearest_on_grid(points, grid, tolerance=None), "id", "x_idx", "y_idx") == [(1, 2, 1), (2, 1, 0), (3, 0, 0)]
+    assert rows(nearest_on_grid(points, grid, tolerance=4.6, on_miss="null"), "id", "x_idx", "y_idx") == [(1, 2, 1), (2, 1, 0), (3, None, None)]
+    assert Grid.from_attributes(grid.attributes()) == grid
+    cells = points.select("id", grid.x.containing(F.col("x")).alias("c"), grid.y.containing(F.col("y")).alias("r"))
+    assert rows(cells) == [(1, 2, 1), (2, 1, 0), (3, None, None)]
