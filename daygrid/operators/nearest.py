@@ -5,19 +5,23 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from daygrid.functions.aggregates import present
+from daygrid.functions.zorder import z_code
 from daygrid.grids import Grid, UnevenAxis, clamp, count_below
 from daygrid.sizing import stored
 
-# A leaf box of the search tree holds about this many cells, and at most LEAF_LIMIT where the depth allows.
+# A leaf box of the search tree is to hold about this many cells, and holds at most LEAF_LIMIT down to the finest boxes.
 LEAF_CELLS = 64
-LEAF_LIMIT = 4096
-MAX_DEPTH = 8
+LEAF_LIMIT = 256
+# Three bits a level along each side.
+MAX_DEPTH = 10
 POINT_SALTS = 8
 # Coordinates of an uneven axis that are searched in one array; a longer one is cut into so many stretches.
 AXIS_LITERAL = 100_000
@@ -142,32 +146,62 @@ def _farthest(lat: Column, lon: Column, box: Callable[[str], Column]) -> Column:
     return d_lat * d_lat + d_lon * d_lon
 
 
-def _boxed(rows: DataFrame, box, depth: int, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Rows with the leaf box they lie in, or the one at the edge next to them: each level halves a side three times."""
+def _coded(rows: DataFrame, box, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """Rows with the Z-order code of the finest box that they lie in: six bits for each level, 64 boxes to a parent."""
 
     def number(c: str, low: float, high: float) -> Column:
         share = (F.col(c) - F.lit(low)) / F.lit(high - low) if high > low else F.col(c) * 0.0
-        return clamp(F.floor(share * 8**depth), 8**depth).cast("int")
+        return clamp(F.floor(share * 8**MAX_DEPTH), 8**MAX_DEPTH)
 
-    return rows.withColumns({
-        "row_box": number(lat, box["lat_min"], box["lat_max"]), "col_box": number(lon, box["lon_min"], box["lon_max"])
-    })
+    return rows.withColumn("code", z_code(number(lat, box["lat_min"], box["lat_max"]), number(lon, box["lon_min"], box["lon_max"])))
+
+
+def _box(depth: int | Column) -> Column:
+    """The box of a code at a depth."""
+    if isinstance(depth, int):
+        return F.shiftright("code", 6 * (MAX_DEPTH - depth))
+    return F.call_function("shiftright", F.col("code"), (MAX_DEPTH - depth) * 6)
+
+
+class Tree(NamedTuple):
+    boxes: dict[int, DataFrame]  # by depth: box, extent, number of cells
+    leaves: DataFrame  # depth, box, cell, lat, lon
+    depth: int
 
 
-def _box_levels(leaves: DataFrame, depth: int) -> dict[int, DataFrame]:
-    """The boxes of each level with the extent of their cells and the largest number of cells in one leaf."""
+def search_tree(cells: DataFrame, box) -> Tree:
+    """A tree of boxes over ``cell, lat, lon``: a box with more than ``LEAF_LIMIT`` cells is divided, any other is a leaf.
 
-    def extent(lat_min: str, lat_max: str, lon_min: str, lon_max: str, crowd: Column) -> list[Column]:
+    The boxes of the depth that evenly spread cells would need are counted in one pass, those above follow from them, and only the cells of
+    boxes that are still crowded are looked at again, one depth further each time. So leaves are bounded wherever cells
+    differ by more than 2**-30 of the extent.
+    """
+
+    def extent(lat_min: str, lat_max: str, lon_min: str, lon_max: str, n: Column) -> list[Column]:
         return [
             F.min(lat_min).alias("lat_min"), F.max(lat_max).alias("lat_max"),
-            F.min(lon_min).alias("lon_min"), F.max(lon_max).alias("lon_max"), crowd.alias("crowd"),
+            F.min(lon_min).alias("lon_min"), F.max(lon_max).alias("lon_max"), n.alias("n"),
         ]
 
-    boxes = {depth: leaves.groupBy("row_box", "col_box").agg(*extent("lat", "lat", "lon", "lon", F.count(F.lit(1))))}
-    for k in range(depth - 1, 0, -1):
-        parent = [F.shiftright(c, 3).alias(c) for c in ("row_box", "col_box")]
-        boxes[k] = boxes[k + 1].groupBy(*parent).agg(*extent(*EXTENT, F.max("crowd")))
-    return boxes
+    boxes: dict[int, DataFrame] = {}
+    parts: list[DataFrame] = []
+    rest, known = _coded(cells, box), 0
+    depth = min(MAX_DEPTH, max(1, math.ceil(math.log(box["n"] / LEAF_CELLS, 64))))
+    while True:
+        boxes[depth] = stored(rest.groupBy(_box(depth).alias("box")).agg(*extent("lat", "lat", "lon", "lon", F.count(F.lit(1)))), small=True)
+        for k in range(depth - 1, known, -1):
+            boxes[k] = boxes[k + 1].groupBy(F.shiftright("box", 6).alias("box")).agg(*extent(*EXTENT, F.sum("n")))
+        # The first depth at which a box's ancestor, or itself, has few cells.
+        fits = boxes[depth].select("box", F.when((F.col("n") <= LEAF_LIMIT) | F.lit(depth == MAX_DEPTH), depth).alias("leaf"))
+        for k in range(depth - 1, known, -1):
+            above = boxes[k].where(F.col("n") <= LEAF_LIMIT).select(F.col("box").alias("up"), F.lit(k).alias("higher"))
+            fits = fits.join(above, F.shiftright("box", 6 * (depth - k)) == F.col("up"), "left").select("box", F.coalesce("higher", "leaf").alias("leaf"))
+        placed = rest.withColumn("box", _box(depth)).join(fits, "box").drop("box")
+        parts.append(placed.where("leaf IS NOT NULL").select(F.col("leaf").alias("depth"), _box(F.col("leaf")).alias("box"), "cell", "lat", "lon"))
+        if depth == MAX_DEPTH or boxes[depth].where(F.col("n") > LEAF_LIMIT).isEmpty():
+            return Tree(boxes, stored(reduce(DataFrame.unionByName, parts), small=True), depth)
+        rest = stored(placed.where("leaf IS NULL").drop("leaf"), small=True)
+        known, depth = depth, depth + 1
 
 
 def nearest_cells(grid: DataFrame, points: DataFrame) -> DataFrame:
@@ -178,81 +212,55 @@ def nearest_cells(grid: DataFrame, points: DataFrame) -> DataFrame:
     exact_lon``.  Among equally near cells the first in row order wins.
 
     The search is exact and avoids comparing every point with every cell.
-    Cells are grouped into a tree of boxes with 64 boxes per parent.  A point
-    starts with the farthest corner of the leaf box it lies in, if that holds a
-    cell, as the bound of its distance.  From the root down, it keeps the boxes whose
-    nearest edge is within the bound, and lowers the bound to the
+    Cells are grouped into a tree of boxes with 64 boxes per parent, deeper where they crowd. From the root down, a point keeps the boxes whose
+    nearest edge is within the bound of its distance, and lowers the bound to the
     farthest corner of the best of them; only cells of the leaf boxes that
-    remain are compared.
+    remain are compared. The grid is read once; its different coordinates are stored.
     """
     grid = grid.withColumns({"lat": present(F.col("lat")), "lon": present(F.col("lon"))}).dropna(subset=["lat", "lon"])
-    box = grid.agg(
+    # Copies of a coordinate, and of a point, take part once.  ``cell`` orders cells by row and column.
+    cell = F.shiftleft(F.col("south_north").cast("bigint"), 32) + F.col("west_east")
+    cells = stored(grid.groupBy("lat", "lon").agg(F.min(cell).alias("cell")), small=True)
+    box = cells.agg(
         F.count(F.lit(1)).alias("n"),
         F.min("lat").alias("lat_min"), F.max("lat").alias("lat_max"),
         F.min("lon").alias("lon_min"), F.max("lon").alias("lon_max"),
     ).first()
     if not box["n"]:
         raise ValueError("the grid has no cell with coordinates")
-
-    # Copies of a coordinate, and of a point, take part once.  ``cell`` orders cells by row and column.
-    cell = F.shiftleft(F.col("south_north").cast("bigint"), 32) + F.col("west_east")
-    cells = grid.groupBy("lat", "lon").agg(F.min(cell).alias("cell"))
-    depth = max(1, math.ceil(math.log(box["n"] / LEAF_CELLS, 64)))
-    while True:
-        leaves = _boxed(cells, box, depth)
-        boxes = _box_levels(leaves, depth)
-        top = boxes[1].collect()  # at most 64 rows
-        if depth == MAX_DEPTH or max(r.crowd for r in top) <= LEAF_LIMIT:
-            break
-        depth += 1
-    # The tree is read by every level below: the leaves are stored, and larger boxes are made from them.
-    leaves = stored(leaves, small=True)
-    boxes = _box_levels(leaves, depth)
+    tree = search_tree(cells, box)
 
     point = ["p_lat", "p_lon"]
     p_lat, p_lon = F.col("p_lat"), F.col("p_lon")
     probes = points.select(present(F.col("lat")).alias("p_lat"), present(F.col("lon")).alias("p_lon")).dropna().distinct()
-    own = boxes[depth].withColumnsRenamed({"row_box": "own_row", "col_box": "own_col"}).drop("crowd")
-    probes = (
-        _boxed(probes, box, depth, "p_lat", "p_lon")
-        .withColumnsRenamed({"row_box": "own_row", "col_box": "own_col"})
-        .join(own, ["own_row", "own_col"], "left")
-        .select(*point, F.coalesce(_farthest(p_lat, p_lon, F.col), F.lit(float("inf"))).alias("bound"))
-    )
 
-    # The boxes of the first level are a literal, and a point keeps its candidates in one array.
-    fields = ["row_box", "col_box", *EXTENT]
-    text = json.dumps([{c: r[c] for c in fields} for r in sorted(top)])
-    top_boxes = F.from_json(
-        F.lit(text), "array<struct<row_box:int,col_box:int," + ",".join(f"{c}:double" for c in EXTENT) + ">>"
-    )
+    # The boxes of the first level are a literal of at most 64 rows, and a point keeps its candidates in one array.
+    fields = ["box", *EXTENT, "n"]
+    top = [{c: r[c] for c in fields} for r in sorted(tree.boxes[1].select(*fields).collect())]
+    kinds = "box:bigint," + ",".join(f"{c}:double" for c in EXTENT) + ",n:bigint"
+    top_boxes = F.from_json(F.lit(json.dumps(top)), f"array<struct<{kinds}>>")
     reach = F.array_min(F.transform(top_boxes, lambda b: _farthest(p_lat, p_lon, b.getField)))
     kept = F.filter(top_boxes, lambda b: _nearest(p_lat, p_lon, b.getField) <= F.col("bound"))
-    frontier = (
-        probes.withColumn("bound", F.least("bound", reach))
-        .select(*point, "bound", F.inline(kept))
-        .select(*point, "bound", "row_box", "col_box")
-    )
+    frontier = probes.withColumn("bound", reach).select(*point, "bound", F.inline(kept)).withColumn("depth", F.lit(1))
 
     per_point = Window.partitionBy(*point)
     # The points of a crowded box are spread over so many copies of it.
     salt = F.pmod(F.xxhash64(*point), F.lit(POINT_SALTS)).cast("int")
     salts = F.explode(F.sequence(F.lit(0), F.lit(POINT_SALTS - 1)))
-    for k in range(2, depth + 1):
-        children = boxes[k].drop("crowd").withColumns({"up_row": F.shiftright("row_box", 3), "up_col": F.shiftright("col_box", 3)})
-        parents = frontier.withColumnsRenamed({"row_box": "up_row", "col_box": "up_col"})
+    inner = F.col("n") > LEAF_LIMIT
+    for k in range(2, tree.depth + 1):
+        children = tree.boxes[k].withColumns({"up": F.shiftright("box", 6), "salt": salts})
+        # Leaves stay as they are, and count for the bound.
+        opened = frontier.where(inner).select(*point, "bound", F.col("box").alias("up"), salt.alias("salt"))
+        opened = opened.join(children, ["up", "salt"]).drop("up", "salt").withColumn("depth", F.lit(k))
         frontier = (
-            parents.withColumn("salt", salt).join(children.withColumn("salt", salts), ["up_row", "up_col", "salt"])
-            .withColumn("nearest", _nearest(p_lat, p_lon, F.col))
-            .where(F.col("nearest") <= F.col("bound"))
-            .withColumn("farthest", _farthest(p_lat, p_lon, F.col))
-            .withColumn("bound", F.least("bound", F.min("farthest").over(per_point)))
-            .where(F.col("nearest") <= F.col("bound"))
-            .select(*point, "bound", "row_box", "col_box")
+            opened.unionByName(frontier.where(~inner))
+            .withColumn("bound", F.least("bound", F.min(_farthest(p_lat, p_lon, F.col)).over(per_point)))
+            .where(_nearest(p_lat, p_lon, F.col) <= F.col("bound"))
         )
     distance = _squared(F.col("lat"), p_lat) + _squared(F.col("lon"), p_lon)
     found = (
-        frontier.withColumn("salt", salt).join(leaves.withColumn("salt", salts), ["row_box", "col_box", "salt"])
+        frontier.select(*point, "depth", "box", salt.alias("salt")).join(tree.leaves.withColumn("salt", salts), ["depth", "box", "salt"])
         .groupBy(*point)
         .agg(F.min_by(F.struct("cell", "lat", "lon"), F.struct(distance.alias("d"), F.col("cell"))).alias("best"))
         .select(

@@ -10,11 +10,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE, AlbersEqualArea, planar_km, sphere_km
+from daygrid.functions.zorder import covering_boxes, z_code
 from daygrid.grids import Axis, Grid, UnevenAxis, clamp, covering_grid, grid_axes, grid_cells, source_grid
-from daygrid.operators.nearest import nearest_cells, nearest_on_axis, nearest_on_grid, neighbourhood
+from daygrid.operators.nearest import LEAF_LIMIT, nearest_cells, nearest_on_axis, nearest_on_grid, neighbourhood, search_tree
 from daygrid.operators.regrid import full_cube, regrid, regrid_map, stored_regrid_map
 from daygrid.plans.points import TOWNS, places_frame, projected
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 
 def test_albers_anchors():
@@ -270,3 +271,35 @@ def test_uneven_axes_of_a_grid(spark):
     assert Grid.from_attributes(grid.attributes()) == grid
     cells = points.select("id", grid.x.containing(F.col("x")).alias("c"), grid.y.containing(F.col("y")).alias("r"))
     assert rows(cells) == [(1, 2, 1), (2, 1, 0), (3, None, None)]
+
+
+def test_tree_divides_only_crowded_boxes(spark, tmp_path):
+    draw = random.Random(8)
+    spots = {(draw.gauss(60, 1e-4), draw.gauss(-150, 1e-4)) for _ in range(3000)} | {(draw.uniform(40, 80), draw.uniform(-180, -100)) for _ in range(300)}
+    grid = [(i // 60, i % 60, lat, lon) for i, (lat, lon) in enumerate(sorted(spots))]
+    spark.createDataFrame(grid, "south_north int, west_east int, lat double, lon double").write.parquet(str(tmp_path / "own_grid"))
+    table = spark.read.parquet(str(tmp_path / "own_grid"))
+    cells = table.select(F.monotonically_increasing_id().alias("cell"), "lat", "lon")
+    box = cells.agg(F.count("*").alias("n"), *[f(c).alias(f"{c}_{n}") for c in ("lat", "lon") for f, n in ((F.min, "min"), (F.max, "max"))]).first()
+    tree = search_tree(cells, box)
+    sizes = tree.leaves.groupBy("depth", "box").count().collect()
+    assert max(r["count"] for r in sizes) <= LEAF_LIMIT and sum(r["count"] for r in sizes) == len(spots)
+    assert len({r.depth for r in sizes}) > 1 and tree.depth > 2
+    targets = [(i, *draw.choice([(draw.gauss(60, 1e-4), draw.gauss(-150, 1e-4)), (draw.uniform(30, 90), draw.uniform(-190, -90))])) for i in range(150)]
+    out = nearest_cells(table, spark.createDataFrame(targets, "name int, lat double, lon double"))
+    assert "own_grid" not in plan(out)  # its coordinates were stored when it was read
+    want = {i: min(((a - lat) ** 2 + (o - lon) ** 2, r, c) for r, c, a, o in grid)[1:] for i, lat, lon in targets}
+    assert {r.name: (r.south_north, r.west_east) for r in out.collect()} == want
+
+
+def test_z_codes_and_boxes(spark):
+    pairs = [(0, 0), (0, 1), (1, 0), (3, 5), (2**31 - 1, 2**31 - 1), (2**30, 7)]
+    plain = [sum(((y >> k & 1) << (2 * k + 1)) | ((x >> k & 1) << 2 * k) for k in range(31)) for y, x in pairs]
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, y long, x long")
+    assert [r[1] for r in rows(frame.select("i", z_code(F.col("y"), F.col("x"))))] == plain
+    draw = random.Random(4)
+    cells = [(draw.choice([draw.randrange(50), draw.randrange(4000)]), draw.randrange(3000)) for _ in range(5000)]
+    boxes = covering_boxes(spark.createDataFrame(cells, "r int, c int"), ["r", "c"], 100)
+    assert 10 < len(boxes) <= 100 and all(any(a <= r <= b and x <= c <= y for a, b, x, y in boxes) for r, c in cells)
+    assert covering_boxes(spark.createDataFrame([(5, 9), (5, 9)], "r int, c int"), ["r", "c"]) == [(5, 5, 9, 9)]
+    assert covering_boxes(spark.createDataFrame([], "r int, c int"), ["r", "c"]) == []
