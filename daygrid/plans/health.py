@@ -8,12 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrid.operators.audit import completion, consistency, missing_units, set_groups, variables_frame, work_list
-from daygrid.schema import PRODUCT
 from daygrid.sizing import stored
 from daygrid.sources.files import read_headers, readable
-from daygrid.sources.hourly import read_table
 from daygrid.sources.logs import read_logs, retry_list, timed_out
-from daygrid.sources.product import fields_path, valid_units
+from daygrid.sources.product import committed_units
 
 
 def readability(spark: SparkSession, folder: str, variables: Sequence[str] | None = None) -> DataFrame:
@@ -40,10 +38,9 @@ def schema_consistency(spark: SparkSession, folder: str, coordinates: Sequence[s
 
 
 def completeness(spark: SparkSession, root: str, variables: Sequence[str], first_year: int, last_year: int) -> tuple[DataFrame, DataFrame]:
-    """Completion numbers of a request against a product, and its missing units."""
+    """Completion numbers of a request against the manifest of a product, and its missing units."""
     expected = work_list(variables_frame(spark, variables), first_year, last_year)
-    table = read_table(spark, fields_path(root), PRODUCT)
-    existing = expected.limit(0) if table is None else valid_units(table)
+    existing = committed_units(spark, root)
     return completion(expected, existing), missing_units(expected, existing)
 
 

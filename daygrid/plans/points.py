@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from daygrid.catalog import DailyVariable, resolve
 from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE
+from daygrid.functions.zorder import covering_boxes, in_boxes
 from daygrid.grids import Grid
 from daygrid.operators.cell_join import join_cells
 from daygrid.operators.daily import daily_outputs
 from daygrid.operators.nearest import nearest_on_grid
 from daygrid.operators.regrid import stored_regrid_map
 from daygrid.operators.yearly import NORMAL_PERIODS, Period, annual_by_rule, normals_two_periods, with_fit
-from daygrid.sizing import BROADCAST_ROWS, broadcast_within, row_bound
+from daygrid.sizing import BROADCAST_ROWS, broadcast_within, row_bound, stored
 
 # Places as (latitude, longitude).
 TOWNS: dict[str, tuple[float, float]] = {
@@ -42,8 +43,8 @@ CHECK_PLACES: dict[str, tuple[float, float]] = {
     "WRF": (64.0, -152.0),
 }
 
-# Up to this many points are located ahead of the query, and their indices become a filter of its scan. More
-# points give the same rows from a scan without that filter.
+# Up to this many points are located ahead of the query, and their indices become a filter of its scan. Of more
+# points it is boxes around their cells.
 FEW_POINTS = 500
 
 
@@ -66,7 +67,7 @@ def extract_points(
     ``points`` has ``x, y`` in the plane of the product and any columns that
     name a point.  Few points are located first and broadcast, and the grid
     rows and columns they lie in become a scan filter, which skips most pages of
-    files sorted by cell.  Many points are joined by cell.  ``few_points`` (else ``FEW_POINTS``) and
+    files sorted by cell.  Many points are joined by cell, and the scan is filtered by boxes around them.  ``few_points`` (else ``FEW_POINTS``) and
     ``broadcast_rows`` say what is few; they change the plan and not the rows.
     """
     few_points = FEW_POINTS if few_points is None else few_points
@@ -82,15 +83,15 @@ def _locate(points: DataFrame, grid: Grid, tolerance: float | None, on_miss: str
     located = nearest_on_grid(points, grid, tolerance=tolerance, on_miss=on_miss).select(*names, "y_idx", "x_idx")
     few = located.limit(few_points + 1).collect()
     if len(few) > few_points:
-        return names, located.dropna(subset=["y_idx", "x_idx"]), row_bound(points)
+        return names, stored(located.dropna(subset=["y_idx", "x_idx"])), row_bound(points)
     hits = [r for r in few if r.y_idx is not None]
     return names, points.sparkSession.createDataFrame(hits, located.schema), len(hits)
 
 
 def _near(rows: DataFrame, keys: Sequence[str], cells: DataFrame, bound: int | None, few_points: int) -> DataFrame:
-    """``rows`` without the grid rows and columns that hold none of the cells, if there are few cells."""
+    """``rows`` without those that the grid rows and columns of a few cells, or some boxes around many, show to be of no use."""
     if bound is None or bound > few_points:
-        return rows
+        return rows.where(in_boxes(covering_boxes(cells, keys), keys))
     found = cells.select(*keys).distinct().collect()
     for k in keys:
         wanted = sorted({r[k] for r in found})

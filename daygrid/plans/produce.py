@@ -16,7 +16,7 @@ from daygrid.operators.daily import daily_wide, output_groups, relevant_rows, ti
 from daygrid.operators.regrid import full_cube, regrid, stored_regrid_map
 from daygrid.sizing import BROADCAST_ROWS, stored
 from daygrid.sources.hourly import for_outputs, require_columns, require_years
-from daygrid.sources.product import attributes_frame, check_free, read_product, write_attributes, write_wide
+from daygrid.sources.product import attributes_frame, check_free, committed_units, new_commit, publish, read_product, stage_wide
 
 
 def product_wide(
@@ -42,6 +42,14 @@ def product_wide(
     read from them and the hours are scanned once.  ``cells`` is the regrid map of
     the two grids, if it has been made already.
     """
+    return _wide(hourly, names, source, target, fill_missing, kinds, broadcast_rows, source_plane, target_plane, cells)[0]
+
+
+def _wide(
+    hourly: DataFrame, names: Iterable[str | DailyVariable], source: Grid, target: Grid, fill_missing: bool = True, kinds: dict[str, AggregateBuilder] | None = None,
+    broadcast_rows: int = BROADCAST_ROWS, source_plane=SOURCE_PLANE, target_plane=ALASKA_ALBERS, cells: DataFrame | None = None,
+) -> tuple[DataFrame, tuple[int | None, ...] | None]:
+    """The rows of :func:`product_wide`, and their levels if they are known."""
     entries = resolve(names)
     hourly = relevant_rows(hourly, entries)
     if cells is None:
@@ -53,9 +61,9 @@ def product_wide(
         daily = stored(daily)
         axis = time_axis(daily)
         if axis.days:
-            return full_cube(daily, cells, target.cells, axis, broadcast_rows=broadcast_rows).withColumn("year", F.year("time"))
+            return full_cube(daily, cells, target.cells, axis, broadcast_rows=broadcast_rows).withColumn("year", F.year("time")), axis.levels
     wide = regrid(daily, cells, target.cells, broadcast_rows=broadcast_rows)
-    return wide.withColumn("year", F.year("time"))
+    return wide.withColumn("year", F.year("time")), None
 
 
 def product_fields(
@@ -87,6 +95,7 @@ def produce(
     root: str,
     *,
     overwrite: bool = False,
+    resume: bool = False,
     attributes: Mapping[str, str] | None = None,
     years_per_job: int | None = None,
     source_plane=SOURCE_PLANE,
@@ -97,16 +106,21 @@ def produce(
 
     ``hourly`` has a ``year`` column; ``names`` may hold entries of the user's own, with their aggregate in
     ``kinds``.  A source column that the files of some year lack is an error.  Existing output is an error unless
-    ``overwrite`` is set, which replaces the units of the request and no others.
-    With ``years_per_job`` the years are written in several jobs, each of which
-    leaves complete units behind if a later one fails.
+    ``overwrite`` is set, which replaces the units of the request and no others, or ``resume``, which
+    leaves units that the manifest has as they are and makes the others.
+    With ``years_per_job`` the years are written in several jobs. Each job's units are staged and then count all at once,
+    so a run that dies keeps what it had finished, and one with ``resume`` goes on from there.
     Attributes that the source columns carry as metadata are kept with the
     product; ``attributes`` adds or replaces some.  ``options`` are those of :func:`product_wide`.
     """
     entries = resolve(names)
     outputs = [e.name for e in entries]
     spark = hourly.sparkSession
-    if not overwrite:
+    done: set[tuple[str, int]] = set()
+    if resume:
+        asked = F.col("variable").isin(outputs) & F.col("year").between(first_year, last_year)
+        done = {(r.variable, r.year) for r in committed_units(spark, root).where(asked).collect()}
+    elif not overwrite:
         check_free(spark, root, outputs, first_year, last_year)
     rows = for_outputs(require_years(hourly, first_year, last_year), entries)
     require_columns(hourly, [e.var_id for e in entries], first_year, last_year)
@@ -114,9 +128,20 @@ def produce(
     cells = stored_regrid_map(spark, source, target, source_plane, target_plane)
     step = years_per_job or last_year - first_year + 1
     for start in range(first_year, last_year + 1, step):
-        years = range(start, min(start + step, last_year + 1))
-        part = rows.where(F.col("year").between(years[0], years[-1]))
-        for group in output_groups(part, entries):
-            write_wide(product_wide(part, group, source, target, cells=cells, **options), group, target, root)
-        write_attributes(attributes_frame(spark, entries, years, target, attributes, inherited=inherited), root)
+        # Years that lack the same outputs are made together.
+        lacking: dict[tuple[DailyVariable, ...], list[int]] = {}
+        for year in range(start, min(start + step, last_year + 1)):
+            lacking.setdefault(tuple(e for e in entries if (e.name, year) not in done), []).append(year)
+        for wanted, years in lacking.items():
+            if wanted:
+                _one_job(rows.where(F.col("year").isin(years)), wanted, years, source, target, root, cells, options, attributes, inherited)
     return read_product(spark, root, outputs, (first_year, last_year))
+
+
+def _one_job(rows, entries, years, source, target, root, cells, options, attributes, inherited) -> None:
+    """Stage the outputs of some years, and let them count."""
+    spark, commit = rows.sparkSession, new_commit()
+    for group in output_groups(rows, entries):
+        wide, levels = _wide(for_outputs(rows, group), group, source, target, cells=cells, **options)
+        stage_wide(wide, group, target, root, commit, years, levels)
+    publish(spark, root, commit, attributes_frame(spark, entries, years, target, attributes, inherited=inherited))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from daygrid.functions.aggregates import present
 from daygrid.functions.projections import planar_km, sphere_km
 from daygrid.functions.units import celsius_shift
+from daygrid.functions.zorder import covering_boxes, in_boxes
 from daygrid.grids import Grid
 from daygrid.operators.cell_join import join_cells
 from daygrid.operators.compare import best_offset, mean_abs_difference
@@ -52,9 +53,12 @@ def cell_series(
     One scan of the source serves all cells.  ``rows`` is a proven bound of the rows of ``cells``.
     """
     level = ["level"] if "level" in hourly.columns else []
+    cells = stored(cells.select(*CELL).distinct(), small=True)
+    # Boxes around the cells reach the scan, however many cells there are.
+    hourly = hourly.where(in_boxes(covering_boxes(cells, CELL), CELL))
     return (
         hourly.select("time", *CELL, *level, F.col(variable).alias("value"))
-        .join(broadcast_within(cells.select(*CELL).distinct(), rows), list(CELL), "left_semi")
+        .join(broadcast_within(cells, rows), list(CELL), "left_semi")
         .groupBy(day_of("time").alias("time"), *CELL, *level)
         .agg((F.avg(present(F.col("value"))) + celsius_shift(F.lit(units).cast("string"), "kelvin")).alias("value"))
     )
@@ -93,7 +97,7 @@ def source_versus_product(
     places = nearest_on_grid(report.select("name", kinds), target, tolerance=None).select("kind", "name", "y_idx", "x_idx")
     pairs = stored(around.join(places, "name").select("kind", "name", "di", "dj", *CELL, "y_idx", "x_idx"))
     product_cells = pairs.select("y_idx", "x_idx").distinct()
-    fields = fields.where(F.col("variable") == product_variable)
+    fields = fields.where(F.col("variable") == product_variable).where(in_boxes(covering_boxes(product_cells, ["y_idx", "x_idx"]), ["y_idx", "x_idx"]))
     days = join_cells(fields, product_cells, ["y_idx", "x_idx"], None if rows is None else len(KINDS) * rows)
     days = days.select("y_idx", "x_idx", "time", "level", (F.col("value") + shift).alias("right_value"))
 

@@ -39,3 +39,11 @@ ATTRIBUTES = T.StructType([
     T.StructField("variable", T.StringType()),
     T.StructField("year", T.IntegerType()),
 ])
+
+MANIFEST = T.StructType([
+    T.StructField("variable", T.StringType()),
+    T.StructField("year", T.IntegerType()),
+    T.StructField("commit", T.StringType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("sequence", T.LongType()),
+])

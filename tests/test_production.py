@@ -1,5 +1,7 @@
 """Sources, sink, production runs and the analyses of their product."""
 
+import random
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
@@ -8,11 +10,12 @@ from pyspark.sql import functions as F
 from daygrid.catalog import CATALOG, DailyVariable
 from daygrid.functions.projections import SOURCE_PLANE
 from daygrid.grids import Grid, covering_grid, grid_cells, source_grid
+from daygrid.operators.daily import daily_wide
 from daygrid.operators.regrid import stored_regrid_map
 from daygrid.plans.health import completeness, readability
 from daygrid.plans.points import TOWNS, annual_point_series, extract_points, extract_points_from_hours, places_frame, point_normals, projected
 from daygrid.plans.produce import produce, product_fields, product_wide
-from daygrid.plans.verify import coordinate_report, source_versus_product
+from daygrid.plans.verify import cell_series, coordinate_report, source_versus_product
 from daygrid.schema import hourly_schema
 from daygrid.sources import hourly as src
 from daygrid.sources import product
@@ -219,7 +222,7 @@ def test_files_are_sorted_by_cell(spark, tmp_path, open_files):
     assert len(files) >= 9
     for f in files:
         part = pq.ParquetFile(f).read(columns=["y_idx", "x_idx", "time"]).to_pylist()
-        order = [(r["y_idx"], r["x_idx"], r["time"]) for r in part]
+        order = [(sum((r["y_idx"] >> k & 1) << 2 * k + 1 | (r["x_idx"] >> k & 1) << 2 * k for k in range(12)), r["time"]) for r in part]
         assert order == sorted(order)
 
 
@@ -345,3 +348,136 @@ def test_source_and_product_agree_at_the_cell(spark, archive, made):
         same = (r.row, r.col) == (r.south_north, r.west_east)
         assert found[r.name].exact_mad == 0.0
         assert ((found[r.name].exact_di, found[r.name].exact_dj) == (0, 0)) == same
+
+
+def test_files_per_unit_follow_from_the_grid(spark, tmp_path):
+    root = str(tmp_path / "daily")
+    names = ["t2_mean", "t2_max"]
+    produce(model(spark, DAYS), names, 2001, 2003, SOURCE, TARGET, root)
+    files = Counter(f.parent.relative_to(tmp_path) for f in (tmp_path / "daily" / "fields").rglob("*.parquet"))
+    assert len(files) == 2 * 3 and set(files.values()) == {product.files_per_unit(2, TARGET)}
+    assert product.files_per_unit(2, TARGET) > 4
+
+
+def test_files_per_unit_with_levels(spark, tmp_path):
+    root = str(tmp_path / "daily")
+    hourly = model(spark, DAYS[:2]).withColumn("level", F.explode(F.array(F.lit(1), F.lit(5), F.lit(7)))).withColumn("TEMP", F.col("T2"))
+    entry = CATALOG["temp_max"]
+    hourly = hourly.withColumn(entry.var_id, F.col("T2"))
+    produce(hourly, ["temp_max"], 2001, 2001, SOURCE, TARGET, root)
+    files = Counter(f.parent for f in (tmp_path / "daily" / "fields").rglob("*.parquet"))
+    assert set(files.values()) == {product.files_per_unit(1, TARGET, levels=3)}
+
+
+def test_a_broken_run_goes_on_where_it_stopped(spark, archive, made, tmp_path, monkeypatch):
+    """The second job dies after its rows were written and before they count."""
+    root = str(tmp_path / "daily")
+    hourly = src.read_years(spark, archive, 2001, 2003)
+    names = ["t2_mean", "rainnc_sum"]
+    publish, calls = product.publish, []
+
+    def dies(spark, root, commit, attributes=None):
+        calls.append(commit)
+        if len(calls) == 2:
+            raise OSError("lost")
+        publish(spark, root, commit, attributes)
+
+    monkeypatch.setattr("daygrid.plans.produce.publish", dies)
+    with pytest.raises(OSError, match="lost"):
+        produce(hourly, names, 2001, 2003, SOURCE, TARGET, root, years_per_job=1)
+    whole = {("t2_mean", 2001), ("rainnc_sum", 2001)}
+    assert {(r.variable, r.year) for r in product.committed_units(spark, root).collect()} == whole
+    # Rows without an entry in the manifest are there, and nobody reads them.
+    assert len(list((tmp_path / "daily" / "fields").glob("commit=*"))) == 2
+    assert {(r.variable, r.year) for r in product.read_product(spark, root).select("variable", "year").distinct().collect()} == whole
+    numbers, missing = completeness(spark, root, names, 2001, 2003)
+    assert numbers.first().missing == 4 and missing.count() == 4
+
+    staged = []
+    stage = product.stage_wide
+    monkeypatch.setattr("daygrid.plans.produce.publish", publish)
+    monkeypatch.setattr("daygrid.plans.produce.stage_wide", lambda wide, group, *rest: (staged.append(([e.name for e in group], rest[3])), stage(wide, group, *rest)))
+    first = {r.commit for r in product.all_entries(spark, root).collect()}
+    fields = produce(hourly, [*names, "t2_max"], 2001, 2003, SOURCE, TARGET, root, resume=True)
+    assert sorted(staged) == [(["t2_max"], [2001]), (["t2_mean", "rainnc_sum", "t2_max"], [2002, 2003])]
+    order = ["variable", "year", "time", "y_idx", "x_idx", "value"]
+    assert rows(fields.where(F.col("variable").isin(names)), *order) == rows(product.read_product(spark, made, names), *order)
+    assert product.read_attributes(spark, root).count() == 9
+    entries = product.all_entries(spark, root)
+    assert {r.commit for r in entries.where("year = 2001 AND variable <> 't2_max'").collect()} == first
+    assert produce(hourly, names, 2001, 2003, SOURCE, TARGET, root, resume=True).count() == fields.where(F.col("variable").isin(names)).count()
+    assert len(staged) == 2
+
+    gone = product.remove_stale(spark, root)
+    assert gone == [calls[1]] and fields.count() == product.read_product(spark, root).count()
+
+
+def test_replaced_units_are_not_read_and_go(spark, tmp_path):
+    root = str(tmp_path / "daily")
+    hourly = model(spark, DAYS)
+    produce(hourly, ["t2_mean", "t2_max"], 2001, 2002, SOURCE, TARGET, root)
+    total = product.read_product(spark, root).count()
+    for _ in range(2):
+        produce(hourly, ["t2_mean"], 2001, 2001, SOURCE, TARGET, root, overwrite=True)
+    assert product.read_product(spark, root).count() == total
+    assert product.read_attributes(spark, root).count() == 4
+    assert len(product.remove_stale(spark, root)) == 1  # the first replacement; the first commit still has three units
+    assert product.read_product(spark, root).count() == total
+
+
+def test_scan_filter_for_any_number_of_cells(spark, tmp_path):
+    draw = random.Random(3)
+    hours = [(datetime(2001, 1, 1, h), r, c, float(r + c)) for h in (0, 1) for r in range(0, 400, 4) for c in range(0, 400, 4)]
+    table = spark.createDataFrame(hours, "time timestamp_ntz, south_north int, west_east int, T2 double")
+    table.sortWithinPartitions("south_north", "west_east").write.parquet(str(tmp_path / "hours"))
+    hourly = spark.read.parquet(str(tmp_path / "hours"))
+    wanted = [(draw.randrange(150), draw.randrange(200, 390)) for _ in range(5000)]
+    cells = spark.createDataFrame(wanted, "south_north int, west_east int")
+    series = cell_series(hourly, cells, "T2")
+    pushed = plan(series).split("PushedFilters: ")[1].split("ReadSchema")[0]
+    assert "GreaterThanOrEqual(south_north" in pushed and "LessThanOrEqual(west_east" in pushed
+    have = {(r, c) for _, r, c, _ in hours}
+    assert {(r.south_north, r.west_east) for r in series.collect()} == have & set(wanted)
+
+
+def test_many_points_filter_the_scan(spark, made, monkeypatch):
+    fields = product.read_product(spark, made, ["t2_mean"])
+    few = extract_points(fields, projected(towns(spark)), TARGET, tolerance=None)
+    many = extract_points(fields, projected(towns(spark)), TARGET, tolerance=None, few_points=2)
+    pushed = plan(many).split("PushedFilters: ")[1].split("ReadSchema")[0]
+    assert "y_idx" in pushed and "x_idx" in pushed and rows(few) == rows(many)
+
+
+def test_dense_days_are_not_shuffled(spark):
+    """Only what is missing is generated and joined: nothing on dense data, one day's rows if that day has a gap."""
+    wide = product_wide(model(spark, DAYS), ["t2_mean"], SOURCE, TARGET)
+    assert "Exchange hashpartitioning" not in plan(wide) and "LeftAnti" not in plan(wide)
+    holes = model(spark, DAYS).where("NOT (south_north = 3 AND west_east < 4 AND dayofyear(time) = 2 AND year = 2002)")
+    holes = holes.where("NOT (dayofyear(time) = 2 AND year = 2003)")
+    partial = product_wide(holes, ["t2_mean"], SOURCE, TARGET)
+    text = plan(partial)
+    assert "LeftAnti" in text and "2002-01-02" in text.split("LeftAnti")[1]
+    order = ["time", "y_idx", "x_idx"]
+    assert rows(partial.select(*order)) == rows(wide.select(*order))
+    both = wide.select(*order, "t2_mean").alias("a").join(partial.select(*order, F.col("t2_mean").alias("other")).alias("b"), order)
+    lost = both.where("t2_mean IS NOT NULL AND other IS NULL").select("time", "y_idx", "x_idx")
+    cells = stored_regrid_map(spark, SOURCE, TARGET).where("south_north IS NOT NULL")
+    n_hole = cells.where("south_north = 3 AND west_east < 4").count()
+    assert Counter(r.time for r in lost.collect()) == {date(2002, 1, 2): n_hole, date(2003, 1, 2): cells.count()} and n_hole
+    assert both.where("other IS NOT NULL AND abs(t2_mean - other) > 1e-9").isEmpty()
+
+
+def test_big_maps_give_the_same_cube(spark):
+    names, order = ["t2_mean", "rainnc_sum"], ["time", "y_idx", "x_idx", "t2_mean", "rainnc_sum"]
+    holes = model(spark, DAYS[:4]).where("NOT (south_north = 3 AND dayofyear(time) = 2)")
+    small = product_wide(holes, names, SOURCE, TARGET)
+    big = product_wide(holes, names, SOURCE, TARGET, broadcast_rows=10)
+    assert rows(small, *order) == rows(big, *order)
+
+
+def test_bucketed_source_is_produced_without_a_shuffle(spark):
+    """On a table bucketed by cell only the write deals rows anew."""
+    model(spark, DAYS[:3]).write.bucketBy(4, "south_north", "west_east").mode("overwrite").saveAsTable("bucketed_model")
+    hourly = spark.table("bucketed_model")
+    assert "Exchange hashpartitioning" not in plan(daily_wide(hourly, ["t2_mean"]))
+    assert "Exchange hashpartitioning" not in plan(product_wide(hourly, ["t2_mean"], SOURCE, TARGET))
