@@ -38,14 +38,13 @@ CATALOG_VIEW = {
 
 
 @check("s1_year_scan", with_views("""
-select cast(time as varchar) as hour, south_north, west_east, T2, rainnc from (
-  select cast(time as date) as time, south_north, west_east, T2, rainnc, year from years_hourly) y where year = 1996"""))
+select strftime(time, '%Y-%m-%d %H:%M:%S') as hour, south_north, west_east, T2, rainnc from years_hourly where year = 1996"""))
 def _(spark, sf_dir):
     """One year of a table that is partitioned by year."""
     root = shared_folder(spark)
     v.years_hourly(spark, sf_dir).write.partitionBy("year").parquet(root)
     rows = src.read_years(spark, root, 1996)
-    return rows.select(F.to_date("time").cast("string").alias("hour"), "south_north", "west_east", "T2", "rainnc")
+    return rows.select(F.date_format("time", HOUR).alias("hour"), "south_north", "west_east", "T2", "rainnc")
 
 
 @check("s2_column_pruned_read", with_views(f"select {_HOUR}, south_north, west_east, year, T2 from years_hourly"))
@@ -61,12 +60,19 @@ def _(spark, sf_dir):
     return both.withColumn("time", F.date_format("time", HOUR))
 
 
-@check("s4_combine_by_coords", with_views("""
-select cast(cast(time as date) as varchar) as day, south_north, west_east, var_id, count(*) as copies
-from obs group by all having count(*) > 1"""))
+@check("s4_combine_by_coords", with_views(f"""
+select {_HOUR}, south_north, west_east, var_id, count(*) as copies from (
+  select * from obs where time < timestamp '2024-01-20' union all select * from obs where time >= timestamp '2024-01-12') o
+group by all having count(*) > 1"""))
 def _(spark, sf_dir):
-    by_day = v.obs(spark, sf_dir).withColumn("time", F.to_date("time"))
-    return src.overlapping_hours(by_day).select(F.col("time").cast("string").alias("day"), "south_north", "west_east", "var_id", "copies")
+    """Two batches that have eight days in common, and a third, later one that has none."""
+    root, o = shared_folder(spark), v.obs(spark, sf_dir)
+    late = F.lit("2024-01-25").cast("timestamp_ntz")
+    first, second = o.where(F.col("time") < F.lit("2024-01-20").cast("timestamp_ntz")), o.where(F.col("time") >= F.lit("2024-01-12").cast("timestamp_ntz"))
+    for name, batch in (("a", first), ("b", second.where(F.col("time") < late)), ("c", second.where(F.col("time") >= late))):
+        batch.write.parquet(f"{root}/{name}")
+    twice = src.overlapping_hours(spark.read.parquet(*[f"{root}/{name}" for name in "abc"]))
+    return twice.withColumn("time", F.date_format("time", HOUR))
 
 
 def _written_fields(spark, sf_dir):

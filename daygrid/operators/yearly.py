@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,3 +90,50 @@ def normals_two_periods(daily: DataFrame, keys: Sequence[str], periods: tuple[Pe
         .groupBy(*keys, F.dayofyear("time").alias("dayofyear"))
         .agg(F.avg(F.when(first, value)).alias("normal_1"), F.avg(F.when(second, value)).alias("normal_2"))
     )
+
+
+def normals_state(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What normals of any period can be made from: per key, day of year and year the sums of all years up to it.
+
+    Columns: keys, ``dayofyear, year, total, n, days`` (sum and number of values, number of rows). A period is the
+    difference of two years, so of a table partitioned by year only two are read for it, however long it is.
+    """
+    value = present(F.col("value"))
+    last = daily.agg(F.max(F.year("time"))).first()[0]
+    sums = daily.groupBy(*keys, F.dayofyear("time").alias("dayofyear"), F.year("time").alias("year")).agg(
+        F.coalesce(F.sum(value), F.lit(0.0)).alias("total"), F.count(value).alias("n"), F.count(F.lit(1)).alias("days")
+    )
+    # A group has one row per year.
+    by_year = Window.partitionBy(*keys, "dayofyear").orderBy("year")
+    until = F.lead("year").over(by_year) - 1
+    summed = sums.select(*keys, "dayofyear", "year", until.alias("until"), *[F.sum(c).over(by_year).alias(c) for c in ("total", "n", "days")])
+    # A year without data has the sums of the year before.
+    years = F.explode(F.sequence("year", F.coalesce("until", F.lit(last))))
+    return summed.withColumn("year", years).drop("until")
+
+
+def write_normals_state(state: DataFrame, path: str) -> None:
+    state.repartition("year").write.mode("overwrite").partitionBy("year").parquet(path)
+
+
+def normals_from_state(state: DataFrame, keys: Sequence[str], periods: Sequence[Period]) -> DataFrame:
+    """The normals ``normal_1, normal_2, ...`` of some periods from :func:`normals_state`; no day is read again.
+
+    Days of year on which none of the periods has a row are left out, as by :func:`normals_two_periods`.
+    """
+    last = state.agg(F.max("year")).first()[0]
+    bounds = [(first - 1, min(end, last or end)) for first, end in periods]
+    year = F.col("year")
+
+    def between(column: str, before: int, end: int) -> Column:
+        if end <= before:
+            return F.lit(0)
+        at = [F.coalesce(F.sum(F.when(year == y, F.col(column))), F.lit(0)) for y in (end, before)]
+        return at[0] - at[1]
+
+    found = state.where(year.isin(sorted({y for b in bounds for y in b}))).groupBy(*keys, "dayofyear").agg(
+        *[between(c, *b).alias(f"{c}_{i}") for i, b in enumerate(bounds, 1) for c in ("total", "n", "days")]
+    )
+    some = reduce(lambda a, b: a | b, [F.col(f"days_{i}") > 0 for i in range(1, len(bounds) + 1)])
+    mean = [F.when(F.col(f"n_{i}") > 0, F.col(f"total_{i}") / F.col(f"n_{i}")).alias(f"normal_{i}") for i in range(1, len(bounds) + 1)]
+    return found.where(some).select(*keys, "dayofyear", *mean)

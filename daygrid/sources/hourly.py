@@ -14,6 +14,10 @@ from pyspark.sql.types import StructType
 from daygrid.catalog import DailyVariable, source_variables
 from daygrid.operators.audit import duplicate_keys
 from daygrid.operators.daily import CELL
+from daygrid.sizing import broadcast_within, row_bound, stored
+
+# So many overlapping files are named in the scan's filter, which then opens no others.
+FEW_FILES = 1000
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
@@ -85,7 +89,52 @@ def append_in_time(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def overlapping_hours(hourly: DataFrame, cell: Sequence[str] = CELL) -> DataFrame:
-    """Audit of an append: hours that a cell has more than once."""
+def overlapping_files(hourly: DataFrame, cell: Sequence[str] = CELL) -> DataFrame:
+    """Pairs ``first, second`` of files of which some hours and some cells are common to both, by their extents.
+
+    ``hourly`` is a table as read from files. Each file is reduced to its first and last hour and its first and last row and column, which
+    needs one shuffled row per file and task. Extents meet by day and by squares as wide as the widest file, so files
+    are compared only with those near them in time and place.
+    """
+    ends = [f(c).alias(f"{c}_{n}") for c in ("time", *cell) for f, n in ((F.min, "low"), (F.max, "high"))]
+    files = stored(hourly.groupBy(F.col("_metadata.file_path").alias("file")).agg(*ends), small=True)
+    widest = files.agg(*[F.max(F.col(f"{c}_high") - F.col(f"{c}_low") + 1).alias(c) for c in cell]).first()
+    placed = files.withColumn("day", F.explode(F.sequence(F.to_date("time_low"), F.to_date("time_high"))))
+    for c in cell:
+        number = lambda end: F.floor(F.col(f"{c}_{end}") / F.lit(widest[c] or 1)).cast("bigint")  # noqa: B023, E731
+        placed = placed.withColumn(f"{c}_square", F.explode(F.sequence(number("low"), number("high"))))
+    meet = ["day", *[f"{c}_square" for c in cell]]
+    other = placed.select(*meet, *[F.col(c).alias(f"other_{c}") for c in files.columns])
+    common = F.col("file") < F.col("other_file")
+    for c in ("time", *cell):
+        common = common & (F.col(f"{c}_low") <= F.col(f"other_{c}_high")) & (F.col(f"other_{c}_low") <= F.col(f"{c}_high"))
+    return placed.join(other, meet).where(common).select(F.col("file").alias("first"), F.col("other_file").alias("second")).distinct()
+
+
+def overlapping_hours(hourly: DataFrame, cell: Sequence[str] = CELL, within_files: bool = False) -> DataFrame:
+    """Audit of an append: hours that a cell has more than once.
+
+    Of a table read from files only those are compared hour by hour that overlap another by their extents; where none does, no hour is
+    shuffled. A file is taken to hold an hour once; ``within_files`` compares all rows of all files, as is
+    done for a table that does not come from files.
+    """
     keys = [c for c in ("time", "level", *cell, "var_id") if c in hourly.columns]
-    return duplicate_keys(hourly, keys)
+    if within_files or not _has_files(hourly):
+        return duplicate_keys(hourly, keys)
+    pairs = stored(overlapping_files(hourly, cell), small=True)
+    files = pairs.select(F.col("first").alias("file")).union(pairs.select("second")).distinct()
+    bound = row_bound(files)
+    if bound == 0:
+        return duplicate_keys(hourly.limit(0), keys)
+    path = F.col("_metadata.file_path")
+    if bound <= FEW_FILES:
+        return duplicate_keys(hourly.where(path.isin([r.file for r in files.collect()])), keys)
+    return duplicate_keys(hourly.withColumn("file", path).join(broadcast_within(files, bound), "file", "left_semi"), keys)
+
+
+def _has_files(table: DataFrame) -> bool:
+    try:
+        table.select("_metadata.file_path")
+    except AnalysisException:
+        return False
+    return True

@@ -481,3 +481,23 @@ def test_bucketed_source_is_produced_without_a_shuffle(spark):
     hourly = spark.table("bucketed_model")
     assert "Exchange hashpartitioning" not in plan(daily_wide(hourly, ["t2_mean"]))
     assert "Exchange hashpartitioning" not in plan(product_wide(hourly, ["t2_mean"], SOURCE, TARGET))
+
+
+def test_only_overlapping_files_are_compared(spark, tmp_path):
+    """Files by day and tile: extents alone show that none overlaps; of those that do, the common hours are found."""
+    whole = model(spark, DAYS[:3]).drop("SST")
+    for i, day in enumerate(DAYS[:3]):
+        for side in (0, 1):
+            whole.where((F.to_date("time") == F.lit(day)) & (F.col("west_east").between(6 * side, 6 * side + 5))).coalesce(1).write.parquet(str(tmp_path / f"apart/{i}{side}"))
+    apart = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "apart"))
+    assert src.overlapping_files(apart).isEmpty()
+    audit = src.overlapping_hours(apart)
+    assert audit.isEmpty() and "FileScan" not in plan(audit)
+    again = whole.where((F.to_date("time") == F.lit(DAYS[1])) & (F.col("west_east") > 8) & (F.hour("time") == 6))
+    again.coalesce(1).write.parquet(str(tmp_path / "apart/again"))
+    both = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "apart"))
+    pairs = src.overlapping_files(both).collect()
+    assert [sorted(p.split("/")[-2] for p in r) for r in pairs] == [["11", "again"]]
+    twice = src.overlapping_hours(both)
+    assert twice.count() == again.count() and {r.copies for r in twice.collect()} == {2}
+    assert "11/" in plan(twice) and rows(twice) == rows(src.overlapping_hours(both, within_files=True))

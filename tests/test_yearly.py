@@ -1,5 +1,6 @@
 """Annual statistics, trend, pivot and normals."""
 
+import random
 from datetime import date
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from daygrid.operators import yearly
 from daygrid.operators.compare import align, best_offset, mean_abs_difference, offset_differences
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 NAN = float("nan")
 
@@ -92,3 +93,22 @@ def test_shared_cells_tie_exactly(spark):
     target = spark.range(500).selectExpr("'p' as name", "cast(id as int) as time", "rand(2) as value")
     out = {(r.di, r.dj): r.mad for r in offset_differences(around, cell_values, target, ["name"]).collect()}
     assert len(out) == 3 and out[-1, 0] == out[0, 0] != out[1, 0]
+
+
+def test_normals_from_a_state_equal_those_from_days(spark, tmp_path):
+    """Any periods, also beyond the data, over years without data and values that are missing."""
+    draw = random.Random(6)
+    days = [date(y, m, d) for y in (1999, 2000, 2001, 2003, 2004, 2008) for m, d in ((1, 1), (2, 28), (2, 29), (3, 1), (12, 31)) if (m, d) != (2, 29) or y % 4 == 0]
+    data = [("v", n, d, draw.choice([NAN, None, draw.uniform(-9, 9)])) for n in "abc" for d in days if draw.random() < 0.8]
+    frame = daily(spark, data)
+    yearly.write_normals_state(yearly.normals_state(frame, ["name"]), str(tmp_path / "state"))
+    state = spark.read.parquet(str(tmp_path / "state"))
+    for periods in [((1999, 2003), (2004, 2008)), ((2000, 2000), (2001, 2002)), ((1900, 1999), (2003, 2100)), ((2002, 2002), (2009, 2050)), ((1900, 1950), (2001, 2001))]:
+        have = rows(yearly.normals_from_state(state, ["name"], periods), "name", "dayofyear", "normal_1", "normal_2")
+        want = rows(yearly.normals_two_periods(frame, ["name"], periods), "name", "dayofyear", "normal_1", "normal_2")
+        assert [r[:2] for r in have] == [r[:2] for r in want]
+        assert [r[2:] for r in have] == [tuple(x if x is None else pytest.approx(x, abs=1e-9) for x in r[2:]) for r in want]
+    text = plan(yearly.normals_from_state(state, ["name"], [(1999, 2003)]))
+    assert "PartitionFilters: [year" in text and "(1998,2003)" in text.replace(" ", "")
+    empty = yearly.normals_state(frame.limit(0), ["name"])
+    assert yearly.normals_from_state(empty, ["name"], [(1999, 2003)]).isEmpty()
