@@ -101,10 +101,13 @@ def found(docs: DataFrame, given: DataFrame, contained: float = CONTAINED) -> Da
     last = F.floor(F.col("start") / F.col("step")).cast("int")
     cells = places.join(F.broadcast(parts), "window").select("key", "size", "step", F.explode(F.sequence(first, last)).alias("cell")).distinct()
     cells = stored(cells.groupBy("key").agg(F.collect_set(F.struct("size", "step", "cell")).alias("cells")), small=True)
-    # Only documents with such a place are read as words again.
-    known = docs.join(broadcast_within(cells, row_bound(cells, 100_000)), "key").groupBy("key").agg(F.first("cells").alias("cells"), F.first("text").alias("text"))
-    split = known.select("key", F.explode("cells").alias("cell"), F.filter(F.split("text", SEPARATORS, -1), lambda w: w != "").alias("words"))
-    text = lowered(F.array_join(F.slice("words", F.col("cell.cell") * F.col("cell.step") + 1, F.col("cell.size") + F.col("cell.step")), " "))
+    # Only documents with such a place are read as words again, and each is split once: its windows are cut from the stored words.
+    keys = cells.select("key")
+    hit = docs.join(broadcast_within(keys, row_bound(keys, 100_000)), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    known = stored(hit.join(cells, "key").select("key", "cells", F.filter(F.split("text", SEPARATORS, -1), lambda w: w != "").alias("words")))
+    cut = F.transform("cells", lambda c: F.struct(c.alias("cell"), F.slice("words", c["cell"] * c["step"] + 1, c["size"] + c["step"]).alias("words")))
+    split = known.select("key", F.explode(cut).alias("own")).select("key", "own.cell", "own.words")
+    text = lowered(F.array_join("words", " "))
     windows = split.select("key", F.col("cell.size").alias("size"), F.col("cell.cell").alias("cell"), F.split(text, " ").alias("words"))
     own = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("words") - SHINGLE + 1), lambda i: F.array_join(F.slice("words", i, F.lit(SHINGLE)), " ")))
     windows = stored(windows.where(F.size("words") >= SHINGLE).select("key", "size", "cell", own.alias("own")), small=True)

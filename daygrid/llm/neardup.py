@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daygrid.llm.shingles import bags, blocks, mix, shingles, uniform
+from daygrid.llm.shingles import HASHES, bags, mix, shingles, text_blocks, uniform
 from daygrid.sizing import broadcast_within, row_bound, stored
 
 SIMILARITY = 0.8
@@ -45,6 +45,8 @@ CENTRE_ROUNDS = 2
 CENTRES = 6
 # A shingle that more of the compared texts have is common.
 RARE = 32
+# Bytes of text that a task works on at a time (a longer text alone).
+BLOCK_BYTES = 500_000
 
 _STEP, _PART, _WEIGHT, _LEVEL = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 
@@ -107,16 +109,17 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for part in blocks([t or "" for t in texts]):
-                own = [t or "" for t in texts[part]]
+            for first, own in text_blocks(batch.column(1), BLOCK_BYTES):
                 code, weight, doc = shingles(own)
                 keys = bands_of(bag_minhash(code, weight, doc, len(own), bands * rows), bands, rows)
                 has = np.bincount(doc, minlength=len(own)) > 0
                 offsets = np.concatenate([[0], np.cumsum(np.where(has, bands, 0))])
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[has].ravel()))
-                digests = pa.array([t if t is None else hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in texts[part]], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0)[part.start : part.stop], digests, lists], names=["doc_id", "digest", "bands"])
+                missing = batch.column(1).slice(first, len(own)).is_null().to_pylist()
+                digests = pa.array([None if none else hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t, none in zip(own, missing, strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(own)), digests, lists], names=["doc_id", "digest", "bands"])
+                del code, weight, doc, keys, own, lists, digests
+        HASHES.clear()  # the worker lives on
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(sign, "doc_id bigint, digest binary, bands array<bigint>")
 
@@ -126,9 +129,9 @@ def bagged(docs: DataFrame) -> DataFrame:
 
     def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for part in blocks(texts):
-                yield pa.RecordBatch.from_arrays([batch.column(0)[part.start : part.stop], pa.array(bags(texts[part]), pa.list_(pa.int64()))], names=["node", "bag"])
+            for first, own in text_blocks(batch.column(1), BLOCK_BYTES):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(own)), pa.array(bags(own), pa.list_(pa.int64()))], names=["node", "bag"])
+        HASHES.clear()
 
     return docs.select("node", "text").mapInArrow(bag, "node bigint, bag array<bigint>")
 
@@ -229,12 +232,16 @@ def _apart(placed: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
     # Of two components one is not the largest.
     able = placed.join(sizes.select("node", "n", "common"), "node").where(F.col("common") >= share * (1 + similarity) * F.col("n"))
     able = able.join(placed.groupBy("node").agg(F.collect_set("bucket").alias("buckets")), "node")  # one for each band at most
+    # Sizes of similar nodes are in the same class or the next, so a bucket is met class by class.
+    able = able.withColumn("class", F.floor(F.log("n") / math.log(1 / similarity)).cast("int"))
     columns = [*sizes.columns, "buckets"]
-    one = able.where("component <> main").select("bucket", *(F.col(c).alias(f"{c}_a") for c in columns))
-    two = able.select("bucket", *(F.col(c).alias(f"{c}_b") for c in columns))
+    near = F.explode(F.array(*[F.col("class") + k for k in (-1, 0, 1)])).alias("class")
+    one = able.where("component <> main").select("bucket", near, *(F.col(c).alias(f"{c}_a") for c in columns))
+    two = able.select("bucket", "class", *(F.col(c).alias(f"{c}_b") for c in columns))
     # A pair that shares several buckets is looked at in one of them.
     here = F.array_min(F.array_intersect("buckets_a", "buckets_b")) == F.col("bucket")
-    second = one.join(two, "bucket").where((F.col("component_a") != F.col("component_b")) & (needed <= 0) & here)
+    alike = F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")
+    second = one.join(two, ["bucket", "class"]).where(alike & (F.col("component_a") != F.col("component_b")) & (needed <= 0) & here)
     return first.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).union(second.select("node_a", "node_b"))
 
 

@@ -17,13 +17,13 @@ columns other than the id and the text are ignored.
 from __future__ import annotations
 
 import array
+import json
 import re
 import zlib
-from bisect import bisect_left, bisect_right, insort
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -43,12 +43,22 @@ CACHE_WORDS = 300_000
 FIRST_PART = 16
 # Branches that a search may try, beside two for each of its sequences, before it settles for the incumbent.
 MAX_NODES = 500
-# Fillings that are kept, and looked at, for one sequence.
+# Fillings that are kept, and choices that are looked at, for one sequence of the search; best-fit, the incumbent, has no such bounds.
 MAX_FILLINGS = 20
 MAX_TRIES = 200
 
-# The words that the tokenizer's own pattern finds, over the letters,
-# numbers and spaces of Latin-1 in lower case.
+# The steps of a tokenizer whose words may be looked up one by one; any other is given whole texts.
+_STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+# The same words, over the letters, numbers and spaces of Latin-1 in lower case.
 _LETTERS, _NUMBERS, _SPACES = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
 
@@ -82,8 +92,11 @@ class _Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         model = self.tokenizer.model
+        with open(path, encoding="utf-8") as file:
+            own = json.load(file)
+        self.by_word = all(own.get(step) == known for step, known in _STEPS.items())
         # A word alone needs the model only, without the steps around it.
-        words = _Ids(lambda word: np.array([t.id for t in model.tokenize(word.encode().decode("latin-1").translate(_BYTES))], "<u4").tobytes())
+        self.words = words = _Ids(lambda word: np.array([t.id for t in model.tokenize(word.encode().decode("latin-1").translate(_BYTES))], "<u4").tobytes())
         self.chunks = _Ids(lambda chunk: b"".join(map(words.__getitem__, _WORDS.findall(chunk))))
 
     def whole(self, text: str) -> bytes:
@@ -96,12 +109,17 @@ class _Words:
         comes from memory. Such a text has no combining marks, so lowering it
         first changes nothing; one that may hold a special token is left whole.
         """
-        if "<|" not in text and _latin(text):
+        if self.by_word and "<|" not in text and _latin(text):
             low = text.lower()
             if _latin(low):
                 return b"".join(map(self.chunks.__getitem__, low.replace("\n", " ").split(" ")))
         return self.whole(text)
 
+    def forget(self) -> None:
+        """Empties the memories; a worker lives longer than its task."""
+        self.chunks.clear()
+        self.words.clear()
+
 
 def _latin(text: str) -> bool:
     try:
@@ -136,6 +154,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end
                     out["ids"].append(bytes(part) if keep_ids else None)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
+        words.forget()
 
     pieces = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
     return pieces if keep_ids else pieces.drop("ids")
@@ -183,38 +202,37 @@ def _fillings(lengths: list[int], left: list[int], room: int, most: int) -> list
     seen: set[tuple[int, ...]] = set()
     tried = 0
 
-    stock = Counter(lengths[i] for i in left)
-    kinds = sorted(stock)
-    descending = [-lengths[i] for i in left]
+    places: dict[int, list[int]] = {}
+    for i in left:
+        places.setdefault(lengths[i], []).append(i)
+    kinds = sorted(places, reverse=True)
+    descending = [-x for x in kinds]
 
     def dominated(chosen: list[int], free: int) -> bool:
         if not free:
             return False
-        sums, used = {0}, Counter(lengths[i] for i in chosen)
+        sums, used = 1, Counter(lengths[i] for i in chosen)  # bit s: some of the chosen pieces add up to s
         for i in chosen:
-            sums |= {s + lengths[i] for s in sums}
-        for s in sums:
-            for x in islice(kinds, bisect_right(kinds, s), None):
-                if x > s + free:
-                    break
-                if stock[x] > used[x]:
-                    return True
+            sums |= sums << lengths[i]
+        for x in kinds:
+            low = max(0, x - free)
+            if len(places[x]) > used[x] and sums >> low & (1 << x - low) - 1:
+                return True
         return False
 
     def go(at: int, free: int, chosen: list[int]) -> None:
         nonlocal tried
         tried += 1
-        last = None
-        # Positions are in descending order of length: skip to the first that fits.
-        for k in range(max(at, bisect_left(descending, -free)), len(left)):
-            if len(found) >= MAX_FILLINGS or tried >= MAX_TRIES:
-                return
-            length = lengths[left[k]]
-            if length != last:  # equal pieces are the same choice
-                last = length
-                go(k + 1, free - length, [*chosen, left[k]])
+        last = True
+        # Lengths descend: skip to the first that fits, and take as many of it as fit, then fewer.
+        for k in range(max(at, bisect_left(descending, -free)), len(kinds)):
+            last = False
+            for n in range(min(len(places[kinds[k]]), free // kinds[k]), 0, -1):
+                if len(found) >= MAX_FILLINGS or tried >= MAX_TRIES:
+                    return
+                go(k + 1, free - n * kinds[k], chosen + places[kinds[k]][:n])
         key = tuple(lengths[i] for i in chosen)
-        if last is None and free <= most and key not in seen and not dominated(chosen, free):
+        if last and free <= most and key not in seen and not dominated(chosen, free):
             seen.add(key)
             found.append((free, chosen))
 
@@ -298,7 +316,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_size: int = GROUP_SI
         return group.drop(columns="group").assign(sequence_id=sequence, offset=offset)
 
     kinds = ", ".join(f"{name} {kind}" for name, kind in pieces.dtypes)
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    # By their place in the stored table, so that equal rows are spread too.
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("group").applyInPandas(one, f"{kinds}, sequence_id bigint, offset bigint")
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrid.llm.urls import host_and_path
-from daygrid.sizing import broadcast_within, row_bound, stored
+from daygrid.sizing import broadcast_within, stored
 
 # A subtree on this share of a host's pages is its template, if the host has so many pages.
 SHARE = 0.5
@@ -59,12 +59,18 @@ CLOSES = {
 # Elements that an open paragraph does not go around.
 _ENDS_P = BLOCKS - {"br", "caption", "dd", "dt", "li", "option", "td", "th", "tr", "tbody", "thead", "tfoot", "title", "body", "html", "legend", "summary", "figcaption"} | {"li", "dd", "dt"}
 _SCOPE = {"article", "aside", "body", "button", "div", "footer", "form", "header", "html", "li", "main", "nav", "section", "table", "td", "th", "dd", "blockquote"}
-# Words in class, id or role that name what is no article.
+# Words in class or id that name what is no article, and roles.
 _NOISE = re.compile(
-    r"(^|[\s_-])(ad|ads|adv|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|promotion|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|"
-    r"sidebar|side-bar|widget|footer|site-header|masthead|topbar|toolbar|cookie|cookies|consent|gdpr|notice|notices|popup|pop-up|modal|overlay|newsletter|subscribe|subscription|signup|"
-    r"share|sharing|social|comment|comments|reply|replies|disqus|respond|related|recommended|recommendations|complementary|contentinfo|search|login|copyright|legal|pagination|pager|skip-link)($|[\s_-])"
+    r"(^|[\s_-])(ad|ads|adv|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|"
+    r"sidebar|side-bar|widget|footer|site-header|masthead|topbar|toolbar|cookie|cookies|consent|gdpr|popup|pop-up|newsletter|"
+    r"comment|comments|disqus|respond|related|recommended|recommendations|complementary|contentinfo|pagination|pager|skip-link)($|[\s_-])"
 )
+# Words that may as well be of the article's own matter: around an article they name noise, inside it only what is mostly links, or a few words outside paragraphs.
+_MAYBE = re.compile(
+    r"(^|[\s_-])(banner|notice|notices|modal|overlay|subscribe|subscription|signup|share|sharing|social|reply|replies|search|login|copyright|legal)($|[\s_-])"
+)
+_ROLES = {"banner", "navigation", "complementary", "contentinfo", "search", "dialog", "alertdialog", "menu", "menubar", "toolbar", "form"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _MAIN = {"article", "main"}
 _UNFINISHED = re.compile(r"<[A-Za-z/!?]")
 _SPACES = re.compile(r"\s+")
@@ -127,12 +133,45 @@ def parsed(html: str) -> Node:
     return tree.root
 
 
-def _noise(node: Node) -> bool:
+def _noise(node: Node, inside: bool = False) -> bool:
+    """Whether an element is no part of an article, by its name or by what it is called; ``inside``: it lies in one."""
     own = node.attributes
     if node.name in NO_TEXT or "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "").lower():
         return True
-    named = " ".join(own.get(k, "") for k in ("class", "id", "role")).lower()
-    return node.name not in {"html", "body", "article", "main"} and bool(named) and bool(_NOISE.search(named))
+    if node.name in ("html", "body", "main"):
+        return False
+    if own.get("role", "").lower() in _ROLES:
+        return True
+    named = f"{own.get('class', '')} {own.get('id', '')}".lower()
+    if named == " ":
+        return False
+    return bool(_NOISE.search(named)) or (bool(_MAYBE.search(named)) and (not inside or _is_aside(node)))
+
+
+def _is_aside(node: Node) -> bool:
+    """Whether an element is mostly links, or a few words without a paragraph."""
+    words = linked = link = paragraphs = 0
+    for part, ended in _walk(node):
+        if isinstance(part, str):
+            n = len(part.split())
+            words += n
+            linked += n if link else 0
+        elif part.name == "a":
+            link += -1 if ended else 1
+        elif part.name == "p":
+            paragraphs += 1
+    return 2 * linked >= words or (words < FEW_WORDS and not paragraphs)
+
+
+def _n_words(node: Node) -> int:
+    """Words of an element without its noise."""
+    words = dropped = 0
+    for part, ended in _walk(node):
+        if isinstance(part, str):
+            words += 0 if dropped else len(part.split())
+        elif part is not node and _noise(part, True):
+            dropped += -1 if ended else 1
+    return words
 
 
 def _walk(root: Node) -> Iterator[tuple[Node | str, bool]]:
@@ -172,26 +211,42 @@ def hashes(root: Node) -> dict[int, int]:
 
 
 def main_text(root: Node, template: set[int], digests: dict[int, int]) -> str:
-    """The text of the article: without named noise and without subtrees whose hash is in ``template``."""
+    """The text of the article: without named noise and without subtrees whose hash is in ``template``.
+
+    Of several articles those count that have half as many words as the longest, or more. Headings and texts of few words in
+    an article are its own, however many pages of the host have them.
+    """
     tops = [root]
     chosen: list[Node] = []
     while tops:  # outermost elements of main content that lie in no noise
         node = tops.pop()
+        if _noise(node):
+            continue
         if node.name in _MAIN or node.attributes.get("role") in _MAIN:
             chosen.append(node)
-        elif not _noise(node):
+        else:
             tops.extend(child for child in reversed(node.children) if isinstance(child, Node))
+    if len(chosen) > 1:
+        sizes = list(map(_n_words, chosen))
+        chosen = [node for node, n in zip(chosen, sizes, strict=True) if 2 * n >= max(sizes)]
     pieces: list[str] = []
     for top in chosen or [root]:
-        dropped = 0
+        inside = bool(chosen)
+        dropped: Node | None = None
         for node, ended in _walk(top):
             if isinstance(node, str):
-                if not dropped:
+                if dropped is None:
                     pieces.append(node)
                 continue
-            if node is not top and (_noise(node) or digests.get(id(node)) in template):
-                dropped += -1 if ended else 1
-            if node.name in BLOCKS and not dropped:
+            if dropped is not None:
+                if node is dropped:
+                    dropped = None
+            elif node is not top and not ended:
+                digest = digests.get(id(node))
+                own = inside and (node.name in _HEADINGS or (digest is not None and digest & 1))
+                if _noise(node, inside) or (digest in template and not own):
+                    dropped = node
+            if node.name in BLOCKS and dropped is None:
                 pieces.append(" ")
         pieces.append(" ")
     return _SPACES.sub(" ", "".join(pieces)).strip()
@@ -225,7 +280,8 @@ def extracted(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES)
     # At most 1 / LEAST_SHARE subtrees side by side can be on that share of the pages, each with those inside it.
     lists = [F.sort_array(F.collect_list(F.when(own, F.col("digest")))).alias(name) for name, own in (("most", F.col("most")), ("some", ~F.col("most")))]
     known = stored(templates(rows, share, least).groupBy("host").agg(*lists), small=True)
-    joined = rows.join(broadcast_within(known, row_bound(known, 10_000)), "host", "left").select("page_id", "url", "html", "most", "some")
+    entries = known.agg(F.sum(F.size("most") + F.size("some") + 1)).first()[0] or 0
+    joined = rows.join(broadcast_within(known, entries), "host", "left").select("page_id", "url", "html", "most", "some")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

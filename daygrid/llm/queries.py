@@ -75,7 +75,7 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _url_sql(order: int = 4) -> str:
-    from daygrid.llm.urls import ALPHABET, RULES, STEP
+    from daygrid.llm.urls import ALPHABET, HELD, RULES, STEP
 
     longest = sorted(RULES, key=lambda r: len(r.host + r.path), reverse=True)
     fits = [(f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')", r) for r in longest]
@@ -96,16 +96,17 @@ def _url_sql(order: int = 4) -> str:
     ), known AS (
         SELECT *, regexp_replace(host || path, '[^\x21-\x7e]', chr(1), 'g') AS text, {case(lambda r: r.host + r.path)} AS rule, {case(lambda r: r.verdict)} AS verdict FROM hosts
     ), texts AS (
-        SELECT text, count(*) FILTER (verdict = 'allow') AS a, count(*) FILTER (verdict = 'block') AS b FROM known GROUP BY text
+        SELECT text, substr(md5(text), 1, 1) IN {HELD} AS held, count(*) FILTER (verdict = 'allow') AS all_a, count(*) FILTER (verdict = 'block') AS all_b,
+            CASE WHEN held THEN 0 ELSE all_a END AS a, CASE WHEN held THEN 0 ELSE all_b END AS b FROM known GROUP BY text
     ), spread AS (
-        SELECT text, a, b, substr('{" " * order}' || text || chr(2), i, {order + 1}) AS g FROM (SELECT *, unnest(range(1, length(text) + 2)) AS i FROM texts)
+        SELECT text, a, b, held, all_a, all_b, substr('{" " * order}' || text || chr(2), i, {order + 1}) AS g FROM (SELECT *, unnest(range(1, length(text) + 2)) AS i FROM texts)
     ), grams AS (
         SELECT g, sum(a) AS a, sum(b) AS b FROM spread GROUP BY g
     ), {", ".join(levels)}, scores AS (
-        SELECT text, any_value(s.a) AS a, any_value(s.b) AS b, CASE WHEN (SELECT sum(a) > 0 AND sum(b) > 0 FROM texts) THEN avg(round(ln(pa) - ln(pb), 9)) ELSE 0 END AS score
+        SELECT text, any_value(held) AS held, any_value(all_a) AS a, any_value(all_b) AS b, CASE WHEN (SELECT sum(a) > 0 AND sum(b) > 0 FROM texts) THEN avg(round(ln(pa) - ln(pb), 9)) ELSE 0 END AS score
         FROM spread s JOIN p{order} p USING (g) GROUP BY text
     ), bins AS (
-        SELECT greatest(cast('-20' as double), least(cast('20' as double), floor(score / cast('{STEP}' as double)) * cast('{STEP}' as double))) AS cut, sum(a)::DOUBLE AS a, sum(b)::DOUBLE AS b FROM scores WHERE a + b > 0 GROUP BY 1
+        SELECT greatest(cast('-20' as double), least(cast('20' as double), floor(score / cast('{STEP}' as double)) * cast('{STEP}' as double))) AS cut, sum(a)::DOUBLE AS a, sum(b)::DOUBLE AS b FROM scores WHERE held AND a + b > 0 GROUP BY 1
     ), ranked AS (
         SELECT cut, (total_a - (sum(a) OVER up - a)) / total_a + (sum(b) OVER up - b) / total_b AS right_share
         FROM bins, (SELECT sum(a) AS total_a, sum(b) AS total_b FROM bins) WHERE total_a > 0 AND total_b > 0 WINDOW up AS (ORDER BY cut)

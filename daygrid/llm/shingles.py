@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 # Five words make a shingle; a text of fewer, but not none, is one shingle.
@@ -52,6 +54,17 @@ def blocks(texts: list[str], limit: int = BLOCK) -> Iterator[slice]:
         yield slice(first, len(texts))
 
 
+def text_blocks(column: pa.Array, limit: int) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive texts of about ``limit`` bytes, a NULL as an empty one, with the place of the first; only they are Python strings at a time."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    first = size = 0
+    for i, own in enumerate([*sizes, limit + 1]):
+        if i > first and size + own > limit:
+            yield first, [t or "" for t in column.slice(first, i - first).to_pylist()]
+            first, size = i, 0
+        size += own
+
+
 def ascii_words(text: str) -> list[str]:
     """What stands between ASCII white space (``str.split`` alone would also split at other spaces)."""
     return text.split() if text.isascii() and not _odd_spaces(text) else text.translate(_SPACES).split(" ")

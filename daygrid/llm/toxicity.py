@@ -40,7 +40,8 @@ SAMPLE = 20_000
 RATE = 0.006
 # A mined entry needs this log-likelihood ratio (chance: below 1e-5), so many toxic texts, and this lift.
 LEAST_EVIDENCE, LEAST_TEXTS, LEAST_LIFT = 20.0, 3, 4.0
-ENTRIES = 500
+# Mined entries that vote, after redundant beginnings have gone; of those before, so many at most reach the driver.
+ENTRIES, MINED = 500, 20_000
 # A beginning gives way to a continuation that finds this share of its toxic texts.
 SAME = 0.8
 PREFIXES = (3, 4, 5, 6, 7)
@@ -157,14 +158,18 @@ def mined(rows: DataFrame) -> list[str]:
     evidence = 2 * (t * F.log(t / (n * share)) + F.when(c > 0, c * F.log(c / (n * (1 - share)))).otherwise(0.0))
     lift = (t + 0.5) / texts["t"] / ((c + 0.5) / texts["c"])
     strong = summed.where((F.col("entry") != "") & (t >= LEAST_TEXTS) & (lift >= LEAST_LIFT)).withColumn("evidence", evidence).where(F.col("evidence") >= LEAST_EVIDENCE)
-    best = strong.orderBy(F.round("evidence", 6).desc(), "entry").limit(ENTRIES).select("entry", "t").collect()
-    return _most_specific({r["entry"]: r["t"] for r in best})
+    best = strong.orderBy(F.round("evidence", 6).desc(), "entry").limit(MINED).select("entry", "t").collect()
+    return _most_specific({r["entry"]: r["t"] for r in best})[:ENTRIES]
 
 
 def _most_specific(texts: dict[str, int]) -> list[str]:
     """Without the beginnings that find little more than one of their own continuations does."""
-    whole = {e: e.removeprefix("=") for e in texts}
-    return [e for e in texts if e[0] == "=" or not any(o != e and whole[o].startswith(e) and texts[o] >= SAME * texts[e] for o in texts)]
+    longest: dict[str, int] = {}  # by beginning: the texts of the continuation that is in most
+    for entry, n in texts.items():
+        whole = entry.removeprefix("=")
+        for own in {whole[:k] for k in PREFIXES if k <= len(whole)} - {entry}:
+            longest[own] = max(longest.get(own, 0), n)
+    return [e for e, n in texts.items() if e[0] == "=" or longest.get(e, 0) < SAME * n]
 
 
 def label_model(cast: np.ndarray, n: np.ndarray | None = None, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:

@@ -5,15 +5,15 @@ counted at the longest order once, over all URLs; shorter orders are sums of the
 Witten-Bell smoothing mixes each order with the next shorter one:
 P(c|h) = (N(hc) + T(h) P(c|h')) / (N(h) + T(h)), with T(h) the number of different successors, and with the
 uniform distribution below order 0. A URL's score is the difference of its log likelihoods divided by its
-number of characters. The threshold is the one that best separates the URLs
-with a rule (largest sum of the two rates of right verdicts; of equal ones the one nearest to 0).
+number of characters. A quarter of the URLs with a rule is not learned from; the threshold is the one that best separates
+these (largest sum of the two rates of right verdicts; of equal ones the one nearest to 0), and 0 if they lack one verdict.
 
 Characters outside printable ASCII count as one character, so the alphabet has 96 members, and
 no context has more successors than that. Equal URLs are counted and scored once, with
 their number as weight.
 
 Defined cases: a NULL URL, or one without ``://``, has empty host and path; without URLs of
-either verdict the score is 0 and the verdict is ``allow``; a score equal to the threshold
+either verdict to learn from the score is 0 and the verdict is ``allow``; a score equal to the threshold
 allows; an empty table gives no rows; other columns are ignored.
 """
 
@@ -27,6 +27,10 @@ from pyspark.sql import functions as F
 from daygrid.sizing import stored
 
 ORDER = 4
+# Texts whose MD5 begins with one of these, a quarter of them, are not learned from and set the threshold.
+HELD = ("0", "1", "2", "3")
+# Starts of grams that are cut from one stretch of a text.
+STRETCH = 256
 ALPHABET = 96  # printable ASCII without the space, one for the rest, one for the end
 # Copies of the model's rows in the scoring join: a gram that every URL has is split into so many keys.
 SALTS = 16
@@ -67,18 +71,26 @@ def fitting_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return fits
 
 
-def _grams(text: Column, order: int) -> Column:
-    """One gram for each character and for the end: the character after its ``order`` predecessors."""
-    padded = F.concat(F.lit(" " * order), text, F.lit("\x02"))
-    return F.transform(F.sequence(F.lit(1), F.char_length(text) + 1), lambda i: F.substr(padded, i, F.lit(order + 1)))
+def _grams(texts: DataFrame, order: int) -> DataFrame:
+    """``texts`` without ``text`` and with one row for each character and for the end: ``gram``, the character after its ``order`` predecessors.
+
+    A text is first cut into stretches, so that the work grows with its length.
+    """
+    padded = F.concat(F.lit(" " * order), F.col("text"), F.lit("\x02"))
+    starts = F.sequence(F.lit(0), F.floor(F.char_length("text") / STRETCH).cast("int"))
+    stretches = F.transform(starts, lambda k: F.substr(padded, k * STRETCH + 1, F.lit(STRETCH + order)))
+    names = [c for c in texts.columns if c != "text"]
+    cut = texts.select(*names, F.explode(stretches).alias("stretch")).where(F.char_length("stretch") > order)
+    own = F.transform(F.sequence(F.lit(1), F.char_length("stretch") - order), lambda i: F.substr("stretch", i, F.lit(order + 1)))
+    return cut.select(*names, F.explode(own).alias("gram"))
 
 
 def model(texts: DataFrame, order: int = ORDER) -> DataFrame:
     """``gram, ratio``: log P(last | before) of the accepted minus that of the rejected, for each gram of the texts.
 
-    ``texts``: ``text, allow, block`` with the numbers of accepted and rejected URLs that read so.
+    ``texts``: ``text, allow, block`` with the numbers of accepted and rejected URLs that read so and are to be learned from.
     """
-    grams = texts.select(F.explode(_grams(F.col("text"), order)).alias("gram"), "allow", "block")
+    grams = _grams(texts.select("text", "allow", "block"), order)
     grams = stored(grams.groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")), small=True)
     below = None
     for k in range(order + 1):
@@ -99,12 +111,12 @@ def model(texts: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def scores(texts: DataFrame, ratios: DataFrame, order: int = ORDER) -> DataFrame:
-    """``texts`` with ``score``, the mean ratio of their grams."""
-    salt = F.pmod(F.xxhash64("text"), F.lit(SALTS))
-    grams = texts.select("text", salt.alias("salt"), F.explode(_grams(F.col("text"), order)).alias("gram"))
+    """``texts`` (with a ``key`` of each) with ``score``, the mean ratio of their grams."""
+    salt = F.pmod("key", F.lit(SALTS).cast("bigint"))
+    grams = _grams(texts.select("key", "text", salt.alias("salt")), order)
     split = ratios.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
-    means = grams.join(split, ["gram", "salt"]).groupBy("text").agg(F.avg(F.round("ratio", 9)).alias("score"))
-    return texts.join(means, "text")
+    means = grams.join(split, ["gram", "salt"]).groupBy("key").agg(F.avg(F.round("ratio", 9)).alias("score"))
+    return texts.join(means, "key")
 
 
 def threshold(scored: DataFrame, step: float = STEP) -> float:
@@ -132,13 +144,16 @@ def judged(pages: DataFrame, rules: list[Rule] = RULES, order: int = ORDER) -> D
     known = known.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
     known = known.withColumn("text", F.regexp_replace(F.concat("host", "path"), r"[^\x21-\x7e]", "\x01"))
     count = lambda verdict: F.sum(F.when(F.col("fit.verdict") == verdict, 1).otherwise(0))
-    texts = stored(known.groupBy("text").agg(count("allow").alias("allow"), count("block").alias("block"), F.max(F.col("fit").isNull()).alias("open")))
-    both = texts.agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")).first()
+    texts = known.groupBy("text").agg(count("allow").alias("allow"), count("block").alias("block"), F.max(F.col("fit").isNull()).alias("open"))
+    texts = stored(texts.withColumns({"key": F.monotonically_increasing_id(), "held": F.substr(F.md5("text"), F.lit(1), F.lit(1)).isin(*HELD)}))
+    # The held-out URLs take part as texts without a verdict.
+    learn = texts.withColumns({c: F.when(F.col("held"), 0).otherwise(F.col(c)).cast("bigint") for c in ("allow", "block")})
+    both = learn.agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")).first()
     if both["allow"] and both["block"]:
-        scored = stored(scores(texts, model(texts, order), order))
+        scored = stored(scores(texts, model(learn, order), order))
     else:
         scored = texts.withColumn("score", F.lit(0.0))
-    limit = threshold(scored)
+    limit = threshold(scored.where("held"))
     joined = known.join(scored.where("open").select("text", "score"), "text", "left")
     learned = F.when(F.col("score") >= limit, "allow").otherwise("block")
     return joined.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", learned).alias("verdict"), F.when(F.col("fit").isNull(), F.col("score")).alias("score"))

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 
@@ -84,3 +85,16 @@ def test_query(spark, sf_dir):
     assert len(found) == len(texts) and any(r.n_licenses for r in found)
     for r in found:
         assert r.licenses == ",".join(name for name, _ in plain(texts[r.doc_id])) and r.n_licenses == len(plain(texts[r.doc_id]))
+
+
+def test_a_text_of_thousands_of_notices(spark):
+    """Its time grows with its length: the words are split once, and the windows are cut from them."""
+    line = NOTICES[0][1]
+    times = []
+    for n in (500, 5000):
+        text = " ".join(f"{line} word{i} and some more words of its own" for i in range(n))
+        start = time.perf_counter()
+        found = scanned(spark.createDataFrame([(1, text)], "doc_id int, text string"), notices(spark)).collect()
+        times.append(time.perf_counter() - start)
+        assert [x.license_id for x in found[0].licenses] == [NOTICES[0][0]]
+    assert times[1] < 60

@@ -6,8 +6,10 @@ from itertools import product
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from daygrid.llm import packing
 from daygrid.llm.packing import CAPACITY, GROUP_SIZE, _Words, best_fit, complete, lower_bound, pack, pack_documents, sequences, tokenize
 from daygrid.llm.queries import QUERIES
 
@@ -121,3 +123,30 @@ def test_many_groups_and_sequences(spark, plain):
     by_id = {r.sequence_id: np.frombuffer(r.ids, "<u4") for r in whole}
     for r in placed.collect():
         assert zlib.crc32(by_id[r.sequence_id][r.offset : r.offset + r.length].tobytes()) == r.ids_crc32
+
+
+def test_equal_rows_are_spread_over_groups(spark):
+    rows = spark.range(100_000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("bigint").alias("start"), F.lit(900).cast("bigint").alias("length"), F.lit(5).cast("bigint").alias("ids_crc32"))
+    placed = pack(rows)
+    groups = placed.groupBy(F.shiftright("sequence_id", 32).alias("group")).count().collect()
+    assert len(groups) == 25 and max(g["count"] for g in groups) < 3 * 4000
+    assert placed.select("sequence_id").distinct().count() <= 25_000 + 25
+
+
+def test_fillings_of_many_small_pieces():
+    """Runs of equal pieces are taken at once, so hundreds of pieces make one filling."""
+    draw = random.Random(1)
+    lengths = sorted((draw.randint(1, 15) for _ in range(4000)), reverse=True)
+    found = packing._fillings(lengths, list(range(4000)), 4096, 4096)
+    assert found[0][0] == 0 and sum(lengths[i] for i in found[0][1]) == 4096 and len(set(found[0][1])) == len(found[0][1])
+    # Every undominated filling of a small case.
+    few = [7, 5, 5, 3, 2]
+    ways = {tuple(few[i] for i in chosen) for _, chosen in packing._fillings(few, list(range(5)), 10, 10)}
+    assert ways == {(7, 3), (5, 5), (5, 3, 2)}
+
+
+def test_other_tokenizers_get_whole_texts():
+    words = _Words(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not words.by_word and _Words(PATH).by_word
+    text = "It's  a Test, naïve 12"
+    assert np.frombuffer(words.ids(text), "<u4").tolist() == Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids

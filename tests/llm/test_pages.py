@@ -1,7 +1,10 @@
 import html
+import math
+import random
 import re
+from collections import Counter, defaultdict
 
-from daygrid.llm.pages import extracted, hashes, main_text, parsed
+from daygrid.llm.pages import extracted, hashes, main_text, parsed, templates
 from daygrid.llm.queries import QUERIES
 
 
@@ -97,3 +100,54 @@ def test_query_against_the_known_frame(spark, sf_dir):
         article = re.search(r"<article>(.*?)</article>", pages[r.page_id].html, re.DOTALL)[1]
         own = re.sub(r"<[^>]*>", "", re.sub(r"</?(?:p|h1|br)>", " ", article))
         assert r.text == " ".join(html.unescape(own).split()) and r.n_chars == len(r.text) and r.url == pages[r.page_id].url
+
+
+def test_articles_and_what_only_sounds_like_noise():
+    body = "<article><h1>T</h1><p>The text itself goes on for some words here.</p></article>"
+    assert text_of(f"<main>{body}<article class='comment'>Reader says hi</article></main>") == "T The text itself goes on for some words here."
+    assert text_of("<div class='post'>Body text.</div><article class='related teaser'><a>More of it</a></article>") == "Body text."
+    assert text_of(f"{body}<article><h2>Teaser</h2></article><article><p>Another one</p></article>") == "T The text itself goes on for some words here."
+    legal = "<section id='legal'><h2>Legal background</h2><p>What the court said of it in the year before.</p></section>"
+    assert text_of(f"<article><p>One.</p>{legal}<p class='notice'>It was put up on the door, and everybody read the notice.</p></article>") == (
+        "One. Legal background What the court said of it in the year before. It was put up on the door, and everybody read the notice."
+    )
+    share = "<div class='share'><a>Post</a> <a>Send</a></div>"
+    assert text_of(f"<article><p>One.</p>{share}<p>Two.</p><div class='legal'>All rights reserved</div></article>{legal}") == "One. Two."
+    assert text_of("<body><div id='search'>Find <p>it</p></div><p>a</p></body>") == "a"
+
+
+def test_headings_of_every_article_stay(spark):
+    rows = [
+        (k, f"http://a.example.com/{k}", f"<body><div class=x>Welcome to the long list of our daily pages here</div><article><h1>Title {k}</h1><h2>Background</h2><p>Number {k}.</p><p>To be continued.</p></article></body>")
+        for k in range(30)
+    ]
+    found = {r.page_id: r.text for r in extracted(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert found == {k: f"Title {k} Background Number {k}. To be continued." for k in range(30)}
+
+
+def test_host_counts_against_brute_force(spark):
+    """Which subtrees are templates, counted page by page without Spark, on hosts of many sizes with unnamed parts."""
+    draw = random.Random(2)
+    parts = [f"<div>{' '.join(draw.choices('of the daily news from our town and all that'.split(), k=12))} {i}</div>" for i in range(12)]
+    rows = []
+    for h, n in enumerate([3, 5, 8, 30, 120]):
+        for k in range(n):
+            own = "".join(p for i, p in enumerate(parts) if draw.random() < (i + 1) / 14)
+            rows.append((len(rows), f"http://h{h}.net/{k}", f"<body>{own}<div><p>Page {k} of host {h} has a text of its own that nobody else has</p></div></body>"))
+    counted = defaultdict(Counter)
+    pages = defaultdict(set)
+    for _, url, page_html in rows:
+        host = url.split("/")[2]
+        if page_html not in pages[host]:
+            pages[host].add(page_html)
+            counted[host].update(set(hashes(parsed(page_html)).values()))
+    want = set()
+    for host, counts in counted.items():
+        total = len(pages[host])
+        for digest, n in counts.items():
+            most = 2 * n >= total
+            many = n >= max(5, math.sqrt(total), total / 100) and not digest & 1
+            if total >= 5 and n > 1 and (most or many):
+                want.add((host, digest, most))
+    frame = spark.createDataFrame([(u.split("/")[2], h) for _, u, h in rows], "host string, html string")
+    assert {tuple(r) for r in templates(frame).collect()} == want and len({w[0] for w in want}) == 4

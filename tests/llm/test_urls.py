@@ -1,6 +1,8 @@
+import hashlib
 import math
 import random
 import re
+import time
 from collections import defaultdict
 
 import pytest
@@ -34,12 +36,14 @@ def plain(urls, order=4):
     rules = [rule_of(h, p) for _, h, p in known]
     texts = [re.sub(r"[^\x21-\x7e]", "\x01", h + p) for _, h, p in known]
     labels = [r.verdict if r else None for r in rules]
-    both = "allow" in labels and "block" in labels
+    held = [hashlib.md5(t.encode()).hexdigest()[0] in "0123" for t in texts]
+    learned = {label for label, h in zip(labels, held, strict=True) if not h}
+    both = {"allow", "block"} <= learned
 
     def trained(verdict):
         n = [defaultdict(lambda: defaultdict(int)) for _ in range(order + 1)]
-        for text, label in zip(texts, labels, strict=True):
-            if label == verdict:
+        for text, label, h in zip(texts, labels, held, strict=True):
+            if label == verdict and not h:
                 for g in grams(text, order):
                     for k in range(order + 1):
                         n[k][g[order - k : -1]][g[-1]] += 1
@@ -61,13 +65,13 @@ def plain(urls, order=4):
             own = grams(text, order)
             score[text] = sum(round(math.log(allow(g)) - math.log(block(g)), 9) for g in own) / len(own)
     limit = 0.0
-    if both:
-        bins = {s: math.floor(score[t] / STEP) * STEP for s, t in enumerate(texts)}
+    judges = [(label, math.floor(score[t] / STEP) * STEP) for label, t, h in zip(labels, texts, held, strict=True) if h and label]
+    n_allow, n_block = (sum(label == v for label, _ in judges) for v in ("allow", "block"))
+    if n_allow and n_block:
         best = (-1.0, 0.0)
-        n_allow, n_block = labels.count("allow"), labels.count("block")
-        for at in sorted({b for i, b in bins.items() if labels[i]}):
-            right = sum(lab == "allow" and bins[i] >= at for i, lab in enumerate(labels)) / n_allow
-            rejected = sum(lab == "block" and bins[i] < at for i, lab in enumerate(labels)) / n_block
+        for at in sorted({b for _, b in judges}):
+            right = sum(lab == "allow" and b >= at for lab, b in judges) / n_allow
+            rejected = sum(lab == "block" and b < at for lab, b in judges) / n_block
             if (right + rejected, -abs(at)) > best:
                 best, limit = (right + rejected, -abs(at)), at
     out = []
@@ -104,3 +108,15 @@ def test_query_against_brute_force(spark, sf_dir):
     found = QUERIES["op4_url_filter"](spark, sf_dir)
     assert sorted(map(str, got(found))) == sorted(map(str, plain(rows)))
     assert {r.verdict for r in found.where("rule IS NULL").collect()} == {"allow", "block"}
+
+
+def test_very_long_urls_take_time_in_proportion(spark):
+    """A URL of 100,000 characters is one row of work for each of them."""
+    long = "x://a.net/" + "abc/" * 25_000
+    rows = [(1, long), (2, "x://b.net/" + "xyz" * 13_000), (3, "x://a.org/ab"), (4, "x://a.com/de/xy")]
+    rows += [(10 + i, f"x://h{i}.org/abc/{i}") for i in range(20)] + [(40 + i, f"x://h{i}.com/de/xyz/{i}") for i in range(20)]
+    start = time.perf_counter()
+    found = {r[0]: r for r in got(judged(spark.createDataFrame(rows, "page_id bigint, url string")))}
+    assert time.perf_counter() - start < 60
+    assert found[1][4] == "allow" and found[2][4] == "block" and len(found[1][2]) == 100_001
+    assert sorted(map(str, found.values())) == sorted(map(str, plain(rows)))
