@@ -12,6 +12,7 @@ from checks.scans import FILE_VIEW, LOG_VIEW, PAGE_NAME, PAGE_PHRASES, file_vars
 from checks.views import sql_albers, with_views
 from daygrid.catalog import CATALOG
 from daygrid.operators import audit
+from daygrid.plans.health import schema_consistency
 from daygrid.plans.points import annual_point_series, point_normals
 from daygrid.plans.produce import produce
 from daygrid.plans.verify import source_versus_product
@@ -157,6 +158,19 @@ def _(spark, sf_dir):
     return odd.select("path", F.array_join("variables", ",").alias("variables"), F.lit(False).alias("is_baseline"))
 
 
+@check("k8_file_headers", """
+with files as (select distinct event_type, case when event_type in ('purchase', 'view') then 'event_id,event_type,ts,user_id,value' else 'event_id,ts,user_id,value' end as variables from events)
+select variables, count(*) as files, variables = (select arg_min(variables, event_type) from files) as is_baseline from files group by variables""")
+def _(spark, sf_dir):
+    """One file for each type of event, some with a column that the others lack; the sets are read from the files."""
+    root, events = shared_folder(spark), v.table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "user_id", "value")
+    for kind in sorted(r.event_type for r in events.select("event_type").distinct().collect()):
+        own = events.where(F.col("event_type") == kind)
+        (own if kind in ("purchase", "view") else own.drop("event_type")).coalesce(1).write.parquet(f"{root}/{kind}")
+    _, groups = schema_consistency(spark, root)
+    return groups.select(F.array_join("variables", ",").alias("variables"), "files", "is_baseline")
+
+
 @check("k9_completeness_check", with_views("""
 select count(*) as expected, count(x.year) as existing, count(*) - count(x.year) as missing, round(100.0e0 * count(x.year) / count(*), 6) as rate
 from expected left join existing x using (year)""", _WORK))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrid.operators.audit import completion, consistency, missing_units, set_groups, variables_frame, work_list
-from daygrid.sizing import stored
 from daygrid.sources.files import read_headers, readable
 from daygrid.sources.logs import read_logs, retry_list, timed_out
 from daygrid.sources.product import committed_units
@@ -30,7 +29,7 @@ def header_sets(headers: DataFrame, coordinates: Sequence[str] = ()) -> DataFram
 
 def schema_consistency(spark: SparkSession, folder: str, coordinates: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Summary and groups of the variable sets of all files; files that do not open are counted, not grouped."""
-    headers = stored(read_headers(spark, folder))
+    headers = read_headers(spark, folder)
     sets = header_sets(headers, coordinates)
     failed = headers.agg(F.count_if(~F.col("opened")))
     summary = consistency(sets).withColumn("files_failed", failed.scalar())

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daygrid.sizing import shared_folder
+
+# Footers that are opened at a time, and files whose headers are written together.
+JOBS, BATCH = 32, 4096
+
 HEADERS = "path string, opened boolean, error string, variables array<string>"
 
 
@@ -47,16 +55,24 @@ def _plain(path: Column) -> Column:
 def read_headers(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
     """The columns of every file under a folder; a file that does not open is a row with its error.
 
-    The driver asks Spark's reader for the schema of one file after another, so this
-    is a report on the files of a product, whose number is bounded by its units and tiles.
+    Spark's reader opens each footer in a job of its own on an executor, ``JOBS`` of them at a time. The rows are written in
+    batches of ``BATCH`` files, so that the driver holds the headers of one batch, however many files there are.
     """
-    rows = []
-    for r in list_files(spark, folder, glob).select("path").toLocalIterator():
-        try:
-            rows.append((r["path"], True, None, spark.read.parquet(_literal(r["path"])).columns))
-        except (PySparkException, Py4JJavaError) as e:
-            rows.append((r["path"], False, str(e).splitlines()[0], None))
-    return spark.createDataFrame(rows, HEADERS)
+    path = shared_folder(spark)
+    spark.createDataFrame([], HEADERS).write.mode("append").parquet(path)
+    names = (r["path"] for r in list_files(spark, folder, glob).select("path").toLocalIterator())
+    with ThreadPoolExecutor(JOBS) as pool:
+        while batch := list(islice(names, BATCH)):
+            rows = list(pool.map(lambda name: _header(spark, name), batch))
+            spark.createDataFrame(rows, HEADERS).coalesce(1).write.mode("append").parquet(path)
+    return spark.read.schema(HEADERS).parquet(path)
+
+
+def _header(spark: SparkSession, path: str) -> tuple[str, bool, str | None, list[str] | None]:
+    try:
+        return path, True, None, spark.read.parquet(_literal(path)).columns
+    except (PySparkException, Py4JJavaError) as e:
+        return path, False, str(e).splitlines()[0], None
 
 
 def _literal(path: str) -> str:
