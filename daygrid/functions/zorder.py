@@ -24,24 +24,31 @@ def z_code(row: Column, column: Column) -> Column:
     return F.shiftleft(_spread(row), 1).bitwiseOR(_spread(column))
 
 
-def covering_boxes(cells: DataFrame, keys: Sequence[str], most: int = 128) -> list[tuple[int, int, int, int]]:
+def covering_boxes(cells: DataFrame, keys: Sequence[str], most: int = 32) -> list[tuple[int, int, int, int]]:
     """At most ``most`` boxes, as first and last row and first and last column, that hold all cells.
 
-    Aligned squares in Z-order, the smallest ones of which there are no more than ``most``, shrunk to the cells in them. Only
-    numbers of squares and the boxes themselves reach the driver.
+    Aligned squares in Z-order, as large as the cells' extent calls for, or half as large for as long as there are few of them, shrunk to the
+    cells in them. Only numbers of squares and the boxes themselves reach the driver.
     """
-    code = z_code(*(F.col(k) for k in keys))
-    cells = cells.select(*keys, code.alias("z")).dropna().distinct()
-    steps = range(0, BITS + 1, 1)
-    counts = cells.agg(*[F.approx_count_distinct(F.shiftright("z", 2 * k), 0.05).alias(str(k)) for k in steps]).first()
-    size = next((k for k in steps if counts[str(k)] <= 0.9 * most), BITS)
     row, column = (F.col(k) for k in keys)
-    while True:
-        squares = cells.groupBy(F.shiftright("z", 2 * size).alias("square")).agg(F.min(row), F.max(row), F.min(column), F.max(column))
-        found = squares.limit(most + 1).collect()
-        if len(found) <= most or size == BITS:
-            return sorted(tuple(r)[1:] for r in found)
-        size += 1
+    cells = cells.select(*keys).dropna().withColumn("z", z_code(row, column))
+    extent = cells.agg(F.min(row).alias("r0"), F.max(row).alias("r1"), F.min(column).alias("c0"), F.max(column).alias("c1")).first()
+    if extent.r0 is None:
+        return []
+
+    def squares(size: int) -> list[tuple[int, int, int, int]] | None:
+        own = cells.groupBy(F.shiftright("z", 2 * size).alias("square")).agg(F.min(row), F.max(row), F.min(column), F.max(column))
+        found = own.limit(most + 1).collect()
+        return sorted(tuple(r)[1:] for r in found) if len(found) <= most else None
+
+    def number(size: int) -> int:
+        return ((extent.r1 >> size) - (extent.r0 >> size) + 1) * ((extent.c1 >> size) - (extent.c0 >> size) + 1)
+
+    size = next(k for k in range(BITS + 1) if number(k) <= most)
+    boxes = squares(size)
+    while size and 2 * len(boxes) <= most and (finer := squares(size - 1)):
+        size, boxes = size - 1, finer
+    return boxes
 
 
 def in_boxes(boxes: Sequence[tuple[int, int, int, int]], keys: Sequence[str]) -> Column:

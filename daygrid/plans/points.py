@@ -74,7 +74,7 @@ def extract_points(
     names, cells, rows = _locate(points, grid, tolerance, on_miss, few_points)
     keys = ["y_idx", "x_idx"]
     keep = [c for c in ("variable", "level", "time", "value") if c in fields.columns]
-    return join_cells(_near(fields, keys, cells, rows, few_points), cells, keys, rows, broadcast_rows=broadcast_rows).select(*names, *keep)
+    return join_cells(near_cells(fields, keys, cells, rows, few_points), cells, keys, rows, broadcast_rows=broadcast_rows).select(*names, *keep)
 
 
 def _locate(points: DataFrame, grid: Grid, tolerance: float | None, on_miss: str, few_points: int) -> tuple[list[str], DataFrame, int | None]:
@@ -88,7 +88,7 @@ def _locate(points: DataFrame, grid: Grid, tolerance: float | None, on_miss: str
     return names, points.sparkSession.createDataFrame(hits, located.schema), len(hits)
 
 
-def _near(rows: DataFrame, keys: Sequence[str], cells: DataFrame, bound: int | None, few_points: int) -> DataFrame:
+def near_cells(rows: DataFrame, keys: Sequence[str], cells: DataFrame, bound: int | None, few_points: int = FEW_POINTS) -> DataFrame:
     """``rows`` without those that the grid rows and columns of a few cells, or some boxes around many, show to be of no use."""
     if bound is None or bound > few_points:
         return rows.where(in_boxes(covering_boxes(cells, keys), keys))
@@ -127,7 +127,7 @@ def extract_points_from_hours(
         .select(*names, *keys)
     )
     only = broadcast_within(wanted.select(*keys).distinct(), rows)
-    hours = _near(hourly, keys, wanted, rows, FEW_POINTS).join(only, keys, "left_semi")
+    hours = near_cells(hourly, keys, wanted, rows, FEW_POINTS).join(only, keys, "left_semi")
     return join_cells(daily_outputs(hours, entries), wanted, keys, rows).drop(*keys)
 
 

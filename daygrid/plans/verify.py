@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 from daygrid.functions.aggregates import present
 from daygrid.functions.projections import planar_km, sphere_km
 from daygrid.functions.units import celsius_shift
-from daygrid.functions.zorder import covering_boxes, in_boxes
 from daygrid.grids import Grid
 from daygrid.operators.cell_join import join_cells
 from daygrid.operators.compare import best_offset, mean_abs_difference
 from daygrid.operators.daily import CELL, day_of
 from daygrid.operators.nearest import nearest_cells, nearest_on_grid, neighbourhood
-from daygrid.plans.points import projected
+from daygrid.plans.points import near_cells, projected
 from daygrid.sizing import broadcast_within, row_bound, stored
 
 
@@ -54,8 +53,8 @@ def cell_series(
     """
     level = ["level"] if "level" in hourly.columns else []
     cells = stored(cells.select(*CELL).distinct(), small=True)
-    # Boxes around the cells reach the scan, however many cells there are.
-    hourly = hourly.where(in_boxes(covering_boxes(cells, CELL), CELL))
+    # The cells' rows and columns, or boxes around many of them, reach the scan.
+    hourly = near_cells(hourly, CELL, cells, rows)
     return (
         hourly.select("time", *CELL, *level, F.col(variable).alias("value"))
         .join(broadcast_within(cells, rows), list(CELL), "left_semi")
@@ -97,7 +96,8 @@ def source_versus_product(
     places = nearest_on_grid(report.select("name", kinds), target, tolerance=None).select("kind", "name", "y_idx", "x_idx")
     pairs = stored(around.join(places, "name").select("kind", "name", "di", "dj", *CELL, "y_idx", "x_idx"))
     product_cells = pairs.select("y_idx", "x_idx").distinct()
-    fields = fields.where(F.col("variable") == product_variable).where(in_boxes(covering_boxes(product_cells, ["y_idx", "x_idx"]), ["y_idx", "x_idx"]))
+    few = None if rows is None else len(KINDS) * rows
+    fields = near_cells(fields.where(F.col("variable") == product_variable), ["y_idx", "x_idx"], product_cells, few)
     days = join_cells(fields, product_cells, ["y_idx", "x_idx"], None if rows is None else len(KINDS) * rows)
     days = days.select("y_idx", "x_idx", "time", "level", (F.col("value") + shift).alias("right_value"))
 

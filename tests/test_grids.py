@@ -300,6 +300,6 @@ def test_z_codes_and_boxes(spark):
     draw = random.Random(4)
     cells = [(draw.choice([draw.randrange(50), draw.randrange(4000)]), draw.randrange(3000)) for _ in range(5000)]
     boxes = covering_boxes(spark.createDataFrame(cells, "r int, c int"), ["r", "c"], 100)
-    assert 10 < len(boxes) <= 100 and all(any(a <= r <= b and x <= c <= y for a, b, x, y in boxes) for r, c in cells)
+    assert 30 < len(boxes) <= 100 and all(any(a <= r <= b and x <= c <= y for a, b, x, y in boxes) for r, c in cells)
     assert covering_boxes(spark.createDataFrame([(5, 9), (5, 9)], "r int, c int"), ["r", "c"]) == [(5, 5, 9, 9)]
     assert covering_boxes(spark.createDataFrame([], "r int, c int"), ["r", "c"]) == []
