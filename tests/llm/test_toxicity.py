@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -87,3 +88,77 @@ def test_query(spark, sf_dir):
     truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     assert auc({i: found[i].score for i in truth}, truth) > 0.8
     assert np.mean([found[i].predicted == truth[i] for i in truth]) > 0.95
+
+
+def plain_label_model(votes, rounds=50):
+    """The generative model in loops over rows and voters: shared voices, then rates of each vote given the class, then posteriors."""
+    size, voters = len(votes), range(len(votes[0]))
+
+    def voices(posterior, limit):
+        toxic = [[v > 0 for v in row] for row in votes]
+        shared = [[0.0 for _ in voters] for _ in voters]
+        for p in (posterior, [1 - x for x in posterior]):
+            total = max(sum(p), 1e-9)
+            mean = [sum(w for w, row in zip(p, toxic, strict=True) if row[j]) / total for j in voters]
+            for i in voters:
+                for j in voters:
+                    shared[i][j] += sum(w * (row[i] - mean[i]) * (row[j] - mean[j]) for w, row in zip(p, toxic, strict=True))
+        found = []
+        for i in voters:
+            voice = 1.0
+            for j in voters:
+                if i != j:
+                    c = shared[i][j] / math.sqrt(max(shared[i][i], 1e-9) * max(shared[j][j], 1e-9))
+                    voice += min(c, 1.0) if c > limit else 0.0
+            found.append(1 / voice)
+        return found
+
+    def fit(weight, posterior):
+        for _ in range(rounds):
+            prior = min(0.5, max(1e-3, sum(posterior) / size))
+            rate = {}
+            for j in voters:
+                for v in (1, -1, 0):
+                    yes = sum(p for p, row in zip(posterior, votes, strict=True) if row[j] == v)
+                    no = sum(1 - p for p, row in zip(posterior, votes, strict=True) if row[j] == v)
+                    rate[j, v] = math.log((yes + 0.1) / (sum(posterior) + 0.3)) - math.log((no + 0.1) / (size - sum(posterior) + 0.3))
+            logits = [math.log(prior / (1 - prior)) + sum(weight[j] * rate[j, row[j]] for j in voters) for row in votes]
+            after = [1 / (1 + math.exp(-max(-30.0, min(30.0, x)))) for x in logits]
+            far = max(abs(a - b) for a, b in zip(after, posterior, strict=True))
+            posterior = after
+            if far < 1e-6:
+                break
+        return posterior
+
+    weight = voices([1.0] * size, 0.9)
+    lean = [sum(w for w, v in zip(weight, row, strict=True) if v > 0) - sum(w for w, v in zip(weight, row, strict=True) if v < 0) for row in votes]
+    start = [0.9 if x > 0 else 0.1 if x < 0 else 0.5 for x in lean]
+    weight = voices(fit(weight, start), toxicity.ALIKE)
+    return fit(weight, start), weight
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_label_model_against_loops(seed):
+    """Voters of different accuracy, one of them copied and one nearly so; equal rows once with their number give the same."""
+    draw = random.Random(seed)
+    votes = []
+    for _ in range(120):
+        truth = 1 if draw.random() < 0.3 else -1
+        row = [0 if draw.random() < 0.4 else truth if draw.random() < right else -truth for right in (0.9, 0.8, 0.7, 0.6)]
+        votes.append([*row, row[0], row[1] if draw.random() < 0.9 else 0])
+    posterior, weight = toxicity.label_model(np.array(votes, np.int8))
+    want, want_weight = plain_label_model(votes)
+    assert posterior == pytest.approx(want, abs=1e-6) and weight == pytest.approx(want_weight, abs=1e-9)
+    assert weight[0] < 0.7 and weight[4] < 0.7
+    # Of voters without copies, whose sums have no rounding that could break a tie.
+    own = [tuple(row[:4]) for row in votes]
+    different = sorted(set(own))
+    once, _ = toxicity.label_model(np.array(different, np.int8), np.array([own.count(v) for v in different]))
+    want, _ = plain_label_model(own)
+    assert dict(zip(different, once, strict=True)) == pytest.approx(dict(zip(own, want, strict=True)), abs=1e-6)
+
+
+def test_redundant_beginnings_go_before_the_cut():
+    texts = {"zar": 100, "zark": 95, "zarko": 90, "=zarkon": 85, "mor": 60, "=moron": 20, "=morse": 30}
+    plain = [e for e in texts if e[0] == "=" or not any(o != e and o.removeprefix("=").startswith(e) and texts[o] >= toxicity.SAME * texts[e] for o in texts)]
+    assert toxicity._most_specific(texts) == plain == ["=zarkon", "mor", "=moron", "=morse"]
