@@ -17,7 +17,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daygrid.catalog import DailyVariable, resolve
@@ -122,9 +122,13 @@ def files_per_unit(outputs: int, grid: Grid, levels: int = 1) -> int:
     return rows * columns * levels
 
 
-def _in_order() -> list[Column]:
-    """Order of the rows inside a file: by level, then cells in Z-order, which are near to each other in both directions."""
-    return [F.col("level"), z_code(F.col("y_idx"), F.col("x_idx")), F.col("time")]
+def _in_order(rows: DataFrame, *first: str) -> DataFrame:
+    """Rows in the order of a file: by level, then cells in Z-order, which are near to each other in both directions.
+
+    The code is a column while rows are sorted; as an expression it would be computed for every comparison.
+    """
+    coded = rows.withColumn("_z", z_code(F.col("y_idx"), F.col("x_idx")))
+    return coded.sortWithinPartitions(*first, "_z", "time").drop("_z")
 
 
 def stage_wide(
@@ -149,20 +153,22 @@ def stage_wide(
         tiles = n_rows * n_columns
         place = (year * len(levels) + level) * tiles + tile
         placed = wide.repartitionById(len(years) * len(levels) * tiles, place.cast("int"))
+        first = []  # a partition has one year and one level
     else:
         placed = wide.repartition("year", "level", tile)
+        first = ["year", "level"]
     open_files = int(wide.sparkSession.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0"))
     if len(entries) <= open_files:
-        _stage(to_long(placed.sortWithinPartitions("year", *_in_order()), entries), root, commit)
+        _stage(to_long(_in_order(placed, *first), entries), root, commit)
     else:
-        _stage(to_long(placed, entries).sortWithinPartitions(*UNIT, *_in_order()), root, commit)
+        _stage(_in_order(to_long(placed, entries), *UNIT, "level"), root, commit)
 
 
 def stage_fields(fields: DataFrame, root: str, commit: str) -> None:
     """Write units below a commit from rows that hold one value each."""
     side = tile_side(1)
     placed = fields.repartition("variable", "year", "level", F.floor(F.col("y_idx") / side), F.floor(F.col("x_idx") / side))
-    _stage(placed.sortWithinPartitions(*UNIT, *_in_order()), root, commit)
+    _stage(_in_order(placed, *UNIT, "level"), root, commit)
 
 
 def _stage(fields: DataFrame, root: str, commit: str) -> None:
