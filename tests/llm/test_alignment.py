@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from daygrid.llm import alignment as al
-from daygrid.llm.queries import two_tokenizers
+from daygrid.llm.queries import QUERIES, two_tokenizers
 
 PATHS = two_tokenizers()
 
@@ -114,3 +114,12 @@ def test_coalescing_by_hand():
     assert got.group_a.tolist() == [0, 0, 1] and got.group_b.tolist() == [0, 0, 1, 1]
     assert list(zip(got.link_a.tolist(), got.link_b.tolist(), strict=True)) == [(0, 0), (0, 1), (1, 1), (2, 2), (2, 3)]
     assert al.group_texts(got, np.array([0, 2]), 3) == [b"7,8|1,2", b"", b"9|3,4"]
+
+
+def test_query(spark, tmp_path):
+    """The registered query, over a table of texts with the planted edge cases, against the plain version."""
+    draw = random.Random(6)
+    docs = [*enumerate(TEXTS), *((50 + i, " ".join(draw.choices("the tokens of naïve words, 12 34 ß x=1 日".split(), k=40))) for i in range(20))]
+    spark.createDataFrame([(i, t, "en") for i, t in docs], "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert sorted(tuple(r) for r in QUERIES["op11_token_alignment"](spark, str(tmp_path)).select(*names).collect()) == [r[:8] for r in plain(docs)]
