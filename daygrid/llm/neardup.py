@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daygrid.llm.shingles import bags, mix, release, shingles, text_blocks, uniform
+from daygrid.llm.shingles import HASHES, bags, mix, shingles, text_blocks, uniform
 from daygrid.sizing import broadcast_within, row_bound, stored
 
 SIMILARITY = 0.8
@@ -119,7 +119,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                 digests = pa.array([None if none else hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t, none in zip(own, missing, strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(own)), digests, lists], names=["doc_id", "digest", "bands"])
                 del code, weight, doc, keys, own, lists, digests
-        release()
+        HASHES.clear()  # the worker lives on
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(sign, "doc_id bigint, digest binary, bands array<bigint>")
 
@@ -131,7 +131,7 @@ def bagged(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for first, own in text_blocks(batch.column(1), BLOCK_BYTES):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(own)), pa.array(bags(own), pa.list_(pa.int64()))], names=["node", "bag"])
-        release()
+        HASHES.clear()
 
     return docs.select("node", "text").mapInArrow(bag, "node bigint, bag array<bigint>")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,14 +42,6 @@ class WordHashes(dict):
 HASHES = WordHashes()
 
 
-def release() -> None:
-    """At a task's end: forgets words, and gives freed memory back to the system, since the worker lives on beside the executor."""
-    HASHES.clear()
-    pa.default_memory_pool().release_unused()
-    # What the C library offers for it, where it does.
-    getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)(0)
-
-
 def blocks(texts: list[str], limit: int = BLOCK) -> Iterator[slice]:
     """Consecutive slices of about ``limit`` characters."""
     first = size = 0

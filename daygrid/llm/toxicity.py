@@ -33,7 +33,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daygrid.llm.shingles import release
 from daygrid.sizing import stored
 
 FOLDS = 5
@@ -290,7 +289,5 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
             texts = map(pa.StringScalar.as_py, batch.column(place))
             scores = [1 / (1 + math.exp(-max(-30.0, min(30.0, float(features(t or "", known, n) @ weights) + model.intercept)))) for t in texts]
             yield batch.filter(pa.array([round(s, 9) < 0.5 for s in scores], pa.bool_()))
-        known.clear()
-        release()
 
     return docs.mapInArrow(keep, docs.schema)
