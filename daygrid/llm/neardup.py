@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daygrid.llm.batches import in_small_batches
 from daygrid.llm.shingles import HASHES, bags, mix, shingles, text_blocks, uniform
 from daygrid.sizing import broadcast_within, row_bound, stored
 
@@ -121,7 +122,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                 del code, weight, doc, keys, own, lists, digests
         HASHES.clear()  # the worker lives on
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(sign, "doc_id bigint, digest binary, bands array<bigint>")
+    return in_small_batches(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))).mapInArrow(sign, "doc_id bigint, digest binary, bands array<bigint>")
 
 
 def bagged(docs: DataFrame) -> DataFrame:
@@ -133,7 +134,7 @@ def bagged(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(own)), pa.array(bags(own), pa.list_(pa.int64()))], names=["node", "bag"])
         HASHES.clear()
 
-    return docs.select("node", "text").mapInArrow(bag, "node bigint, bag array<bigint>")
+    return in_small_batches(docs.select("node", "text")).mapInArrow(bag, "node bigint, bag array<bigint>")
 
 
 def components(edges: DataFrame) -> DataFrame:

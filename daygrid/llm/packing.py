@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daygrid.llm.batches import in_small_batches
 from daygrid.sizing import stored
 
 CAPACITY = 4096
@@ -156,7 +157,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
         words.forget()
 
-    pieces = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
+    pieces = in_small_batches(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))).mapInArrow(cut, PIECES)
     return pieces if keep_ids else pieces.drop("ids")
 
 

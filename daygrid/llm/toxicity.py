@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daygrid.llm.batches import in_small_batches
 from daygrid.sizing import stored
 
 FOLDS = 5
@@ -149,7 +150,7 @@ def mined(rows: DataFrame) -> list[str]:
         names = list(total[0].keys() | total[1].keys())
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([total[c][e] for e in names], pa.int64()) for c in (1, 0))], names=["entry", "t", "c"])
 
-    summed = stored(rows.mapInArrow(presence, "entry string, t bigint, c bigint").groupBy("entry").agg(F.sum("t").alias("t"), F.sum("c").alias("c")), small=True)
+    summed = stored(in_small_batches(rows).mapInArrow(presence, "entry string, t bigint, c bigint").groupBy("entry").agg(F.sum("t").alias("t"), F.sum("c").alias("c")), small=True)
     texts = summed.where("entry = ''").first()
     if texts is None or not texts["t"] or not texts["c"]:
         return []
@@ -269,7 +270,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             scores = 1 / (1 + np.exp(-np.clip(np.array(logits), -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.round(scores, 9), pa.float64())], names=["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(score, "doc_id bigint, score double")
+    return in_small_batches(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))).mapInArrow(score, "doc_id bigint, score double")
 
 
 def judged(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -290,4 +291,4 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
             scores = [1 / (1 + math.exp(-max(-30.0, min(30.0, float(features(t or "", known, n) @ weights) + model.intercept)))) for t in texts]
             yield batch.filter(pa.array([round(s, 9) < 0.5 for s in scores], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return in_small_batches(docs).mapInArrow(keep, docs.schema)
