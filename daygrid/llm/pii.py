@@ -14,9 +14,10 @@ open. A candidate that is surely personal is added also where there are no trees
 and words around it), and so find secrets without a name, and numbers that the fixed rules swallow in a longer run. A kind's threshold is the lowest
 score at which its precision on candidates held out of training is at least ``PRECISION``; where there is none, nothing is added.
 
-The candidates of all documents are counted; the trees are fitted on about ``SAMPLE`` of each kind and label at most, drawn by a hash of
-text, id and place, so a rare kind keeps all it has. Precision is that among all candidates: each drawn one counts for those it
-stands for. Every text is searched whole, in the task that reads it.
+The trees, their cuts and the thresholds come from all candidates of all documents. A kind with at most ``LOCAL`` of them is fitted by the
+driver. One with more is fitted by jobs over the distinct rows of its features: exact quantiles by counts in order, a histogram of each node of
+a tree's level, the running precision of held-out scores; only what these sum up to reaches the driver. Both give the same trees.
+Every text is searched whole, in the task that reads it.
 
 Defined cases: a NULL text is empty in the result of ``found`` and stays NULL when redacted; repeated rows get one row each; an
 empty text has no spans; without candidates of both sorts nothing is learned; an empty table gives no rows.
@@ -29,18 +30,22 @@ import math
 import re
 import zlib
 from bisect import bisect_left
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daygrid.llm.batches import in_small_batches
+from daygrid.sizing import stored
 
-SAMPLE = 20_000
+# The driver itself fits a kind that has at most so many candidates.
+LOCAL = 20_000
+# Gradients are summed over tasks as whole multiples of its inverse, so their order does not matter.
+SCALE = 2.0**30
 PRECISION = 0.95
 TREES, DEPTH, RATE, BINS, LEAST = 40, 3, 0.3, 32, 5
 
@@ -192,12 +197,16 @@ class Tree(NamedTuple):
     value: np.ndarray
 
     def of(self, x: np.ndarray) -> np.ndarray:
+        return self.value[self.node(x)]
+
+    def node(self, x: np.ndarray) -> np.ndarray:
+        """The leaf of each row."""
         node = np.zeros(len(x), int)
         for _ in range(DEPTH):
             f = self.feature[node]
             right = x[np.arange(len(x)), np.maximum(f, 0)] > self.cut[node]
             node = np.where(f >= 0, 2 * node + 1 + right, node)
-        return self.value[node]
+        return node
 
 
 class Boosted(NamedTuple):
@@ -209,11 +218,31 @@ class Boosted(NamedTuple):
         return self.start + sum((t.of(x) for t in self.trees), np.zeros(len(x)))
 
 
-def _grow(x: np.ndarray, bins: np.ndarray, cuts: list[np.ndarray], gradient: np.ndarray, hessian: np.ndarray) -> Tree:
+Models = dict[str, Boosted]
+
+
+def _best_split(left: list[list[np.ndarray]], whole: Sequence[float]) -> tuple[float, int, int]:
+    """Gain, feature (-1: none) and cut of the best split; ``left`` has for each feature the sums of gradient, hessian and rows up to each of its cuts."""
+    best, (g, h, _) = (1e-6, -1, 0), whole
+    for f, low in enumerate(left):
+        high = [w - s for w, s in zip(whole, low, strict=True)]
+        gain = low[0] ** 2 / (low[1] + 1) + high[0] ** 2 / (high[1] + 1) - g**2 / (h + 1)
+        gain[(low[2] < LEAST) | (high[2] < LEAST)] = -1
+        if len(gain) and gain.max() > best[0]:
+            best = (gain.max(), f, int(gain.argmax()))
+    return best
+
+
+def _empty_tree() -> Tree:
     size = 2 ** (DEPTH + 1) - 1
-    feature, cut, value = np.full(size, -1), np.zeros(size), np.zeros(size)
+    return Tree(np.full(size, -1), np.zeros(size), np.zeros(size))
+
+
+def _grow(x: np.ndarray, bins: np.ndarray, cuts: list[np.ndarray], gradient: np.ndarray, hessian: np.ndarray) -> Tree:
+    tree = _empty_tree()
+    feature, cut, value = tree
     rows = {0: np.arange(len(x))}
-    for node in range(size):
+    for node in range(len(value)):
         own = rows.pop(node, None)
         if own is None:
             continue
@@ -221,20 +250,14 @@ def _grow(x: np.ndarray, bins: np.ndarray, cuts: list[np.ndarray], gradient: np.
         value[node] = RATE * g.sum() / (h.sum() + 1.0)
         if node >= 2**DEPTH - 1 or len(own) < 2 * LEAST:
             continue
-        best = (1e-6, -1, 0)
-        for f, edges in enumerate(cuts):
-            k = len(edges) + 1
-            left = [np.cumsum(np.bincount(bins[own, f], weights=w, minlength=k))[:-1] for w in (g, h, np.ones(len(own)))]
-            right = [w.sum() - s for w, s in zip((g, h, np.ones(len(own))), left, strict=True)]
-            gain = left[0] ** 2 / (left[1] + 1) + right[0] ** 2 / (right[1] + 1) - g.sum() ** 2 / (h.sum() + 1)
-            gain[(left[2] < LEAST) | (right[2] < LEAST)] = -1
-            if len(gain) and gain.max() > best[0]:
-                best = (gain.max(), f, int(gain.argmax()))
-        if best[1] >= 0:
-            feature[node], cut[node] = best[1], cuts[best[1]][best[2]]
-            high = x[own, best[1]] > cut[node]
+        ones = np.ones(len(own))
+        left = [[np.cumsum(np.bincount(bins[own, f], weights=w, minlength=len(edges) + 1))[:-1] for w in (g, h, ones)] for f, edges in enumerate(cuts)]
+        _, f, at = _best_split(left, (g.sum(), h.sum(), len(own)))
+        if f >= 0:
+            feature[node], cut[node] = f, cuts[f][at]
+            high = x[own, f] > cut[node]
             rows[2 * node + 1], rows[2 * node + 2] = own[~high], own[high]
-    return Tree(feature, cut, value)
+    return tree
 
 
 def boosted(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> Boosted | None:
@@ -262,41 +285,188 @@ def boosted(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> B
     return model._replace(threshold=float(limits[0]) if limits else math.inf)
 
 
-Models = dict[str, Boosted]
-
+def _running(rows: DataFrame, groups: list[str], order: list[Column], sums: list[str]) -> DataFrame:
+    """``rows``, and as ``<sum>_before`` the sums over those of the group that come before in ``order``, which has no ties.
 
-def fitted(docs: DataFrame, sample: int = SAMPLE) -> Models:
-    """A model for each kind that the candidates allow."""
+    Rows are sorted in ranges, and each adds what the ranges before it sum up to; no group is in one task.
+    """
+    ranges = stored(rows.repartitionByRange(*groups, *order).withColumn("range", F.spark_partition_id()))
+    whole = ranges.groupBy(*groups, "range").agg(*[F.sum(c).alias(c) for c in sums])
+    inside = Window.partitionBy(*groups, "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*groups).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    until = whole.select(*groups, "range", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_until") for c in sums])
+    both = ranges.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"{c}_inside") for c in sums]).join(F.broadcast(until), [*groups, "range"])
+    return both.select(*rows.columns, *[(F.col(f"{c}_inside") + F.col(f"{c}_until")).alias(f"{c}_before") for c in sums])
+
+
+def _quantile(values: dict[int, float], n: int, share: float) -> float:
+    """As ``np.quantile``, from the values at the places around it."""
+    at = share * (n - 1)
+    low, high, t = values[math.floor(at)], values[math.ceil(at)], at - math.floor(at)
+    return high - (high - low) * (1 - t) if t >= 0.5 else low + (high - low) * t
+
+
+def _all_cuts(rows: DataFrame, sizes: dict[str, int]) -> dict[str, list[np.ndarray]]:
+    """The exact quantiles of each feature by kind, from ``kind, x, n`` where ``sizes`` are the sums of ``n``."""
+    shares = np.arange(1, BINS) / BINS
+    places = {kind: sorted({p for s in shares for p in (math.floor(s * (n - 1)), math.ceil(s * (n - 1)))}) for kind, n in sizes.items()}
+    values = rows.select("kind", "n", F.posexplode("x").alias("f", "value")).groupBy("kind", "f", "value").agg(F.sum("n").alias("n"))
+    placed = _running(values, ["kind", "f"], [F.col("value")], ["n"])
+    wanted = F.coalesce(*[F.when(F.col("kind") == kind, F.array(*[F.lit(p).cast("bigint") for p in own])) for kind, own in places.items()])
+    at = F.filter(wanted, lambda p: (p >= F.col("n_before")) & (p < F.col("n_before") + F.col("n")))
+    found: dict[tuple[str, int], dict[int, float]] = {}
+    for r in placed.select("kind", "f", "value", F.explode(at).alias("place")).collect():
+        found.setdefault((r.kind, r.f), {})[r.place] = r.value
+    return {kind: [np.unique([_quantile(found[kind, f], n, s) for s in shares]) for f in sorted(f for k, f in found if k == kind)] for kind, n in sizes.items()}
+
+
+def boosted_by_jobs(rows: DataFrame) -> Models:
+    """:func:`boosted` for every kind of ``kind, sure, x, n`` (distinct features, and how many candidates have them), whatever their number."""
+    totals: dict[str, list[int]] = {}
+    for r in rows.groupBy("kind", "sure").agg(F.sum("n").alias("n")).collect():
+        totals.setdefault(r.kind, [0, 0])[r.sure] = r.n
+    kinds = sorted(kind for kind, both in totals.items() if min(both) >= 2 * LEAST)
+    if not kinds:
+        return {}
+    # Every fourth candidate, in the order of features from the last to the first, is held out.
+    order = [F.reverse("x"), F.col("sure")]
+    placed = _running(rows.where(F.col("kind").isin(kinds)), ["kind"], order, ["n"])
+    held = F.floor((F.col("n_before") + F.col("n")) / 4) - F.floor(F.col("n_before") / 4)
+    placed = stored(placed.select("kind", "sure", "x", (F.col("n") - held).alias("n"), held.alias("held")))
+    fit: dict[str, list[int]] = {kind: [0, 0] for kind in kinds}
+    for r in placed.groupBy("kind", "sure").agg(F.sum("n").alias("n")).collect():
+        fit[r.kind][r.sure] = r.n
+    cuts = _all_cuts(placed.where("n > 0"), {kind: sum(both) for kind, both in fit.items()})
+    starts = {kind: math.log((y / (n + y)) / (1 - y / (n + y))) for kind, (n, y) in fit.items()}
+
+    def to_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array(batch.column("x").flatten()).reshape(batch.num_rows, -1)
+            own, bins = np.array(batch.column("kind").to_pylist()), np.zeros(x.shape, "u1")
+            for kind in np.unique(own):
+                mine = own == kind
+                bins[mine] = np.column_stack([np.searchsorted(c, x[mine, f], side="left") for f, c in enumerate(cuts[str(kind)])])
+            packed = pa.array([b.tobytes() for b in bins], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("sure"), packed, batch.column("n"), batch.column("held")], names=["kind", "sure", "bins", "n", "held"])
+
+    binned = placed.mapInArrow(to_bins, "kind string, sure boolean, bins binary, n bigint, held bigint")
+    binned = stored(binned.groupBy("kind", "sure", "bins").agg(F.sum("n").alias("n"), F.sum("held").alias("held")))
+    by_bin: dict[str, list[Tree]] = {kind: [] for kind in kinds}  # their cuts are numbers of bins
+    for _ in range(TREES):
+        for kind, tree in _grown(binned.where("n > 0"), starts, by_bin, cuts).items():
+            by_bin[kind].append(tree)
+    limits = _thresholds(binned.where("held > 0"), {kind: Boosted(starts[kind], by_bin[kind], math.inf) for kind in kinds})
+    models = {}
+    for kind, trees in by_bin.items():
+        real = [t._replace(cut=np.array([cuts[kind][f][int(c)] if f >= 0 else 0.0 for f, c in zip(t.feature, t.cut, strict=True)])) for t in trees]
+        models[kind] = Boosted(starts[kind], real, limits.get(kind, math.inf))
+    return models
+
+
+def _by_kind(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+    """Kind, bins, label and number of rows ``kind, bins, sure, n``, kind by kind."""
+    for batch in batches:
+        own = np.array(batch.column(0).to_pylist())
+        bins = np.frombuffer(b"".join(batch.column(1).to_pylist()), "u1").reshape(batch.num_rows, -1)
+        sure, n = np.array(batch.column(2).to_pylist(), bool), np.array(batch.column(3))
+        for kind in np.unique(own):
+            yield str(kind), bins[own == kind], sure[own == kind], n[own == kind]
+
+
+def _grown(rows: DataFrame, starts: dict[str, float], trees: dict[str, list[Tree]], cuts: dict[str, list[np.ndarray]]) -> dict[str, Tree]:
+    """The next tree of each kind, one job for each of its levels; cuts are numbers of bins."""
+    grown = {kind: _empty_tree() for kind in starts}
+    for depth in range(DEPTH):
+        first, nodes = 2**depth - 1, 2**depth
+
+        def histograms(batches: Iterator[pa.RecordBatch], first: int = first, nodes: int = nodes) -> Iterator[pa.RecordBatch]:
+            sums: dict[str, np.ndarray] = {}
+            for kind, bins, sure, n in _by_kind(batches):
+                total = np.full(len(bins), starts[kind])
+                for tree in trees[kind]:
+                    total += tree.of(bins)
+                p = 1 / (1 + np.exp(-total))
+                at, width = grown[kind].node(bins), bins.shape[1]
+                cell = (((at - first) * width)[:, None] + np.arange(width)) * BINS + bins
+                cell, here = cell[at >= first].ravel(), at >= first  # a leaf above this level has no children
+                parts = [np.rint(w * SCALE) * n for w in (sure - p, p * (1 - p))] + [n]
+                new = [np.bincount(cell, weights=np.repeat(w[here], width), minlength=nodes * width * BINS).astype("i8") for w in parts]
+                sums[kind] = sums.get(kind, 0) + np.array(new)
+            for kind, own in sums.items():
+                some = np.flatnonzero(own[2])
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(some), pa.string()), pa.array(some), *[pa.array(w[some]) for w in own]], names=["kind", "cell", "g", "h", "n"])
+
+        out = rows.select("kind", "bins", "sure", "n").mapInArrow(histograms, "kind string, cell bigint, g bigint, h bigint, n bigint")
+        whole = out.groupBy("kind", "cell").agg(*[F.sum(c).alias(c) for c in ("g", "h", "n")]).toPandas()
+        for kind, own in whole.groupby("kind"):
+            tree, width = grown[kind], len(cuts[kind])
+            cells = np.zeros((3, nodes * width * BINS))
+            cells[:, own["cell"]] = own[["g", "h", "n"]].to_numpy(float).T / np.array([[SCALE], [SCALE], [1.0]])
+            for k, sums in enumerate(cells.reshape(3, nodes, width, BINS).transpose(1, 0, 2, 3)):
+                g, h, n = sums[:, 0].sum(axis=1)
+                node = first + k
+                if not depth:
+                    tree.value[node] = RATE * g / (h + 1.0)
+                if n < 2 * LEAST:
+                    continue
+                left = [[np.cumsum(w[f])[: len(edges)] for w in sums] for f, edges in enumerate(cuts[kind])]
+                _, f, at = _best_split(left, (g, h, n))
+                if f >= 0:
+                    tree.feature[node], tree.cut[node] = f, at
+                    low = [w[at] for w in left[f]]
+                    for child, (cg, ch) in ((2 * node + 1, low[:2]), (2 * node + 2, (g - low[0], h - low[1]))):
+                        tree.value[child] = RATE * cg / (ch + 1.0)
+    return grown
+
+
+def _thresholds(rows: DataFrame, models: Models) -> dict[str, float]:
+    """For each kind the lowest score of held-out rows from which on upwards precision is high enough; none where there is no such score."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kind, bins, sure, n in _by_kind(batches):
+            columns = [pa.array([kind] * len(n), pa.string()), pa.array(models[kind].score(bins)), pa.array(n), pa.array(n * sure)]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "score", "n", "true"])
+
+    scored = rows.select("kind", "bins", "sure", F.col("held").alias("n")).mapInArrow(score, "kind string, score double, n bigint, true bigint")
+    scored = scored.groupBy("kind", "score").agg(F.sum("n").alias("n"), F.sum("true").alias("true"))
+    above = _running(scored, ["kind"], [F.col("score").desc()], ["n", "true"])
+    precise = (F.col("true_before") + F.col("true")) / (F.col("n_before") + F.col("n")) >= PRECISION
+    return {r.kind: r.score for r in above.where(precise).groupBy("kind").agg(F.min("score").alias("score")).collect()}
+
+
+def fitted(docs: DataFrame, sample: int | None = None) -> Models:
+    """A model for each kind that the candidates allow, from all of them.
+
+    Only on request it is fitted to a draw of about ``sample`` candidates of each kind and label, which then count for those they stand for.
+    """
     rows = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("hash")).where(F.col("text").rlike("[0-9@]"))
 
-    def labelled(text: str) -> Iterator[Candidate]:
-        return (c for c in candidates(text, base_spans(text)) if c.sure is not None and c.kind in LEARNED)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = Counter((c.kind, c.sure) for batch in batches for text in map(pa.StringScalar.as_py, batch.column(0)) for c in labelled(text))
-        kinds = [pa.string(), pa.bool_(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array([(*k, n)[i] for k, n in seen.items()], t) for i, t in enumerate(kinds)], names=["kind", "sure", "n"])
-
-    totals = in_small_batches(rows).mapInArrow(count, "kind string, sure boolean, n bigint").groupBy("kind", "sure").agg(F.sum("n").alias("n")).collect()
-    shares = {(r.kind, r.sure): min(1.0, sample / r.n) for r in totals}
-
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [
-                (c.kind, c.sure, list(map(float, features(text, c))))
+                (c.kind, c.sure, zlib.crc32(f"{own} {c.start} {c.kind}".encode()) / 2**32, list(map(float, features(text, c))))
                 for text, own in zip(map(pa.StringScalar.as_py, batch.column(0)), batch.column(1).to_pylist(), strict=True)
-                for c in labelled(text)
-                if zlib.crc32(f"{own} {c.start} {c.kind}".encode()) < 2**32 * shares[c.kind, c.sure]
+                for c in candidates(text, base_spans(text))
+                if c.sure is not None and c.kind in LEARNED
             ]
-            kinds = [pa.string(), pa.bool_(), pa.list_(pa.float64())]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["kind", "sure", "x"])
-
-    measured = rows.mapInArrow(measure, "kind string, sure boolean, x array<double>").toPandas()
-    models = {}
-    for kind, own in measured.groupby("kind"):
-        sure = own["sure"].to_numpy(bool)
-        models[kind] = boosted(np.array(own["x"].tolist()), sure, np.array([1 / shares[kind, bool(s)] for s in sure]))
-    return {kind: model for kind, model in models.items() if model is not None}
+            kinds = [pa.string(), pa.bool_(), pa.float64(), pa.list_(pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["kind", "sure", "draw", "x"])
+
+    measured = stored(in_small_batches(rows).mapInArrow(measure, "kind string, sure boolean, draw double, x array<double>"))
+    totals = {(r.kind, r.sure): r.n for r in measured.groupBy("kind", "sure").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {kind: sum(n for (k, _), n in totals.items() if k == kind) for kind in sorted({k for k, _ in totals})}
+    shares = {key: min(1.0, sample / n) if sample else 1.0 for key, n in totals.items()}
+    many = [kind for kind, n in sizes.items() if n > LOCAL and not sample]
+    models: dict[str, Boosted | None] = {}
+    if few := [kind for kind in sizes if kind not in many]:
+        drawn = reduce(lambda a, b: a | b, [(F.col("kind") == k) & (F.col("sure") == s) & (F.col("draw") < share) for (k, s), share in shares.items() if k in few])
+        for kind, own in measured.where(drawn).select("kind", "sure", "x").toPandas().groupby("kind"):
+            sure = own["sure"].to_numpy(bool)
+            models[kind] = boosted(np.array(own["x"].tolist()), sure, np.array([1 / shares[kind, bool(s)] for s in sure]))
+    if many:
+        distinct = measured.where(F.col("kind").isin(many)).groupBy("kind", "sure", "x").agg(F.count(F.lit(1)).alias("n"))
+        models.update(boosted_by_jobs(distinct))
+    return {kind: models[kind] for kind in sizes if models.get(kind) is not None}
 
 
 def all_spans(text: str, models: Models) -> tuple[list[Span], list[Span]]:

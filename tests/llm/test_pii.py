@@ -111,6 +111,43 @@ def test_precision_counts_what_rows_stand_for():
     assert pii.boosted(x, y, np.where(y > 0, 1.0, 100.0)).threshold == np.inf
 
 
+def test_jobs_grow_the_same_trees(spark):
+    draw = np.random.default_rng(2)
+    rows, plain_models = [], {}
+    for kind, size in (("secret", 3000), ("number", 500), ("handle", 9)):
+        x = np.round(draw.random((size, 4)) * [40, 3, 1000, 1]) / 7
+        y = ((x[:, 0] > 2.5) != (x[:, 2] > 40)) ^ (draw.random(size) < 0.02)
+        n = draw.integers(1, 6, size)
+        rows += [(kind, bool(b), list(map(float, a)), int(c)) for a, b, c in zip(x, y, n, strict=True)]
+        plain_models[kind] = pii.boosted(np.repeat(x, n, axis=0), np.repeat(y, n)) if size > 9 else None
+    frame = spark.createDataFrame(rows, "kind string, sure boolean, x array<double>, n bigint")
+    found = pii.boosted_by_jobs(frame.where("kind != 'handle'").groupBy("kind", "sure", "x").agg({"n": "sum"}).toDF("kind", "sure", "x", "n"))
+    assert sorted(found) == ["number", "secret"]
+    for kind, model in found.items():
+        plain_model = plain_models[kind]
+        assert model.start == plain_model.start and len(model.trees) == len(plain_model.trees)
+        for own, other in zip(model.trees, plain_model.trees, strict=True):
+            assert own.feature.tolist() == other.feature.tolist() and own.cut.tolist() == other.cut.tolist()
+            np.testing.assert_allclose(own.value, other.value, atol=1e-6)
+        np.testing.assert_allclose(model.threshold, plain_model.threshold, atol=1e-5)
+    assert pii.boosted_by_jobs(frame.limit(0)) == {}
+
+
+def test_all_candidates_count_however_many(spark, monkeypatch):
+    draw = random.Random(7)
+    docs = [(i, f"so be it token = \"{secret(draw)}\" and more") for i in range(300)]
+    docs += [(i + 1000, f"see chapter{draw.randint(10, 99)}-of-the-long-book{draw.randint(1, 9)}and on") for i in range(100)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    few = pii.fitted(frame)
+    monkeypatch.setattr(pii, "LOCAL", 100)
+    many = pii.fitted(frame)
+    # A draw that is the same for both sorts would start at even odds.
+    assert few["secret"].start == many["secret"].start == pytest.approx(np.log(3))
+    np.testing.assert_allclose(many["secret"].threshold, few["secret"].threshold, atol=1e-5)
+    for text in (f"it read {secret(draw)} there", "see chapter12-of-the-long-book3and on"):
+        assert pii.all_spans(text, many) == pii.all_spans(text, few)
+
+
 def test_finds_numbers_beyond_the_base(spark):
     draw = random.Random(5)
     digits = lambda n: "".join(draw.choices("23456789", k=n))
