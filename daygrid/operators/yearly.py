@@ -97,10 +97,13 @@ def normals_state(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     Columns: keys, ``dayofyear, year, total, n, days`` (sum and number of values, number of rows). A period is the
     difference of two years, so of a table partitioned by year only two are read for it, however long it is.
+    Days hardly ever share a group, so they are shuffled as they are, once for the sums and the running sums: a task that
+    reduced its rows before that would hold nearly all of them.
     """
     value = present(F.col("value"))
     last = daily.agg(F.max(F.year("time"))).first()[0]
-    sums = daily.groupBy(*keys, F.dayofyear("time").alias("dayofyear"), F.year("time").alias("year")).agg(
+    rows = daily.select(*keys, F.dayofyear("time").alias("dayofyear"), F.year("time").alias("year"), "value")
+    sums = rows.repartition(*keys, "dayofyear").groupBy(*keys, "dayofyear", "year").agg(
         F.coalesce(F.sum(value), F.lit(0.0)).alias("total"), F.count(value).alias("n"), F.count(F.lit(1)).alias("days")
     )
     # A group has one row per year.
@@ -113,7 +116,8 @@ def normals_state(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def write_normals_state(state: DataFrame, path: str) -> None:
-    state.repartition("year").write.mode("overwrite").partitionBy("year").parquet(path)
+    """By year, with as many files to a year as its size calls for (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)."""
+    state.hint("rebalance", "year").write.mode("overwrite").partitionBy("year").parquet(path)
 
 
 def normals_from_state(state: DataFrame, keys: Sequence[str], periods: Sequence[Period]) -> DataFrame:
@@ -131,7 +135,9 @@ def normals_from_state(state: DataFrame, keys: Sequence[str], periods: Sequence[
         at = [F.coalesce(F.sum(F.when(year == y, F.col(column))), F.lit(0)) for y in (end, before)]
         return at[0] - at[1]
 
-    found = state.where(year.isin(sorted({y for b in bounds for y in b}))).groupBy(*keys, "dayofyear").agg(
+    # A group has one row per year, so rows are shuffled as they are.
+    rows = state.where(year.isin(sorted({y for b in bounds for y in b}))).repartition(*keys, "dayofyear")
+    found = rows.groupBy(*keys, "dayofyear").agg(
         *[between(c, *b).alias(f"{c}_{i}") for i, b in enumerate(bounds, 1) for c in ("total", "n", "days")]
     )
     some = reduce(lambda a, b: a | b, [F.col(f"days_{i}") > 0 for i in range(1, len(bounds) + 1)])

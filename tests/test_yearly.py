@@ -112,3 +112,24 @@ def test_normals_from_a_state_equal_those_from_days(spark, tmp_path):
     assert "PartitionFilters: [year" in text and "(1998,2003)" in text.replace(" ", "")
     empty = yearly.normals_state(frame.limit(0), ["name"])
     assert yearly.normals_from_state(empty, ["name"], [(1999, 2003)]).isEmpty()
+
+
+def test_no_task_of_a_state_holds_a_whole_year(spark, tmp_path):
+    """A year is written to several files, and rows are shuffled before a task groups them."""
+    data = [("v", f"n{i}", date(2001, m, 1), float(i)) for i in range(3000) for m in (1, 2)]
+    limits = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    old = [spark.conf.get(name) for name in limits]
+    for name in limits:
+        spark.conf.set(name, "8k")
+    try:
+        frame = daily(spark, data).repartition(8)
+        yearly.write_normals_state(yearly.normals_state(frame, ["name"]), str(tmp_path / "state"))
+    finally:
+        for name, value in zip(limits, old, strict=True):
+            spark.conf.set(name, value)
+    assert len(list((tmp_path / "state" / "year=2001").glob("*.parquet"))) > 1
+    state = spark.read.parquet(str(tmp_path / "state"))
+    found = yearly.normals_from_state(state, ["name"], [(2001, 2001)])
+    assert found.count() == 6000
+    text = plan(found)
+    assert "Aggregate" not in text[text.rindex("Exchange hashpartitioning") :] and text.count("Exchange hashpartitioning") == 1
