@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrid.functions.projections import ALASKA_ALBERS, SOURCE_PLANE
@@ -24,7 +24,7 @@ from daygrid.sizing import BROADCAST_ROWS, stored
 EPOCH = date(1970, 1, 1).toordinal()
 
 # A task generates at most about this many rows of missing values.
-ROWS_PER_TASK = 10_000_000
+ROWS_PER_TASK = 2_000_000
 
 
 def regrid_map(
@@ -78,7 +78,7 @@ def full_cube(
     row for the cell.  Only what is absent is generated.  The rows of each day are counted first, in cells that feed a
     target cell; a day that has all of them at all levels goes through the map as it is.  A
     day without any gets a row for each of these source cells, and of the other days those that they lack, found by an
-    anti-join of these days alone.  Cells outside the domain are generated and need no join.
+    anti-join of these days alone or, if they are many, by cell as the difference of two lists of days.  Cells outside the domain are generated and need no join.
     ``daily`` is read three times, so it should be stored; with a map that may be broadcast, dense data are not shuffled.
     """
     feeding = grid_map.where(F.col("south_north").isNotNull()).select(*CELL).distinct()
@@ -95,13 +95,9 @@ def full_cube(
     if empty:
         parts.append(_frame(feeding, used, empty, axis.levels))
     if partial:
-        frame = _frame(feeding, used, partial, axis.levels).alias("frame")
         present = inside.where(F.col("time").isin(partial)) if len(partial) < len(days) else inside
-        present = present.select("time", "level", *CELL).alias("present")
-        same = F.col("frame.level").eqNullSafe(F.col("present.level"))
-        for key in (*CELL, "time"):
-            same = same & (F.col(f"frame.{key}") == F.col(f"present.{key}"))
-        parts.append(frame.join(present, same, "left_anti"))
+        lacking = _absent if whole * len(partial) > ROWS_PER_TASK else _absent_of_few
+        parts.append(lacking(present, feeding, used, partial, axis.levels))
     complete = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     values = [c for c in daily.columns if c not in (*CELL, "time", "level")]
     place = ["y_idx", "x_idx", "y", "x", "time", "level"]
@@ -123,6 +119,39 @@ def _frame(cells: DataFrame, rows: int, days: Sequence[date], levels: Sequence[i
     tasks = math.ceil(rows * len(days) * len(levels) / ROWS_PER_TASK)
     if tasks > 1:
         cells = cells.repartition(tasks, *[c for c in ("y_idx", "x_idx", *CELL) if c in cells.columns][:2])
-    numbers = F.split(F.lit(",".join(str(d.toordinal() - EPOCH) for d in days)), ",").cast("array<int>")
-    dated = cells.withColumn("time", F.explode(numbers)).withColumn("time", F.date_from_unix_date("time"))
-    return dated.withColumn("level", F.explode(F.array(*[F.lit(n).cast("int") for n in levels])))
+    dated = cells.withColumn("time", F.explode(_numbers(days))).withColumn("time", F.date_from_unix_date("time"))
+    return dated.withColumn("level", _each(levels))
+
+
+def _absent(present: DataFrame, cells: DataFrame, rows: int, days: Sequence[date], levels: Sequence[int | None]) -> DataFrame:
+    """The days that each of ``cells`` (of ``rows`` rows) lacks at each level; a row of the join holds a list as long as the calendar."""
+    tasks = math.ceil(rows * len(days) * len(levels) / ROWS_PER_TASK)
+    have = present.groupBy(*CELL, "level").agg(F.collect_set(F.unix_date("time")).alias("have")).alias("present")
+    wanted = cells.withColumn("level", _each(levels)).alias("wanted")
+    same = F.col("wanted.level").eqNullSafe(F.col("present.level"))
+    for key in CELL:
+        same = same & (F.col(f"wanted.{key}") == F.col(f"present.{key}"))
+    both = wanted.join(have, same, "left").select(*[F.col(f"wanted.{c}") for c in (*CELL, "level")], "have")
+    if tasks > 1:
+        both = both.repartition(tasks, *CELL)
+    numbers = _numbers(days)
+    lacking = F.when(F.col("have").isNull(), numbers).otherwise(F.array_except(numbers, "have"))
+    return both.select(*CELL, "level", F.explode(lacking).alias("time")).withColumn("time", F.date_from_unix_date("time"))
+
+
+def _absent_of_few(present: DataFrame, cells: DataFrame, rows: int, days: Sequence[date], levels: Sequence[int | None]) -> DataFrame:
+    """:func:`_absent` by an anti-join, for days whose rows one task can generate."""
+    frame = _frame(cells, rows, days, levels).alias("frame")
+    own = present.select("time", "level", *CELL).alias("present")
+    same = F.col("frame.level").eqNullSafe(F.col("present.level"))
+    for key in (*CELL, "time"):
+        same = same & (F.col(f"frame.{key}") == F.col(f"present.{key}"))
+    return frame.join(own, same, "left_anti")
+
+
+def _numbers(days: Sequence[date]) -> Column:
+    return F.split(F.lit(",".join(str(d.toordinal() - EPOCH) for d in days)), ",").cast("array<int>")
+
+
+def _each(levels: Sequence[int | None]) -> Column:
+    return F.explode(F.array(*[F.lit(n).cast("int") for n in levels]))

@@ -501,3 +501,42 @@ def test_only_overlapping_files_are_compared(spark, tmp_path):
     twice = src.overlapping_hours(both)
     assert twice.count() == again.count() and {r.copies for r in twice.collect()} == {2}
     assert "11/" in plan(twice) and rows(twice) == rows(src.overlapping_hours(both, within_files=True))
+
+
+def test_absent_rows_of_partial_days_need_no_row_of_the_frame_in_a_shuffle(spark):
+    """Each cell's list of days is joined to it; the days it lacks are made after that, at each level."""
+    from datetime import date, timedelta
+
+    from daygrid.operators.regrid import _absent
+
+    days = [date(2001, 1, 1) + timedelta(k) for k in range(20)]
+    cells = spark.createDataFrame([(a, b) for a in range(3) for b in range(2)], "south_north int, west_east int")
+    have = [(days[(3 * a + b + (n or 0) + k) % 20], n, a, b) for a in range(3) for b in range(1) for n in (None, 1) for k in (0, 4, 4)]
+    present = spark.createDataFrame([*have, (days[0], 1, 9, 9)], "time date, level int, south_north int, west_east int")
+    absent = _absent(present, cells, 6, days, [None, 1])
+    found = [(r.time, r.level, r.south_north, r.west_east) for r in absent.collect()]
+    assert len(found) == len(set(found))
+    assert set(found) == {(d, n, a, b) for d in days for n in (None, 1) for a in range(3) for b in range(2)} - set(have)
+    text = plan(absent)
+    assert "LeftAnti" not in text and text.index("Generate explode(CASE") < text.index("Join")
+
+
+def test_a_session_that_says_nothing_gets_one_open_file_per_output(spark, tmp_path):
+    from daygrid.grids import Axis
+
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    seen = []
+    own = product._stage
+    try:
+        spark.conf.unset(name)
+        product._stage = lambda fields, root, commit: seen.append((spark.conf.get(name), plan(fields)))
+        grid = Grid(Axis(0.0, 1.0, 3), Axis(0.0, 1.0, 3), "x")
+        wide = grid_cells(spark, grid).selectExpr("*", "date'2001-01-01' as time", "cast(null as int) as level", "2001 as year", "1d as t2_mean", "2d as t2_max")
+        product.stage_wide(wide, ["t2_mean", "t2_max"], grid, str(tmp_path), "c", [2001], [None])
+        assert spark.conf.get(name, None) is None
+    finally:
+        product._stage = own
+        spark.conf.set(name, before)
+    # Whole rows are sorted, before they become values.
+    assert seen[0][0] == "32" and seen[0][1].index("Expand") < seen[0][1].index("Sort")
