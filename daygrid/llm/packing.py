@@ -209,17 +209,25 @@ def _fillings(lengths: list[int], left: list[int], room: int, most: int) -> list
     kinds = sorted(places, reverse=True)
     descending = [-x for x in kinds]
 
+    open_kinds = int.from_bytes(np.packbits(np.bincount(kinds, minlength=room + 1) > 0, bitorder="little").tobytes(), "little") if kinds else 0  # bit x: a piece of length x is left
+
     def dominated(chosen: list[int], free: int) -> bool:
         if not free:
             return False
         sums, used = 1, Counter(lengths[i] for i in chosen)  # bit s: some of the chosen pieces add up to s
-        for i in chosen:
-            sums |= sums << lengths[i]
-        for x in kinds:
-            low = max(0, x - free)
-            if len(places[x]) > used[x] and sums >> low & (1 << x - low) - 1:
-                return True
-        return False
+        others = open_kinds
+        for x, n in used.items():
+            if n == len(places[x]):
+                others ^= 1 << x
+            for _ in range(n):
+                sums |= sums << x
+        # All lengths above a sum by 1 to ``free``, in steps that double.
+        reach, width = sums << 1, 1
+        while width < free:
+            step = min(width, free - width)
+            reach |= reach << step
+            width += step
+        return bool(reach & others)
 
     def go(at: int, free: int, chosen: list[int]) -> None:
         nonlocal tried

@@ -15,6 +15,9 @@ Period = tuple[int, int]
 # The two periods whose normals are compared by default, both ends included.
 NORMAL_PERIODS: tuple[Period, Period] = ((1960, 1989), (1990, 2019))
 
+# Rows of a task that groups days or a stored state.
+ROWS_PER_TASK = 500_000
+
 
 def within_years(time: str, first: int, last: int) -> Column:
     """Whether a date or timestamp lies in the years first..last, written so that Parquet can skip row groups."""
@@ -92,6 +95,11 @@ def normals_two_periods(daily: DataFrame, keys: Sequence[str], periods: tuple[Pe
     )
 
 
+def _dealt(rows: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
+    """``rows`` (``n`` of them) shuffled by key, about ``ROWS_PER_TASK`` to a task."""
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, -(-n // ROWS_PER_TASK)), *keys)
+
+
 def normals_state(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
     """What normals of any period can be made from: per key, day of year and year the sums of all years up to it.
 
@@ -101,9 +109,9 @@ def normals_state(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
     reduced its rows before that would hold nearly all of them.
     """
     value = present(F.col("value"))
-    last = daily.agg(F.max(F.year("time"))).first()[0]
+    last, n = daily.agg(F.max(F.year("time")), F.count(F.lit(1))).first()
     rows = daily.select(*keys, F.dayofyear("time").alias("dayofyear"), F.year("time").alias("year"), "value")
-    sums = rows.repartition(*keys, "dayofyear").groupBy(*keys, "dayofyear", "year").agg(
+    sums = _dealt(rows, n, [*keys, "dayofyear"]).groupBy(*keys, "dayofyear", "year").agg(
         F.coalesce(F.sum(value), F.lit(0.0)).alias("total"), F.count(value).alias("n"), F.count(F.lit(1)).alias("days")
     )
     # A group has one row per year.
@@ -125,7 +133,8 @@ def normals_from_state(state: DataFrame, keys: Sequence[str], periods: Sequence[
 
     Days of year on which none of the periods has a row are left out, as by :func:`normals_two_periods`.
     """
-    last = state.agg(F.max("year")).first()[0]
+    sizes = {r.year: r.n for r in state.groupBy("year").agg(F.count(F.lit(1)).alias("n")).collect()}
+    last = max(sizes, default=None)
     bounds = [(first - 1, min(end, last or end)) for first, end in periods]
     year = F.col("year")
 
@@ -136,7 +145,8 @@ def normals_from_state(state: DataFrame, keys: Sequence[str], periods: Sequence[
         return at[0] - at[1]
 
     # A group has one row per year, so rows are shuffled as they are.
-    rows = state.where(year.isin(sorted({y for b in bounds for y in b}))).repartition(*keys, "dayofyear")
+    ends = sorted({y for b in bounds for y in b})
+    rows = _dealt(state.where(year.isin(ends)), sum(sizes.get(y, 0) for y in ends), [*keys, "dayofyear"])
     found = rows.groupBy(*keys, "dayofyear").agg(
         *[between(c, *b).alias(f"{c}_{i}") for i, b in enumerate(bounds, 1) for c in ("total", "n", "days")]
     )

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 import zlib
 from itertools import product
 
@@ -150,3 +151,24 @@ def test_other_tokenizers_get_whole_texts():
     assert not words.by_word and _Words(PATH).by_word
     text = "It's  a Test, naïve 12"
     assert np.frombuffer(words.ids(text), "<u4").tolist() == Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+
+
+def test_a_group_whose_bound_is_out_of_reach_is_searched_without_a_walk_over_all_lengths():
+    """Domination is one test of bits, with the same fillings as a loop over every length left."""
+    draw = random.Random(8)
+    for _ in range(60):
+        lengths = sorted((draw.randint(1, 60) for _ in range(draw.randint(1, 14))), reverse=True)
+        room = draw.randint(1, 100)
+        for free, chosen in packing._fillings(lengths, list(range(len(lengths))), room, room):
+            others = list(lengths)
+            for i in chosen:
+                others.remove(lengths[i])
+            sums = {0}
+            for i in chosen:
+                sums |= {s + lengths[i] for s in sums}
+            assert not chosen or not any(0 < x - s <= free for x in others for s in sums)
+    many = list(range(20_000, 16_000, -2))
+    start = time.perf_counter()
+    for room in range(100_001, 100_021, 2):
+        packing._fillings(many, list(range(len(many))), room, room)
+    assert time.perf_counter() - start < 1.5
