@@ -24,22 +24,27 @@ from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrid.llm.batches import in_small_batches
+from daygrid.llm.shingles import text_blocks
 from daygrid.sizing import stored
 
 CAPACITY = 4096
 END_ID = 1
 # Pieces per group on average.
 GROUP_SIZE = 4000
-# Words, and chunks of them, whose ids a Python worker remembers.
+# Words and chunks of them, together, whose ids a Python worker remembers.
 CACHE_WORDS = 300_000
+# Bytes of text that are looked up together (a longer text alone).
+BLOCK_BYTES = 1 << 20
 # Sequences that the first search of a group packs anew.
 FIRST_PART = 16
 # Branches that a search may try, beside two for each of its sequences, before it settles for the incumbent.
@@ -72,16 +77,22 @@ _BYTES = {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(_PR
 
 
 class _Ids(dict):
-    """Ids, as bytes, by word; what it lacks is computed and, while there is room, kept."""
+    """Ids, as bytes, by word and by what stands between two spaces; what it lacks is computed and, while there is room, kept."""
 
-    def __init__(self, compute: Callable[[str], bytes]):
+    def __init__(self, tokenize: Callable[[str], list]):
         super().__init__()
-        self.compute = compute
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.compute(word)
-        if len(self) < CACHE_WORDS and len(word) <= 64:
-            self[word] = ids
+        self.tokenize = tokenize
+
+    def __missing__(self, chunk: str) -> bytes:
+        words = [chunk] if chunk.isalpha() else _WORDS.findall(chunk)
+        if words == [chunk]:
+            # A word alone needs the model only, without the steps around it.
+            letters = chunk if chunk.isascii() and chunk.isprintable() else chunk.encode().decode("latin-1").translate(_BYTES)
+            ids = array.array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+        else:
+            ids = b"".join(map(self.__getitem__, words))
+        if len(self) < CACHE_WORDS and len(chunk) <= 64:
+            self[chunk] = ids
         return ids
 
 
@@ -92,34 +103,45 @@ class _Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        model = self.tokenizer.model
         with open(path, encoding="utf-8") as file:
             own = json.load(file)
         self.by_word = all(own.get(step) == known for step, known in _STEPS.items())
-        # A word alone needs the model only, without the steps around it.
-        self.words = words = _Ids(lambda word: np.array([t.id for t in model.tokenize(word.encode().decode("latin-1").translate(_BYTES))], "<u4").tobytes())
-        self.chunks = _Ids(lambda chunk: b"".join(map(words.__getitem__, _WORDS.findall(chunk))))
+        self.memory = _Ids(self.tokenizer.model.tokenize)
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
-        """The ids of a text, as the tokenizer gives them for the whole of it.
+        return self.of([text])[0]
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as the tokenizer gives them for the whole of it.
 
-        A Latin-1 text is split at spaces and then into the tokenizer's own words, and what repeats
+        Latin-1 texts are split at spaces and then into the tokenizer's own words, and what repeats
         comes from memory. Such a text has no combining marks, so lowering it
         first changes nothing; one that may hold a special token is left whole.
         """
-        if self.by_word and "<|" not in text and _latin(text):
-            low = text.lower()
-            if _latin(low):
-                return b"".join(map(self.chunks.__getitem__, low.replace("\n", " ").split(" ")))
-        return self.whole(text)
+        split = [self.by_word and "<|" not in text and _latin(text) for text in texts]
+        found = iter(self._by_word([text for text, own in zip(texts, split, strict=True) if own]))
+        return [next(found) if own else self.whole(text) for text, own in zip(texts, split, strict=True)]
+
+    def _by_word(self, texts: list[str]) -> Iterator[bytes]:
+        """Each distinct chunk is looked up once for all texts."""
+        if not texts:
+            return
+        chunks = pc.split_pattern(pa.array([text.lower().replace("\n", " ") for text in texts], pa.large_string()), " ")
+        coded = chunks.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array(map(self.memory.__getitem__, distinct), pa.large_binary()).take(coded.indices)
+        _, offsets, data = ids.buffers()
+        ends = np.frombuffer(offsets, "i8")[chunks.offsets.to_numpy()]
+        whole = memoryview(data or b"")
+        for start, end in pairwise(ends.tolist()):
+            yield bytes(whole[start:end])
 
     def forget(self) -> None:
-        """Empties the memories; a worker lives longer than its task."""
-        self.chunks.clear()
-        self.words.clear()
+        """Empties the memory; a worker lives longer than its task."""
+        self.memory.clear()
 
 
 def _latin(text: str) -> bool:
@@ -143,16 +165,18 @@ def tokenize(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end
         words = words_of(tokenizer_path)
         for batch in batches:
             out: dict[str, list] = {name: [] for name in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = memoryview(words.ids(text.as_py() or "") + end)
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    out["doc_id"].append(doc_id)
-                    out["piece"].append(k)
-                    out["start"].append(at // 4)
-                    out["length"].append(len(part) // 4)
-                    out["ids_crc32"].append(zlib.crc32(part))
-                    out["ids"].append(bytes(part) if keep_ids else None)
+            doc_ids = iter(batch.column(0).to_pylist())
+            for _, texts in text_blocks(batch.column(1), BLOCK_BYTES):
+                for own in words.of(texts):
+                    doc_id, ids = next(doc_ids), memoryview(own + end)
+                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[at : at + 4 * capacity]
+                        out["doc_id"].append(doc_id)
+                        out["piece"].append(k)
+                        out["start"].append(at // 4)
+                        out["length"].append(len(part) // 4)
+                        out["ids_crc32"].append(zlib.crc32(part))
+                        out["ids"].append(bytes(part) if keep_ids else None)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
         words.forget()

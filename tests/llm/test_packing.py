@@ -42,6 +42,30 @@ def test_ids_equal_those_of_the_whole_text(plain):
         assert np.frombuffer(words.ids(text), "<u4").tolist() == plain(text), repr(text)
 
 
+def test_what_repeats_is_looked_up_once_for_all_texts(monkeypatch, plain):
+    """A batch costs its distinct chunks, and a chunk that is one word is neither split nor kept twice."""
+    words, asked = _Words(PATH), Counter()
+    letters = "abcdefghijklmnopqrstuvwxyzàéÿß"
+    distinct = ["".join(c) for c in product(letters, repeat=2)]
+
+    class Counted(type(words.memory)):
+        def __getitem__(self, chunk):
+            asked["looked up"] += 1
+            return super().__getitem__(chunk)
+
+    words.memory = Counted(lambda word: asked.update(["model"]) or words.tokenizer.model.tokenize(word))
+    texts = [" ".join(distinct), " ".join(distinct[::-1]).upper().replace("SS", "ß"), "", "\n".join(distinct * 3), "漢 ab", "é ab. ab."]
+    assert [np.frombuffer(own, "<u4").tolist() for own in words.of(texts)] == [plain(text) for text in texts]
+    # Beside the words: what stands between spaces and is none, "ab." and "", with its parts.
+    assert asked["model"] <= len(distinct) + 2 and asked["looked up"] <= len(distinct) + 8
+    assert len(words.memory) <= len(distinct) + 8
+    monkeypatch.setattr(packing, "CACHE_WORDS", 10)
+    full = _Words(PATH)
+    assert full.of(texts) == words.of(texts) and len(full.memory) == 10
+    full.forget()
+    assert not full.memory and full.of([]) == []
+
+
 def test_search_reaches_the_least_number():
     draw = random.Random(1)
     for _ in range(60):
